@@ -1,0 +1,233 @@
+"""Registered queries: each Spark query next to the SQL that checks it.
+
+``QUERIES[name](spark, sf_dir) -> DataFrame`` runs over the whole given tables;
+``ORACLE[name]`` is DuckDB SQL over the same tables (views named after the
+parquet files).  Column names and types are aliased identically on both sides.
+Queries without an SQL twin are checked against brute force in ``tests/``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import dedup, sequences as Q, text as text_ops, tokenize as tok
+from ..operators import vocab as V
+from . import inputs as I
+from . import sqlparts as S
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = sql
+        return fn
+    return deco
+
+
+def _vocab(spark, sf_dir):
+    # materialised once per query: its size decides broadcast vs shuffle join
+    return I.vocab(spark, sf_dir).checkpoint()
+
+
+def _tokens(spark, sf_dir, vocab=None):
+    vocab = vocab if vocab is not None else _vocab(spark, sf_dir)
+    return tok.encode_words(I.corpus_lines(spark, sf_dir), vocab, ["doc_id", "line_no"], "line")
+
+
+# --------------------------------------------------------------------------- text
+
+@register("normalize_text", S.with_(S.DIRTY, S.NORM) + "SELECT doc_id, text FROM norm")
+def q_normalize_text(spark, sf_dir):
+    return I.normalized_documents(spark, sf_dir)
+
+
+@register("min_length_filter", S.with_(S.DIRTY, S.NORM, S.CLEAN) + "SELECT doc_id, text FROM clean")
+def q_min_length_filter(spark, sf_dir):
+    return I.clean_documents(spark, sf_dir)
+
+
+@register("explode_lines", S.with_(*S.CORPUS) + "SELECT doc_id, line_no, line FROM lines")
+def q_explode_lines(spark, sf_dir):
+    return I.corpus_lines(spark, sf_dir)
+
+
+@register("split_lines", f"""
+SELECT doc_id, unnest(generate_series(0, len(p) - 1)) AS line_no, unnest(p) AS line
+FROM (SELECT doc_id, CASE WHEN text = '' THEN []
+             WHEN p0[len(p0)] = '' THEN p0[1:len(p0) - 1] ELSE p0 END AS p
+      FROM (SELECT doc_id, text, regexp_split_to_array(text, '{S.LINE_BREAK}') AS p0
+            FROM documents) a) b""")
+def q_split_lines(spark, sf_dir):
+    return text_ops.split_lines(I.table(spark, sf_dir, "documents"))
+
+
+@register("py_strip", S.with_(S.DIRTY) + f"""
+SELECT doc_id, unnest(generate_series(0, len(p) - 1)) AS line_no,
+       {S.strip('unnest(p)')} AS line
+FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM dirty) a""")
+def q_py_strip(spark, sf_dir):
+    lines = text_ops.explode_lines(I.dirty_documents(spark, sf_dir))
+    return lines.withColumn("line", T.py_strip("line"))
+
+
+@register("word_counts_per_doc", f"""
+SELECT doc_id, CAST(len({S.words('text')}) AS BIGINT) AS n_words FROM documents""")
+def q_word_counts(spark, sf_dir):
+    return text_ops.word_counts(I.table(spark, sf_dir, "documents")).select("doc_id", "n_words")
+
+
+@register("redact_email", f"SELECT doc_id, {S.redact_email('text')} AS text FROM documents")
+def q_redact_email(spark, sf_dir):
+    return I.table(spark, sf_dir, "documents").select("doc_id", T.redact_email("text").alias("text"))
+
+
+@register("redact_phone", f"SELECT doc_id, {S.redact_phone('text')} AS text FROM documents")
+def q_redact_phone(spark, sf_dir):
+    return I.table(spark, sf_dir, "documents").select("doc_id", T.redact_phone("text").alias("text"))
+
+
+@register("redact_pii", f"SELECT doc_id, {S.redact_phone(S.redact_email('text'))} AS text FROM documents")
+def q_redact_pii(spark, sf_dir):
+    return text_ops.redact(I.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("content_hash", S.with_(*S.CORPUS) + f"""
+SELECT doc_id, line_no, sha256({S.strip('line')}) AS content_hash FROM lines""")
+def q_content_hash(spark, sf_dir):
+    return I.corpus_lines(spark, sf_dir).select("doc_id", "line_no",
+                                                T.content_hash("line").alias("content_hash"))
+
+
+# --------------------------------------------------------------------------- dedup
+
+@register("dedup_lines", S.with_(*S.CORPUS) + f"""
+SELECT doc_id, line_no, line FROM (
+  SELECT *, row_number() OVER (PARTITION BY {S.strip('line')} ORDER BY doc_id, line_no) AS rn
+  FROM lines) r WHERE rn = 1""")
+def q_dedup_lines(spark, sf_dir):
+    return dedup.dedup_first(I.corpus_lines(spark, sf_dir), ["doc_id", "line_no"], "line")
+
+
+@register("dedup_documents", S.with_(S.DIRTY, S.NORM, S.CLEAN) + f"""
+SELECT doc_id, text FROM (
+  SELECT *, row_number() OVER (PARTITION BY {S.strip('text')} ORDER BY doc_id) AS rn
+  FROM clean) r WHERE rn = 1""")
+def q_dedup_documents(spark, sf_dir):
+    return dedup.dedup_first(I.clean_documents(spark, sf_dir), ["doc_id"], "text")
+
+
+@register("dedup_stats", S.with_(*S.CORPUS) + f"""
+SELECT CAST(sum(c) AS BIGINT) AS n_in, CAST(count(*) AS BIGINT) AS n_out,
+       CAST(sum(c) - count(*) AS BIGINT) AS n_removed,
+       CAST(count(*) FILTER (WHERE c > 1) AS BIGINT) AS n_dup_keys, CAST(max(c) AS BIGINT) AS max_copies
+FROM (SELECT {S.strip('line')} AS k, count(*) AS c FROM lines GROUP BY 1) g""")
+def q_dedup_stats(spark, sf_dir):
+    return dedup.dedup_stats(I.corpus_lines(spark, sf_dir), "line")
+
+
+# --------------------------------------------------------------------------- vocabulary
+
+@register("word_freq", S.with_(*S.CORPUS, S.WORDFREQ) + "SELECT word, CAST(cnt AS BIGINT) AS count FROM wf")
+def q_word_freq(spark, sf_dir):
+    return V.word_table(I.corpus_lines(spark, sf_dir), "line")
+
+
+@register("build_vocab", S.with_(*S.CORPUS, S.WORDFREQ, S.VOCAB) + "SELECT piece, id, count FROM vocab")
+def q_build_vocab(spark, sf_dir):
+    return I.vocab(spark, sf_dir)
+
+
+@register("encode_words", S.with_(*S.TOKENS) + "SELECT doc_id, line_no, ids FROM toks")
+def q_encode_words(spark, sf_dir):
+    return _tokens(spark, sf_dir)
+
+
+@register("decode_words", S.with_(*S.TOKENS) + f"""
+SELECT doc_id, line_no, array_to_string({S.words('line')}, ' ') AS text FROM lines""")
+def q_decode_words(spark, sf_dir):
+    v = _vocab(spark, sf_dir)
+    return tok.decode_words(_tokens(spark, sf_dir, v), v, ["doc_id", "line_no"])
+
+
+@register("offset_clamp", S.with_(*S.TOKENS) + """
+SELECT doc_id, line_no, CAST(list_transform(ids, lambda i: least(i + 3, 5000 - 1)) AS INTEGER[]) AS ids
+FROM toks""")
+def q_offset_clamp(spark, sf_dir):
+    return _tokens(spark, sf_dir).select("doc_id", "line_no",
+                                         tok.offset_clamp("ids", 5000).alias("ids"))
+
+
+@register("wrap_special", S.with_(*S.TOKENS, S.WRAPPED) + "SELECT doc_id, line_no, ids FROM wrapped")
+def q_wrap_special(spark, sf_dir):
+    return I.wrapped_from(_tokens(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- sequences
+
+@register("pack_sequences", S.with_(*S.TOKENS) + f""",
+rec AS (SELECT doc_id, line_no, list_append(ids, 2) AS t, len(ids) + 1 AS n FROM toks),
+pos AS (SELECT t, n, CAST(coalesce(sum(n) OVER (ORDER BY doc_id, line_no
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s FROM rec),
+flat AS (SELECT unnest(t) AS tok, unnest(generate_series(s, s + n - 1)) AS gpos FROM pos)
+SELECT CAST(gpos // {I.SEQ_LEN} AS BIGINT) AS seq_id,
+       CAST(list(tok ORDER BY gpos) AS INTEGER[]) AS input_ids,
+       CAST(list_transform(list(tok ORDER BY gpos), lambda x: 1) AS TINYINT[]) AS attention_mask
+FROM flat GROUP BY 1 HAVING count(*) = {I.SEQ_LEN}""")
+def q_pack_sequences(spark, sf_dir):
+    return Q.pack(_tokens(spark, sf_dir), seq_len=I.SEQ_LEN)
+
+
+@register("chunk_lines", S.with_(*S.TOKENS) + f""",
+st AS (SELECT doc_id, line_no, ids, unnest(range(0, len(ids) - {I.BLOCK}, {I.BLOCK})) AS s FROM toks)
+SELECT doc_id, line_no, CAST(s // {I.BLOCK} AS BIGINT) AS chunk_no,
+       CAST(ids[s + 1 : s + {I.BLOCK} + 1] AS INTEGER[]) AS ids FROM st""")
+def q_chunk_lines(spark, sf_dir):
+    return Q.chunk_lines(_tokens(spark, sf_dir), I.BLOCK)
+
+
+@register("truncate_sequences", S.with_(*S.TOKENS) + f"""
+SELECT doc_id, line_no, CAST(ids[1:{I.BLOCK}] AS INTEGER[]) AS ids FROM toks WHERE len(ids) > 0""")
+def q_truncate(spark, sf_dir):
+    t = _tokens(spark, sf_dir).filter(F.size("ids") > 0)
+    return t.select("doc_id", "line_no", Q.truncate("ids", I.BLOCK).alias("ids"))
+
+
+@register("truncate_left", S.with_(*S.TOKENS) + f"""
+SELECT doc_id, line_no,
+       CAST(CASE WHEN len(ids) > {I.BLOCK} THEN ids[len(ids) - {I.BLOCK} + 1:] ELSE ids END AS INTEGER[]) AS ids
+FROM toks WHERE len(ids) > 0""")
+def q_truncate_left(spark, sf_dir):
+    t = _tokens(spark, sf_dir).filter(F.size("ids") > 0)
+    return t.select("doc_id", "line_no", Q.truncate_left("ids", I.BLOCK).alias("ids"))
+
+
+@register("seq_length_filter", S.with_(*S.TOKENS, S.WRAPPED) + f"""
+SELECT doc_id, line_no, ids FROM wrapped WHERE len(ids) > 1 AND len(ids) <= {I.BLOCK}""")
+def q_seq_length_filter(spark, sf_dir):
+    return Q.seq_length_filter(I.wrapped_from(_tokens(spark, sf_dir)), "ids", I.BLOCK)
+
+
+@register("shift_xy", S.with_(*S.TOKENS, S.WRAPPED) + f"""
+SELECT doc_id, line_no, CAST(ids[1:len(ids) - 1] AS INTEGER[]) AS x, CAST(ids[2:] AS INTEGER[]) AS y
+FROM wrapped WHERE len(ids) > 1 AND len(ids) <= {I.BLOCK}""")
+def q_shift_xy(spark, sf_dir):
+    t = Q.seq_length_filter(I.wrapped_from(_tokens(spark, sf_dir)), "ids", I.BLOCK)
+    return t.select("doc_id", "line_no", Q.shift_x("ids").alias("x"), Q.shift_y("ids").alias("y"))
+
+
+@register("pad_fixed", S.with_(*S.TOKENS) + f"""
+SELECT doc_id, line_no,
+       CAST(list_concat(ids[1:{I.BLOCK}], list_transform(range(greatest({I.BLOCK} - len(ids), 0)),
+            lambda i: 0)) AS INTEGER[]) AS ids
+FROM toks WHERE len(ids) > 0""")
+def q_pad_fixed(spark, sf_dir):
+    t = _tokens(spark, sf_dir).filter(F.size("ids") > 0)
+    return Q.pad_fixed(t, I.BLOCK)
