@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import dedup, sequences as Q, text as text_ops, tokenize as tok
-from ..operators import vocab as V
+from ..operators import instruct, metrics, ngram, splits, vocab as V
+from ..sources import packed as packed_source, sinks
 from . import inputs as I
 from . import sqlparts as S
 
@@ -231,3 +232,410 @@ FROM toks WHERE len(ids) > 0""")
 def q_pad_fixed(spark, sf_dir):
     t = _tokens(spark, sf_dir).filter(F.size("ids") > 0)
     return Q.pad_fixed(t, I.BLOCK)
+
+
+# --------------------------------------------------------------------------- LM dataset, splits, batches
+
+def _dataset(spark, sf_dir):
+    """Wrapped lines with ``1 < len <= BLOCK``: the language-model dataset."""
+    return Q.seq_length_filter(I.wrapped_from(_tokens(spark, sf_dir)), "ids", I.BLOCK)
+
+
+def _batched(spark, sf_dir):
+    d = _dataset(spark, sf_dir)
+    shuf = splits.epoch_shuffle(d, ["doc_id", "line_no"], [0], I.SEED).drop("epoch")
+    return splits.assign_batches(shuf, I.BATCH_SIZE)
+
+
+_DS = [*S.TOKENS, S.WRAPPED, S.dataset(I.BLOCK)]
+_BAT = _DS + [S.shuffled(I.SEED, 0, I.BATCH_SIZE)]
+
+
+@register("train_val_split", S.with_(*_DS) + f"""
+SELECT doc_id, line_no, CASE WHEN row_number() OVER (
+         ORDER BY md5(concat_ws(':', doc_id, line_no, '{I.SEED}')), doc_id, line_no)
+       <= floor(0.95 * count(*) OVER ()) THEN 'train' ELSE 'val' END AS split
+FROM ds""")
+def q_train_val_split(spark, sf_dir):
+    d = _dataset(spark, sf_dir).select("doc_id", "line_no")
+    return splits.train_val_split(d, ["doc_id", "line_no"], 0.95, I.SEED)
+
+
+@register("epoch_shuffle", S.with_(*_DS) + f"""
+SELECT doc_id, line_no, CAST(epoch AS INTEGER) AS epoch, CAST(row_number() OVER (PARTITION BY epoch
+         ORDER BY md5(concat_ws(':', doc_id, line_no, '{I.SEED}', epoch)), doc_id, line_no) AS BIGINT) AS position
+FROM ds, (VALUES (0), (1)) e(epoch)""")
+def q_epoch_shuffle(spark, sf_dir):
+    d = _dataset(spark, sf_dir).select("doc_id", "line_no")
+    return splits.epoch_shuffle(d, ["doc_id", "line_no"], [0, 1], I.SEED)
+
+
+@register("assign_batches", S.with_(*_BAT) + "SELECT doc_id, line_no, position, batch_id FROM bat")
+def q_assign_batches(spark, sf_dir):
+    return _batched(spark, sf_dir).select("doc_id", "line_no", "position", "batch_id")
+
+
+@register("drop_last", S.with_(*_BAT) + f"""
+SELECT doc_id, line_no, batch_id FROM bat
+WHERE batch_id < (SELECT count(*) FROM bat) // {I.BATCH_SIZE}""")
+def q_drop_last(spark, sf_dir):
+    b = _batched(spark, sf_dir).select("doc_id", "line_no", "batch_id")
+    return splits.drop_last(b, b.count(), I.BATCH_SIZE)
+
+
+@register("batch_plan", S.with_(*_DS) + f"""
+SELECT CAST(n AS BIGINT) AS n_rows, CAST(ceil(n / {I.BATCH_SIZE}) AS BIGINT) AS batches_ceil,
+       CAST(n // {I.BATCH_SIZE} AS BIGINT) AS batches_floor,
+       CAST(ceil(n / {I.BATCH_SIZE}) AS BIGINT) * 10 // 4 AS optimizer_steps_ref,
+       CAST((n // {I.BATCH_SIZE}) * 10 // 4 AS BIGINT) AS optimizer_steps
+FROM (SELECT count(*) AS n FROM ds) c""")
+def q_batch_plan(spark, sf_dir):
+    return splits.batch_plan(_dataset(spark, sf_dir), I.BATCH_SIZE, epochs=10, grad_accum=4)
+
+
+@register("shard_batches", S.with_(*_BAT) + """
+SELECT doc_id, line_no, batch_id, CAST(batch_id % 4 AS INTEGER) AS rank FROM bat""")
+def q_shard_batches(spark, sf_dir):
+    b = _batched(spark, sf_dir).select("doc_id", "line_no", "batch_id")
+    return splits.shard_batches(b, 4)
+
+
+@register("pad_dynamic", S.with_(*_BAT) + """,
+xy AS (SELECT doc_id, line_no, batch_id, ids[1:len(ids) - 1] AS x, ids[2:] AS y FROM bat),
+mx AS (SELECT batch_id, max(len(x)) AS m FROM xy GROUP BY 1),
+pd AS (SELECT doc_id, line_no, xy.batch_id,
+              list_concat(x, list_transform(range(m - len(x)), lambda i: 0)) AS x,
+              list_concat(y, list_transform(range(m - len(y)), lambda i: 0)) AS y
+       FROM xy JOIN mx ON xy.batch_id = mx.batch_id)
+SELECT doc_id, line_no, batch_id, CAST(x AS INTEGER[]) AS x, CAST(y AS INTEGER[]) AS y,
+       CAST(list_transform(x, lambda t: CASE WHEN t <> 0 THEN 1 ELSE 0 END) AS TINYINT[]) AS attention_mask
+FROM pd""")
+def q_pad_dynamic(spark, sf_dir):
+    b = _batched(spark, sf_dir)
+    xy = b.select("doc_id", "line_no", "batch_id", Q.shift_x("ids").alias("x"), Q.shift_y("ids").alias("y"))
+    return Q.pad_dynamic(xy)
+
+
+@register("padding_waste", S.with_(*_BAT) + f""",
+l AS (SELECT batch_id, len(ids) - 1 AS n FROM bat),
+parts AS (
+  SELECT 'fixed' AS policy, sum(least(n, {I.BLOCK})) AS t, count(*) * {I.BLOCK} AS s FROM l
+  UNION ALL
+  SELECT 'dynamic', sum(t), sum(c * m) FROM (SELECT batch_id, sum(least(n, {I.BLOCK})) AS t, count(*) AS c,
+                                             max(least(n, {I.BLOCK})) AS m FROM l GROUP BY 1) b
+  UNION ALL
+  SELECT 'packed', t, (t // {I.SEQ_LEN}) * {I.SEQ_LEN} + CASE WHEN t % {I.SEQ_LEN} > 0 THEN {I.SEQ_LEN} ELSE 0 END
+  FROM (SELECT sum(n) AS t FROM l) p)
+SELECT policy, CAST(t AS BIGINT) AS n_tokens, CAST(s AS BIGINT) AS n_slots, CAST(s - t AS BIGINT) AS n_pad
+FROM parts""")
+def q_padding_waste(spark, sf_dir):
+    b = _batched(spark, sf_dir).select("batch_id", (F.size("ids") - 1).alias("n"))
+    return Q.padding_waste(b, "n", "batch_id", I.BLOCK, I.SEQ_LEN)
+
+
+@register("packed_with_labels", S.with_(*S.TOKENS) + f""",
+rec AS (SELECT doc_id, line_no, list_append(ids, 2) AS t, len(ids) + 1 AS n FROM toks),
+pos AS (SELECT t, n, CAST(coalesce(sum(n) OVER (ORDER BY doc_id, line_no
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s FROM rec),
+flat AS (SELECT unnest(t) AS tok, unnest(generate_series(s, s + n - 1)) AS gpos FROM pos),
+seqs AS (SELECT gpos // {I.SEQ_LEN} AS seq_id, CAST(list(tok ORDER BY gpos) AS INTEGER[]) AS input_ids
+         FROM flat GROUP BY 1 HAVING count(*) = {I.SEQ_LEN})
+SELECT input_ids, CAST(list_transform(input_ids, lambda x: 1) AS TINYINT[]) AS attention_mask,
+       input_ids AS labels FROM seqs""")
+def q_packed_with_labels(spark, sf_dir):
+    packed = Q.pack(_tokens(spark, sf_dir), seq_len=I.SEQ_LEN)
+    path = sinks.scratch_path(spark, "packed")
+    sinks.write_packed(packed, path)
+    return packed_source.read_packed(spark, path)
+
+
+# --------------------------------------------------------------------------- instruction data
+
+@register("conversation_pairs", S.with_(S.PAIRS) + "SELECT conv_id, turn, prompt, response FROM pairs")
+def q_conversation_pairs(spark, sf_dir):
+    return instruct.conversation_pairs(I.table(spark, sf_dir, "conversations"))
+
+
+@register("sft_format", S.with_(S.PAIRS) + """
+SELECT conv_id, turn, '<s>[INST] ' || prompt || ' [/INST]' || chr(10) || response || '</s>' AS text
+FROM pairs""")
+def q_sft_format(spark, sf_dir):
+    pairs = instruct.conversation_pairs(I.table(spark, sf_dir, "conversations"))
+    return instruct.sft_format(pairs).select("conv_id", "turn", "text")
+
+
+@register("dpo_project", S.with_(S.PAIRS) + """,
+r AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS pos, count(*) OVER () AS n FROM pairs)
+SELECT a.prompt, a.response AS chosen, b.response AS rejected
+FROM r a JOIN r b ON b.pos = CASE WHEN a.pos = a.n THEN 1 ELSE a.pos + 1 END""")
+def q_dpo_project(spark, sf_dir):
+    pairs = instruct.conversation_pairs(I.table(spark, sf_dir, "conversations"))
+    return instruct.dpo_project(instruct.preference_triples(pairs))
+
+
+@register("conversation_messages", f"""
+SELECT conv_id, to_json({{'model': '{instruct.CHAT_MODEL}',
+                         'messages': list({{'role': role, 'content': text}} ORDER BY turn)}}) AS payload
+FROM conversations GROUP BY conv_id""")
+def q_conversation_messages(spark, sf_dir):
+    return instruct.conversation_messages(I.table(spark, sf_dir, "conversations"))
+
+
+@register("chat_flatten", """
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS msg_no,
+       role, text AS content FROM conversations""")
+def q_chat_flatten(spark, sf_dir):
+    payloads = instruct.conversation_messages(I.table(spark, sf_dir, "conversations"))
+    return instruct.chat_flatten(payloads)
+
+
+# --------------------------------------------------------------------------- tokenizer statistics
+
+@register("sentence_sample", S.with_(*S.CORPUS) + f"""
+SELECT doc_id, line_no, line, md5(concat_ws(':', doc_id, line_no, '{I.SEED}')) AS sample_key
+FROM lines ORDER BY sample_key, doc_id, line_no LIMIT 1000000""")
+def q_sentence_sample(spark, sf_dir):
+    return V.sentence_sample(I.corpus_lines(spark, sf_dir), ["doc_id", "line_no"], 1_000_000, I.SEED)
+
+
+_CHARS = """chars AS (
+  SELECT ch, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(regexp_extract_all(line, '(?s).')) AS ch
+                                                FROM lines) c GROUP BY ch),
+cov AS (
+  SELECT ch, n, CAST(coalesce(sum(n) OVER (ORDER BY n DESC, ch ROWS BETWEEN UNBOUNDED PRECEDING
+                                           AND 1 PRECEDING), 0) AS BIGINT) AS cum_before,
+         CAST(sum(n) OVER () AS BIGINT) AS total FROM chars)"""
+
+
+@register("char_coverage", S.with_(*S.CORPUS, _CHARS) + """
+SELECT ch, n, cum_before, total, cum_before * 10000000 < total * 9995000 AS kept FROM cov""")
+def q_char_coverage(spark, sf_dir):
+    return V.char_coverage(I.corpus_lines(spark, sf_dir), "line", 0.9995)
+
+
+@register("byte_fallback", S.with_(*S.CORPUS, _CHARS) + r"""
+SELECT ch, kept, CASE WHEN kept THEN ch ELSE regexp_replace(upper(hex(encode(ch))), '(..)', '<0x\1>', 'g')
+                 END AS pieces
+FROM (SELECT ch, cum_before * 10000000 < total * 9995000 AS kept FROM cov) k""")
+def q_byte_fallback(spark, sf_dir):
+    cov = V.char_coverage(I.corpus_lines(spark, sf_dir), "line", 0.9995)
+    return tok.byte_fallback(cov.select("ch", "kept"))
+
+
+@register("bpe_pair_counts", S.with_(*S.CORPUS, S.WORDFREQ) + """,
+sy AS (SELECT regexp_extract_all('▁' || word, '(?s).') AS s, cnt FROM wf)
+SELECT s[i] AS "left", s[i + 1] AS "right", CAST(sum(cnt) AS BIGINT) AS n
+FROM (SELECT s, cnt, unnest(range(1, len(s))) AS i FROM sy) p GROUP BY 1, 2""")
+def q_bpe_pair_counts(spark, sf_dir):
+    return V.bpe_pair_counts(V.word_table(I.corpus_lines(spark, sf_dir), "line"))
+
+
+def _eval_lines(spark, sf_dir):
+    v = _vocab(spark, sf_dir)
+    lines = I.corpus_lines(spark, sf_dir)
+    toks = tok.encode_words(lines, v, ["doc_id", "line_no"], "line")
+    dec = tok.decode_words(toks, v, ["doc_id", "line_no"], out="decoded")
+    per = (lines.join(toks, ["doc_id", "line_no"]).join(dec, ["doc_id", "line_no"])
+           .select("doc_id", "line_no", F.size("ids").alias("n_tokens"),
+                   T.word_count("line").alias("n_words"),
+                   (F.col("decoded") != T.py_strip("line")).alias("error"),
+                   (F.col("line") == "").alias("blank")))
+    return per
+
+
+_EVAL = """per AS (
+  SELECT len(ws) AS n_tokens, len(ws) AS n_words, array_to_string(ws, ' ') <> {strip} AS error,
+         line = '' AS blank
+  FROM (SELECT line, {words} AS ws FROM lines) w),
+rep AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_lines,
+         CAST(sum(CASE WHEN NOT blank THEN 1 ELSE 0 END) AS BIGINT) AS n_nonblank,
+         CAST(sum(CASE WHEN NOT blank THEN n_tokens ELSE 0 END) AS BIGINT) AS n_tokens,
+         CAST(sum(CASE WHEN NOT blank THEN n_words ELSE 0 END) AS BIGINT) AS n_words,
+         CAST(max(CASE WHEN NOT blank THEN n_tokens ELSE 0 END) AS BIGINT) AS max_tokens_in_line,
+         CAST(sum(CASE WHEN NOT blank AND error THEN 1 ELSE 0 END) AS BIGINT) AS n_errors
+  FROM per),
+report AS (
+  SELECT n_lines, n_tokens, n_words, max_tokens_in_line, n_errors,
+         round(n_tokens / (n_words + 1e-9), 6) AS avg_tokens_per_word,
+         round(1.0 - n_errors / ((n_lines - 1) + 1e-9), 6) AS reconstruction_rate_ref,
+         round(CASE WHEN n_nonblank > 0 THEN 1.0 - n_errors / n_nonblank END, 6) AS reconstruction_rate
+  FROM rep)""".format(strip=S.strip("line"), words=S.words("line"))
+
+
+@register("tokenizer_eval", S.with_(*S.CORPUS, _EVAL) + "SELECT * FROM report")
+def q_tokenizer_eval(spark, sf_dir):
+    return tok.tokenizer_eval(_eval_lines(spark, sf_dir), "n_tokens", "n_words", "error", "blank")
+
+
+@register("tokenizer_compare", S.with_(*S.CORPUS, _EVAL) + f"""
+SELECT *, CAST({tok.BASELINE_TOKENS_PER_WORD} AS DOUBLE) AS base_avg_tokens_per_word,
+       CAST({tok.BASELINE_MAX_TOKENS} AS BIGINT) AS base_max_tokens_in_line,
+       CAST({tok.BASELINE_RECONSTRUCTION} AS DOUBLE) AS base_reconstruction_rate,
+       CASE WHEN avg_tokens_per_word < {tok.BASELINE_TOKENS_PER_WORD}
+                 AND reconstruction_rate >= {tok.BASELINE_RECONSTRUCTION} THEN 'better'
+            WHEN NOT (reconstruction_rate >= {tok.BASELINE_RECONSTRUCTION}) THEN 'worse'
+            WHEN avg_tokens_per_word = {tok.BASELINE_TOKENS_PER_WORD} THEN 'equal'
+            ELSE 'worse' END AS verdict,
+       max_tokens_in_line > {tok.BASELINE_MAX_TOKENS} AS longer_max_line
+FROM report""")
+def q_tokenizer_compare(spark, sf_dir):
+    return tok.tokenizer_compare(q_tokenizer_eval(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- n-gram model and metrics
+
+def _wrapped_tokens(spark, sf_dir, vocab=None):
+    return _tokens(spark, sf_dir, vocab).filter(F.size("ids") > 0)
+
+
+def _bigrams(spark, sf_dir, vocab=None):
+    return ngram.bigram_counts(_wrapped_tokens(spark, sf_dir, vocab))
+
+
+_WRAPPED_ALL = [*S.TOKENS, S.WRAPPED]
+
+
+@register("ngram_counts", S.with_(*_WRAPPED_ALL, S.BIGRAMS) + """
+SELECT prev_id, token_id, CAST(n AS BIGINT) AS n FROM bigrams""")
+def q_ngram_counts(spark, sf_dir):
+    return _bigrams(spark, sf_dir)
+
+
+_NLL = """vs AS (SELECT count(*) AS v FROM vocab),
+ctx AS (SELECT prev_id, sum(n) AS c FROM bigrams GROUP BY 1),
+occ2 AS (
+  SELECT doc_id, CAST(ids[i] AS INTEGER) AS prev_id, CAST(ids[i + 1] AS INTEGER) AS token_id, count(*) AS k
+  FROM (SELECT doc_id, ids, unnest(range(1, len(ids))) AS i FROM wrapped) t GROUP BY 1, 2, 3),
+scored AS (
+  SELECT o.doc_id, o.k, ln(b.n + 1) - ln(c.c + vs.v) AS lp
+  FROM occ2 o JOIN bigrams b ON o.prev_id = b.prev_id AND o.token_id = b.token_id
+       JOIN ctx c ON o.prev_id = c.prev_id CROSS JOIN vs),
+nll AS (
+  SELECT doc_id, CAST(sum(k) AS BIGINT) AS n_tokens, -sum(k * lp) AS s FROM scored GROUP BY 1),
+metrics AS (
+  SELECT d.lang AS run, nll.doc_id AS step, CAST(nll.doc_id % 4 AS INTEGER) AS epoch,
+         round(s / n_tokens, 9) AS loss, n_tokens, nll.doc_id // 16 AS batch_id
+  FROM nll JOIN documents d ON d.doc_id = nll.doc_id)"""
+
+
+def _metrics(spark, sf_dir):
+    v = _vocab(spark, sf_dir)
+    toks = _wrapped_tokens(spark, sf_dir, v)
+    # losses rounded to 9 digits so that exact ties (duplicate documents) stay ties
+    scores = ngram.doc_nll(toks, ngram.bigram_counts(toks), v.count(), digits=9)
+    docs = I.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return scores.join(docs, "doc_id").select(
+        F.col("lang").alias("run"), F.col("doc_id").alias("step"),
+        (F.col("doc_id") % 4).cast("int").alias("epoch"), "loss", "n_tokens",
+        F.floor(F.col("doc_id") / 16).cast("long").alias("batch_id"))
+
+
+@register("doc_nll", S.with_(*_WRAPPED_ALL, S.BIGRAMS, _NLL) + """
+SELECT doc_id, n_tokens, round(s, 3) AS nll, round(s / n_tokens, 6) AS loss FROM nll""")
+def q_doc_nll(spark, sf_dir):
+    v = _vocab(spark, sf_dir)
+    toks = _wrapped_tokens(spark, sf_dir, v)
+    d = ngram.doc_nll(toks, ngram.bigram_counts(toks), v.count(), digits=12)
+    return d.select("doc_id", "n_tokens", F.round("nll", 3).alias("nll"), F.round("loss", 6).alias("loss"))
+
+
+@register("perplexity_weighted", S.with_(*_WRAPPED_ALL, S.BIGRAMS, _NLL) + """
+SELECT run, CAST(sum(n_tokens) AS BIGINT) AS n_tokens, round(sum(loss * n_tokens) / sum(n_tokens), 6) AS loss,
+       round(exp(sum(loss * n_tokens) / sum(n_tokens)), 6) AS perplexity
+FROM metrics GROUP BY run""")
+def q_perplexity_weighted(spark, sf_dir):
+    return metrics.perplexity_weighted(_metrics(spark, sf_dir))
+
+
+@register("perplexity_batch_mean", S.with_(*_WRAPPED_ALL, S.BIGRAMS, _NLL) + """
+SELECT run, CAST(count(*) AS BIGINT) AS n_batches, round(avg(bl), 6) AS loss, round(exp(avg(bl)), 6) AS perplexity
+FROM (SELECT run, batch_id, sum(loss * n_tokens) / sum(n_tokens) AS bl FROM metrics GROUP BY 1, 2) b
+GROUP BY run""")
+def q_perplexity_batch_mean(spark, sf_dir):
+    return metrics.perplexity_batch_mean(_metrics(spark, sf_dir))
+
+
+@register("epoch_loss", S.with_(*_WRAPPED_ALL, S.BIGRAMS, _NLL) + """
+SELECT run, epoch, CAST(sum(n_tokens) AS BIGINT) AS n_tokens,
+       round(sum(loss * n_tokens) / sum(n_tokens), 6) AS loss
+FROM metrics GROUP BY run, epoch""")
+def q_epoch_loss(spark, sf_dir):
+    return metrics.epoch_loss(_metrics(spark, sf_dir))
+
+
+@register("running_best", S.with_(*_WRAPPED_ALL, S.BIGRAMS, _NLL) + """
+SELECT run, step, round(loss, 6) AS loss, round(best_before, 6) AS best_before,
+       best_before IS NULL OR loss < best_before AS is_best
+FROM (SELECT *, min(loss) OVER (PARTITION BY run ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+             AS best_before FROM metrics) m""")
+def q_running_best(spark, sf_dir):
+    r = metrics.running_best(_metrics(spark, sf_dir))
+    return r.select("run", "step", F.round("loss", 6).alias("loss"),
+                    F.round("best_before", 6).alias("best_before"), "is_best")
+
+
+@register("retain_latest", S.with_(*_WRAPPED_ALL, S.BIGRAMS, _NLL) + """
+SELECT run, step FROM (SELECT run, step, row_number() OVER (PARTITION BY run ORDER BY step DESC) AS r
+                       FROM metrics) m WHERE r <= 3""")
+def q_retain_latest(spark, sf_dir):
+    return metrics.retain_latest(_metrics(spark, sf_dir), 3)
+
+
+@register("metrics_interval", S.with_(*_WRAPPED_ALL, S.BIGRAMS, _NLL) + """
+SELECT run, step, round(loss, 6) AS loss FROM metrics WHERE step % 50 = 0 AND step > 0""")
+def q_metrics_interval(spark, sf_dir):
+    m = metrics.metrics_interval(_metrics(spark, sf_dir), 50)
+    return m.select("run", "step", F.round("loss", 6).alias("loss"))
+
+
+# --------------------------------------------------------------------------- sampling filters
+
+_CANDS = """cands AS (SELECT prev_id AS prompt_id, token_id, ln(n) AS logit FROM bigrams)"""
+
+
+@register("softmax_temperature", S.with_(*_WRAPPED_ALL, S.BIGRAMS, _CANDS) + """,
+z AS (SELECT prompt_id, token_id, logit / 0.8 - max(logit / 0.8) OVER (PARTITION BY prompt_id) AS z FROM cands)
+SELECT prompt_id, token_id, round(exp(z) / sum(exp(z)) OVER (PARTITION BY prompt_id), 6) AS prob FROM z""")
+def q_softmax_temperature(spark, sf_dir):
+    p = ngram.softmax_temperature(ngram.candidates(_bigrams(spark, sf_dir)), 0.8)
+    return p.select("prompt_id", "token_id", F.round("prob", 6).alias("prob"))
+
+
+@register("topk_ties", S.with_(*_WRAPPED_ALL, S.BIGRAMS, _CANDS) + """
+SELECT prompt_id, token_id, round(logit, 6) AS logit
+FROM (SELECT *, rank() OVER (PARTITION BY prompt_id ORDER BY logit DESC) AS r FROM cands) c WHERE r <= 50""")
+def q_topk_ties(spark, sf_dir):
+    t = ngram.topk_ties(ngram.candidates(_bigrams(spark, sf_dir)), 50)
+    return t.select("prompt_id", "token_id", F.round("logit", 6).alias("logit"))
+
+
+@register("topk_exact", S.with_(*_WRAPPED_ALL, S.BIGRAMS, _CANDS) + """
+SELECT prompt_id, token_id, round(logit, 6) AS logit
+FROM (SELECT *, row_number() OVER (PARTITION BY prompt_id ORDER BY logit DESC, token_id) AS r FROM cands) c
+WHERE r <= 50""")
+def q_topk_exact(spark, sf_dir):
+    t = ngram.topk_exact(ngram.candidates(_bigrams(spark, sf_dir)), 50)
+    return t.select("prompt_id", "token_id", F.round("logit", 6).alias("logit"))
+
+
+@register("nucleus_filter", S.with_(*_WRAPPED_ALL, S.BIGRAMS, _CANDS) + """,
+tk AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY prompt_id ORDER BY logit DESC) AS r FROM cands) c
+       WHERE r <= 50),
+z AS (SELECT prompt_id, token_id, logit / 0.8 - max(logit / 0.8) OVER (PARTITION BY prompt_id) AS z FROM tk),
+pr AS (SELECT prompt_id, token_id, exp(z) / sum(exp(z)) OVER (PARTITION BY prompt_id) AS prob FROM z),
+cm AS (SELECT *, coalesce(sum(prob) OVER (PARTITION BY prompt_id ORDER BY prob DESC, token_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS mass_before FROM pr)
+SELECT prompt_id, token_id, round(prob, 6) AS prob FROM cm WHERE mass_before <= 0.9 + 1e-9""")
+def q_nucleus_filter(spark, sf_dir):
+    tk = ngram.topk_ties(ngram.candidates(_bigrams(spark, sf_dir)), 50)
+    pr = ngram.softmax_temperature(tk, 0.8)
+    kept = ngram.nucleus_filter(pr, 0.9)
+    return kept.select("prompt_id", "token_id", F.round("prob", 6).alias("prob"))
+
+
+@register("sample_next")
+def q_sample_next(spark, sf_dir):
+    tk = ngram.topk_ties(ngram.candidates(_bigrams(spark, sf_dir)), 50)
+    pr = ngram.nucleus_filter(ngram.softmax_temperature(tk, 0.8), 0.9)
+    return ngram.sample_next(pr, I.SEED)

@@ -82,3 +82,26 @@ def with_(*parts: str) -> str:
 
 CORPUS = [DIRTY, NORM, CLEAN, LINES]
 TOKENS = CORPUS + [WORDFREQ, VOCAB, TOKS]
+
+# the LM dataset: wrapped lines with 1 < len <= BLOCK (set by the catalog)
+def dataset(block: int) -> str:
+    return f"""ds AS (SELECT doc_id, line_no, ids FROM wrapped WHERE len(ids) > 1 AND len(ids) <= {block})"""
+
+
+def shuffled(seed: int, epoch: int, batch: int) -> str:
+    return f"""shuf AS (
+  SELECT doc_id, line_no, ids, CAST(row_number() OVER (
+           ORDER BY md5(concat_ws(':', doc_id, line_no, '{seed}', '{epoch}')), doc_id, line_no) AS BIGINT)
+         AS position FROM ds),
+bat AS (SELECT *, CAST((position - 1) // {batch} AS BIGINT) AS batch_id FROM shuf)"""
+
+
+PAIRS = """pairs AS (
+  SELECT conv_id, turn, text AS prompt, next_text AS response FROM (
+    SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text
+    FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) t
+  WHERE role = 'user' AND next_role = 'assistant')"""
+
+BIGRAMS = """bigrams AS (
+  SELECT CAST(ids[i] AS INTEGER) AS prev_id, CAST(ids[i + 1] AS INTEGER) AS token_id, count(*) AS n
+  FROM (SELECT ids, unnest(range(1, len(ids))) AS i FROM wrapped) t GROUP BY 1, 2)"""
