@@ -17,6 +17,7 @@ from ..functions import text as T
 from ..operators import dedup, sequences as Q, text as text_ops, tokenize as tok
 from ..operators import instruct, metrics, ngram, splits, vocab as V
 from ..sources import packed as packed_source, sinks
+from ..streaming import jobs as streaming
 from . import inputs as I
 from . import sqlparts as S
 
@@ -639,3 +640,47 @@ def q_sample_next(spark, sf_dir):
     tk = ngram.topk_ties(ngram.candidates(_bigrams(spark, sf_dir)), 50)
     pr = ngram.nucleus_filter(ngram.softmax_temperature(tk, 0.8), 0.9)
     return ngram.sample_next(pr, I.SEED)
+
+
+# --------------------------------------------------------------------------- streaming
+
+CONV_SCHEMA = "conv_id long, turn long, role string, text string"
+DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+EVENT_SCHEMA = ("event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+                "props string")
+
+
+@register("stream_redact", f"""
+SELECT conv_id, turn, {S.redact_phone(S.redact_email('text'))} AS text FROM conversations""")
+def q_stream_redact(spark, sf_dir):
+    events = streaming.request_stream(spark, sf_dir, CONV_SCHEMA, "conversations.parquet", body_col="text")
+    out = streaming.run_available_now(streaming.redact_stream(events).select("conv_id", "turn", "text"),
+                                      "redact")
+    return spark.read.parquet(out)
+
+
+@register("stream_normalize", S.with_(S.DIRTY, S.NORM, S.CLEAN) + "SELECT doc_id, text FROM clean")
+def q_stream_normalize(spark, sf_dir):
+    docs = spark.readStream.schema(DOC_SCHEMA).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    dirty = I._dirty(docs.select("doc_id", "text"))
+    out = streaming.run_available_now(streaming.normalize_stream(dirty), "normalize")
+    return spark.read.parquet(out)
+
+
+@register("stream_dedup", "SELECT DISTINCT props FROM events")
+def q_stream_dedup(spark, sf_dir):
+    ev = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
+    dd = streaming.dedup_stream(ev, ["props"], "ts", "1 hour")
+    out = streaming.run_available_now(dd.select("props"), "dedup")
+    return spark.read.parquet(out)
+
+
+@register("stream_dedup_lines", S.with_(*S.CORPUS) + f"""
+SELECT DISTINCT sha256({S.strip('line')}) AS content_hash FROM lines""")
+def q_stream_dedup_lines(spark, sf_dir):
+    docs = spark.readStream.schema(DOC_SCHEMA).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    clean = streaming.normalize_stream(I._dirty(docs.select("doc_id", "text")))
+    lines = text_ops.explode_lines(clean).select(T.content_hash("line").alias("content_hash"))
+    out = streaming.run_available_now(streaming.dedup_stream(lines, ["content_hash"]), "dedup-lines")
+    return spark.read.parquet(out)
