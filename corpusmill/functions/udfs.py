@@ -10,7 +10,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BooleanType, StringType
 
 
 def _normalizer(form: str):
@@ -26,3 +26,21 @@ nfkc_udf = F.pandas_udf(_normalizer("NFKC"), StringType())
 @F.pandas_udf(StringType())
 def lenient_utf8_decode(s: pd.Series) -> pd.Series:
     return s.map(lambda b: None if b is None else bytes(b).decode("utf-8", errors="ignore"))
+
+
+def _strict_json(x):
+    import json
+    if x is None:
+        return None
+    try:
+        json.loads(x)
+        return True
+    except ValueError:
+        return False
+
+
+@F.pandas_udf(BooleanType())
+def json_strict_ok(s: pd.Series) -> pd.Series:
+    """Python's ``json.loads`` verdict: Spark's parser accepts trailing content after
+    the first value, Python does not.  Called only on rows that look suspicious."""
+    return s.map(_strict_json)

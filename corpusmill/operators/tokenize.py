@@ -149,21 +149,21 @@ def tokenizer_eval(lines: DataFrame, n_tokens_col: str, n_words_col: str, error_
     ``reconstruction_rate_ref`` keeps the reference's denominator (the last
     index read); ``reconstruction_rate`` divides by the non-blank lines read.
     """
-    df = lines
-    if n_lines is not None:
-        df = df.filter(F.col(index_col) < n_lines)
-    agg = df.agg(
-        F.count("*").cast("long").alias("n_lines"),
-        F.sum(F.when(~F.col(blank_col), 1).otherwise(0)).cast("long").alias("n_nonblank"),
-        F.sum(F.when(~F.col(blank_col), F.col(n_tokens_col)).otherwise(0)).cast("long").alias("n_tokens"),
-        F.sum(F.when(~F.col(blank_col), F.col(n_words_col)).otherwise(0)).cast("long").alias("n_words"),
-        F.max(F.when(~F.col(blank_col), F.col(n_tokens_col)).otherwise(0)).cast("long")
-        .alias("max_tokens_in_line"),
-        F.sum(F.when(~F.col(blank_col) & F.col(error_col), 1).otherwise(0)).cast("long").alias("n_errors"),
+    read = F.lit(True) if n_lines is None else F.col(index_col) < n_lines
+    ok = read & ~F.col(blank_col)
+    agg = lines.agg(
+        F.count("*").cast("long").alias("__n_all"),
+        F.sum(F.when(read, 1).otherwise(0)).cast("long").alias("n_lines"),
+        F.sum(F.when(ok, 1).otherwise(0)).cast("long").alias("n_nonblank"),
+        F.sum(F.when(ok, F.col(n_tokens_col)).otherwise(0)).cast("long").alias("n_tokens"),
+        F.sum(F.when(ok, F.col(n_words_col)).otherwise(0)).cast("long").alias("n_words"),
+        F.max(F.when(ok, F.col(n_tokens_col)).otherwise(0)).cast("long").alias("max_tokens_in_line"),
+        F.sum(F.when(ok & F.col(error_col), 1).otherwise(0)).cast("long").alias("n_errors"),
     )
     # the reference loop's last index: n - 1 when the input ends first, n_lines when cut off
-    total_read = F.col("n_lines")
-    last_index = total_read - 1 if n_lines is None else F.least(total_read - 1, F.lit(n_lines))
+    last_index = F.col("__n_all") - 1
+    if n_lines is not None:
+        last_index = F.when(F.col("__n_all") > n_lines, F.lit(n_lines)).otherwise(last_index)
     return agg.select(
         "n_lines", "n_tokens", "n_words", "max_tokens_in_line", "n_errors",
         F.round(F.col("n_tokens") / (F.col("n_words") + F.lit(1e-9)), digits).alias("avg_tokens_per_word"),

@@ -15,21 +15,37 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.udfs import json_strict_ok
 
 RECORD_SCHEMA = "text string, _corrupt string"
 
 
 def _json_kind(line: Column) -> Column:
     """Type of the JSON value in ``line`` (``object``, ``array``, ...) or null when
-    the line is not valid JSON.  ``NaN``/``Infinity`` count as valid numbers, as
-    Python's decoder accepts them."""
+    Python's decoder would reject the line.  ``NaN``/``Infinity`` are numbers, as
+    Python accepts them.
+
+    Spark's parser stops after the first value and ignores what follows, so a
+    parsed line is rechecked by Python's decoder only when it looks suspicious:
+    it does not end with the closing character of its kind, a closing bracket is
+    directly followed by another value, or a scalar contains whitespace.
+    Ordinary JSONL records never leave the JVM.
+    """
     v = F.try_parse_json(line)
     kind = F.schema_of_variant(v)
     special = line.isin("NaN", "Infinity", "-Infinity")
+    is_obj, is_arr = kind.startswith("OBJECT"), kind.startswith("ARRAY")
+    ends_ok = (F.when(is_obj, line.endswith("}")).when(is_arr, line.endswith("]"))
+               .when(kind == "STRING", line.endswith('"'))
+               .otherwise(~line.rlike(r"\s")))
+    adjacent = line.rlike(r"[}\]]\s*[^\s,}\]]")
+    suspicious = v.isNotNull() & (~ends_ok | adjacent)
+    valid = F.when(suspicious, json_strict_ok(F.when(suspicious, line))).otherwise(v.isNotNull())
     return (F.when(special, F.lit("number"))
-            .when(v.isNull(), F.lit(None))
-            .when(kind.startswith("OBJECT"), F.lit("object"))
-            .when(kind.startswith("ARRAY"), F.lit("array"))
+            .when(~valid, F.lit(None))
+            .when(is_obj, F.lit("object"))
+            .when(is_arr, F.lit("array"))
+            .when(kind == "VOID", F.lit("null"))
             .otherwise(F.lower(kind)))
 
 
@@ -52,7 +68,7 @@ def parse_corpus_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     reason = (F.when(F.col("__kind").isNull(), F.lit(None))
               .when(~is_obj, F.concat(F.lit("json value is not an object: "), F.col("__kind")))
               .when(~has_text, F.lit(None))
-              .when(text_type == "NULL", F.lit("text is null"))
+              .when(text_type == "VOID", F.lit("text is null"))
               .when(text_type != "STRING", F.concat(F.lit("text is not a string: "), F.lower(text_type))))
     return d.withColumn("text", text).withColumn("reject_reason", reason).drop("__line", "__kind")
 
