@@ -28,6 +28,9 @@ from .udfs import lenient_utf8_decode, nfc_udf, nfkc_udf
 # ---------------------------------------------------------------------------
 PY_WS_CLASS = (r"[\t\n\x0B\x0C\r\x1C-\x20\x{85}\xA0\x{1680}\x{2000}-\x{200A}"
                r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# the same whitespace set as a plain string, for trim(str, chars)
+PY_WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+               + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
 LINE_BREAK_PATTERN = r"\r\n|[\n\x0B\x0C\r\x1C\x1D\x1E\x{85}\x{2028}\x{2029}]"
 CONTROL_CLASS = r"[\x00-\x08\x0B-\x1F\x7F]"
 SPACE_RUN = r"[ \xA0]+"
@@ -51,12 +54,12 @@ def _c(col) -> Column:
 
 
 def py_strip(col) -> Column:
-    """Python ``str.strip()``: Spark's trim only removes U+0020."""
-    return F.regexp_replace(_c(col), f"^{PY_WS_CLASS}+|{PY_WS_CLASS}+$", "")
+    """Python ``str.strip()``: plain ``trim`` only removes U+0020, so trim the whole set."""
+    return F.trim(_c(col), F.lit(PY_WS_CHARS))
 
 
 def py_rstrip(col) -> Column:
-    return F.regexp_replace(_c(col), f"{PY_WS_CLASS}+$", "")
+    return F.rtrim(_c(col), F.lit(PY_WS_CHARS))
 
 
 def is_blank(col) -> Column:

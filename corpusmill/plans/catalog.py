@@ -34,14 +34,27 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _vocab(spark, sf_dir):
-    # materialised once per query: its size decides broadcast vs shuffle join
-    return I.vocab(spark, sf_dir).checkpoint()
+def _lines(spark, sf_dir):
+    """The cleaned corpus lines, written once to the shared checkpoint folder so the
+    vocabulary pass and the encoding pass do not both redo the cleaning."""
+    return I.corpus_lines(spark, sf_dir).checkpoint()
+
+
+def _vocab(spark, sf_dir, lines=None):
+    # materialised: its size decides broadcast vs shuffle join, and it is reused
+    lines = lines if lines is not None else _lines(spark, sf_dir)
+    return V.build_vocab(V.word_table(lines, "line")).checkpoint()
+
+
+def _corpus(spark, sf_dir):
+    lines = _lines(spark, sf_dir)
+    vocab = _vocab(spark, sf_dir, lines)
+    toks = tok.encode_words(lines, vocab, ["doc_id", "line_no"], "line")
+    return lines, vocab, toks
 
 
 def _tokens(spark, sf_dir, vocab=None):
-    vocab = vocab if vocab is not None else _vocab(spark, sf_dir)
-    return tok.encode_words(I.corpus_lines(spark, sf_dir), vocab, ["doc_id", "line_no"], "line")
+    return _corpus(spark, sf_dir)[2]
 
 
 # --------------------------------------------------------------------------- text
@@ -155,8 +168,8 @@ def q_encode_words(spark, sf_dir):
 @register("decode_words", S.with_(*S.TOKENS) + f"""
 SELECT doc_id, line_no, array_to_string({S.words('line')}, ' ') AS text FROM lines""")
 def q_decode_words(spark, sf_dir):
-    v = _vocab(spark, sf_dir)
-    return tok.decode_words(_tokens(spark, sf_dir, v), v, ["doc_id", "line_no"])
+    _, v, toks = _corpus(spark, sf_dir)
+    return tok.decode_words(toks, v, ["doc_id", "line_no"])
 
 
 @register("offset_clamp", S.with_(*S.TOKENS) + """
@@ -432,9 +445,7 @@ def q_bpe_pair_counts(spark, sf_dir):
 
 
 def _eval_lines(spark, sf_dir):
-    v = _vocab(spark, sf_dir)
-    lines = I.corpus_lines(spark, sf_dir)
-    toks = tok.encode_words(lines, v, ["doc_id", "line_no"], "line")
+    lines, v, toks = _corpus(spark, sf_dir)
     dec = tok.decode_words(toks, v, ["doc_id", "line_no"], out="decoded")
     per = (lines.join(toks, ["doc_id", "line_no"]).join(dec, ["doc_id", "line_no"])
            .select("doc_id", "line_no", F.size("ids").alias("n_tokens"),
@@ -486,12 +497,14 @@ def q_tokenizer_compare(spark, sf_dir):
 
 # --------------------------------------------------------------------------- n-gram model and metrics
 
-def _wrapped_tokens(spark, sf_dir, vocab=None):
-    return _tokens(spark, sf_dir, vocab).filter(F.size("ids") > 0)
+def _wrapped_tokens(spark, sf_dir):
+    """Tokens of the non-blank lines and the vocabulary size."""
+    _, v, toks = _corpus(spark, sf_dir)
+    return toks.filter(F.size("ids") > 0), v.count()
 
 
-def _bigrams(spark, sf_dir, vocab=None):
-    return ngram.bigram_counts(_wrapped_tokens(spark, sf_dir, vocab))
+def _bigrams(spark, sf_dir):
+    return ngram.bigram_counts(_wrapped_tokens(spark, sf_dir)[0])
 
 
 _WRAPPED_ALL = [*S.TOKENS, S.WRAPPED]
@@ -521,10 +534,9 @@ metrics AS (
 
 
 def _metrics(spark, sf_dir):
-    v = _vocab(spark, sf_dir)
-    toks = _wrapped_tokens(spark, sf_dir, v)
+    toks, vsize = _wrapped_tokens(spark, sf_dir)
     # losses rounded to 9 digits so that exact ties (duplicate documents) stay ties
-    scores = ngram.doc_nll(toks, ngram.bigram_counts(toks), v.count(), digits=9)
+    scores = ngram.doc_nll(toks, ngram.bigram_counts(toks), vsize, digits=9)
     docs = I.table(spark, sf_dir, "documents").select("doc_id", "lang")
     return scores.join(docs, "doc_id").select(
         F.col("lang").alias("run"), F.col("doc_id").alias("step"),
@@ -535,9 +547,8 @@ def _metrics(spark, sf_dir):
 @register("doc_nll", S.with_(*_WRAPPED_ALL, S.BIGRAMS, _NLL) + """
 SELECT doc_id, n_tokens, round(s, 3) AS nll, round(s / n_tokens, 6) AS loss FROM nll""")
 def q_doc_nll(spark, sf_dir):
-    v = _vocab(spark, sf_dir)
-    toks = _wrapped_tokens(spark, sf_dir, v)
-    d = ngram.doc_nll(toks, ngram.bigram_counts(toks), v.count(), digits=12)
+    toks, vsize = _wrapped_tokens(spark, sf_dir)
+    d = ngram.doc_nll(toks, ngram.bigram_counts(toks), vsize, digits=12)
     return d.select("doc_id", "n_tokens", F.round("nll", 3).alias("nll"), F.round("loss", 6).alias("loss"))
 
 

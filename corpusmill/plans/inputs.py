@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import text as text_ops
 from ..operators.vocab import build_vocab, word_table
+from ..sources.scan import spread
 
 # Fixed values of the dirt injection (applied in Spark and SQL alike):
 #   doc_id % 5 = 0  : 'é' (U+00E9) -> 'e' + U+0301 (combining acute accent)
@@ -27,8 +28,14 @@ BATCH_SIZE = 16
 SEED = 42
 
 
+# key column used to spread each table when its scan is too coarse
+TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id", "events": "event_id",
+              "pages": "page_id", "labels": "doc_id", "benchmark": "item_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, TABLE_KEYS.get(name))
 
 
 def dirty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
