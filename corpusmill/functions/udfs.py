@@ -19,8 +19,12 @@ def _normalizer(form: str):
     return run
 
 
-nfc_udf = F.pandas_udf(_normalizer("NFC"), StringType())
-nfkc_udf = F.pandas_udf(_normalizer("NFKC"), StringType())
+# Marked non-deterministic only to stop Catalyst from inlining the call into
+# filters it pushes below a projection or exchange: the optimizer would
+# otherwise evaluate the Python UDF twice (once for the filter, once for the
+# output), the first time before the scan has been spread over the cluster.
+nfc_udf = F.pandas_udf(_normalizer("NFC"), StringType()).asNondeterministic()
+nfkc_udf = F.pandas_udf(_normalizer("NFKC"), StringType()).asNondeterministic()
 
 
 @F.pandas_udf(StringType())

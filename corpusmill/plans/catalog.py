@@ -37,13 +37,13 @@ def register(name: str, sql: str | None = None):
 def _lines(spark, sf_dir):
     """The cleaned corpus lines, written once to the shared checkpoint folder so the
     vocabulary pass and the encoding pass do not both redo the cleaning."""
-    return I.corpus_lines(spark, sf_dir).checkpoint()
+    return sinks.materialize(I.corpus_lines(spark, sf_dir), "lines")
 
 
 def _vocab(spark, sf_dir, lines=None):
     # materialised: its size decides broadcast vs shuffle join, and it is reused
     lines = lines if lines is not None else _lines(spark, sf_dir)
-    return V.build_vocab(V.word_table(lines, "line")).checkpoint()
+    return sinks.materialize(V.build_vocab(V.word_table(lines, "line")), "vocab")
 
 
 def _corpus(spark, sf_dir):

@@ -51,3 +51,18 @@ def write_vocab(vocab: DataFrame, path: str, mode: str = "error") -> None:
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("piece", "id", F.col("score").cast("long").alias("count"))
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing ``df`` as a parquet table under the shared checkpoint
+    folder and reading it back.
+
+    Unlike ``DataFrame.checkpoint`` (which computes the plan once for its count
+    and again for the checkpoint write unless cached), the plan runs exactly
+    once, the data is stored columnar and compressed, and a lost executor only
+    costs re-reading files, never recomputing the lineage.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
