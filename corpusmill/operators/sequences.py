@@ -152,3 +152,8 @@ def padding_waste(lengths: DataFrame, len_col: str, batch_col: str, block: int,
 __all__ = ["pack", "chunk", "chunk_lines", "truncate", "truncate_left", "shift_x", "shift_y",
            "pad_to", "attention_mask", "seq_length_filter", "pad_fixed", "pad_dynamic",
            "padding_waste", "Window"]
+
+
+def count_non_pad(ids, pad: int = PAD_ID) -> Column:
+    """Number of positions that are not PAD (the targets a loss counts)."""
+    return F.size(F.filter(_c(ids), lambda t: t != F.lit(pad))).cast("long")

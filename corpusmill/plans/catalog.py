@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import dedup, sequences as Q, text as text_ops, tokenize as tok
 from ..operators import instruct, metrics, ngram, splits, vocab as V
-from ..sources import packed as packed_source, sinks
+from ..sources import corpus, packed as packed_source, sinks
 from ..streaming import jobs as streaming
 from . import inputs as I
 from . import sqlparts as S
@@ -695,3 +695,67 @@ def q_stream_dedup_lines(spark, sf_dir):
     lines = text_ops.explode_lines(clean).select(T.content_hash("line").alias("content_hash"))
     out = streaming.run_available_now(streaming.dedup_stream(lines, ["content_hash"]), "dedup-lines")
     return spark.read.parquet(out)
+
+
+# --------------------------------------------------------------------------- more text, scans
+
+@register("normalize_nfc", S.with_(S.DIRTY) + "SELECT doc_id, nfc_normalize(text) AS text FROM dirty")
+def q_normalize_nfc(spark, sf_dir):
+    return I.dirty_documents(spark, sf_dir).select("doc_id", T.nfc("text").alias("text"))
+
+
+@register("normalize_nfkc")
+def q_normalize_nfkc(spark, sf_dir):
+    return I.dirty_documents(spark, sf_dir).select("doc_id", T.nfkc("text").alias("text"))
+
+
+@register("clean_lines")
+def q_clean_lines(spark, sf_dir):
+    return text_ops.clean_lines(I.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("target_tokens", S.with_(*_BAT) + """
+SELECT batch_id, CAST(sum(len(ids) - 1) AS BIGINT) AS n_targets FROM bat GROUP BY batch_id""")
+def q_target_tokens(spark, sf_dir):
+    b = _batched(spark, sf_dir)
+    xy = b.select("doc_id", "line_no", "batch_id", Q.shift_x("ids").alias("x"), Q.shift_y("ids").alias("y"))
+    padded = Q.pad_dynamic(xy)
+    return padded.groupBy("batch_id").agg(F.sum(Q.count_non_pad("y")).cast("long").alias("n_targets"))
+
+
+_CONV_LINES = f"""cl AS (
+  SELECT {S.normalize(S.strip('l'))} AS text
+  FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM conversations) c
+  WHERE {S.strip('l')} <> '')"""
+
+
+@register("scan_jsonl_or_text", S.with_(S.DIRTY, S.NORM, S.CLEAN, _CONV_LINES) + """
+SELECT text FROM clean UNION ALL SELECT text FROM cl WHERE length(text) >= 32""")
+def q_scan_jsonl_or_text(spark, sf_dir):
+    """The dirty documents as JSONL plus conversation texts as a plain text file,
+    written by Spark and read back by the JSONL-or-text scan (S1, S2)."""
+    jsonl = sinks.scratch_path(spark, "corpus-jsonl")
+    txt = sinks.scratch_path(spark, "corpus-txt")
+    docs = I.dirty_documents(spark, sf_dir)
+    docs.select(F.to_json(F.struct("text")).alias("value")).write.text(jsonl)
+    I.table(spark, sf_dir, "conversations").select(F.col("text").alias("value")).write.text(txt)
+    return corpus.read_corpus(spark, [jsonl, txt]).select("text")
+
+
+@register("sft_scan", S.with_(S.PAIRS) + "SELECT prompt, response FROM pairs")
+def q_sft_scan(spark, sf_dir):
+    path = sinks.scratch_path(spark, "sft-jsonl")
+    pairs = instruct.conversation_pairs(I.table(spark, sf_dir, "conversations"))
+    pairs.select("prompt", "response").write.json(path)
+    return corpus.read_sft(spark, path)
+
+
+@register("dpo_scan", S.with_(S.PAIRS) + """,
+r AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS pos, count(*) OVER () AS n FROM pairs)
+SELECT a.prompt, a.response AS chosen, b.response AS rejected
+FROM r a JOIN r b ON b.pos = CASE WHEN a.pos = a.n THEN 1 ELSE a.pos + 1 END""")
+def q_dpo_scan(spark, sf_dir):
+    path = sinks.scratch_path(spark, "dpo-jsonl")
+    pairs = instruct.conversation_pairs(I.table(spark, sf_dir, "conversations"))
+    instruct.dpo_project(instruct.preference_triples(pairs)).write.json(path)
+    return corpus.read_preferences(spark, path)
