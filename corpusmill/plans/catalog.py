@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import dedup, sequences as Q, text as text_ops, tokenize as tok
-from ..operators import instruct, metrics, ngram, splits, vocab as V
+from ..operators import instruct, metrics, neardup, ngram, splits, vocab as V
 from ..sources import corpus, packed as packed_source, sinks
 from ..streaming import jobs as streaming
 from . import inputs as I
@@ -759,3 +759,18 @@ def q_dpo_scan(spark, sf_dir):
     pairs = instruct.conversation_pairs(I.table(spark, sf_dir, "conversations"))
     instruct.dpo_project(instruct.preference_triples(pairs)).write.json(path)
     return corpus.read_preferences(spark, path)
+
+
+# --------------------------------------------------------------------------- near duplicates
+
+@register("near_dup_pairs")
+def q_near_dup_pairs(spark, sf_dir):
+    docs = sinks.materialize(I.clean_documents(spark, sf_dir), "clean-docs")
+    pairs = neardup.near_duplicate_pairs(docs)
+    return pairs.select("a", "b", F.round("jaccard", 6).alias("jaccard"))
+
+
+@register("near_dup_drop")
+def q_near_dup_drop(spark, sf_dir):
+    docs = sinks.materialize(I.clean_documents(spark, sf_dir), "clean-docs")
+    return neardup.drop_near_duplicates(docs, neardup.near_duplicate_pairs(docs))
