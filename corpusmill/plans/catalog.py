@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import dedup, sequences as Q, text as text_ops, tokenize as tok
-from ..operators import instruct, metrics, neardup, ngram, splits, vocab as V
+from ..operators import bpe, instruct, metrics, neardup, ngram, splits, vocab as V
 from ..sources import corpus, packed as packed_source, sinks
 from ..streaming import jobs as streaming
 from . import inputs as I
@@ -774,3 +774,39 @@ def q_near_dup_pairs(spark, sf_dir):
 def q_near_dup_drop(spark, sf_dir):
     docs = sinks.materialize(I.clean_documents(spark, sf_dir), "clean-docs")
     return neardup.drop_near_duplicates(docs, neardup.near_duplicate_pairs(docs))
+
+
+# --------------------------------------------------------------------------- subword tokenizer
+
+BPE_MERGES = 20
+
+
+def _bpe(spark, sf_dir):
+    lines = _lines(spark, sf_dir)
+    words = sinks.materialize(V.word_table(lines, "line"), "words")
+    merges = sinks.materialize(bpe.train_bpe(words, BPE_MERGES), "merges")
+    return lines, words, merges, bpe.bpe_vocab(words, merges)
+
+
+@register("bpe_train")
+def q_bpe_train(spark, sf_dir):
+    _, _, merges, _ = _bpe(spark, sf_dir)
+    return merges
+
+
+@register("encode_subword")
+def q_encode_subword(spark, sf_dir):
+    lines, _, merges, vocab = _bpe(spark, sf_dir)
+    return bpe.encode_subword(lines, merges, vocab, ["doc_id", "line_no"])
+
+
+@register("tokenizer_eval_subword")
+def q_tokenizer_eval_subword(spark, sf_dir):
+    lines, _, merges, vocab = _bpe(spark, sf_dir)
+    toks = bpe.encode_subword(lines, merges, vocab, ["doc_id", "line_no"])
+    dec = bpe.decode_subword(toks, vocab, ["doc_id", "line_no"], out="decoded")
+    per = (lines.join(toks, ["doc_id", "line_no"]).join(dec, ["doc_id", "line_no"])
+           .select(F.size("ids").alias("n_tokens"), T.word_count("line").alias("n_words"),
+                   (F.col("decoded") != T.py_strip("line")).alias("error"),
+                   (F.col("line") == "").alias("blank")))
+    return tok.tokenizer_eval(per, "n_tokens", "n_words", "error", "blank")
