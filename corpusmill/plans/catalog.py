@@ -810,3 +810,17 @@ def q_tokenizer_eval_subword(spark, sf_dir):
                    (F.col("decoded") != T.py_strip("line")).alias("error"),
                    (F.col("line") == "").alias("blank")))
     return tok.tokenizer_eval(per, "n_tokens", "n_words", "error", "blank")
+
+
+@register("generate_ngram")
+def q_generate_ngram(spark, sf_dir):
+    """One continuation per document, prompted with BOS and the document's first word."""
+    lines, v, toks = _corpus(spark, sf_dir)
+    wrapped = toks.filter(F.size("ids") > 0)
+    tk = ngram.topk_ties(ngram.candidates(ngram.bigram_counts(wrapped)), 50)
+    probs = sinks.materialize(ngram.nucleus_filter(ngram.softmax_temperature(tk, 0.8), 0.9), "sampling")
+    first = wrapped.filter(F.col("line_no") == 0).select(
+        F.col("doc_id").alias("seq_id"), F.array(F.lit(1), F.element_at("ids", 1)).alias("ids"))
+    gen = ngram.generate(first, probs, max_len=16, seed=I.SEED)
+    text = tok.decode_words(gen.select("seq_id", "ids"), v, ["seq_id"])
+    return gen.join(text, "seq_id").select("seq_id", "ids", "n_generated", "finished", "text")
