@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import dedup, sequences as Q, text as text_ops, tokenize as tok
-from ..operators import bpe, instruct, metrics, neardup, ngram, splits, vocab as V
+from ..operators import bpe, instruct, metrics, neardup, ngram, splits, unigram, vocab as V
 from ..sources import corpus, packed as packed_source, sinks
 from ..streaming import jobs as streaming
 from . import inputs as I
@@ -824,3 +824,10 @@ def q_generate_ngram(spark, sf_dir):
     gen = ngram.generate(first, probs, max_len=16, seed=I.SEED)
     text = tok.decode_words(gen.select("seq_id", "ids"), v, ["seq_id"])
     return gen.join(text, "seq_id").select("seq_id", "ids", "n_generated", "finished", "text")
+
+
+@register("unigram_train")
+def q_unigram_train(spark, sf_dir):
+    words = sinks.materialize(V.word_table(_lines(spark, sf_dir), "line"), "words")
+    pieces = unigram.train_unigram(words, vocab_size=2000, em_iters=2)
+    return pieces.select("piece", F.round("logp", 6).alias("logp"), F.round("expected", 3).alias("expected"))
