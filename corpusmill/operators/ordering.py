@@ -3,9 +3,10 @@
 An unpartitioned ``Window.orderBy`` moves every row into one task.  Instead
 each row gets a *range bucket*: a value that is monotone in the order key
 (``doc_id div width``, a leading hash prefix, ``(count, word prefix)``...).
-Only the per-bucket totals -- one row per bucket, a size fixed by the bucket
-rule, not by the data -- go through a global window; the offsets are joined
-back and the fine-grained running sum is a window partitioned by bucket.
+Bucket offsets are computed from per-bucket totals in a window partitioned by
+a coarse bucket; only the coarse totals go through a global window; the
+offsets are joined back and the fine-grained running value is a window
+partitioned by bucket.
 
 ``prefix_sum`` also takes ``partition_by`` so the same two-level scheme gives
 per-group running sums/minima where one group may hold a third of the rows.
@@ -18,11 +19,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Upper bound on the bucket table that is broadcast.  Bucket rules in this
-# package produce at most a few hundred thousand buckets.
-MAX_BROADCAST_BUCKETS = 2_000_000
-
-
 def _cols(cols) -> list[Column]:
     if cols is None:
         return []
@@ -43,10 +39,13 @@ def hash_bucket(hex_key, digits: int = 4) -> Column:
     return F.conv(F.substring(k, 1, digits), 16, 10).cast("long")
 
 
+COARSE_FACTOR = 4096
+
+
 def prefix_sum(df: DataFrame, order_by: Sequence, bucket: Column | Sequence[Column],
                weight: Column | str | None = None, out: str = "prefix",
                partition_by: Sequence | None = None, agg: str = "sum",
-               inclusive: bool = False) -> DataFrame:
+               inclusive: bool = False, coarse: Column | None = None) -> DataFrame:
     """Add ``out`` = running aggregate of ``weight`` over rows ordered by ``order_by``.
 
     ``bucket`` (one or more columns, each ascending) must be monotone
@@ -54,6 +53,16 @@ def prefix_sum(df: DataFrame, order_by: Sequence, bucket: Column | Sequence[Colu
     ``partition_by``.  ``agg`` is ``sum`` (exclusive by default, i.e. the
     start offset of each row; 0 for the first), ``min`` or ``max`` (null when
     nothing precedes).  With ``inclusive`` the row itself is included.
+
+    Three levels, so nothing that grows with the data is broadcast or passes
+    through a single task: (1) per-bucket totals; (2) bucket offsets by a
+    window partitioned by a *coarse* bucket (``coarse``, a column of the bucket
+    table that is monotone in the bucket tuple; by default the first bucket
+    column divided by ``COARSE_FACTOR`` when there is one numeric bucket
+    column) plus coarse offsets from a global window over the coarse totals --
+    the only broadcast, ``COARSE_FACTOR`` times smaller than the bucket table;
+    (3) the row-level running value in a window partitioned by bucket, whose
+    shuffle also serves the join of the bucket offsets.
     """
     parts = _cols(partition_by)
     buckets = _cols(bucket)
@@ -62,32 +71,37 @@ def prefix_sum(df: DataFrame, order_by: Sequence, bucket: Column | Sequence[Colu
         F.col(weight) if isinstance(weight, str) else weight)
     fn = {"sum": F.sum, "min": F.min, "max": F.max}[agg]
 
+    def combine(a, b):
+        if agg == "sum":
+            return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+        return (F.least if agg == "min" else F.greatest)(a, b)
+
     bnames = [f"__b{i}" for i in range(len(buckets))]
     pnames = [f"__p{i}" for i in range(len(parts))]
     d = df.select("*", *[p.alias(n) for p, n in zip(parts, pnames)],
                   *[b.alias(n) for b, n in zip(buckets, bnames)], w.alias("__w"))
-
     keys = pnames + bnames
+
     totals = d.groupBy(*keys).agg(fn("__w").alias("__bt"))
-    frame = Window.partitionBy(*pnames).orderBy(*bnames).rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, fn("__bt").over(frame).alias("__boff"))
-    # Without groups the bucket table is bounded by the bucket rule, so it is
-    # broadcast.  With groups it grows with the number of groups: a shuffle
-    # join on (group, bucket) then also pre-partitions rows for the window below.
-    if not parts:
-        offsets = F.broadcast(offsets)
+    if coarse is None:
+        coarse = (F.floor(F.col(bnames[0]) / COARSE_FACTOR) if len(bnames) == 1
+                  else F.col(bnames[0]))
+    totals = totals.withColumn("__cb", coarse)
+    before = Window.unboundedPreceding
+    within = Window.partitionBy(*pnames, "__cb").orderBy(*bnames).rowsBetween(before, -1)
+    fine = totals.select(*keys, "__cb", "__bt", fn("__bt").over(within).alias("__fo"))
+    ctot = fine.groupBy(*pnames, "__cb").agg(fn("__bt").alias("__ct"))
+    cwin = Window.partitionBy(*pnames).orderBy("__cb").rowsBetween(before, -1)
+    coff = ctot.select(*pnames, "__cb", fn("__ct").over(cwin).alias("__co"))
+    # the coarse table is COARSE_FACTOR times smaller than the bucket table; ungrouped it is
+    # broadcast, grouped it grows with the groups and is joined like any table
+    coff = F.broadcast(coff) if not parts else coff
+    offsets = fine.join(coff, [*pnames, "__cb"]).select(
+        *keys, combine(F.col("__co"), F.col("__fo")).alias("__boff"))
     d = d.join(offsets, on=keys, how="inner")
 
-    inner = Window.partitionBy(*keys).orderBy(*orders).rowsBetween(
-        Window.unboundedPreceding, 0 if inclusive else -1)
-    running = fn("__w").over(inner)
-    if agg == "sum":
-        value = F.coalesce(F.col("__boff"), F.lit(0)) + F.coalesce(running, F.lit(0))
-    elif agg == "min":
-        value = F.least(F.col("__boff"), running)
-    else:
-        value = F.greatest(F.col("__boff"), running)
+    inner = Window.partitionBy(*keys).orderBy(*orders).rowsBetween(before, 0 if inclusive else -1)
+    value = combine(F.col("__boff"), fn("__w").over(inner))
     return d.withColumn(out, value).drop(*keys, "__w", "__boff")
 
 
