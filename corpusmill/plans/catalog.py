@@ -49,7 +49,8 @@ def _vocab(spark, sf_dir, lines=None):
 def _corpus(spark, sf_dir):
     lines = _lines(spark, sf_dir)
     vocab = _vocab(spark, sf_dir, lines)
-    toks = tok.encode_words(lines, vocab, ["doc_id", "line_no"], "line")
+    # tokens feed several passes downstream (offsets, counts, ranks): written once
+    toks = sinks.materialize(tok.encode_words(lines, vocab, ["doc_id", "line_no"], "line"), "tokens")
     return lines, vocab, toks
 
 
@@ -388,8 +389,8 @@ def q_dpo_project(spark, sf_dir):
 
 
 @register("conversation_messages", f"""
-SELECT conv_id, to_json({{'model': '{instruct.CHAT_MODEL}',
-                         'messages': list({{'role': role, 'content': text}} ORDER BY turn)}}) AS payload
+SELECT conv_id, CAST(to_json({{'model': '{instruct.CHAT_MODEL}',
+                         'messages': list({{'role': role, 'content': text}} ORDER BY turn)}}) AS VARCHAR) AS payload
 FROM conversations GROUP BY conv_id""")
 def q_conversation_messages(spark, sf_dir):
     return instruct.conversation_messages(I.table(spark, sf_dir, "conversations"))
