@@ -124,21 +124,41 @@ def group_totals(df: DataFrame, partition_by: Sequence | None, weight=None,
 
 
 def top_k_per_group(df: DataFrame, partition_by: Sequence, order_by: Sequence, k: int,
-                    sub_bucket: Column, ties: bool = False, out: str | None = None) -> DataFrame:
-    """Rows ranked ``<= k`` within each group, in two stages.
+                    sub_bucket: Column, out: str | None = None) -> DataFrame:
+    """Exactly ``k`` rows per group by a unique ``order_by``, in two stages.
 
     Stage one keeps the top ``k`` inside each (group, sub_bucket) slice, so a
     hot group is spread over many tasks; stage two ranks the at most
-    ``k * buckets`` survivors per group.  ``ties`` keeps rows tied with the
-    k-th (``rank``) instead of exactly k (``row_number``).
+    ``k * sub-buckets`` survivors per group.
     """
     parts = _cols(partition_by)
     orders = _cols(order_by)
-    rk = F.rank if ties else F.row_number
     d = df.withColumn("__sb", sub_bucket)
-    local = d.withColumn("__r1", rk().over(Window.partitionBy(*parts, "__sb").orderBy(*orders)))
+    local = d.withColumn("__r1", F.row_number().over(Window.partitionBy(*parts, "__sb").orderBy(*orders)))
     local = local.filter(F.col("__r1") <= k).drop("__r1", "__sb")
     name = out or "__r2"
-    ranked = local.withColumn(name, rk().over(Window.partitionBy(*parts).orderBy(*orders)))
+    ranked = local.withColumn(name, F.row_number().over(Window.partitionBy(*parts).orderBy(*orders)))
     ranked = ranked.filter(F.col(name) <= k)
     return ranked if out else ranked.drop(name)
+
+
+def top_k_with_ties(df: DataFrame, partition_by: Sequence[str], value_col: str, k: int,
+                    sub_bucket: Column, tie_break: str, descending: bool = True) -> DataFrame:
+    """Rows whose value is at least the k-th largest of their group (``rank() <= k``).
+
+    Ties make the kept set unbounded (a group whose values are all equal keeps
+    every row), so no window ever sees the kept rows: the k-th value of each
+    group is found from the bounded exact-k survivors (``top_k_per_group``
+    with ``tie_break`` making the order unique), and all rows are filtered by
+    a join with that one-row-per-group threshold table.
+    """
+    val = F.col(value_col)
+    order = [val.desc() if descending else val.asc(), F.col(tie_break).asc()]
+    kth = top_k_per_group(df.select(*partition_by, value_col, tie_break), partition_by, order, k,
+                          sub_bucket, out="__r")
+    thr = kth.groupBy(*partition_by).agg(
+        F.count("*").alias("__n"),
+        (F.min(value_col) if descending else F.max(value_col)).alias("__thr"))
+    j = df.join(thr, list(partition_by))
+    keep = (F.col("__n") < k) | ((val >= F.col("__thr")) if descending else (val <= F.col("__thr")))
+    return j.filter(keep).drop("__n", "__thr")
