@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .ordering import global_rank, int_bucket
+from .ordering import prefix_sum
 
 CHAT_MODEL = "corpusmill-chat"
 
@@ -42,11 +42,15 @@ def preference_triples(pairs: DataFrame) -> DataFrame:
     """Synthetic preference rows: ``rejected`` is the response of the next pair by
     ``(conv_id, turn)``, the last wrapping to the first.  Positions come from the
     two-level global rank and the neighbour is found by an equi-join."""
-    ranked = global_rank(pairs, ["conv_id", "turn"], int_bucket("conv_id", 1024), "__pos")
+    # buckets (conv_id, turn range): a conversation holding a third of all pairs is
+    # split by turn range; the coarse level groups 4096 conversation ids
+    bucket = [F.col("conv_id"), F.floor(F.col("turn") / 1024)]
+    ranked = prefix_sum(pairs, ["conv_id", "turn"], bucket, None, "__pos0",
+                        coarse=F.floor(F.col("__b0") / 4096)).withColumn("__pos", F.col("__pos0") + 1)
     n = pairs.count()
     nxt = ranked.select(F.when(F.col("__pos") == 1, F.lit(n)).otherwise(F.col("__pos") - 1)
                         .alias("__pos"), F.col("response").alias("rejected"))
-    return ranked.join(nxt, "__pos").select("conv_id", "turn", "prompt",
+    return ranked.drop("__pos0").join(nxt, "__pos").select("conv_id", "turn", "prompt",
                                             F.col("response").alias("chosen"), "rejected")
 
 

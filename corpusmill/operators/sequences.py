@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import int_bucket, prefix_sum
+from .ordering import prefix_sum
 from .vocab import EOS_ID, PAD_ID
 
 
@@ -21,20 +21,24 @@ def _c(col) -> Column:
 
 
 def pack(tokens: DataFrame, seq_len: int = 4096, eos: int = EOS_ID, ids_col: str = "ids",
-         order_cols=("doc_id", "line_no"), bucket: Column | None = None,
-         bucket_width: int = 1024) -> DataFrame:
+         order_cols=("doc_id", "line_no"), line_width: int = 4096, doc_group: int = 65536) -> DataFrame:
     """Concatenate ``ids + [eos]`` of all records in order and cut into ``seq_len`` blocks.
 
     Blocks cross record boundaries; the final partial block is dropped; a blank
     record contributes a lone EOS.  Output ``(seq_id, input_ids int[], attention_mask tinyint[])``.
+
+    Offsets come from the three-level prefix sum with buckets (document, line
+    range of ``line_width``) -- a document holding a third of all lines is
+    split by line range -- and coarse buckets of ``doc_group`` documents, the
+    only table broadcast.
     """
-    order = list(order_cols)
-    if bucket is None:
-        bucket = int_bucket(order[0], bucket_width)
-    rec = tokens.select(*order, F.concat(_c(ids_col), F.array(F.lit(eos))).cast("array<int>")
+    doc, line = order_cols
+    rec = tokens.select(doc, line, F.concat(_c(ids_col), F.array(F.lit(eos))).cast("array<int>")
                         .alias("__t"))
     rec = rec.withColumn("__n", F.size("__t").cast("long"))
-    rec = prefix_sum(rec, order, bucket, "__n", "__start")
+    bucket = [F.col(doc), F.floor(F.col(line) / line_width)]
+    rec = prefix_sum(rec, [doc, line], bucket, "__n", "__start",
+                     coarse=F.floor(F.col("__b0") / doc_group))
     L = F.lit(seq_len).cast("long")
     rec = rec.withColumn("__end", F.col("__start") + F.col("__n"))
     blocks = F.sequence(F.floor(F.col("__start") / L), F.floor((F.col("__end") - 1) / L))

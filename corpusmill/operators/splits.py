@@ -22,7 +22,7 @@ def seeded_key(key_cols, *salt) -> Column:
 def shuffled_rank(df: DataFrame, key_cols, *salt, out: str = "position") -> DataFrame:
     """1-based position in the seeded pseudo-random order."""
     d = df.withColumn("__k", seeded_key(key_cols, *salt))
-    ranked = global_rank(d, [F.col("__k")] + [F.col(c) for c in key_cols], hash_bucket("__k", 4), out)
+    ranked = global_rank(d, [F.col("__k")] + [F.col(c) for c in key_cols], hash_bucket("__k", 5), out)
     return ranked.drop("__k")
 
 
@@ -43,7 +43,7 @@ def epoch_shuffle(df: DataFrame, key_cols, epochs, seed: int = 42) -> DataFrame:
     ep = df.withColumn("epoch", F.explode(F.array(*[F.lit(e) for e in epochs])))
     d = ep.withColumn("__k", F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in key_cols],
                                                F.lit(str(seed)), F.col("epoch").cast("string"))))
-    ranked = global_rank(d, [F.col("__k")] + [F.col(c) for c in key_cols], hash_bucket("__k", 4),
+    ranked = global_rank(d, [F.col("__k")] + [F.col(c) for c in key_cols], hash_bucket("__k", 5),
                          "position", partition_by=["epoch"])
     return ranked.drop("__k")
 

@@ -30,7 +30,7 @@ def test_pack_matches_brute_force_any_partitioning(spark):
     want = brute_pack(seqs, 16)
     for parts in (1, 7, 64):
         df = tokens_df(spark, seqs).repartition(parts)
-        got = Q.pack(df, seq_len=16, bucket_width=13).orderBy("seq_id").collect()
+        got = Q.pack(df, seq_len=16, line_width=2, doc_group=13).orderBy("seq_id").collect()
         assert [r.input_ids for r in got] == want
         assert all(r.attention_mask == [1] * 16 for r in got)
     total = sum(len(s) + 1 for s in seqs)
@@ -66,3 +66,12 @@ def test_seq_length_filter(spark):
     df = spark.createDataFrame([([1],), ([1, 2],), ([1, 2, 3],)], "ids array<int>")
     assert Q.seq_length_filter(df, "ids", 2).count() == 1
     assert Q.seq_length_filter(df, "ids").count() == 2
+
+
+def test_pack_hot_document(spark):
+    # one document with many lines next to small ones: split by line range, same result
+    seqs = [[7] * (i % 5) for i in range(500)]
+    rows = [(0, i, s) for i, s in enumerate(seqs)] + [(1, 0, [9, 9, 9])]
+    df = spark.createDataFrame(rows, "doc_id long, line_no long, ids array<int>")
+    got = [r.input_ids for r in Q.pack(df, seq_len=8, line_width=16, doc_group=1).orderBy("seq_id").collect()]
+    assert got == brute_pack(seqs + [[9, 9, 9]], 8)
