@@ -523,9 +523,9 @@ occ2 AS (
   SELECT doc_id, CAST(ids[i] AS INTEGER) AS prev_id, CAST(ids[i + 1] AS INTEGER) AS token_id, count(*) AS k
   FROM (SELECT doc_id, ids, unnest(range(1, len(ids))) AS i FROM wrapped) t GROUP BY 1, 2, 3),
 scored AS (
-  SELECT o.doc_id, o.k, ln(b.n + 1) - ln(c.c + vs.v) AS lp
+  SELECT o.doc_id, o.k, ln(b.n + 1) - ln(c.c + (SELECT v FROM vs)) AS lp
   FROM occ2 o JOIN bigrams b ON o.prev_id = b.prev_id AND o.token_id = b.token_id
-       JOIN ctx c ON o.prev_id = c.prev_id CROSS JOIN vs),
+       JOIN ctx c ON o.prev_id = c.prev_id),
 nll AS (
   SELECT doc_id, CAST(sum(k) AS BIGINT) AS n_tokens, -sum(k * lp) AS s FROM scored GROUP BY 1),
 metrics AS (
@@ -764,6 +764,24 @@ def q_dpo_scan(spark, sf_dir):
 
 # --------------------------------------------------------------------------- near duplicates
 
+_NEARDUP = "WITH RECURSIVE " + S.with_(S.DIRTY, S.NORM, S.CLEAN)[len("WITH "):] + f""",
+w AS (SELECT doc_id, {S.words('text')} AS w FROM clean),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[s + 1:s + 5], ' ') AS g
+       FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 5, 0) + 1)) AS s FROM w WHERE len(w) > 0) x),
+sz AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+inter AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+          FROM sh x JOIN sh y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+pairs AS (SELECT a, b FROM inter JOIN sz sa ON sa.doc_id = a JOIN sz sb ON sb.doc_id = b
+          WHERE i / (sa.n + sb.n - i) >= 0.8),
+edges AS (SELECT a AS src, b AS dst FROM pairs UNION SELECT b, a FROM pairs),
+reach(node, label) AS (
+  SELECT src, src FROM edges
+  UNION
+  SELECT e.dst, r.label FROM reach r JOIN edges e ON r.node = e.src),
+clusters AS (SELECT node AS doc_id, min(label) AS cluster_id FROM reach GROUP BY node)
+"""
+
+
 @register("near_dup_pairs")
 def q_near_dup_pairs(spark, sf_dir):
     docs = sinks.materialize(I.clean_documents(spark, sf_dir), "clean-docs")
@@ -771,7 +789,15 @@ def q_near_dup_pairs(spark, sf_dir):
     return pairs.select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
-@register("near_dup_drop")
+@register("near_dup_clusters", _NEARDUP + "SELECT doc_id, cluster_id FROM clusters")
+def q_near_dup_clusters(spark, sf_dir):
+    docs = sinks.materialize(I.clean_documents(spark, sf_dir), "clean-docs")
+    comps = neardup.connected_components(neardup.near_duplicate_pairs(docs))
+    return comps.select(F.col("node").alias("doc_id"), F.col("label").alias("cluster_id"))
+
+
+@register("near_dup_drop", _NEARDUP + """
+SELECT doc_id, text FROM clean WHERE doc_id NOT IN (SELECT doc_id FROM clusters WHERE doc_id <> cluster_id)""")
 def q_near_dup_drop(spark, sf_dir):
     docs = sinks.materialize(I.clean_documents(spark, sf_dir), "clean-docs")
     return neardup.drop_near_duplicates(docs, neardup.near_duplicate_pairs(docs))
