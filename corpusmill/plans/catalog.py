@@ -647,7 +647,18 @@ def q_nucleus_filter(spark, sf_dir):
     return kept.select("prompt_id", "token_id", F.round("prob", 6).alias("prob"))
 
 
-@register("sample_next")
+@register("sample_next", S.with_(*_WRAPPED_ALL, S.BIGRAMS, _CANDS) + f""",
+tk AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY prompt_id ORDER BY logit DESC) AS r FROM cands) c
+       WHERE r <= 50),
+z AS (SELECT prompt_id, token_id, logit / 0.8 - max(logit / 0.8) OVER (PARTITION BY prompt_id) AS z FROM tk),
+pr AS (SELECT prompt_id, token_id, exp(z) / sum(exp(z)) OVER (PARTITION BY prompt_id) AS prob FROM z),
+cm AS (SELECT *, coalesce(sum(prob) OVER (PARTITION BY prompt_id ORDER BY prob DESC, token_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS mass_before FROM pr),
+kept AS (SELECT * FROM cm WHERE mass_before <= 0.9 + 1e-9),
+u AS (SELECT prompt_id, token_id, prob,
+             (CAST('0x' || substr(md5(concat_ws(':', prompt_id, token_id, '{I.SEED}')), 1, 13) AS UBIGINT)
+              + 0.5) / {float(1 << 52)} AS u FROM kept)
+SELECT prompt_id, arg_max(token_id, ln(prob) - ln(-ln(u))) AS next_id FROM u GROUP BY prompt_id""")
 def q_sample_next(spark, sf_dir):
     tk = ngram.topk_ties(ngram.candidates(_bigrams(spark, sf_dir)), 50)
     pr = ngram.nucleus_filter(ngram.softmax_temperature(tk, 0.8), 0.9)
