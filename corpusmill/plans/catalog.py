@@ -505,7 +505,8 @@ def _wrapped_tokens(spark, sf_dir):
 
 
 def _bigrams(spark, sf_dir):
-    return ngram.bigram_counts(_wrapped_tokens(spark, sf_dir)[0])
+    # the bigram table feeds several passes (top-k threshold, softmax, prefix sums)
+    return sinks.materialize(ngram.bigram_counts(_wrapped_tokens(spark, sf_dir)[0]), "bigrams")
 
 
 _WRAPPED_ALL = [*S.TOKENS, S.WRAPPED]

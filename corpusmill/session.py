@@ -36,6 +36,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CORPUSMILL_DRIVER_MEMORY", "16g"))
     )
+    # extra settings for local diagnostics, e.g. CORPUSMILL_CONF="spark.eventLog.enabled=true"
+    for item in filter(None, os.environ.get("CORPUSMILL_CONF", "").split(",")):
+        k, _, v = item.partition("=")
+        builder = builder.config(k.strip(), v.strip())
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
