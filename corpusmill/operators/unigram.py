@@ -149,3 +149,62 @@ def viterbi(word: str, logp: dict, max_len: int = 8) -> list[str]:
         out.append(word[back[end]:end])
         end = back[end]
     return out[::-1]
+
+
+def unigram_vocab(pieces: DataFrame) -> DataFrame:
+    """``(piece, id)``: specials, then pieces by (log-probability desc, piece)."""
+    spark = pieces.sparkSession
+    # the piece table is bounded by the requested vocabulary size
+    ranked = pieces.select("piece", F.row_number().over(
+        Window.orderBy(F.col("logp").desc(), "piece")).alias("r"))
+    specials = spark.createDataFrame([("<pad>", 0), ("<s>", 1), ("</s>", 2), ("<unk>", 3)], "piece string, id int")
+    return specials.unionByName(ranked.select("piece", (F.col("r") + F.lit(3)).cast("int").alias("id")))
+
+
+def encode_unigram(lines: DataFrame, pieces: DataFrame, vocab: DataFrame, key_cols, text_col: str = "line",
+                   out: str = "ids", max_piece_len: int = 8) -> DataFrame:
+    """``(*key_cols, ids)``: Viterbi segmentation of each distinct word (a small
+    per-word helper in ``mapInPandas`` with the broadcast piece table), joined back
+    to the word occurrences and regrouped per line in order.  Characters outside
+    the piece table become UNK."""
+    from ..functions import text as T
+    keys = list(key_cols)
+    spark = lines.sparkSession
+    table = {r["piece"]: r["logp"] for r in pieces.select("piece", "logp").collect()}
+    bc = spark.sparkContext.broadcast(table)
+
+    def run(batches):
+        logp = bc.value
+        for pdf in batches:
+            segs = []
+            for w in pdf["word"]:
+                marked = WORD_START + w
+                seg = viterbi(marked, logp, max_piece_len)
+                segs.append(seg if "".join(seg) == marked else
+                            _with_unknown(marked, logp, max_piece_len))
+            yield pd.DataFrame({"word": pdf["word"], "pieces": segs})
+
+    occ = lines.select(*keys, F.posexplode_outer(T.split_words(text_col)).alias("__pos", "word"))
+    seg = occ.filter(F.col("word").isNotNull()).select("word").distinct().mapInPandas(
+        run, "word string, pieces array<string>")
+    pid = vocab.select(F.col("piece").alias("__p"), F.col("id").alias("__id"))
+    ids = (seg.select("word", F.posexplode("pieces").alias("__k", "__p"))
+           .join(pid, "__p", "left")
+           .groupBy("word").agg(F.array_sort(F.collect_list(
+               F.struct("__k", F.coalesce("__id", F.lit(3)).alias("id")))).alias("__a"))
+           .select("word", F.transform("__a", lambda x: x["id"]).alias("__wids")))
+    j = occ.join(ids, "word", "left")
+    item = F.when(F.col("word").isNotNull(), F.struct("__pos", "__wids"))
+    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__items"))
+    return g.select(*keys, F.flatten(F.transform("__items", lambda x: x["__wids"])).cast("array<int>")
+                    .alias(out))
+
+
+def _with_unknown(word: str, logp: dict, max_len: int) -> list[str]:
+    """Segmentation where characters without a piece are kept as single
+    (unknown) symbols, so every word still has a segmentation."""
+    table = dict(logp)
+    floor = min(table.values()) - 20.0 if table else -20.0
+    for ch in word:
+        table.setdefault(ch, floor)
+    return viterbi(word, table, max_len)

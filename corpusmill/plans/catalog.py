@@ -870,3 +870,28 @@ def q_unigram_train(spark, sf_dir):
     words = sinks.materialize(V.word_table(_lines(spark, sf_dir), "line"), "words")
     pieces = unigram.train_unigram(words, vocab_size=2000, em_iters=2)
     return pieces.select("piece", F.round("logp", 6).alias("logp"), F.round("expected", 3).alias("expected"))
+
+
+def _unigram(spark, sf_dir):
+    lines = _lines(spark, sf_dir)
+    words = sinks.materialize(V.word_table(lines, "line"), "words")
+    pieces = sinks.materialize(unigram.train_unigram(words, vocab_size=2000, em_iters=2), "unigram")
+    return lines, pieces, unigram.unigram_vocab(pieces)
+
+
+@register("encode_unigram")
+def q_encode_unigram(spark, sf_dir):
+    lines, pieces, vocab = _unigram(spark, sf_dir)
+    return unigram.encode_unigram(lines, pieces, vocab, ["doc_id", "line_no"])
+
+
+@register("tokenizer_eval_unigram")
+def q_tokenizer_eval_unigram(spark, sf_dir):
+    lines, pieces, vocab = _unigram(spark, sf_dir)
+    toks = unigram.encode_unigram(lines, pieces, vocab, ["doc_id", "line_no"])
+    dec = bpe.decode_subword(toks, vocab, ["doc_id", "line_no"], out="decoded")
+    per = (lines.join(toks, ["doc_id", "line_no"]).join(dec, ["doc_id", "line_no"])
+           .select(F.size("ids").alias("n_tokens"), T.word_count("line").alias("n_words"),
+                   (F.col("decoded") != T.py_strip("line")).alias("error"),
+                   (F.col("line") == "").alias("blank")))
+    return tok.tokenizer_compare(tok.tokenizer_eval(per, "n_tokens", "n_words", "error", "blank"))

@@ -55,3 +55,10 @@ def test_subword_roundtrip_on_corpus(spark):
     assert r.avg_tokens_per_word > 1.0
     merges = E.queries()["bpe_train"](spark, SF_SMALL).orderBy("rank").collect()
     assert [m["rank"] for m in merges] == list(range(1, C.BPE_MERGES + 1))
+
+
+def test_unigram_tokenizer_roundtrip(spark):
+    r = E.queries()["tokenizer_eval_unigram"](spark, SF_SMALL).first()
+    words = E.queries()["tokenizer_eval"](spark, SF_SMALL).first()
+    assert r.n_errors == words.n_errors and r.n_lines == words.n_lines
+    assert r.avg_tokens_per_word >= 1.0 and r.verdict in ("better", "worse", "equal")
