@@ -56,3 +56,14 @@ def redact(df: DataFrame, text_col: str = "text", out: str | None = None) -> Dat
 
 def word_counts(df: DataFrame, text_col: str = "text", out: str = "n_words") -> DataFrame:
     return df.withColumn(out, T.word_count(text_col).cast("long"))
+
+
+def line_index(lines: DataFrame, order_cols=("doc_id", "line_no"), out: str = "line_index",
+               line_width: int = 4096, doc_group: int = 65536) -> DataFrame:
+    """0-based position of every line in corpus order (the index a line-by-line
+    reader sees; blank lines take an index too).  Two-level global rank with
+    buckets (document, line range), so a huge document is split."""
+    from .ordering import prefix_sum
+    doc, line = order_cols
+    bucket = [F.col(doc), F.floor(F.col(line) / line_width)]
+    return prefix_sum(lines, [doc, line], bucket, None, out, coarse=F.floor(F.col("__b0") / doc_group))

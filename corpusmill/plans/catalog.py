@@ -481,6 +481,19 @@ def q_tokenizer_eval(spark, sf_dir):
     return tok.tokenizer_eval(_eval_lines(spark, sf_dir), "n_tokens", "n_words", "error", "blank")
 
 
+@register("tokenizer_eval_first_n", S.with_(*S.CORPUS) + """,
+idx AS (SELECT *, row_number() OVER (ORDER BY doc_id, line_no) - 1 AS i, count(*) OVER () AS n_all FROM lines),
+""" + _EVAL.replace("FROM lines) w)", "FROM idx WHERE i < 5000) w)").replace(
+    "round(1.0 - n_errors / ((n_lines - 1) + 1e-9), 6)",
+    "round(1.0 - n_errors / ((CASE WHEN (SELECT max(n_all) FROM idx) > 5000 THEN 5000 "
+    "ELSE (SELECT max(n_all) FROM idx) - 1 END) + 1e-9), 6)") + "SELECT * FROM report")
+def q_tokenizer_eval_first_n(spark, sf_dir):
+    """The reference evaluates the first 5000 lines of the file; blank lines use up an index."""
+    per = text_ops.line_index(_eval_lines(spark, sf_dir))
+    return tok.tokenizer_eval(per, "n_tokens", "n_words", "error", "blank", index_col="line_index",
+                              n_lines=5000)
+
+
 @register("tokenizer_compare", S.with_(*S.CORPUS, _EVAL) + f"""
 SELECT *, CAST({tok.BASELINE_TOKENS_PER_WORD} AS DOUBLE) AS base_avg_tokens_per_word,
        CAST({tok.BASELINE_MAX_TOKENS} AS BIGINT) AS base_max_tokens_in_line,

@@ -66,3 +66,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def write_shards(df: DataFrame, path: str, rank_col: str = "rank", mode: str = "error") -> None:
+    """One folder per process rank (``rank=<r>``), so each trainer reads only its
+    own shard through partition pruning (B6)."""
+    df.write.mode(mode).partitionBy(rank_col).parquet(path)

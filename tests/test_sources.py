@@ -75,3 +75,12 @@ def test_vocab_roundtrip(spark, tmpdir_fresh):
     sinks.write_vocab(v, path)
     assert sorted(tuple(r) for r in sinks.read_vocab(spark, path).collect()) == [("<pad>", 0, None),
                                                                                   ("the", 4, 10)]
+
+
+def test_shard_sink_partition_pruning(spark, tmpdir_fresh):
+    df = spark.range(0, 40).select(F.col("id"), (F.col("id") % 4).cast("int").alias("rank"))
+    path = os.path.join(tmpdir_fresh, "shards")
+    sinks.write_shards(df, path)
+    assert sorted(d for d in os.listdir(path) if d.startswith("rank=")) == [f"rank={r}" for r in range(4)]
+    one = spark.read.parquet(path).filter("rank = 2")
+    assert sorted(r.id for r in one.collect()) == list(range(2, 40, 4))
