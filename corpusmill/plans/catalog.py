@@ -833,9 +833,19 @@ def q_near_dup_drop(spark, sf_dir):
 BPE_MERGES = 20
 
 
+# tokenizer training reads a seeded sample of at most this many lines, as the
+# reference trainer does (input_sentence_size); encoding then covers every line
+TRAIN_SENTENCES = 1_000_000
+
+
+def _training_words(lines):
+    sample = V.sentence_sample(lines, ["doc_id", "line_no"], TRAIN_SENTENCES, I.SEED)
+    return sinks.materialize(V.word_table(sample, "line"), "words")
+
+
 def _bpe(spark, sf_dir):
     lines = _lines(spark, sf_dir)
-    words = sinks.materialize(V.word_table(lines, "line"), "words")
+    words = _training_words(lines)
     merges = sinks.materialize(bpe.train_bpe(words, BPE_MERGES), "merges")
     return lines, words, merges, bpe.bpe_vocab(words, merges)
 
@@ -880,14 +890,14 @@ def q_generate_ngram(spark, sf_dir):
 
 @register("unigram_train")
 def q_unigram_train(spark, sf_dir):
-    words = sinks.materialize(V.word_table(_lines(spark, sf_dir), "line"), "words")
+    words = _training_words(_lines(spark, sf_dir))
     pieces = unigram.train_unigram(words, vocab_size=2000, em_iters=2)
     return pieces.select("piece", F.round("logp", 6).alias("logp"), F.round("expected", 3).alias("expected"))
 
 
 def _unigram(spark, sf_dir):
     lines = _lines(spark, sf_dir)
-    words = sinks.materialize(V.word_table(lines, "line"), "words")
+    words = _training_words(lines)
     pieces = sinks.materialize(unigram.train_unigram(words, vocab_size=2000, em_iters=2), "unigram")
     return lines, pieces, unigram.unigram_vocab(pieces)
 
