@@ -45,13 +45,32 @@ def build_vocab(words: DataFrame, word_col: str = "word", count_col: str = "coun
 
 
 def sentence_sample(lines: DataFrame, key_cols, n: int = 1_000_000, seed: int = 42) -> DataFrame:
-    """At most ``n`` lines in a seeded pseudo-random order (V1).
-
-    A top-``n`` by a hash key: Spark plans ``TakeOrderedAndProject`` (per-task
-    top-n, then a merge of the partial winners) instead of a full sort.
+    """The ``n`` lines with the smallest seeded hash key ``md5('k1:k2:...:seed')`` (V1):
+    a deterministic pseudo-random sample of at most ``n`` lines.
+
+    A plain ``orderBy(key).limit(n)`` ends in one task that merges every
+    task's local top-n.  Instead the key's leading 52 bits are read as a
+    uniform ``u``; rows with ``u`` below a fraction chosen from the counted
+    total (about ``1.05 n`` expected rows) are the candidates -- doubled until
+    there are at least ``n`` -- and only the candidates are ranked with the
+    distributed global rank.  Since ``u`` is monotone in the key, the result is
+    exactly the ``n`` smallest keys.
     """
     key = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in key_cols], F.lit(str(seed))))
-    return lines.withColumn("sample_key", key).orderBy("sample_key", *key_cols).limit(n)
+    d = lines.withColumn("sample_key", key)
+    total = d.count()
+    if total <= n:
+        return d
+    u = F.conv(F.substring("sample_key", 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+    frac = min(1.0, (1.05 * n + 1000) / total)
+    while True:
+        cand = d.filter(u < F.lit(frac))
+        if frac >= 1.0 or cand.count() >= n:
+            break
+        frac = min(1.0, frac * 2)
+    ranked = global_rank(cand, [F.col("sample_key")] + [F.col(c) for c in key_cols],
+                         F.conv(F.substring("sample_key", 1, 5), 16, 10).cast("long"), "__r")
+    return ranked.filter(F.col("__r") <= n).drop("__r")
 
 
 def char_table(lines: DataFrame, text_col: str = "line") -> DataFrame:

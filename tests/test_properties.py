@@ -61,3 +61,13 @@ def test_batches_and_plan(spark):
     assert splits.drop_last(b, 37, 8).count() == 32
     plan = splits.batch_plan(df, 8, epochs=3, grad_accum=2).first()
     assert (plan.batches_ceil, plan.batches_floor, plan.optimizer_steps_ref, plan.optimizer_steps) == (5, 4, 7, 6)
+
+
+def test_sentence_sample_is_exact_top_n(spark):
+    from corpusmill.operators.vocab import sentence_sample
+    import hashlib
+    df = spark.range(0, 5000).select(F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("line_no"))
+    got = sorted(r.doc_id for r in sentence_sample(df, ["doc_id", "line_no"], 700, 42).collect())
+    keys = sorted((hashlib.md5(f"{i}:0:42".encode()).hexdigest(), i) for i in range(5000))
+    assert got == sorted(i for _, i in keys[:700])
+    assert sentence_sample(df, ["doc_id", "line_no"], 6000, 42).count() == 5000
