@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..sources.sinks import materialize
-from .ordering import prefix_sum
 from .vocab import UNK_ID, WORD_START
 
 SEP = "\u0001"  # joins symbols into one string for containment tests; never inside text pieces
@@ -169,5 +168,4 @@ def decode_subword(tokens: DataFrame, vocab: DataFrame, key_cols, ids_col: str =
     return g.select(*keys, T.py_strip(F.replace(text, F.lit(WORD_START), F.lit(" "))).alias(out))
 
 
-__all__ = ["train_bpe", "bpe_vocab", "segment_words", "encode_subword", "decode_subword",
-           "prefix_sum"]
+__all__ = ["train_bpe", "bpe_vocab", "segment_words", "encode_subword", "decode_subword"]

@@ -9,7 +9,7 @@ tokens -- a giant document spreads over many blocks, never one group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordering import prefix_sum
@@ -155,7 +155,7 @@ def padding_waste(lengths: DataFrame, len_col: str, batch_col: str, block: int,
 
 __all__ = ["pack", "chunk", "chunk_lines", "truncate", "truncate_left", "shift_x", "shift_y",
            "pad_to", "attention_mask", "seq_length_filter", "pad_fixed", "pad_dynamic",
-           "padding_waste", "Window"]
+           "padding_waste", "count_non_pad"]
 
 
 def count_non_pad(ids, pad: int = PAD_ID) -> Column:

@@ -54,7 +54,7 @@ def _corpus(spark, sf_dir):
     return lines, vocab, toks
 
 
-def _tokens(spark, sf_dir, vocab=None):
+def _tokens(spark, sf_dir):
     return _corpus(spark, sf_dir)[2]
 
 

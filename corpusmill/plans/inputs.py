@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..operators import text as text_ops
 from ..operators.vocab import build_vocab, word_table
 from ..sources.scan import spread
@@ -72,14 +71,6 @@ def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_vocab(word_table(corpus_lines(spark, sf_dir), "line"))
 
 
-def line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, line_no, ids)``: word ids of each stripped line (no specials)."""
-    from ..operators.tokenize import encode_words
-    lines = corpus_lines(spark, sf_dir)
-    return encode_words(lines, vocab(spark, sf_dir), key_cols=["doc_id", "line_no"],
-                        text_col="line")
-
-
 def wrapped_from(tokens: DataFrame) -> DataFrame:
     """``[BOS] + ids + [EOS]`` per non-blank line, as the LM datasets build them."""
     from ..operators.tokenize import SPECIALS, wrap_special
@@ -88,4 +79,4 @@ def wrapped_from(tokens: DataFrame) -> DataFrame:
 
 
 __all__ = ["table", "dirty_documents", "normalized_documents", "clean_documents",
-           "corpus_lines", "vocab", "line_tokens", "wrapped_from", "T"]
+           "corpus_lines", "vocab", "wrapped_from"]
