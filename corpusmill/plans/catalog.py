@@ -874,7 +874,40 @@ def q_tokenizer_eval_subword(spark, sf_dir):
     return tok.tokenizer_eval(per, "n_tokens", "n_words", "error", "blank")
 
 
-@register("generate_ngram")
+def _generate_sql(max_len: int = 16) -> str:
+    base = S.with_(*_WRAPPED_ALL, S.BIGRAMS, _CANDS) + """,
+tk AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY prompt_id ORDER BY logit DESC) AS r FROM cands) c
+       WHERE r <= 50),
+z AS (SELECT prompt_id, token_id, logit / 0.8 - max(logit / 0.8) OVER (PARTITION BY prompt_id) AS z FROM tk),
+pr AS (SELECT prompt_id, token_id, exp(z) / sum(exp(z)) OVER (PARTITION BY prompt_id) AS prob FROM z),
+cm AS (SELECT *, coalesce(sum(prob) OVER (PARTITION BY prompt_id ORDER BY prob DESC, token_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS mass_before FROM pr),
+kept AS (SELECT prompt_id, token_id, prob FROM cm WHERE mass_before <= 0.9 + 1e-9),
+g0 AS (SELECT doc_id AS seq_id, CAST([1, ids[1]] AS INTEGER[]) AS ids, 0 AS n_generated, false AS finished
+       FROM toks WHERE line_no = 0 AND len(ids) > 0)"""
+    steps = []
+    for i in range(max_len):
+        u = (f"(CAST('0x' || substr(md5(concat_ws(':', g.seq_id, {i}, k.token_id, '{I.SEED}')), 1, 13)"
+             f" AS UBIGINT) + 0.5) / {float(1 << 52)}")
+        steps.append(f"""d{i + 1} AS (
+  SELECT g.seq_id, arg_max(k.token_id, ln(k.prob) - ln(-ln({u}))) AS nxt
+  FROM g{i} g JOIN kept k ON k.prompt_id = g.ids[len(g.ids)] WHERE NOT g.finished GROUP BY g.seq_id),
+g{i + 1} AS (
+  SELECT g.seq_id,
+         CASE WHEN g.finished OR d.nxt IS NULL THEN g.ids ELSE list_append(g.ids, CAST(d.nxt AS INTEGER)) END AS ids,
+         g.n_generated + CASE WHEN NOT g.finished AND d.nxt IS NOT NULL THEN 1 ELSE 0 END AS n_generated,
+         g.finished OR d.nxt IS NULL OR d.nxt = 2 AS finished
+  FROM g{i} g LEFT JOIN d{i + 1} d ON g.seq_id = d.seq_id)""")
+    final = f"""
+SELECT g.seq_id, CAST(g.ids AS INTEGER[]) AS ids, CAST(g.n_generated AS INTEGER) AS n_generated, g.finished,
+       coalesce((SELECT string_agg(v.piece, ' ' ORDER BY t.k)
+                 FROM (SELECT unnest(g.ids) AS id, unnest(range(len(g.ids))) AS k) t
+                 JOIN vocab v ON v.id = t.id WHERE t.id > 2), '') AS text
+FROM g{max_len} g"""
+    return base + ",\n" + ",\n".join(steps) + final
+
+
+@register("generate_ngram", _generate_sql(16))
 def q_generate_ngram(spark, sf_dir):
     """One continuation per document, prompted with BOS and the document's first word."""
     lines, v, toks = _corpus(spark, sf_dir)
