@@ -92,7 +92,8 @@ def bpe_vocab(words: DataFrame, merges: DataFrame, word_col: str = "word",
     # the symbol table is bounded by the alphabet, one ordered window is cheap
     base = chars.select("piece", F.row_number().over(Window.orderBy(F.col("c").desc(), "piece")).alias("r"))
     n_base = base.count()
-    merged = merges.select("piece", (F.col("rank") + F.lit(n_base)).alias("r"))
+    # two merges can produce the same string; the piece keeps its first (lowest) rank
+    merged = merges.groupBy("piece").agg((F.min("rank") + F.lit(n_base)).alias("r"))
     specials = spark.createDataFrame([("<pad>", 0), ("<s>", 1), ("</s>", 2), ("<unk>", 3)], "piece string, id int")
     pieces = base.unionByName(merged).select("piece", (F.col("r") + F.lit(UNK_ID)).cast("int").alias("id"))
     return specials.unionByName(pieces)

@@ -850,19 +850,87 @@ def _bpe(spark, sf_dir):
     return lines, words, merges, bpe.bpe_vocab(words, merges)
 
 
-@register("bpe_train")
+def _merge_sql(col: str, i: int) -> str:
+    """Apply merge ``b{i}`` to a wrapped symbol string (unchanged when there is no merge)."""
+    pat = f"(SELECT chr(1) || l || chr(2) || chr(1) || r || chr(2) FROM b{i})"
+    rep = f"(SELECT chr(1) || l || r || chr(2) FROM b{i})"
+    return f"coalesce(replace({col}, {pat}, {rep}), {col})"
+
+
+_WRAP_WORD = """list_reduce(list_transform(regexp_extract_all('▁' || {w}, '(?s).'),
+                                   lambda c: chr(1) || c || chr(2)), lambda a, b: a || b)"""
+_SYMS = "regexp_extract_all({w}, chr(1) || '([^' || chr(2) || ']*)' || chr(2), 1)"
+
+
+def _bpe_sql(num_merges: int, tail: str | None = None) -> str:
+    """BPE merges in SQL: each word is a string of symbols wrapped in chr(1)...chr(2), so a
+    plain ``replace`` merges non-overlapping occurrences left to right."""
+    parts = [S.with_(*S.CORPUS, S.WORDFREQ)[len("WITH "):] + f""",
+w0 AS (SELECT {_WRAP_WORD.format(w="word")} AS w, cnt FROM wf)"""]
+    syms = _SYMS.format(w="w")
+    for i in range(num_merges):
+        parts.append(f"""p{i} AS (
+  SELECT s[j] AS l, s[j + 1] AS r, sum(cnt) AS n
+  FROM (SELECT s, cnt, unnest(range(1, len(s))) AS j FROM (SELECT {syms} AS s, cnt FROM w{i}) x) y
+  GROUP BY 1, 2),
+b{i} AS (SELECT {i + 1} AS rank, l, r, n FROM p{i} ORDER BY n DESC, l, r LIMIT 1),
+w{i + 1} AS (SELECT {_merge_sql("w", i)} AS w, cnt FROM w{i})""")
+    union = " UNION ALL ".join(f"SELECT * FROM b{i}" for i in range(num_merges))
+    parts.append(f"""merges AS (
+  SELECT CAST(rank AS INTEGER) AS rank, l AS "left", r AS "right", l || r AS piece, CAST(n AS BIGINT) AS count
+  FROM ({union}) m)""")
+    if tail is None:
+        return "WITH " + ",\n".join(parts) + "\nSELECT * FROM merges"
+    # subword vocabulary and encoding of every distinct word of the corpus
+    enc = [f"""base AS (
+  SELECT s AS piece, sum(cnt) AS c FROM (SELECT unnest(regexp_extract_all('▁' || word, '(?s).')) AS s, cnt
+                                          FROM wf) x GROUP BY 1),
+bvocab AS (
+  SELECT piece, CAST(row_number() OVER (ORDER BY c DESC, piece) + 3 AS INTEGER) AS id FROM base
+  UNION ALL
+  SELECT piece, CAST(min(rank) + (SELECT count(*) FROM base) + 3 AS INTEGER) FROM merges GROUP BY piece),
+ew0 AS (SELECT word, {_WRAP_WORD.format(w="word")} AS w
+        FROM (SELECT DISTINCT unnest({S.words('line')}) AS word FROM lines) d)"""]
+    for i in range(num_merges):
+        enc.append(f"ew{i + 1} AS (SELECT word, {_merge_sql('w', i)} AS w FROM ew{i})")
+    enc.append(f"""wid AS (
+  SELECT word, list(coalesce(v.id, 3) ORDER BY k) AS ids
+  FROM (SELECT word, unnest(syms) AS p, unnest(range(len(syms))) AS k
+        FROM (SELECT word, {_SYMS.format(w="w")} AS syms FROM ew{num_merges}) a) b
+  LEFT JOIN bvocab v ON v.piece = b.p GROUP BY word),
+socc AS (
+  SELECT doc_id, line_no, unnest(generate_series(1, len(ws))) AS pos, unnest(ws) AS word
+  FROM (SELECT doc_id, line_no, {S.words('line')} AS ws FROM lines) x),
+senc AS (
+  SELECT o.doc_id, o.line_no, flatten(list(wid.ids ORDER BY o.pos)) AS ids
+  FROM socc o JOIN wid ON o.word = wid.word GROUP BY o.doc_id, o.line_no),
+stoks AS (
+  SELECT l.doc_id, l.line_no, CAST(coalesce(e.ids, []) AS INTEGER[]) AS ids
+  FROM lines l LEFT JOIN senc e ON l.doc_id = e.doc_id AND l.line_no = e.line_no)""")
+    return "WITH " + ",\n".join(parts + enc) + "\n" + tail
+
+
+@register("bpe_train", _bpe_sql(BPE_MERGES))
 def q_bpe_train(spark, sf_dir):
     _, _, merges, _ = _bpe(spark, sf_dir)
     return merges
 
 
-@register("encode_subword")
+@register("encode_subword", _bpe_sql(BPE_MERGES, "SELECT doc_id, line_no, ids FROM stoks"))
 def q_encode_subword(spark, sf_dir):
     lines, _, merges, vocab = _bpe(spark, sf_dir)
     return bpe.encode_subword(lines, merges, vocab, ["doc_id", "line_no"])
 
 
-@register("tokenizer_eval_subword")
+_SUB_EVAL = f""",
+per AS (
+  SELECT len(s.ids) AS n_tokens, len({S.words('l.line')}) AS n_words,
+         array_to_string({S.words('l.line')}, ' ') <> {S.strip('l.line')} AS error, l.line = '' AS blank
+  FROM lines l JOIN stoks s ON l.doc_id = s.doc_id AND l.line_no = s.line_no),
+""" + _EVAL[_EVAL.index("rep AS ("):] + "\nSELECT * FROM report"
+
+
+@register("tokenizer_eval_subword", _bpe_sql(BPE_MERGES, _SUB_EVAL))
 def q_tokenizer_eval_subword(spark, sf_dir):
     lines, _, merges, vocab = _bpe(spark, sf_dir)
     toks = bpe.encode_subword(lines, merges, vocab, ["doc_id", "line_no"])
