@@ -41,7 +41,7 @@ def sft_format(pairs: DataFrame, with_rejects: bool = False):
 def preference_triples(pairs: DataFrame) -> DataFrame:
     """Synthetic preference rows: ``rejected`` is the response of the next pair by
     ``(conv_id, turn)``, the last wrapping to the first.  Positions come from the
-    two-level global rank and the neighbour is found by an equi-join."""
+    three-level global rank and the neighbour is found by an equi-join."""
     # buckets (conv_id, turn range): a conversation holding a third of all pairs is
     # split by turn range; the coarse level groups 4096 conversation ids
     bucket = [F.col("conv_id"), F.floor(F.col("turn") / 1024)]

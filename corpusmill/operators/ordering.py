@@ -8,7 +8,7 @@ a coarse bucket; only the coarse totals go through a global window; the
 offsets are joined back and the fine-grained running value is a window
 partitioned by bucket.
 
-``prefix_sum`` also takes ``partition_by`` so the same two-level scheme gives
+``prefix_sum`` also takes ``partition_by`` so the same scheme gives
 per-group running sums/minima where one group may hold a third of the rows.
 """
 

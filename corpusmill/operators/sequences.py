@@ -2,7 +2,7 @@
 
 Everything except ``pack`` is a per-row array expression (no shuffle).
 ``pack`` needs the global token offset of each record, computed with the
-two-level prefix sum; each record then emits only the slices that fall into
+three-level prefix sum; each record then emits only the slices that fall into
 each fixed-length block, and a block is regrouped from at most ``seq_len``
 tokens -- a giant document spreads over many blocks, never one group.
 """

@@ -1,7 +1,7 @@
 """Exact, reproducible splits, shuffles, batches and shards.
 
 Randomness is a seeded hash of the row key, never ``rand()``: a retried task
-or a re-run gives the same assignment.  Positions come from the two-level
+or a re-run gives the same assignment.  Positions come from the three-level
 global rank, so no step funnels the data through one task.
 """
 

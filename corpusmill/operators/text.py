@@ -61,7 +61,7 @@ def word_counts(df: DataFrame, text_col: str = "text", out: str = "n_words") ->
 def line_index(lines: DataFrame, order_cols=("doc_id", "line_no"), out: str = "line_index",
                line_width: int = 4096, doc_group: int = 65536) -> DataFrame:
     """0-based position of every line in corpus order (the index a line-by-line
-    reader sees; blank lines take an index too).  Two-level global rank with
+    reader sees; blank lines take an index too).  Three-level global rank with
     buckets (document, line range), so a huge document is split."""
     from .ordering import prefix_sum
     doc, line = order_cols
