@@ -64,3 +64,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used for checkpoints and materialised intermediates."""
     return ensure_checkpoint_dir(spark)
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of input on ``total_cores`` cores.
+
+    Shuffle partitions are sized so that a partition of the largest shuffle
+    (about the input size: the exploded token tables and the cleaned corpus
+    are of that order) stays near ``target_partition_bytes``, and never fewer
+    than 2 waves of tasks; AQE then coalesces small partitions and splits
+    skewed ones at runtime.  For 100 TB on 8,000 cores this gives ~400k
+    partitions of ~256 MB.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
