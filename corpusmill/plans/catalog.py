@@ -950,16 +950,19 @@ z AS (SELECT prompt_id, token_id, logit / 0.8 - max(logit / 0.8) OVER (PARTITION
 pr AS (SELECT prompt_id, token_id, exp(z) / sum(exp(z)) OVER (PARTITION BY prompt_id) AS prob FROM z),
 cm AS (SELECT *, coalesce(sum(prob) OVER (PARTITION BY prompt_id ORDER BY prob DESC, token_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS mass_before FROM pr),
-kept AS (SELECT prompt_id, token_id, prob FROM cm WHERE mass_before <= 0.9 + 1e-9),
+kept AS (SELECT prompt_id, token_id, prob, mass_before FROM cm WHERE mass_before <= 0.9 + 1e-9),
+ivl AS (SELECT prompt_id, token_id, mass_before / max(mass_before + prob) OVER (PARTITION BY prompt_id) AS lo
+        FROM kept),
 g0 AS (SELECT doc_id AS seq_id, CAST([1, ids[1]] AS INTEGER[]) AS ids, 0 AS n_generated, false AS finished
        FROM toks WHERE line_no = 0 AND len(ids) > 0)"""
     steps = []
     for i in range(max_len):
-        u = (f"(CAST('0x' || substr(md5(concat_ws(':', g.seq_id, {i}, k.token_id, '{I.SEED}')), 1, 13)"
+        u = (f"(CAST('0x' || substr(md5(concat_ws(':', g.seq_id, {i}, '{I.SEED}')), 1, 13)"
              f" AS UBIGINT) + 0.5) / {float(1 << 52)}")
         steps.append(f"""d{i + 1} AS (
-  SELECT g.seq_id, arg_max(k.token_id, ln(k.prob) - ln(-ln({u}))) AS nxt
-  FROM g{i} g JOIN kept k ON k.prompt_id = g.ids[len(g.ids)] WHERE NOT g.finished GROUP BY g.seq_id),
+  SELECT g.seq_id, arg_max(k.token_id, k.lo) AS nxt
+  FROM g{i} g JOIN ivl k ON k.prompt_id = g.ids[len(g.ids)] AND k.lo <= {u}
+  WHERE NOT g.finished GROUP BY g.seq_id),
 g{i + 1} AS (
   SELECT g.seq_id,
          CASE WHEN g.finished OR d.nxt IS NULL THEN g.ids ELSE list_append(g.ids, CAST(d.nxt AS INTEGER)) END AS ids,
