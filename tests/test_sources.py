@@ -84,3 +84,14 @@ def test_shard_sink_partition_pruning(spark, tmpdir_fresh):
     assert sorted(d for d in os.listdir(path) if d.startswith("rank=")) == [f"rank={r}" for r in range(4)]
     one = spark.read.parquet(path).filter("rank = 2")
     assert sorted(r.id for r in one.collect()) == list(range(2, 40, 4))
+
+
+def test_spread_only_coarse_scans(spark):
+    from corpusmill.sources.scan import spread
+    from conftest import SF_SMALL
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    out = spread(docs, "doc_id")
+    assert 1 <= out.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert out.count() == docs.count()
+    many = spark.range(0, 1000, numPartitions=64)
+    assert spread(many, "id") is many
