@@ -148,17 +148,21 @@ def top_k_with_ties(df: DataFrame, partition_by: Sequence[str], value_col: str,
 
     Ties make the kept set unbounded (a group whose values are all equal keeps
     every row), so no window ever sees the kept rows: the k-th value of each
-    group is found from the bounded exact-k survivors (``top_k_per_group``
-    with ``tie_break`` making the order unique), and all rows are filtered by
-    a join with that one-row-per-group threshold table.
+    group is found from the bounded exact-k survivors of hash slices of the
+    group (``tie_break`` makes the order unique) by one aggregate, and all
+    rows are filtered by a join with that one-row-per-group threshold table.
     """
     val = F.col(value_col)
     order = [val.desc() if descending else val.asc(), F.col(tie_break).asc()]
-    kth = top_k_per_group(df.select(*partition_by, value_col, tie_break), partition_by, order, k,
-                          sub_bucket, out="__r")
-    thr = kth.groupBy(*partition_by).agg(
-        F.count("*").alias("__n"),
-        (F.min(value_col) if descending else F.max(value_col)).alias("__thr"))
+    parts = _cols(partition_by)
+    # stage one: exact top k inside each (group, slice); at most k * slices survive per group
+    local = (df.select(*partition_by, value_col, tie_break).withColumn("__sb", sub_bucket)
+             .withColumn("__r1", F.row_number().over(Window.partitionBy(*parts, "__sb").orderBy(*order)))
+             .filter(F.col("__r1") <= k))
+    # the k-th best value of each group from that bounded list, in one aggregate
+    best = F.sort_array(F.collect_list(value_col), asc=not descending)
+    thr = local.groupBy(*partition_by).agg(F.count("*").alias("__n"), best.alias("__best"))
+    thr = thr.select(*partition_by, "__n", F.when(F.col("__n") >= k, F.element_at("__best", k)).alias("__thr"))
     j = df.join(thr, list(partition_by))
     keep = (F.col("__n") < k) | ((val >= F.col("__thr")) if descending else (val <= F.col("__thr")))
     return j.filter(keep).drop("__n", "__thr")
