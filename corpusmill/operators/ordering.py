@@ -19,6 +19,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.sinks import materialize
+
+
 def _cols(cols) -> list[Column]:
     if cols is None:
         return []
@@ -105,6 +108,30 @@ def prefix_sum(df: DataFrame, order_by: Sequence, bucket: Column | Sequence[Colu
     return d.withColumn(out, value).drop(*keys, "__w", "__boff")
 
 
+def range_prefix_sum(df: DataFrame, order_by: Sequence, sums: dict[str, Column | str],
+                     name: str = "ranged") -> DataFrame:
+    """Add, for each ``out: weight`` of ``sums``, the sum of ``weight`` over all rows that
+    come before the row in ``order_by`` order (0 for the first row).
+
+    No assumption is made about the keys: Spark samples the range boundaries of the real
+    order, so a hot leading key is split by the following ones, as long as the whole key
+    is close to unique.  The ranged rows are written once; the only single-task step
+    sees one row per range.  Rows with equal keys are ordered arbitrarily.
+    """
+    orders = _cols(order_by)
+    weights = {o: (F.col(w) if isinstance(w, str) else w) for o, w in sums.items()}
+    ranged = materialize(df.repartitionByRange(*orders).withColumn("__pid", F.spark_partition_id()), name)
+    totals = ranged.groupBy("__pid").agg(*[F.sum(w).alias(f"__t_{o}") for o, w in weights.items()])
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__pid", *[F.coalesce(F.sum(f"__t_{o}").over(before), F.lit(0)).alias(f"__o_{o}")
+                                       for o in weights])
+    within = Window.partitionBy("__pid").orderBy(*orders).rowsBetween(Window.unboundedPreceding, -1)
+    out = ranged.join(F.broadcast(offsets), "__pid")  # one row per range: bounded by the partition count
+    for o, w in weights.items():
+        out = out.withColumn(o, F.col(f"__o_{o}") + F.coalesce(F.sum(w).over(within), F.lit(0)))
+    return out.drop("__pid", *[f"__o_{o}" for o in weights])
+
+
 def global_rank(df: DataFrame, order_by: Sequence, bucket: Column | Sequence[Column],
                 out: str = "rank", partition_by: Sequence | None = None) -> DataFrame:
     """1-based dense position of each row in ``order_by`` order (keys unique)."""

@@ -50,11 +50,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint directory, setting a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is left as
-    it is.  Only local runs (tests, bench) get a fresh scratch folder.
+    it is; without that setting this raises, because a machine-local folder
+    would not be seen by the other executors.  Only single-process local runs
+    (tests, bench) get a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="corpusmill-ckpt-", dir="/tmp")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
