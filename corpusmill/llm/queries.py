@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, nearest, pii, piece_codec, quality, token_counts, toxicity
+from . import (exact_dedup, jaccard_join, mixing, nearest, pii, piece_codec, quality, suffix_dedup, token_counts,
+               toxicity)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_mixing": mixing.op2_mixing,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_sentencepiece": piece_codec.op6_sentencepiece,
+    "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_nearest": nearest.op9_nearest,
     "op10_quality": quality.op10_quality,
