@@ -41,7 +41,7 @@ LENGTH, GRAM = 200, 64
 HOT, CLASSES = 20_000, 8
 CHUNK = 20_000  # suffixes compared at once
 BATCH_BYTES = 4_000_000  # below 2**23: positions are packed into 23 bits
-MAX_SMALL = 200_000  # rows sent to all tasks; more are joined by a shuffle
+MAX_SMALL, MAX_KEYS, MAX_BYTES = 200_000, 1_000_000, 8_000_000  # rows, keys and bytes sent to all tasks; more are joined by a shuffle
 
 # the bytes' values without the folding of letters
 _VALUES = _BYTES.copy()
@@ -127,7 +127,7 @@ def multikey_order(group: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def _matrix(values: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     size = np.array([len(v) for v in values])
-    flat = np.frombuffer(b"".join([v.ljust(width, b"\0") for v in values]), np.uint8)
+    flat = np.frombuffer(b"".join([v[:width].ljust(width, b"\0") for v in values]), np.uint8)
     return flat.reshape(len(values), width), size
 
 
@@ -235,13 +235,34 @@ def _spans(suffixes: DataFrame, length: int) -> DataFrame:
     return ranged.mapInArrow(run, "digest binary, start long, stop long")
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= MAX_SMALL else df
+def _merged(spans: DataFrame) -> DataFrame:
+    """A text's spans as maximal runs: pairs of little-endian 64-bit numbers."""
+    def run(batches):
+        for b in batches:
+            out = []
+            for s in b.column("spans").to_pylist():
+                runs: list[list[int]] = []
+                for x, y in sorted((v["start"], v["stop"]) for v in s):
+                    if runs and x <= runs[-1][1]:
+                        runs[-1][1] = max(runs[-1][1], y)
+                    else:
+                        runs.append([x, y])
+                out.append(np.array(runs, "<i8").tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(out, pa.binary())], ["digest", "spans"])
+
+    return spans.mapInArrow(run, "digest binary, spans binary")
+
+
+def _small(df: DataFrame, rows: int = MAX_SMALL) -> DataFrame:
+    """``df`` sent to all tasks if it is counted to be small, in rows and in bytes of its spans."""
+    size = F.sum(F.octet_length("spans")) if "spans" in df.columns else F.lit(0)
+    n = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(size, F.lit(0)).alias("size")).first()
+    return F.broadcast(df) if n["n"] <= rows and n["size"] <= MAX_BYTES else df
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                    gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """``id, text, copies, spans`` of each row; ``spans`` (start, stop in bytes) lists repeated stretches of
+    """``id, text, copies, spans`` of each row; ``spans`` (packed pairs start, stop in bytes) lists maximal repeated runs of
     texts that occur once, and ``copies`` is the number of rows of texts that occur more often (else null)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumns(
@@ -267,12 +288,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     known = rows.join(_small(copies), "digest", "left")
     # one row of each text; rows that repeat id and text are told apart below
     single = known.filter(F.col("copies").isNull() | F.col("id").eqNullSafe(F.col("one")))
-    search = single.join(_small(hits), "t").select("digest", "text", "hits")
+    search = single.join(_small(hits.select("t"), MAX_KEYS), "t", "left_semi").join(hits, "t").select("digest", "text", "hits")
     suffixes = _suffixes(search, length, gram)
     if copies.filter("one is null").limit(1).count() or _repeats(rows, copies):
         suffixes = suffixes.dropDuplicates(["digest", "pos", "low"])
-    spans = _spans(materialize(suffixes, "suffixes"), length)
-    spans = materialize(spans.groupBy("digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "suffix-spans")
+    spans = _spans(suffixes, length).groupBy("digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans = materialize(_merged(spans), "suffix-spans")
     return known.join(_small(spans), "digest", "left").select("id", "text", "copies", "spans")
 
 
@@ -286,19 +307,9 @@ def cut_out(raw: bytes, spans, copies, length: int) -> tuple[bytes, int]:
     """What is left of a text and the number of maximal removed runs."""
     if copies is not None and len(raw) >= length:
         return b"", 1
-    kept, at, runs = [], 0, 0
-    end = -1
-    for s in sorted((x["start"], x["stop"]) for x in spans or ()):
-        if s[0] > end:
-            if end >= 0:
-                at = end
-            kept.append(raw[at:s[0]])
-            runs += 1
-            end = s[1]
-        else:
-            end = max(end, s[1])
-    kept.append(raw[max(end, 0):])
-    return b"".join(kept), runs
+    runs = np.frombuffer(spans or b"", "<i8").reshape(-1, 2).tolist()
+    ends = [0, *[y for _, y in runs]]
+    return b"".join([raw[a:b] for a, b in zip(ends, [*[x for x, _ in runs], len(raw)])]), len(runs)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, **args) -> DataFrame:
