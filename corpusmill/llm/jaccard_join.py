@@ -15,8 +15,8 @@ documents link when their distance is at most eps = 1 - threshold.
    the rest is divided into an inner (<= 2 eps) and an outer (> eps) region; nodes between are
    replicated into both.  Regions whose nodes are already connected end; the others recurse.
    The size up to which all nodes are compared doubles with each round, so the recursion ends.
-4. Every compared pair passes the size bound min/max >= threshold first and is verified on the whole
-   sets; components are formed over the verified links.
+4. Pairs must pass the size bound min/max >= threshold and a bound from the number of regions they
+   share; the others are verified on the whole sets; components are formed over the verified links.
 
 Nulls and edge cases: a null text or a text without words has the empty set and links with nothing (its component
 is its own id); a text of fewer words than five is one shingle; rows that repeat an id are rows of their own, with
@@ -153,14 +153,16 @@ def _points(rows: DataFrame, frequent: np.ndarray, n_words: int, threshold) -> D
 
 
 def _sets(rows: DataFrame, n_words: int) -> DataFrame:
+    """``one, node, set`` of each row with words."""
     def run(batches):
         for b in batches:
-            for _, texts in batches_of(b.column("text")):
-                sets = [s for s in shingle_sets(texts, n_words) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()),
-                                                  pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "set"])
+            for first, texts in batches_of(b.column("text")):
+                sets = shingle_sets(texts, n_words)
+                yield pa.RecordBatch.from_arrays([
+                    b.column("id").slice(first, len(texts)), pa.array([node_of(s) for s in sets], pa.int64()),
+                    pa.array([s.tobytes() for s in sets], pa.binary())], ["one", "node", "set"])
 
-    return rows.mapInArrow(run, "node long, set binary")
+    return rows.mapInArrow(run, f"one {dict(rows.dtypes)['id']}, node long, set binary")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -176,7 +178,10 @@ def verify(pairs: DataFrame, rows: DataFrame, points: DataFrame, n_words: int) -
     one = materialize(one, "jaccard-nodes")
     ids = _small(one.select("one").distinct())
     texts = rows.join(ids, rows["id"].eqNullSafe(ids["one"]), "left_semi")
-    sets = materialize(_sets(texts, n_words).join(one, "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
+    sets = _sets(texts, n_words)
+    want = _small(one.select(F.col("node").alias("w"), F.col("one").alias("o")))
+    sets = sets.join(want, (sets["node"] == want["w"]) & sets["one"].eqNullSafe(want["o"]), "left_semi")
+    sets = materialize(sets.select("node", "set"), "jaccard-sets")
     both = (pairs.join(sets.withColumnRenamed("node", "a").withColumnRenamed("set", "sa"), "a")
             .join(sets.withColumnRenamed("node", "b").withColumnRenamed("set", "sb"), "b"))
 
@@ -191,7 +196,8 @@ def verify(pairs: DataFrame, rows: DataFrame, points: DataFrame, n_words: int) -
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), *[pa.array(c, pa.int64()) for c in cols]],
                                              ["a", "b", "common", "n_a", "n_b"])
 
-    return both.mapInArrow(run, "a long, b long, common long, n_a long, n_b long")
+    # rows that repeat an id and a text give a pair more than once
+    return both.mapInArrow(run, "a long, b long, common long, n_a long, n_b long").dropDuplicates(["a", "b"])
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS,
@@ -225,13 +231,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         pairs = live.filter(F.col("size") > leaf)
         heads = pairs.filter("node = pivot").select("cell", F.col("n").alias("pn"), F.col("label").alias("pl"))
         star = pairs.join(heads, "cell").filter((F.col("node") != F.col("pivot")) & close(F.col("n"), F.col("pn")))
-        star = star.filter("label <> pl").select(F.col("pivot").alias("x"), F.col("node").alias("y"))
+        star = star.filter("label <> pl").select(F.col("pivot").alias("x"), F.col("pn").alias("xn"), F.col("node").alias("y"),
+                                                 F.col("n").alias("yn"), F.lit(0).alias("met"))
         own = live.filter(F.col("size") <= leaf).select("cell", "node", "n", "label")
         other = own.select("cell", F.col("node").alias("y"), F.col("n").alias("m"), F.col("label").alias("yl"))
         each = own.join(other, (own["cell"] == other["cell"]) & (own["node"] < other["y"])
                         & close(own["n"], other["m"]) & (own["label"] != other["yl"]))
-        cand = star.unionByName(each.select(F.col("node").alias("x"), "y"))
-        cand = cand.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        cand = star.unionByName(each.select(F.col("node").alias("x"), F.col("n").alias("xn"), "y", F.col("m").alias("yn"),
+                                            F.lit(1).alias("met")))
+        cand = cand.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("xn") + F.col("yn")).alias("both"),
+                           F.greatest("xn", "yn").alias("most"), "met")
+        cand = cand.groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("both").alias("both"), F.max("most").alias("most"))
+        if labels is None and tested is None:
+            # first round: the small regions a pair shares, and the crowded ones it may share, are all
+            # the shingles common to both windows; beyond the shorter-reaching window at most
+            # ceil(threshold n) - 1 more can be common
+            crowd = live.filter(F.col("size") > leaf).groupBy("node").agg(F.count("*").alias("k"))
+            cand = (cand.join(crowd.select(F.col("node").alias("a"), F.col("k").alias("ka")), "a", "left")
+                    .join(crowd.select(F.col("node").alias("b"), F.col("k").alias("kb")), "b", "left"))
+            may = F.least(F.coalesce("ka", F.lit(0)), F.coalesce("kb", F.lit(0)))
+            reach = F.ceil(F.col("most") * num / den - 1e-9) - 1
+            cand = cand.filter((F.col("met") + may + reach) * (num + den) >= F.col("both") * num)
+        cand = cand.select("a", "b")
         if tested is not None:
             cand = cand.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         cand = materialize(cand, "jaccard-pairs")
