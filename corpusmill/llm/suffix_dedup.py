@@ -39,8 +39,9 @@ from .jaccard_join import _BYTES, _mix, _powers
 
 LENGTH, GRAM = 200, 64
 HOT, CLASSES = 20_000, 8
-CHUNK = 20_000  # suffixes compared at once
-BATCH_BYTES = 4_000_000  # below 2**23: positions are packed into 23 bits
+CHUNK = 5_000  # suffixes compared at once
+BATCH_BYTES = 700_000
+PIECE = 1 << 20  # bytes hashed at once; positions in a piece are packed into 23 bits
 MAX_SMALL, MAX_KEYS, MAX_BYTES = 200_000, 1_000_000, 8_000_000  # rows, keys and bytes sent to all tasks; more are joined by a shuffle
 
 # the bytes' values without the folding of letters
@@ -49,7 +50,7 @@ _VALUES[65:91] = np.random.default_rng(12).integers(1, 2**63, 26, dtype=np.uint6
 
 
 def anchors(raw: list[bytes], length: int = LENGTH, gram: int = GRAM) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(hashes, positions) of the anchors of each text; all texts together are below 2**23 bytes or one text."""
+    """(hashes, positions) of the anchors of each text."""
     sizes = np.array([len(r) for r in raw])
     data = np.frombuffer(b"".join(raw), np.uint8)
     none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -57,7 +58,7 @@ def anchors(raw: list[bytes], length: int = LENGTH, gram: int = GRAM) -> list[tu
         return [none for _ in raw]
     ends = np.cumsum(sizes)
     found = []
-    step = (1 << 22)
+    step = PIECE
     power, inverse = _powers(step + 2 * length + 1)
     for at in range(0, len(data), step):  # pieces overlap by a window, so a long text is one text
         part = data[at:at + step + length]
@@ -194,7 +195,7 @@ def _suffixes(rows: DataFrame, length: int, gram: int) -> DataFrame:
                         lo, hi = c * step, min((c + 1) * step, wide) - 1
                         if lo <= hi and p >= lo and p + length - hi <= len(t):
                             out.append((d, p, bytes([c]) + t[p - lo:p + length - hi], lo, hi, left, right))
-                if len(out) > 5000 or k + 1 == b.num_rows:
+                if len(out) > 2000 or k + 1 == b.num_rows:
                     cols = list(zip(*out)) or [()] * 7
                     types = [pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
@@ -324,17 +325,16 @@ def _cut(found: DataFrame, length: int, added: dict, result) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                p = b.slice(at, 500)
-                rows = []
-                for t, c, s in zip(p.column("text"), p.column("copies").to_pylist(), p.column("spans").to_pylist()):
-                    raw = t.as_py().encode("utf-8", "surrogatepass")
-                    left, runs = cut_out(raw, s, c, length)
-                    rows.append((len(raw), len(raw) - len(left), runs, *result(left)))
-                cols = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays(
-                    [p.column("id"), *[pa.array(c, pa.int64()) for c in cols[:3]], *[pa.array(c, arrow[t]) for c, t in zip(cols[3:], added.values())]],
-                    ["id", "n_bytes", "n_removed", "n_spans", *added])
+            rows = []
+            for t, c, s in zip(b.column("text"), b.column("copies"), b.column("spans")):
+                raw = t.as_py().encode("utf-8", "surrogatepass")
+                left, runs = cut_out(raw, s.as_py(), c.as_py(), length)
+                rows.append((len(raw), len(raw) - len(left), runs, *result(left)))
+            cols = list(zip(*rows)) or [()] * (3 + len(added))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), *[pa.array(c, pa.int64()) for c in cols[:3]],
+                 *[pa.array(c, arrow[t]) for c, t in zip(cols[3:], added.values())]],
+                ["id", "n_bytes", "n_removed", "n_spans", *added])
 
     extra = "".join(f", {k} {t}" for k, t in added.items())
     return found.mapInArrow(run, f"id {id_type}, n_bytes long, n_removed long, n_spans long{extra}")
