@@ -39,9 +39,9 @@ from ..sources.sinks import materialize
 N_WORDS, THRESHOLD = 5, (80, 100)
 LEAF = 48
 MAX_FREQUENT = 200_000  # shingles put last in the order; bounds what goes to the tasks
-SAMPLE = 8  # one document in SAMPLE is looked at for them
+SAMPLE = 4  # one document in SAMPLE is looked at for them
 MAX_SMALL = 1_000_000  # ids sent to all tasks; more are joined by a shuffle
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 700_000
 
 _BYTES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 for _a, _b in zip(range(65, 91), range(97, 123)):
@@ -208,7 +208,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sample = rows.filter(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(SAMPLE)) == 0)
     often = (_points(sample, np.zeros(0, np.uint64), n_words, threshold).dropDuplicates(["node"])
-             .select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("k")).filter("k >= 3")
+             .select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("k")).filter("k >= 2")
              .orderBy(F.desc("k"), "t").limit(MAX_FREQUENT).select("t").collect())
     frequent = np.sort(np.array([r["t"] for r in often], np.int64).view(np.uint64))
     points = materialize(_points(rows, frequent, n_words, threshold), "jaccard-points")
