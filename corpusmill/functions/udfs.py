@@ -10,7 +10,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType
+from pyspark.sql.types import BooleanType, StringType, StructType
 
 
 def _normalizer(form: str):
@@ -43,6 +43,36 @@ def _strict_json(x):
         return False
 
 
+_RECORD = StructType().add("kind", StringType()).add("text_type", StringType()).add("text", StringType())
+
+
+def _json_record(x):
+    import json
+    try:
+        v = json.loads(x) if x is not None else None
+    except (ValueError, RecursionError):
+        v = None
+    if isinstance(v, list):
+        return "array", None, None
+    if not isinstance(v, dict):
+        return None, None, None
+    if "text" not in v:
+        return "object", None, None
+    t = v["text"]
+    if isinstance(t, str):
+        return "object", "STRING", t.encode("utf-8", "replace").decode("utf-8")
+    return "object", "VOID" if t is None else type(t).__name__.upper(), None
+
+
+def _json_records(s: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_json_record(x) for x in s], columns=["kind", "text_type", "text"], dtype=object)
+
+
+# Python's reading of lines that the variant parser refuses (NaN and Infinity members, repeated
+# keys, values beyond its size limit); non-deterministic for the reason given at ``nfc_udf``
+json_record = F.pandas_udf(_json_records, _RECORD).asNondeterministic()
+
+
 @F.pandas_udf(BooleanType())
 def json_strict_ok(s: pd.Series) -> pd.Series:
     """Python's ``json.loads`` verdict: Spark's parser accepts trailing content after

@@ -1,8 +1,8 @@
 """Instruction, preference and chat data.
 
-Turn pairing is an equi-join on ``(conv_id, turn + 1)``: the composite key is
-unique, so one huge conversation spreads over all shuffle partitions instead of
-landing in one window partition.
+Turn pairing is an equi-join on the position in the global (conversation, turn)
+order, so one huge conversation spreads over all shuffle partitions instead of
+landing in one window partition, and turn numbers may have gaps or repeat.
 """
 
 from __future__ import annotations
@@ -11,20 +11,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .ordering import prefix_sum
+from .ordering import prefix_sum, range_prefix_sum
 
 CHAT_MODEL = "corpusmill-chat"
 
 
 def conversation_pairs(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                        role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """Each user turn directly followed by an assistant turn -> ``(conv_id, turn, prompt, response)``."""
-    u = turns.filter(F.col(role_col) == "user").select(
-        F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"),
-        (F.col(turn_col) + 1).alias("__next"), F.col(text_col).alias("prompt"))
-    a = turns.filter(F.col(role_col) == "assistant").select(
-        F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("__next"),
-        F.col(text_col).alias("response"))
+    """Each user turn directly followed by an assistant turn -> ``(conv_id, turn, prompt, response)``.
+
+    The next turn is the one with the next larger turn number of the conversation; equal
+    numbers are ordered by role and a hash of the text.
+    """
+    d = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"),
+                     F.col(text_col).alias("text"))
+    d = range_prefix_sum(d, ["conv_id", "turn", "role", F.xxhash64("text")], {"__pos": F.lit(1)}, "turn-order")
+    u = d.filter(F.col("role") == "user").select("conv_id", "turn", (F.col("__pos") + 1).alias("__next"),
+                                                 F.col("text").alias("prompt"))
+    a = d.filter(F.col("role") == "assistant").select("conv_id", F.col("__pos").alias("__next"),
+                                                      F.col("text").alias("response"))
     return u.join(a, ["conv_id", "__next"]).select("conv_id", "turn", "prompt", "response")
 
 

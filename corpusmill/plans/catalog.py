@@ -708,7 +708,7 @@ def q_stream_normalize(spark, sf_dir):
 def q_stream_dedup(spark, sf_dir):
     ev = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
-    dd = streaming.dedup_stream(ev, ["props"], "ts", "1 hour")
+    dd = streaming.dedup_stream(ev, ["props"])
     out = streaming.run_available_now(dd.select("props"), "dedup")
     return spark.read.parquet(out)
 
@@ -833,14 +833,9 @@ def q_near_dup_drop(spark, sf_dir):
 BPE_MERGES = 20
 
 
-# tokenizer training reads a seeded sample of at most this many lines, as the
-# reference trainer does (input_sentence_size); encoding then covers every line
-TRAIN_SENTENCES = 1_000_000
-
-
 def _training_words(lines):
-    sample = V.sentence_sample(lines, ["doc_id", "line_no"], TRAIN_SENTENCES, I.SEED)
-    return sinks.materialize(V.word_table(sample, "line"), "words")
+    """Word frequencies of all lines."""
+    return sinks.materialize(V.word_table(lines, "line"), "words")
 
 
 def _bpe(spark, sf_dir):

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.udfs import json_strict_ok
+from ..functions.udfs import json_record, json_strict_ok
 
 RECORD_SCHEMA = "text string, _corrupt string"
 
@@ -29,7 +29,8 @@ def _json_kind(line: Column) -> Column:
     parsed line is rechecked by Python's decoder only when it looks suspicious:
     it does not end with the closing character of its kind, a closing bracket is
     directly followed by another value, or a scalar contains whitespace.
-    Ordinary JSONL records never leave the JVM.
+    Ordinary JSONL records never leave the JVM; objects and arrays that Spark's
+    parser refuses are read by ``json_record`` instead.
     """
     v = F.try_parse_json(line)
     kind = F.schema_of_variant(v)
@@ -56,21 +57,23 @@ def parse_corpus_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """
     stripped = T.py_strip(line_col)
     d = lines.withColumn("__line", stripped).filter(F.col("__line") != "")
-    kind = _json_kind(F.col("__line"))
+    refused = F.try_parse_json("__line").isNull() & F.col("__line").rlike(r"^[{\[]")
+    d = d.withColumn("__py", json_record(F.when(refused, F.col("__line"))))
+    kind = F.coalesce("__py.kind", _json_kind(F.col("__line")))
     d = d.withColumn("__kind", kind)
     v = F.try_parse_json(F.col("__line"))
     text_var = F.try_variant_get(v, "$.text", "string")
-    text_type = F.schema_of_variant(F.variant_get(v, "$.text", "variant"))
-    has_text = F.expr("try_variant_get(try_parse_json(__line), '$.text', 'variant') is not null")
+    text_type = F.coalesce("__py.text_type", F.schema_of_variant(F.variant_get(v, "$.text", "variant")))
+    has_text = F.expr("__py.text_type is not null or try_variant_get(try_parse_json(__line), '$.text', 'variant') is not null")
     is_obj = F.col("__kind") == "object"
     text = (F.when(F.col("__kind").isNull(), F.col("__line"))
-            .when(is_obj & ~has_text, F.lit("")).when(is_obj & (text_type == "STRING"), text_var))
+            .when(is_obj & ~has_text, F.lit("")).when(is_obj & (text_type == "STRING"), F.coalesce("__py.text", text_var)))
     reason = (F.when(F.col("__kind").isNull(), F.lit(None))
               .when(~is_obj, F.concat(F.lit("json value is not an object: "), F.col("__kind")))
               .when(~has_text, F.lit(None))
               .when(text_type == "VOID", F.lit("text is null"))
               .when(text_type != "STRING", F.concat(F.lit("text is not a string: "), F.lower(text_type))))
-    return d.withColumn("text", text).withColumn("reject_reason", reason).drop("__line", "__kind")
+    return d.withColumn("text", text).withColumn("reject_reason", reason).drop("__line", "__kind", "__py")
 
 
 def read_corpus(spark: SparkSession, paths: Sequence[str] | str, with_rejects: bool = False,

@@ -35,6 +35,17 @@ def test_read_corpus_corner_cases(spark, tmpdir_fresh):
     assert any(r.startswith("text is not a string") for r in reasons)
 
 
+def test_records_that_only_python_reads(spark, tmpdir_fresh):
+    p = os.path.join(tmpdir_fresh, "a.jsonl")
+    write(p, ['{"text":"nan %s","x":NaN}' % LONG, '{"text":"inf %s","x":-Infinity}' % LONG,
+              '{"text":"old","text":"new %s"}' % LONG, '{"x":NaN}', '{"text":null,"x":NaN}', '{"text":NaN}', "[NaN]",
+              "[not json " + LONG])
+    good, bad = corpus.read_corpus(spark, p, with_rejects=True)
+    assert sorted(r.text for r in good.collect()) == ["[not json " + LONG, "inf " + LONG, "nan " + LONG, "new " + LONG]
+    assert sorted(r.reject_reason for r in bad.collect()) == [
+        "json value is not an object: array", "text is not a string: float", "text is null"]
+
+
 def test_sft_and_preference_scans(spark, tmpdir_fresh):
     p = os.path.join(tmpdir_fresh, "sft.jsonl")
     write(p, [json.dumps({"prompt": "p1", "response": "r1"}), json.dumps({"prompt": "p2"}), "{oops"])
