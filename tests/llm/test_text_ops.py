@@ -260,7 +260,7 @@ def test_nearest_corner_cases(spark):
     rng = random.Random(2)
     rows = [(i, [float(rng.randint(-3, 3)) for _ in range(6)]) for i in range(300)]
     rows += [(1000 + i, [1.0, 2.0, 0.0, 0.0, 0.0, 1.0]) for i in range(120)]  # a hot vector
-    rows += [(2000, None), (2001, []), (2002, [0.0] * 6), (2003, [1.0, None, 0, 0, 0, 0]), (2004, [float("nan")] * 6),
+    rows += [(2000, None), (2001, []), (2002, [0.0] * 6), (2003, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2004, [float("nan")] * 6),
              (2005, [float("inf")] + [0.0] * 5), (2006, [1.0, 2.0]), (None, [1.0] * 6), (7, rows[7][1]), (2008, [1e-300] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("dim", F.lit("clash"))
     queries = [i for i, _ in rows if i is not None and i % 20 == 0]
