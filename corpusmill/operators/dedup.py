@@ -1,16 +1,18 @@
 """Exact deduplication.
 
 The first copy in input order wins and the original (unstripped) text is kept.
-Implemented as a hash aggregate, ``min(struct(order..., payload))`` per content
-key: Spark combines map-side, so a key held by a third of all rows collapses to
-one row per task before the shuffle -- no window, no sort of the hot group.
+The smallest order key of each content key is found by a hash aggregate over
+fixed-width values (never the text): Spark combines map-side, so a key held by a third
+of all rows collapses to one row per task before the shuffle -- no window, no sort of
+the hot group.  A semi-join on the order key then keeps the winning rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -22,13 +24,29 @@ def _key_cols(text_col: str):
     return [F.sha2(stripped, 256).alias("__h"), F.length(stripped).alias("__n")]
 
 
+_SHORT = ("tinyint", "smallint", "int")
+
+
+def _order_key(df: DataFrame, order_cols: Sequence[str]) -> Column:
+    """One value that sorts as ``order_cols``; two integers become one decimal, whose minimum a
+    hash aggregate can keep (the minimum of a struct would plan a sort aggregate)."""
+    types = dict(df.dtypes)
+    if len(order_cols) == 1:
+        return F.col(order_cols[0])
+    if len(order_cols) == 2 and types[order_cols[0]] in (*_SHORT, "bigint") and types[order_cols[1]] in _SHORT:
+        high, low = (F.col(c).cast("decimal(19,0)") for c in order_cols)
+        # 32 bits for the second number, shifted to be positive
+        return (high * F.lit(Decimal(2**32)) + low + F.lit(Decimal(2**31))).cast("decimal(38,0)")
+    return F.struct(*[F.col(c) for c in order_cols])
+
+
 def dedup_first(df: DataFrame, order_cols: Sequence[str], text_col: str = "text") -> DataFrame:
-    """Keep the first row (by ``order_cols``) of every distinct stripped text."""
-    others = [c for c in df.columns if c not in order_cols]
-    packed = F.struct(*[F.col(c) for c in order_cols], *[F.col(c) for c in others])
-    first = (df.select(*_key_cols(text_col), packed.alias("__r"))
-             .groupBy("__h", "__n").agg(F.min("__r").alias("__r")))
-    return first.select(*[F.col("__r." + c).alias(c) for c in order_cols + others])
+    """Keep the first row (by ``order_cols``, which identify a row and are not null) of every distinct stripped text."""
+    order = list(order_cols)
+    first = (df.select(*_key_cols(text_col), _order_key(df, order).alias("__o"))
+             .groupBy("__h", "__n").agg(F.min("__o").alias("__o")).select("__o"))
+    kept = df.withColumn("__o", _order_key(df, order)).join(first, "__o", "left_semi")
+    return kept.select(*order, *[c for c in df.columns if c not in order])
 
 
 def dedup_stats(df: DataFrame, text_col: str = "text") -> DataFrame:

@@ -151,21 +151,15 @@ def group_totals(df: DataFrame, partition_by: Sequence | None, weight=None,
 
 
 def top_k_per_group(df: DataFrame, partition_by: Sequence, order_by: Sequence, k: int,
-                    sub_bucket: Column, out: str | None = None) -> DataFrame:
-    """Exactly ``k`` rows per group by a unique ``order_by``, in two stages.
+                    out: str | None = None) -> DataFrame:
+    """Exactly ``k`` rows per group by a unique ``order_by``.
 
-    Stage one keeps the top ``k`` inside each (group, sub_bucket) slice, so a
-    hot group is spread over many tasks; stage two ranks the at most
-    ``k * sub-buckets`` survivors per group.
+    Spark plans the filtered row number with a group limit before the shuffle, so every
+    task sends at most ``k`` rows of a group, however hot the group is.
     """
-    parts = _cols(partition_by)
-    orders = _cols(order_by)
-    d = df.withColumn("__sb", sub_bucket)
-    local = d.withColumn("__r1", F.row_number().over(Window.partitionBy(*parts, "__sb").orderBy(*orders)))
-    local = local.filter(F.col("__r1") <= k).drop("__r1", "__sb")
-    name = out or "__r2"
-    ranked = local.withColumn(name, F.row_number().over(Window.partitionBy(*parts).orderBy(*orders)))
-    ranked = ranked.filter(F.col(name) <= k)
+    name = out or "__rank"
+    window = Window.partitionBy(*_cols(partition_by)).orderBy(*_cols(order_by))
+    ranked = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= k)
     return ranked if out else ranked.drop(name)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from .vocab import BOS_ID, EOS_ID, PAD_ID, UNK_ID
 
-MAX_BROADCAST_VOCAB = 2_000_000
+MAX_BROADCAST_VOCAB_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -54,9 +54,11 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def vocab_fits_broadcast(vocab: DataFrame, max_rows: int = MAX_BROADCAST_VOCAB) -> bool:
-    """Checked size bound: true when the (materialised) vocabulary has at most ``max_rows``."""
-    return vocab.count() <= max_rows
+def vocab_fits_broadcast(vocab: DataFrame, max_bytes: int = MAX_BROADCAST_VOCAB_BYTES) -> bool:
+    """Checked size bound: true when the pieces of the (materialised) vocabulary, with 24 bytes
+    for the rest of each row, take at most ``max_bytes`` (a "word" may be very long)."""
+    size = vocab.agg(F.coalesce(F.sum(F.octet_length("piece") + 24), F.lit(0))).first()[0]
+    return size <= max_bytes
 
 
 def encode_words(lines: DataFrame, vocab: DataFrame, key_cols, text_col: str = "line",

@@ -256,8 +256,8 @@ def _dataset(spark, sf_dir):
     return Q.seq_length_filter(I.wrapped_from(_tokens(spark, sf_dir)), "ids", I.BLOCK)
 
 
-def _batched(spark, sf_dir):
-    d = _dataset(spark, sf_dir)
+def _batched(spark, sf_dir, dataset=None):
+    d = dataset or _dataset(spark, sf_dir)
     shuf = splits.epoch_shuffle(d, ["doc_id", "line_no"], [0], I.SEED).drop("epoch")
     return splits.assign_batches(shuf, I.BATCH_SIZE)
 
@@ -294,8 +294,8 @@ def q_assign_batches(spark, sf_dir):
 SELECT doc_id, line_no, batch_id FROM bat
 WHERE batch_id < (SELECT count(*) FROM bat) // {I.BATCH_SIZE}""")
 def q_drop_last(spark, sf_dir):
-    b = _batched(spark, sf_dir).select("doc_id", "line_no", "batch_id")
-    return splits.drop_last(b, b.count(), I.BATCH_SIZE)
+    d = _dataset(spark, sf_dir)  # counted before it is ranked: the ranking keeps its rows
+    return splits.drop_last(_batched(spark, sf_dir, d).select("doc_id", "line_no", "batch_id"), d.count(), I.BATCH_SIZE)
 
 
 @register("batch_plan", S.with_(*_DS) + f"""
@@ -708,7 +708,7 @@ def q_stream_normalize(spark, sf_dir):
 def q_stream_dedup(spark, sf_dir):
     ev = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
-    dd = streaming.dedup_stream(ev, ["props"])
+    dd = streaming.dedup_stream(ev, ["props"])  # exact: no watermark
     out = streaming.run_available_now(dd.select("props"), "dedup")
     return spark.read.parquet(out)
 
