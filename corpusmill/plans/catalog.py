@@ -257,7 +257,7 @@ def _dataset(spark, sf_dir):
 
 
 def _batched(spark, sf_dir, dataset=None):
-    d = dataset or _dataset(spark, sf_dir)
+    d = dataset if dataset is not None else _dataset(spark, sf_dir)
     shuf = splits.epoch_shuffle(d, ["doc_id", "line_no"], [0], I.SEED).drop("epoch")
     return splits.assign_batches(shuf, I.BATCH_SIZE)
 
