@@ -2,10 +2,11 @@
 
 * Lexicon: words and word beginnings (stems) whose presence speaks for the label, learned from labelled rows;
   each term has a weight (log odds) for one, two, and three or more occurrences in a text.
-  The terms are kept in a trie.
-* Misspellings: the Levenshtein automaton of a word (one edit from 5 characters on, two from 9 on) is run over the
-  trie, so all lexicon words within the distance are found in one walk; swaps of neighbours are looked up.  A word is
-  walked only if it shares an exact part with a term, which any such misspelling must.
+  All terms are kept in tries, one for the terms of one size that have the same part.
+* Misspellings: the Levenshtein automaton of a word (terms have one edit from 5 characters on, two from 9 on) is run over
+  the tries of its own parts, as any misspelling must share an exact part with its term; so all lexicon words, and all
+  stems as beginnings, within the distance are found.  Swaps of neighbours are looked up.  Their weight is learned apart
+  from that of the term itself, so a term that common words resemble counts for little when misspelled.
 * Context: a window of words around each hit tells quotation (quote marks around it, words
   of reporting) from abuse (other hits, address in the second person) and scales the hit's weight.
 * Score: logistic regression on the hits' weights and context, fitted to the same rows.
@@ -36,7 +37,6 @@ from .labelled import held_out, training_texts
 
 MAX_TRAIN = 9_000
 MAX_TERMS = 3_000
-SPELLED = 24  # words whose misspellings are looked for
 STEM = range(3, 9)
 WINDOW = 6
 REMEMBERED = 400_000
@@ -44,39 +44,37 @@ WORDS = re.compile(r"\w+")
 #: fixed word lists of the context window
 ADDRESS = frozenset("you your yours u ur tu te toi ton vous votre du dich dir dein ihr euch eres usted ustedes".split())
 REPORT = frozenset("said says say called calls call word words term quote quoted quotes wrote writes article report means meaning".split())
-QUOTES = "\"“”„«»‘’"
+QUOTE = re.compile("[\"“”„«»‘’]")
 
 
 class Lexicon:
-    """Trie of terms; ``terms`` maps a term (words: as is, stems: with a final *) to three weights."""
+    """Tries of terms; ``terms`` maps a term (words: as is, stems: with a final *) to three weights and, if learned, that
+    of its misspellings."""
 
     def __init__(self, terms: dict[str, tuple]):
         self.terms = terms
-        self.root: dict = {}
-        self.parts: dict[tuple, bool] = {}
-        self.swapped: dict[str, str] = {}
-        # misspellings are looked for only of words with clear evidence
-        strong = sorted((t for t in terms if not t.endswith("*")), key=lambda t: (-terms[t][0], t))
-        self.spelled = frozenset(strong[:SPELLED])
         self.stems = frozenset(t[:-1] for t in terms if t.endswith("*"))
+        #: by size of the terms and whether they are stems: place and tries of each of the k + 1 parts
+        self.parts: dict[tuple[int, bool], list[tuple[int, int, dict]]] = {}
+        self.plans: dict[int, list[tuple]] = {}
+        self.swapped: dict[str, list[str]] = {}
         for t in terms:
-            if t.endswith("*"):
+            spelled = t.rstrip("*")
+            k = self.edits(len(spelled))
+            if not k:
                 continue
-            if t not in self.spelled:
-                continue
-            node = self.root
-            for c in t:
-                node = node.setdefault(c, {})
-            node[""] = t
-            k = self.edits(len(t)) if t in self.spelled else 0
-            if k:  # k edits leave one of k + 1 parts as it is, moved by k at most
-                for a, b in self._cuts(len(t), k):
-                    for d in range(-k, k + 1):
-                        for e in range(-k, k + 1):
-                            self.parts[(t[a:b], a + d, len(t) + e)] = True
-                self.swapped.update((t[:i] + t[i + 1] + t[i] + t[i + 2:], t) for i in range(len(t) - 1) if t[i] != t[i + 1])
-        self.sizes = sorted({b - a for t in self.spelled if self.edits(len(t))
-                             for a, b in self._cuts(len(t), self.edits(len(t)))})
+            key = len(spelled), t != spelled
+            if key not in self.parts:
+                self.parts[key] = [(a, b, {}) for a, b in self._cuts(len(spelled), k)]
+            for a, b, roots in self.parts[key]:
+                node = roots.setdefault(spelled[a:b], {})
+                for c in spelled:
+                    node = node.setdefault(c, {})
+                node[""] = t
+            star = t[len(spelled):]
+            for i in range(len(spelled) - 1):
+                if spelled[i] != spelled[i + 1]:
+                    self.swapped.setdefault(spelled[:i] + spelled[i + 1] + spelled[i] + spelled[i + 2:] + star, []).append(t)
         self.known: dict[str, tuple] = {}
 
     @staticmethod
@@ -89,45 +87,75 @@ class Lexicon:
         at = [round(i * size / n) for i in range(n + 1)]
         return list(zip(at, at[1:]))
 
-    def fuzzy(self, word: str) -> list[tuple[str, int]]:
-        """Terms within their distance of ``word``: the word's automaton against the trie.
+    def plan(self, n: int) -> list[tuple]:
+        """For words of ``n`` characters: ``(from, to, tries, edits)`` of the places that may be an exact part of a term.
 
-        The automaton's state is a row of the edit-distance table; a state whose least entry is
-        over the limit is dead, and the walk does not enter the subtree below.
+        At most k edits leave one of k + 1 parts as it is.  If it is the first, it is not moved; if it is the last, the edits all lie
+        before it; the middle one of three is needed only with one edit before it and one after it at most.
         """
-        limit, found = (2 if len(word) >= 7 else 1), []
-
-        def walk(node, row):
-            for c, child in node.items():
-                if c == "":
-                    if 0 < row[-1] <= self.edits(len(child)):
-                        found.append((child, row[-1]))
+        out = []
+        for (size, stem), parts in self.parts.items():
+            k = self.edits(size)
+            for extra in range(-k, k + 1):  # characters that the word, or its beginning that is like a stem, has more
+                if not (size + extra <= n if stem else size + extra == n):
                     continue
-                new = [row[0] + 1]
-                for j, w in enumerate(word):
-                    new.append(min(new[-1] + 1, row[j + 1] + 1, row[j] + (w != c)))
-                if min(new) <= limit:
-                    walk(child, new)
-
-        walk(self.root, list(range(len(word) + 1)))
+                for i, (a, b, roots) in enumerate(parts):
+                    moves = [0] if i == 0 else [extra] if i == k else [d for d in (-1, 0, 1) if abs(extra - d) <= 1]
+                    out += [(a + d, b + d, roots, k) for d in moves if a + d >= 0 and b + d <= n]
+        places = {(a, b, id(roots)): (a, b, roots, k) for a, b, roots, k in out}
+        self.plans[n] = list(places.values())
+        return self.plans[n]
+
+    def fuzzy(self, word: str) -> dict[str, int]:
+        """Terms within their distance of ``word`` (of a beginning of it, for stems): its automaton against the tries.
+
+        Bit ``i`` of the automaton's state ``r[d]`` says that the first ``i`` characters of the word are
+        reached with ``d`` edits at most; without any bit the walk does not enter the subtree below.
+        """
+        n, found = len(word), {}
+        full, end = (2 << n) - 1, 1 << n
+        masks: dict[str, int] = {}
+        for a, b, roots, k in self.plans.get(n) or self.plan(n):
+            root = roots.get(word[a:b])
+            if root is None:
+                continue
+            if not masks:
+                for i, c in enumerate(word):
+                    masks[c] = masks.get(c, 0) | 1 << i
+            todo = [(root, 1, 3, 7 & full if k > 1 else 0)]
+            while todo:
+                node, r0, r1, r2 = todo.pop()
+                for c, child in node.items():
+                    if c == "":
+                        accept = full if child[-1] == "*" else end
+                        if not r0 & accept:
+                            if r1 & accept:
+                                found[child] = 1
+                            elif r2 & accept:
+                                found[child] = 2
+                        continue
+                    m = masks.get(c, 0)
+                    s0 = (r0 & m) << 1
+                    s1 = ((r1 & m) << 1 | r0 | r0 << 1 | s0 << 1) & full
+                    s2 = ((r2 & m) << 1 | r1 | r1 << 1 | s1 << 1) & full if k > 1 else 0
+                    if s1 or s2:
+                        todo.append((child, s0, s1, s2))
         return found
 
     def lookup(self, word: str) -> tuple:
-        """Hits of a word: ``(term, edits)``; at most one per kind."""
+        """Hits of a word: ``(term, edits)``; a word that is itself a term is no misspelling of others."""
         hits = []
         if word in self.terms:
             hits.append((word, 0))
         for k in STEM:
             if k <= len(word) and word[:k] in self.stems:
                 hits.append((word[:k] + "*", 0))
-        if not hits and word in self.swapped:
-            hits.append((self.swapped[word], 1))
-        if not hits and len(word) >= 4:
-            parts = self.parts
-            if any((word[a:a + s], a, len(word)) in parts for s in self.sizes for a in range(len(word) - s + 1)):
-                near = self.fuzzy(word)
-                if near:
-                    hits.append(min(near, key=lambda x: (x[1], x[0])))
+        if len(word) >= 4 and word not in self.terms:
+            near = self.fuzzy(word)
+            for form in (word, *[word[:k] + "*" for k in STEM if 5 <= k <= len(word)]):
+                for t in self.swapped.get(form, ()):
+                    near[t] = 1
+            hits += sorted((x for x in near.items() if (x[0], 0) not in hits), key=lambda x: (x[1], x[0]))
         if len(self.known) >= REMEMBERED:
             self.known.clear()
         self.known[word] = tuple(hits)
@@ -141,37 +169,52 @@ class Lexicon:
         hits = [(i, h) for i, w in enumerate(words) if (h := known[w] if w in known else lookup(w))]
         if not hits:
             return [0.0] * N_FEATURES
-        count, edited = Counter(), 0
-        for _, hs in hits:
-            for t, d in hs:
-                count[t] += 1
-                edited += d > 0
-        exact = {t for _, hs in hits for t, d in hs if not d}
-        # a term's weight by how often it occurs; misspelled ones count for less
-        weight = {t: self.terms[t][min(n, 3) - 1] * (1.0 if t in exact else 0.7) for t, n in count.items()}
+        count = Counter(t for _, hs in hits for t, d in hs if not d)
+        # a term's weight by how often it occurs; that of misspelled ones is learned by itself
+        weight = {t: self.terms[t][min(n, 3) - 1] for t, n in count.items()}
+        edited = sum(all(d for _, d in hs) for _, hs in hits)
         at = [i for i, _ in hits]
-        spans = [m.span() for m in WORDS.finditer(low)]
+        # only texts with quotation marks need the places of words
+        spans = [m.span() for m in WORDS.finditer(low)] if QUOTE.search(low) else None
         quoted = near = address = 0
         best: dict[str, float] = {}
+        bent: dict[str, float] = {}
         for k, (i, hs) in enumerate(hits):
             others = (k > 0 and i - at[k - 1] <= WINDOW) + (k + 1 < len(at) and at[k + 1] - i <= WINDOW)
             window = words[max(0, i - WINDOW):i + WINDOW + 1]
-            you = any(w in ADDRESS for w in window)
-            a, b = spans[i]
-            left, right = low[max(0, a - 60):a], low[b:b + 60]
-            marks = any(left.count(q) for q in QUOTES) and any(right.count(q) for q in QUOTES)
-            quote = bool(marks) or any(w in REPORT for w in window)
+            you = not ADDRESS.isdisjoint(window)
+            quote = not REPORT.isdisjoint(window)
+            if spans and not quote:
+                a, b = spans[i]
+                quote = bool(QUOTE.search(low, max(0, a - 60), a) and QUOTE.search(low, b, b + 60))
             quoted, near, address = quoted + quote, near + (others > 0), address + you
             factor = 0.5 if quote and not you else 1.0
-            for t, _ in hs:
-                best[t] = max(best.get(t, -9.0), weight[t] * factor)
-        tops = sorted(best.values(), reverse=True)[:5]
+            for t, d in hs:
+                if not d:
+                    best[t] = max(best.get(t, -9.0), weight[t] * factor)
+                elif t not in count:
+                    bent[t] = max(bent.get(t, -9.0), self.bent(t) * factor)
+        tops = sorted(best.values(), reverse=True)[:5] or [0.0]
         n = len(hits)
+        bends = sorted((x for x in bent.values() if x > 0), reverse=True)[:3] or [0.0]
         return [tops[0], sum(tops[:3]), sum(max(x, 0.0) for x in tops), math.log1p(n), math.log1p(edited), quoted / n, near / n,
-                address / n, min(1.0, 20.0 * n / len(words)), 1.0]
+                address / n, min(1.0, 20.0 * n / len(words)), 1.0, bends[0], sum(bends)]
+
+    def bent(self, term: str) -> float:
+        """The weight of a term's misspellings."""
+        w = self.terms[term]
+        return w[3] if len(w) > 3 else 0.7 * w[0]
 
 
-N_FEATURES = 10
+N_FEATURES = 12
+_LAST: list[Lexicon] = []
+
+
+def lexicon_of(terms: dict[str, tuple]) -> Lexicon:
+    """The lexicon of ``terms``; a Python worker keeps its last one, with the words it remembers, for its next task."""
+    if not _LAST or _LAST[0].terms != terms:
+        _LAST[:] = [Lexicon(terms)]
+    return _LAST[0]
 
 
 def terms_of(text: str):
@@ -237,6 +280,26 @@ def prune(terms: dict[str, tuple], seen: dict[str, int]) -> dict[str, tuple]:
     return kept
 
 
+def weigh_edits(train: DataFrame, terms: dict[str, tuple], n_pos: int, n_neg: int) -> dict[str, tuple]:
+    """Add to each term the weight of its misspellings: their log odds, drawn to 0.7 of the term's first weight."""
+    def counts(batches):
+        lexicon, total = lexicon_of(terms), Counter()
+        for pdf in batches:
+            for text, y in zip(pdf["text"], pdf["y"]):
+                hits = [h for w in set(WORDS.findall(text.lower())) for h in (lexicon.known[w] if w in lexicon.known else lexicon.lookup(w))]
+                total.update((t, y) for t in {t for t, d in hits if d} - {t for t, d in hits if not d})
+        yield pd.DataFrame([(t, y, n) for (t, y), n in total.items()], columns=["term", "y", "n"])
+
+    table = train.select("text", "y").mapInPandas(counts, "term string, y int, n long")
+    seen = {(r["term"], r["y"]): r["n"] for r in table.groupBy("term", "y").agg(F.sum("n").alias("n")).collect()}
+    out = {}
+    for t, w in terms.items():
+        c1, c0 = seen.get((t, 1), 0), seen.get((t, 0), 0)
+        odds = math.log((c1 + 0.5) / (n_pos + 1)) - math.log((c0 + 0.5) / (n_neg + 1))
+        out[t] = (*w, (0.7 * w[0] * 4 + odds * (c1 + c0)) / (4 + c1 + c0))
+    return out
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 60) -> np.ndarray:
     """Weights of logistic regression with a ridge, by Newton's method; the last column is the constant."""
     w = np.zeros(x.shape[1])
@@ -260,9 +323,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: int
     if not pos or not neg:
         return {"terms": {}, "w": None, "base": pos / (pos + neg) if pos + neg else 0.0}
     terms = learn_lexicon(train, pos, neg)
+    terms = weigh_edits(train, terms, pos, neg)
 
     def rows(batches):
-        lexicon = Lexicon(terms)
+        lexicon = lexicon_of(terms)
         for pdf in batches:
             yield pd.DataFrame({"y": pdf["y"], "x": [lexicon.features(t) for t in pdf["text"]]})
 
@@ -272,8 +336,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: int
 
 
 def design(f: list[float]) -> list[float]:
-    """Features with the constant last (the last feature is 1 if there is any hit)."""
-    return [*[v / s for v, s in zip(f, (4, 8, 10, 1, 1, 1, 1, 1, 1, 1))], 1.0]
+    """Features with the constant last (the tenth feature is 1 if there is any hit)."""
+    return [*[v / s for v, s in zip(f, (4, 8, 10, 1, 1, 1, 1, 1, 1, 1, 4, 8))], 1.0]
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text", out: str = "score", keep_text: bool = True) -> DataFrame:
@@ -283,7 +347,7 @@ def score(docs: DataFrame, model: dict, text_col: str = "text", out: str = "scor
     names = [f.name for f in kept]
 
     def run(batches):
-        lexicon = Lexicon(terms)
+        lexicon = lexicon_of(terms)
         for b in batches:
             texts = b.column(text_col)
             values = []

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import struct
 import zlib
 
@@ -66,6 +67,48 @@ def test_misspellings_and_quotation():
     assert abuse[0] > quote[0] and abuse[5] < quote[5]
 
 
+def test_misspellings_of_all_terms():
+    # 40 words with clearer evidence, and 40 of four letters, take no place from the others
+    terms = {f"strong{chr(97 + i // 8)}{chr(97 + i % 8)}word": (6.0, 6.0, 6.0) for i in range(40)}
+    terms |= {f"q{chr(97 + i // 8)}{chr(97 + i % 8)}z": (7.0, 7.0, 7.0) for i in range(40)}
+    lexicon = toxicity.Lexicon(terms | {"worthless": (2.0, 2.0, 2.0), "moron": (2.0, 2.0, 2.0), "disgust*": (2.0, 2.0, 2.0)})
+    for word, term, edits in [("wrthles", "worthless", 2), ("owrthless", "worthless", 1), ("worthlessly", "worthless", 2), ("mor0n", "moron", 1),
+                              ("disgxsting", "disgust*", 1), ("dsigustingly", "disgust*", 1), ("xdisgusted", "disgust*", 1)]:
+        assert (term, edits) in lexicon.lookup(word)
+        assert any(lexicon.features(f"so {word} a thing"))
+    assert lexicon.lookup("harbour") == ()
+
+
+def test_misspellings_match_brute_force():
+    def row(term, word):
+        last = list(range(len(word) + 1))
+        for i, c in enumerate(term):
+            new = [i + 1]
+            for j, w in enumerate(word):
+                new.append(min(new[-1] + 1, last[j + 1] + 1, last[j] + (w != c)))
+            last = new
+        return last
+
+    rng = random.Random(5)
+    some = lambda a, b: "".join(rng.choice("abcé") for _ in range(rng.randint(a, b)))
+    terms = {t: (1.0, 1.0, 1.0) for t in [*(some(3, 13) for _ in range(60)), *(some(3, 8) + "*" for _ in range(20))]}
+    lexicon, found = toxicity.Lexicon(terms), 0
+    for _ in range(400):
+        word = list(rng.choice(sorted(terms)).rstrip("*"))
+        for _ in range(rng.randint(0, 3)):
+            i = rng.randint(0, len(word))
+            word[i:i + rng.randint(0, 1)] = some(0, 1)
+        word, want = "".join(word) + some(0, 2), {}
+        for t in terms:
+            d = row(t.rstrip("*"), word)
+            d = min(d) if t.endswith("*") else d[-1]
+            if 0 < d <= lexicon.edits(len(t.rstrip("*"))):
+                want[t] = d
+        assert lexicon.fuzzy(word) == want
+        found += len(want)
+    assert found > 100
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     names, columns, kept = [n for n, _ in corpus_pipeline.STAGES], docs.columns, {"": docs}
