@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.neardup import connected_components
 from ..sources.sinks import materialize
@@ -203,6 +204,12 @@ def verify(pairs: DataFrame, rows: DataFrame, points: DataFrame, n_words: int) -
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS,
                        threshold=THRESHOLD, leaf: int = LEAF) -> DataFrame:
     """``id, n_shingles, component_id`` of each row; ``threshold`` is a fraction (numerator, denominator)."""
+    out = _components(docs, id_col, text_col, n_words, threshold, leaf)
+    return out.select("id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, n_words: int = N_WORDS, threshold=THRESHOLD, leaf: int = LEAF) -> DataFrame:
+    """``id, node, n_shingles, label, component_id`` of each row; label is a node of the component, null as node without words."""
     num, den = threshold
     eps = 1 - num / den
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -284,17 +291,46 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         heads = nodes.groupBy("label").agg(F.min("low").alias("component_id"))
         nodes = nodes.join(heads, "label")
     else:
-        nodes = nodes.withColumn("component_id", F.col("low"))
-    out = points.select("id", "node", "n").join(nodes.select("node", "component_id"), "node", "left")
-    return out.select("id", F.col("n").alias("n_shingles"),
+        nodes = nodes.withColumns({"label": F.col("node"), "component_id": F.col("low")})
+    out = points.select("id", "node", "n").join(nodes.select("node", "label", "component_id"), "node", "left")
+    return out.select("id", "node", F.col("n").alias("n_shingles"), "label",
                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **args) -> DataFrame:
-    """One row of each component: that of the component's id, and all rows without words."""
-    comp = jaccard_components(docs, id_col, text_col, **args)
-    losers = comp.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__id"))
-    return docs.join(losers, docs[id_col].eqNullSafe(losers["__id"]), "left_anti")
+def _with_node(docs: DataFrame, text_col: str, n_words: int) -> DataFrame:
+    """``docs`` with ``__node``, null for texts without words."""
+    def run(batches):
+        for b in batches:
+            for first, texts in batches_of(b.column(text_col)):
+                nodes = [node_of(s) if len(s) else None for s in shingle_sets(texts, n_words)]
+                yield pa.RecordBatch.from_arrays([*b.slice(first, len(texts)).columns, pa.array(nodes, pa.int64())],
+                                                 [*b.schema.names, "__node"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS, **args) -> DataFrame:
+    """One row of each component, and all rows without words.
+
+    The row with the smallest id stays (a null id comes last; of texts with one id that with the smallest node; of rows that
+    have both in common that with the smallest text).  Rows go by id and node, so an id that other texts
+    repeat, or null, takes no other row along.
+    """
+    comp = materialize(_components(docs, id_col, text_col, n_words, **args), "jaccard-components")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "node")
+    heads = comp.filter("n_shingles > 0").groupBy("label").agg(F.min(rank).alias("head"))
+    heads = materialize(heads.select("label", F.col("head.id").alias("hid"), F.col("head.node").alias("hnode")), "jaccard-heads")
+    lost = comp.join(heads, "label").filter(~(F.col("id").eqNullSafe(F.col("hid")) & (F.col("node") == F.col("hnode"))))
+    # an id with one row goes by itself; the rows of others are told apart by their nodes
+    shared = materialize(comp.groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1").select("id"), "jaccard-shared")
+    gone = lost.select(F.col("id").alias("__id")).unionByName(shared.select(F.col("id").alias("__id"))).distinct()
+    out = docs.join(gone, docs[id_col].eqNullSafe(gone["__id"]), "left_anti")
+    if not shared.limit(1).count():
+        return out
+    some = _with_node(docs.join(shared, docs[id_col].eqNullSafe(shared["id"]), "left_semi"), text_col, n_words)
+    kept = some.join(heads, some[id_col].eqNullSafe(heads["hid"]) & (some["__node"] == heads["hnode"]), "left_semi")
+    kept = kept.groupBy(id_col, "__node").agg(F.min_by(F.struct(*docs.columns), text_col).alias("__row")).select("__row.*")
+    return out.unionByName(kept).unionByName(some.filter("__node is null").drop("__node"))
 
 
 def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:
