@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (exact_dedup, jaccard_join, mixing, nearest, pii, piece_codec, quality, suffix_dedup, token_counts,
-               toxicity)
+from . import (divergence, exact_dedup, filter_audit, jaccard_join, mixing, nearest, pii, piece_codec, quality,
+               sharding, suffix_dedup, token_counts, toxicity)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -16,10 +16,15 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_nearest": nearest.op9_nearest,
     "op10_quality": quality.op10_quality,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_sharding": sharding.op12_sharding,
+    "op13_divergence": divergence.op13_divergence,
 }
 
 ORACLE = {
     "op2_mixing": mixing.OP2_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op9_nearest": nearest.OP9_SQL,
+    "op11_filter_audit": filter_audit.OP11_SQL,
+    "op13_divergence": divergence.OP13_SQL,
 }
