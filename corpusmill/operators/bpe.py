@@ -1,22 +1,37 @@
-"""BPE vocabulary training and subword encoding.
-
-Training is an iterative Spark job over the word-frequency table ``(word,
-count)``: each round counts adjacent symbol pairs weighted by word frequency
-(an aggregate with map-side combine), takes the best pair by (count desc,
-left, right) -- one row to the driver -- and merges it inside every word that
-contains it with an ``aggregate`` higher-order function.  Exactly one merge
-per round, as sequential BPE defines it; each round's word table is cached (filled by the next round's count, so a
-merge is applied once) and re-materialised in the shared checkpoint folder
-every few rounds to keep the lineage short.
-
-Encoding applies the learned merges to each *distinct* word once (a small
-Python helper in ``mapInPandas`` with the merge table, bounded by the target
-vocabulary size, broadcast), then joins word occurrences with that table.
+"""BPE vocabulary training and subword encoding.
+
+Training gives exactly the merges of sequential BPE (the most frequent adjacent pair first, ties by
+left and right symbol), many to a round.  The words, as arrays of symbol ids with their frequencies, stay
+distributed and are written once a round:
+
+1. Pairs are counted in Arrow batches and summed by Spark.  The pairs that occur at least ``floor``
+   times are *live*; ``floor`` is the least value for which they and step 2 keep within bounds.
+2. Words are cut where a pair is not live.  What is left, *chains* of live pairs, is summed up
+   over all words and goes to the driver: at most ``MAX_SYMBOLS`` symbols, whatever the corpus.
+3. The driver merges on the chains alone (:class:`_Chains`).  A pair that a merge creates stems from
+   a pair of the start of the round: it is in the chains if that one was live, and rarer than ``floor`` if
+   not.  So while the best pair counts ``floor`` or more, its choice and count are those of the
+   whole corpus.  A merge may give a string that another merge has given; then the pairs of that symbol
+   have several origins, some of them not in the chains; the round ends where they could matter.
+4. The merges of the round are applied to all words, in order.
+
+A round has at least one merge, usually hundreds; the next round starts from new counts.
+
+Encoding applies the merges in order to each *distinct* word (a linked list and a heap, linear but for
+a logarithm in the word's length), then joins word occurrences with that table.
+
+With a coverage below 1 characters outside the covered alphabet are no symbols: training cuts
+words there, and encoding writes them as UTF-8 byte pieces, if the vocabulary has them, or UNK.
 """
 
 from __future__ import annotations
 
+import heapq
+from bisect import bisect_right
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,131 +39,388 @@ from ..functions import text as T
 from ..sources.sinks import materialize
 from .vocab import UNK_ID, WORD_START
 
-SEP = "\u0001"  # joins symbols into one string for containment tests; never inside text pieces
+#: bounds of what a round brings to the driver: symbols in chains, live pairs
+MAX_SYMBOLS, MAX_PAIRS = 250_000, 100_000
 
 
 def _symbols(word: Column) -> Column:
     return F.regexp_extract_all(F.concat(F.lit(WORD_START), word), F.lit("(?s)."), 0)
 
 
-def _merge_expr(sym: Column, left: str, right: str) -> Column:
-    joined = left + right
+def alphabet(words: DataFrame, word_col: str = "word", count_col: str = "count", coverage: float = 1.0) -> list[str]:
+    """Base symbols by (frequency desc, symbol): the most frequent ones whose share reaches ``coverage``,
+    and the word start.  Bounded by the size of Unicode."""
+    chars = (words.select(F.explode(_symbols(F.col(word_col))).alias("ch"), F.col(count_col).alias("c"))
+             .groupBy("ch").agg(F.sum("c").alias("n")).collect())
+    chars.sort(key=lambda r: (-r["n"], r["ch"]))
+    total, seen, kept = sum(r["n"] for r in chars), 0, []
+    for r in chars:
+        # whole numbers: the share before this character is below the coverage
+        if seen * 10_000_000 < total * round(coverage * 10_000_000) or r["ch"] == WORD_START:
+            kept.append(r["ch"])
+        seen += r["n"]
+    return kept
+
+
+# ------------------------------------------------------------------ one round on the driver
+
+class _Chains:
+    """Merges on chains of live pairs, as linked lists over flat arrays."""
+
+    def __init__(self, flat: np.ndarray, lens: np.ndarray, weights: np.ndarray, names: list[str], floor: int):
+        self.names, self.ids, self.floor = names, {s: i for i, s in enumerate(names)}, floor
+        n, ends = len(flat), np.cumsum(lens)
+        self.sym = flat.astype(np.int64)
+        self.nxt = np.arange(1, n + 1)
+        self.nxt[ends - 1] = -1
+        self.prv = np.arange(-1, n - 1)
+        self.prv[ends - lens] = -1
+        self.weight = np.repeat(weights, lens)
+        left = np.flatnonzero(self.nxt >= 0)
+        self.count: dict[int, int] = {}
+        self.at: dict[int, list] = {}
+        self.pairs_of: dict[int, set] = {}
+        self.heap: list = []
+        self._add(left)
+        heapq.heapify(self.heap)
+        self.live = set(self.count)
+        # symbols of the round's start that a symbol's occurrences may begin and end with
+        self.first: dict[int, frozenset] = {}
+        self.last: dict[int, frozenset] = {}
+        self.loose: list = []  # pairs with an origin outside the chains, by their greatest possible count
+        self.origins = 1       # greatest number of origins of any pair
+
+    def _keys(self, left):
+        return self.sym[left] << 32 | self.sym[self.nxt[left]]
+
+    def _sums(self, left):
+        keys, inverse = np.unique(self._keys(left), return_inverse=True)
+        sums = np.zeros(len(keys), dtype=np.int64)
+        np.add.at(sums, inverse, self.weight[left])
+        return keys.tolist(), sums.tolist(), inverse
+
+    def _add(self, left, offer=list.append):
+        """Count the pairs that start at ``left``."""
+        keys, sums, inverse = self._sums(left)
+        places = np.split(left[np.argsort(inverse, kind="stable")], np.cumsum(np.bincount(inverse, minlength=len(keys)))[:-1]) if keys else []
+        for key, s, p in zip(keys, sums, places):
+            if key not in self.count:
+                for x in (key >> 32, key & 0xFFFFFFFF):
+                    self.pairs_of.setdefault(x, set()).add(key)
+            self.count[key] = c = self.count.get(key, 0) + s
+            self.at.setdefault(key, []).append(p)
+            offer(self.heap, (-c, self.names[key >> 32], self.names[key & 0xFFFFFFFF], key))
+
+    def _outside(self, key: int) -> int:
+        """How many origins of a pair are not in the chains."""
+        l, r = key >> 32, key & 0xFFFFFFFF
+        return sum((x << 32 | y) not in self.live for x in self.last.get(l, (l,)) for y in self.first.get(r, (r,)))
+
+    def _upper(self, key: int) -> int:
+        return self.count.get(key, 0) + self._outside(key) * (self.floor - 1)
+
+    def _certain(self, key: int, c: int) -> bool:
+        """Whether a pair of count ``c`` that leads in the chains leads in the corpus, with that count."""
+        if self._outside(key) * (self.floor - 1):
+            return False
+        while self.loose:
+            bound, other = -self.loose[0][0], self.loose[0][1]
+            now = self._upper(other)
+            if now == self.count.get(other, 0):
+                heapq.heappop(self.loose)
+            elif now < bound:
+                heapq.heapreplace(self.loose, (-now, other))
+            elif bound >= c:
+                return False
+            else:
+                break
+        return self.origins == 1 or self.origins * (self.floor - 1) < c
+
+    def merges(self, limit: int) -> list[tuple[int, int, int, int]]:
+        """``(left, right, merged, count)``, as many as are certain and at most ``limit``; extends ``names``."""
+        out = []
+        while self.heap and len(out) < limit:
+            c, key = -self.heap[0][0], self.heap[0][3]
+            now = self.count[key]
+            if now != c:
+                if now:
+                    heapq.heapreplace(self.heap, (-now, *self.heap[0][1:]))
+                else:
+                    heapq.heappop(self.heap)
+                continue
+            if c < self.floor or not self._certain(key, c):
+                break
+            l, r = key >> 32, key & 0xFFFFFFFF
+            name = self.names[l] + self.names[r]
+            m = self.ids.get(name)
+            first, last = self.first.get(l, frozenset((l,))), self.last.get(r, frozenset((r,)))
+            if m is None:
+                m = self.ids[name] = len(self.names)
+                self.names.append(name)
+                self.first[m], self.last[m] = first, last
+            else:
+                self.first[m] = self.first.get(m, frozenset((m,))) | first
+                self.last[m] = self.last.get(m, frozenset((m,))) | last
+                self.origins = max(map(len, self.first.values())) * max(map(len, self.last.values()))
+            self._merge(key, l, r, m)
+            if len(self.first[m]) > 1 or len(self.last[m]) > 1:
+                for other in self.pairs_of.get(m, ()):
+                    heapq.heappush(self.loose, (-self._upper(other), other))
+            out.append((l, r, m, c))
+        return out
+
+    def _merge(self, key, l, r, m):
+        sym, nxt, prv = self.sym, self.nxt, self.prv
+        p = np.unique(np.concatenate(self.at.pop(key)))
+        p = p[(sym[p] == l) & (nxt[p] >= 0)]
+        p = p[sym[nxt[p]] == r]
+        if l == r:  # of overlapping pairs the left one
+            chosen, taken = [], -1
+            for x, y in zip(p.tolist(), nxt[p].tolist()):
+                if x != taken:
+                    chosen.append(x)
+                    taken = y
+            p = np.array(chosen, dtype=np.int64)
+        q, a = nxt[p], prv[p]
+        b = nxt[q]
+        gone = np.unique(np.concatenate([a[a >= 0], p, q[b >= 0]]))
+        for k, s in zip(*self._sums(gone)[:2]):
+            self.count[k] -= s
+        sym[p], sym[q], nxt[p] = m, -1, b
+        prv[b[b >= 0]] = p[b >= 0]
+        a = a[a >= 0]
+        self._add(np.unique(np.concatenate([a[sym[a] >= 0], p[nxt[p] >= 0]])), heapq.heappush)
+
+
+# ------------------------------------------------------------------ distributed parts of a round
+
+def _flat(batch: pa.RecordBatch):
+    """Symbols of all rows in one array, lengths, weights."""
+    col = batch.column("sym")
+    return (col.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.diff(col.offsets.to_numpy()),
+            batch.column("count").to_numpy())
+
+
+def _pair_keys(flat, lens):
+    """Keys of neighbours and whether the two are in one row."""
+    inner = np.ones(max(len(flat) - 1, 0), dtype=bool)
+    inner[np.cumsum(lens)[:-1] - 1] = False
+    return flat[:-1] << 32 | flat[1:], inner
+
+
+def _count_pairs(batches):
+    for batch in (b for b in batches if b.num_rows):
+        flat, lens, weights = _flat(batch)
+        keys, inner = _pair_keys(flat, lens)
+        keys, inverse = np.unique(keys[inner], return_inverse=True)
+        sums = np.zeros(len(keys), dtype=np.int64)
+        np.add.at(sums, inverse, np.repeat(weights, lens)[:-1][inner])
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], names=["pair", "n"])
+
 
-    def step(acc, x):
-        last = F.element_at(acc, -1)
-        hit = (F.size(acc) > 0) & (last == F.lit(left)) & (x == F.lit(right))
-        return F.when(hit, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.lit(joined)))).otherwise(
-            F.concat(acc, F.array(x)))
-    return F.aggregate(sym, F.array().cast("array<string>"), step)
+def _cut_chains(batches, live: np.ndarray):
+    """Maximal runs of live pairs, as rows of their own."""
+    for batch in (b for b in batches if b.num_rows):
+        flat, lens, weights = _flat(batch)
+        keys, inner = _pair_keys(flat, lens)
+        if len(live):
+            inner &= live[np.minimum(np.searchsorted(live, keys), len(live) - 1)] == keys
+        else:
+            inner[:] = False
+        on = np.concatenate([[False], inner, [False]])
+        member = on[1:] | on[:-1]          # the symbol has a live pair on a side
+        start = member & ~on[:-1]
+        offsets = np.append(np.flatnonzero(start[member]), member.sum())
+        yield pa.RecordBatch.from_arrays([
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat[member], pa.int32())),
+            pa.array(np.repeat(weights, lens)[member][offsets[:-1]])], names=["sym", "count"])
 
 
-def _pair_counts(words: DataFrame) -> DataFrame:
-    s = F.col("sym")
-    pairs = words.select(F.explode(F.arrays_zip(F.slice(s, 1, F.size(s) - 1).alias("l"),
-                                                F.slice(s, 2, F.size(s)).alias("r"))).alias("p"),
-                         "count")
-    return pairs.groupBy(F.col("p.l").alias("left"), F.col("p.r").alias("right")).agg(
-        F.sum("count").alias("n"))
+def merge_table(merges) -> dict:
+    """``(left, right, merged)`` in order of rank -> the table of :func:`merge_in_order`."""
+    table: dict = {}
+    for rank, (left, right, merged) in enumerate(merges):
+        table.setdefault((left, right), ([], merged))[0].append(rank)
+    return table
+
+
+def merge_in_order(sym: list, ranks: dict) -> list:
+    """``sym`` after all merges, applied in order of rank, each once, from left to right.
+
+    ``ranks[left, right]`` is ``(its ranks ascending, merged)``; a pair has several where it was learned again."""
+    n = len(sym)
+    sym, nxt, prv = list(sym), list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = []
+
+    def offer(i, above):
+        if i >= 0 and nxt[i] < n:
+            hit = ranks.get((sym[i], sym[nxt[i]]))
+            if hit is not None and hit[0][-1] > above:
+                heapq.heappush(heap, (hit[0][bisect_right(hit[0], above)], i, sym[i], sym[nxt[i]], hit[1]))
+    for i in range(n - 1):
+        offer(i, -1)
+    while heap:
+        rank, i, left, right, merged = heapq.heappop(heap)
+        j = nxt[i]
+        if sym[i] != left or j >= n or sym[j] != right:
+            continue
+        sym[i], sym[j], nxt[i] = merged, None, nxt[j]
+        if nxt[j] < n:
+            prv[nxt[j]] = i
+        offer(prv[i], rank)
+        offer(i, rank)
+    return [s for s in sym if s is not None]
+
+
+def _apply(batches, ranks: dict):
+    for batch in batches:
+        rows = [merge_in_order(s, ranks) for s in batch.column("sym").to_pylist()]
+        kept = [i for i, s in enumerate(rows) if len(s) > 1]
+        yield pa.RecordBatch.from_arrays([pa.array([rows[i] for i in kept], pa.list_(pa.int32())),
+                                          batch.column("count").take(pa.array(kept, pa.int64()))], names=["sym", "count"])
+
+
+def _to_ids(batches, ids: dict):
+    """Symbol ids of the words; characters without an id cut a word."""
+    for batch in batches:
+        rows, weights = [], []
+        for word, c in zip(batch.column("word").to_pylist(), batch.column("count").to_pylist()):
+            row: list = []
+            for ch in [*(WORD_START + word), None]:
+                i = ids.get(ch)
+                if i is not None:
+                    row.append(i)
+                    continue
+                if len(row) > 1:
+                    rows.append(row)
+                    weights.append(c)
+                row = []
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(weights, pa.int64())], names=["sym", "count"])
+
+
+ROWS = "sym array<int>, count long"
+
+
+def _round(state: DataFrame, names: list[str], limit: int, pairs: int, max_symbols: int) -> tuple[list, int]:
+    """The merges of a round and the number of pairs that were live (``pairs`` at most to begin with)."""
+    spark = state.sparkSession
+    counts = materialize(state.mapInArrow(_count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "bpe-pairs")
+    while True:
+        top = counts.orderBy(F.col("n").desc()).limit(pairs + 1).toArrow()
+        keys, n = top.column("pair").to_numpy(), top.column("n").to_numpy()
+        if not len(keys):
+            return [], pairs
+        floor = 1 if len(keys) <= pairs else int(n[-1]) + 1
+        live = np.sort(keys[n >= floor])
+        if not len(live):  # more pairs share the highest count than may be live: the first of them alone
+            ties = counts.filter(F.col("n") == int(n[0])).select((F.shiftright("pair", 32)).alias("l"), F.col("pair").bitwiseAND(0xFFFFFFFF).alias("r"))
+            order = spark.createDataFrame(list(enumerate(names)), "i long, name string")
+            best = (ties.join(order.select(F.col("i").alias("l"), F.col("name").alias("left")), "l")
+                    .join(order.select(F.col("i").alias("r"), F.col("name").alias("right")), "r").orderBy("left", "right").first())
+            l, r = best["l"], best["r"]
+            name = names[l] + names[r]
+            if name not in names:
+                names.append(name)
+            return [(l, r, names.index(name), int(n[0]))], pairs
+        sent = spark.sparkContext.broadcast(live)
+        chains = state.mapInArrow(lambda b: _cut_chains(b, sent.value), ROWS).groupBy("sym").agg(F.sum("count").alias("count"))
+        chains = materialize(chains, "bpe-chains")
+        size = chains.agg(F.coalesce(F.sum(F.size("sym")), F.lit(0))).first()[0]
+        if size <= max_symbols or pairs == 1:
+            break
+        pairs = max(1, min(pairs, len(live)) // 4)
+    table = chains.toArrow().combine_chunks()
+    col = table.column("sym").combine_chunks()
+    lens = np.diff(col.offsets.to_numpy())
+    chain = _Chains(col.flatten().to_numpy(), lens, table.column("count").to_numpy(), names, floor)
+    return chain.merges(limit), pairs
 
 
 def train_bpe(words: DataFrame, num_merges: int, word_col: str = "word", count_col: str = "count",
-              materialize_every: int = 5) -> DataFrame:
+              symbols: list[str] | None = None, max_symbols: int = MAX_SYMBOLS, max_pairs: int = MAX_PAIRS,
+              materialize_every: int = 1) -> DataFrame:
     """Learn up to ``num_merges`` merges; returns ``(rank, left, right, piece, count)``.
 
-    Stops early when no pair occurs any more.
+    Stops early when no pair occurs any more.  ``symbols`` is the alphabet (default: all characters);
+    the result does not depend on the bounds.  ``materialize_every`` is accepted for old callers: each round is written.
     """
     spark = words.sparkSession
-    w = words.select(_symbols(F.col(word_col)).alias("sym"), F.col(count_col).cast("long").alias("count"))
-    w = materialize(w.filter(F.size("sym") > 1), "bpe-words").cache()
-    merges, stale = [], []
-    for rank in range(1, num_merges + 1):
-        # this action also fills the cache of the current word table
-        best = (_pair_counts(w).orderBy(F.col("n").desc(), "left", "right").limit(1).collect())
-        for old in stale:
-            old.unpersist()
-        stale = [w]
-        if not best:
+    w = words.select(F.col(word_col).alias("word"), F.col(count_col).cast("long").alias("count"))
+    names = list(symbols or alphabet(w))
+    ids = {s: i for i, s in enumerate(names)}
+    state = materialize(w.mapInArrow(lambda b: _to_ids(b, ids), ROWS), "bpe-words")
+    found, pairs = [], max_pairs
+    while len(found) < num_merges:
+        merges, pairs = _round(state, names, num_merges - len(found), pairs, max_symbols)
+        if not merges:
             break
-        left, right, n = best[0]["left"], best[0]["right"], int(best[0]["n"])
-        merges.append((rank, left, right, left + right, n))
-        needle = SEP + left + SEP + right + SEP
-        has = F.concat(F.lit(SEP), F.array_join("sym", SEP), F.lit(SEP)).contains(needle)
-        nxt = w.withColumn("sym", F.when(has, _merge_expr(F.col("sym"), left, right)).otherwise(F.col("sym")))
-        nxt = nxt.filter(F.size("sym") > 1)
-        if rank % materialize_every == 0:
-            nxt = materialize(nxt, "bpe-words")
-        w = nxt.cache()
-    for old in stale + [w]:
-        old.unpersist()
-    return spark.createDataFrame(merges, "rank int, left string, right string, piece string, count long")
-
-
-def bpe_vocab(words: DataFrame, merges: DataFrame, word_col: str = "word",
-              count_col: str = "count") -> DataFrame:
-    """``(piece, id)``: specials, then the base symbols by (frequency desc, symbol), then merges by rank."""
+        found += [(names[l], names[r], names[m], c) for l, r, m, c in merges]
+        ranks = spark.sparkContext.broadcast(merge_table(m[:3] for m in merges))
+        if len(found) < num_merges:
+            state = materialize(state.mapInArrow(lambda b, ranks=ranks: _apply(b, ranks.value), ROWS), "bpe-words")
+        pairs = min(max_pairs, 2 * pairs)
+    rows = [(k, *m) for k, m in enumerate(found, 1)]
+    return spark.createDataFrame(rows, "rank int, left string, right string, piece string, count long")
+
+
+def bpe_vocab(words: DataFrame, merges: DataFrame, word_col: str = "word", count_col: str = "count",
+              symbols: list[str] | None = None, byte_pieces: bool = False) -> DataFrame:
+    """``(piece, id)``: specials, byte pieces if asked for, then the base symbols by (frequency desc, symbol), then merges by rank."""
     spark = words.sparkSession
-    chars = (words.select(F.explode(_symbols(F.col(word_col))).alias("piece"), F.col(count_col).alias("c"))
-             .groupBy("piece").agg(F.sum("c").alias("c")))
-    # the symbol table is bounded by the alphabet, one ordered window is cheap
-    base = chars.select("piece", F.row_number().over(Window.orderBy(F.col("c").desc(), "piece")).alias("r"))
-    n_base = base.count()
+    base = symbols or alphabet(words.select(F.col(word_col).alias("word"), F.col(count_col).alias("count")))
+    pieces = [("<pad>", 0), ("<s>", 1), ("</s>", 2), ("<unk>", 3)]
+    if byte_pieces:
+        pieces += [(f"<0x{b:02X}>", UNK_ID + 1 + b) for b in range(256)]
+    pieces += [(s, len(pieces) + k) for k, s in enumerate(base)]
     # two merges can produce the same string; the piece keeps its first (lowest) rank
-    merged = merges.groupBy("piece").agg((F.min("rank") + F.lit(n_base)).alias("r"))
-    specials = spark.createDataFrame([("<pad>", 0), ("<s>", 1), ("</s>", 2), ("<unk>", 3)], "piece string, id int")
-    pieces = base.unionByName(merged).select("piece", (F.col("r") + F.lit(UNK_ID)).cast("int").alias("id"))
-    return specials.unionByName(pieces)
-
-
-def _bpe_segment(word: str, ranks: dict) -> list[str]:
-    sym = [WORD_START] + list(word)
-    while len(sym) > 1:
-        best, pos = None, -1
-        for i in range(len(sym) - 1):
-            r = ranks.get((sym[i], sym[i + 1]))
-            if r is not None and (best is None or r < best):
-                best, pos = r, i
-        if best is None:
-            break
-        left, right = sym[pos], sym[pos + 1]
-        out, i = [], 0
-        while i < len(sym):
-            if i < len(sym) - 1 and sym[i] == left and sym[i + 1] == right:
-                out.append(left + right)
-                i += 2
-            else:
-                out.append(sym[i])
-                i += 1
-        sym = out
-    return sym
+    merged = merges.groupBy("piece").agg((F.min("rank") + F.lit(len(pieces) - 1)).cast("int").alias("id"))
+    return spark.createDataFrame(pieces, "piece string, id int").unionByName(merged)
 
 
 def segment_words(words: DataFrame, merges: DataFrame, word_col: str = "word") -> DataFrame:
     """``(word, pieces array<string>)`` for each distinct word, merges applied by rank."""
-    table = {(r["left"], r["right"]): r["rank"] for r in merges.collect()}
-    spark = words.sparkSession
-    bc = spark.sparkContext.broadcast(table)
+    # bounded by the vocabulary
+    rows = sorted(merges.collect(), key=lambda r: r["rank"])
+    bc = words.sparkSession.sparkContext.broadcast(merge_table((r["left"], r["right"], r["piece"]) for r in rows))
 
     def run(batches):
-        ranks = bc.value
         for pdf in batches:
             yield pd.DataFrame({"word": pdf["word"],
-                                "pieces": [_bpe_segment(w, ranks) for w in pdf["word"]]})
+                                "pieces": [merge_in_order([WORD_START, *w], bc.value) for w in pdf["word"]]})
     distinct = words.select(F.col(word_col).alias("word")).distinct()
     return distinct.mapInPandas(run, "word string, pieces array<string>")
 
 
+def _piece_ids(vocab: DataFrame, byte_pieces: bool):
+    """``(pieces of a word) -> ids``, with the vocabulary (bounded by its size) sent to the tasks."""
+    first = UNK_ID + 257 if byte_pieces else UNK_ID + 1  # text may spell a special or a byte piece
+    ids = {r["piece"]: r["id"] for r in vocab.select("piece", "id").filter(F.col("id") >= first).collect()}
+
+    def of(piece: str) -> list[int]:
+        i = ids.get(piece)
+        if i is not None:
+            return [i]
+        # a piece of the word that is no vocabulary piece is a single character
+        return [UNK_ID + 1 + b for b in piece.encode()] if byte_pieces else [UNK_ID]
+    return of
+
+
 def encode_subword(lines: DataFrame, merges: DataFrame, vocab: DataFrame, key_cols,
-                   text_col: str = "line", out: str = "ids") -> DataFrame:
-    """``(*key_cols, ids)``: subword ids of each line (blank lines give ``[]``)."""
+                   text_col: str = "line", out: str = "ids", byte_pieces: bool = False) -> DataFrame:
+    """``(*key_cols, ids)``: subword ids of each line (blank lines give ``[]``).
+
+    With ``byte_pieces`` (the vocabulary must have them) a character outside the vocabulary becomes the pieces of its UTF-8
+    bytes; without, UNK.
+    """
     keys = list(key_cols)
     occ = lines.select(*keys, F.posexplode_outer(T.split_words(text_col)).alias("__pos", "word"))
     seg = segment_words(occ.filter(F.col("word").isNotNull()), merges)
-    pid = vocab.select(F.col("piece").alias("__p"), F.col("id").alias("__id"))
-    ids = (seg.select("word", F.posexplode("pieces").alias("__k", "__p"))
-           .join(pid, "__p", "left")
-           .groupBy("word").agg(F.array_sort(F.collect_list(F.struct("__k", F.coalesce("__id", F.lit(UNK_ID))
-                                                                       .alias("id")))).alias("__a"))
-           .select("word", F.transform("__a", lambda x: x["id"]).alias("__wids")))
+    of = _piece_ids(vocab, byte_pieces)
+
+    def run(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"word": pdf["word"], "__wids": [[i for p in ps for i in of(p)] for ps in pdf["pieces"]]})
+    ids = seg.mapInPandas(run, "word string, __wids array<int>")
     j = occ.join(ids, "word", "left")
     item = F.when(F.col("word").isNotNull(), F.struct("__pos", "__wids"))
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__items"))
@@ -158,15 +430,21 @@ def encode_subword(lines: DataFrame, merges: DataFrame, vocab: DataFrame, key_co
 
 def decode_subword(tokens: DataFrame, vocab: DataFrame, key_cols, ids_col: str = "ids",
                    out: str = "text") -> DataFrame:
-    """Pieces concatenated, the word-start marker turned back into a space, stripped."""
+    """Pieces concatenated as bytes, the word-start marker turned back into a space, stripped.
+
+    Byte pieces (by spelling and id) give their byte; bytes that are no valid UTF-8 are left out, as the lenient decoder does.
+    """
     keys = list(key_cols)
-    pid = vocab.select(F.col("id").alias("__id"), F.col("piece").alias("__p"))
+    digits = F.substring("piece", 4, 2)
+    is_byte = F.col("piece").rlike("^<0x[0-9A-F]{2}>$") & (F.conv(digits, 16, 10).cast("int") + UNK_ID + 1 == F.col("id"))
+    raw = F.when(is_byte, digits).otherwise(F.hex(F.encode("piece", "UTF-8")))
+    pid = vocab.select(F.col("id").alias("__id"), raw.alias("__p"))
     ex = tokens.select(*keys, F.posexplode_outer(F.filter(ids_col, lambda i: i > 2)).alias("__k", "__id"))
     j = ex.join(pid, "__id", "left")
     item = F.when(F.col("__id").isNotNull(), F.struct("__k", "__p"))
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__i"))
-    text = F.array_join(F.transform("__i", lambda x: x["__p"]), "")
+    text = T.decode_lenient(F.unhex(F.array_join(F.transform("__i", lambda x: x["__p"]), "")))
     return g.select(*keys, T.py_strip(F.replace(text, F.lit(WORD_START), F.lit(" "))).alias(out))
 
 
-__all__ = ["train_bpe", "bpe_vocab", "segment_words", "encode_subword", "decode_subword"]
+__all__ = ["train_bpe", "bpe_vocab", "segment_words", "encode_subword", "decode_subword", "alphabet", "merge_in_order"]

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -20,8 +20,8 @@ from ..functions import text as T
 
 def _key_cols(text_col: str):
     stripped = T.py_strip(text_col)
-    # sha2 of the stripped text plus its length: a collision would need both to agree
-    return [F.sha2(stripped, 256).alias("__h"), F.length(stripped).alias("__n")]
+    # sha2 of the stripped text plus its length: a collision would need both to agree; a null text is a key of its own
+    return [F.coalesce(F.sha2(stripped, 256), F.lit("")).alias("__h"), F.coalesce(F.length(stripped), F.lit(-1)).alias("__n")]
 
 
 _SHORT = ("tinyint", "smallint", "int")
@@ -41,11 +41,22 @@ def _order_key(df: DataFrame, order_cols: Sequence[str]) -> Column:
 
 
 def dedup_first(df: DataFrame, order_cols: Sequence[str], text_col: str = "text") -> DataFrame:
-    """Keep the first row (by ``order_cols``, which identify a row and are not null) of every distinct stripped text."""
+    """Keep the first row (by ``order_cols``) of every distinct stripped text.
+
+    A text always keeps exactly one row: rows without an order value lose against the others, and of rows
+    that repeat text and order (or have none) one stays.  Those are reduced to one a task before the
+    shuffle, and the join is on text and order together, so no hot text or order value is in one task.
+    """
     order = list(order_cols)
-    first = (df.select(*_key_cols(text_col), _order_key(df, order).alias("__o"))
-             .groupBy("__h", "__n").agg(F.min("__o").alias("__o")).select("__o"))
-    kept = df.withColumn("__o", _order_key(df, order)).join(first, "__o", "left_semi")
+    first = df.select(*_key_cols(text_col), _order_key(df, order).alias("__o")).groupBy("__h", "__n").agg(F.min("__o").alias("__o"))
+    # a struct around the order value is equal to another one also where the value is null
+    key = ["__h", "__n", "__k"]
+    first = first.select("__h", "__n", F.struct("__o").alias("__k"))
+    h, n = _key_cols(text_col)
+    rows = df.select("*", h, n, F.struct(_order_key(df, order).alias("__o")).alias("__k"))
+    one = Window.partitionBy(*key).orderBy("__n")
+    rows = rows.withColumn("__r", F.row_number().over(one)).filter("__r = 1").drop("__r")
+    kept = rows.join(first, key, "left_semi")
     return kept.select(*order, *[c for c in df.columns if c not in order])
 
 

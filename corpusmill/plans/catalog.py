@@ -830,7 +830,11 @@ def q_near_dup_drop(spark, sf_dir):
 
 # --------------------------------------------------------------------------- subword tokenizer
 
-BPE_MERGES = 20
+# Vocabulary size and character coverage of the trained tokenizers
+VOCAB_SIZE = 32_000
+COVERAGE = 0.9995
+# merges that the SQL twin of the training computes: one recount of all pairs each
+FIRST_MERGES = 20
 
 
 def _training_words(lines):
@@ -838,11 +842,14 @@ def _training_words(lines):
     return sinks.materialize(V.word_table(lines, "line"), "words")
 
 
-def _bpe(spark, sf_dir):
+def _bpe(spark, sf_dir, coverage=1.0, byte_pieces=False):
+    """Lines, merges and vocabulary of :data:`VOCAB_SIZE` pieces (fewer if no pair is left)."""
     lines = _lines(spark, sf_dir)
     words = _training_words(lines)
-    merges = sinks.materialize(bpe.train_bpe(words, BPE_MERGES), "merges")
-    return lines, words, merges, bpe.bpe_vocab(words, merges)
+    symbols = bpe.alphabet(words, coverage=coverage)
+    room = VOCAB_SIZE - 4 - len(symbols) - (256 if byte_pieces else 0)
+    merges = sinks.materialize(bpe.train_bpe(words, room, symbols=symbols), "merges")
+    return lines, merges, bpe.bpe_vocab(words, merges, symbols=symbols, byte_pieces=byte_pieces)
 
 
 def _merge_sql(col: str, i: int) -> str:
@@ -857,7 +864,7 @@ _WRAP_WORD = """list_reduce(list_transform(regexp_extract_all('▁' || {w}, '(?s
 _SYMS = "regexp_extract_all({w}, chr(1) || '([^' || chr(2) || ']*)' || chr(2), 1)"
 
 
-def _bpe_sql(num_merges: int, tail: str | None = None) -> str:
+def _bpe_sql(num_merges: int) -> str:
     """BPE merges in SQL: each word is a string of symbols wrapped in chr(1)...chr(2), so a
     plain ``replace`` merges non-overlapping occurrences left to right."""
     parts = [S.with_(*S.CORPUS, S.WORDFREQ)[len("WITH "):] + f""",
@@ -874,61 +881,35 @@ w{i + 1} AS (SELECT {_merge_sql("w", i)} AS w, cnt FROM w{i})""")
     parts.append(f"""merges AS (
   SELECT CAST(rank AS INTEGER) AS rank, l AS "left", r AS "right", l || r AS piece, CAST(n AS BIGINT) AS count
   FROM ({union}) m)""")
-    if tail is None:
-        return "WITH " + ",\n".join(parts) + "\nSELECT * FROM merges"
-    # subword vocabulary and encoding of every distinct word of the corpus
-    enc = [f"""base AS (
-  SELECT s AS piece, sum(cnt) AS c FROM (SELECT unnest(regexp_extract_all('▁' || word, '(?s).')) AS s, cnt
-                                          FROM wf) x GROUP BY 1),
-bvocab AS (
-  SELECT piece, CAST(row_number() OVER (ORDER BY c DESC, piece) + 3 AS INTEGER) AS id FROM base
-  UNION ALL
-  SELECT piece, CAST(min(rank) + (SELECT count(*) FROM base) + 3 AS INTEGER) FROM merges GROUP BY piece),
-ew0 AS (SELECT word, {_WRAP_WORD.format(w="word")} AS w
-        FROM (SELECT DISTINCT unnest({S.words('line')}) AS word FROM lines) d)"""]
-    for i in range(num_merges):
-        enc.append(f"ew{i + 1} AS (SELECT word, {_merge_sql('w', i)} AS w FROM ew{i})")
-    enc.append(f"""wid AS (
-  SELECT word, list(coalesce(v.id, 3) ORDER BY k) AS ids
-  FROM (SELECT word, unnest(syms) AS p, unnest(range(len(syms))) AS k
-        FROM (SELECT word, {_SYMS.format(w="w")} AS syms FROM ew{num_merges}) a) b
-  LEFT JOIN bvocab v ON v.piece = b.p GROUP BY word),
-socc AS (
-  SELECT doc_id, line_no, unnest(generate_series(1, len(ws))) AS pos, unnest(ws) AS word
-  FROM (SELECT doc_id, line_no, {S.words('line')} AS ws FROM lines) x),
-senc AS (
-  SELECT o.doc_id, o.line_no, flatten(list(wid.ids ORDER BY o.pos)) AS ids
-  FROM socc o JOIN wid ON o.word = wid.word GROUP BY o.doc_id, o.line_no),
-stoks AS (
-  SELECT l.doc_id, l.line_no, CAST(coalesce(e.ids, []) AS INTEGER[]) AS ids
-  FROM lines l LEFT JOIN senc e ON l.doc_id = e.doc_id AND l.line_no = e.line_no)""")
-    return "WITH " + ",\n".join(parts + enc) + "\n" + tail
-
-
-@register("bpe_train", _bpe_sql(BPE_MERGES))
+    return "WITH " + ",\n".join(parts) + "\nSELECT * FROM merges"
+
+
+@register("bpe_train")
 def q_bpe_train(spark, sf_dir):
-    _, _, merges, _ = _bpe(spark, sf_dir)
-    return merges
+    return _bpe(spark, sf_dir)[1]
+
+
+@register("bpe_first_merges", _bpe_sql(FIRST_MERGES))
+def q_bpe_first_merges(spark, sf_dir):
+    """The head of the training, which SQL can follow: a report of the first merges over all lines."""
+    return bpe.train_bpe(_training_words(_lines(spark, sf_dir)), FIRST_MERGES)
 
 
-@register("encode_subword", _bpe_sql(BPE_MERGES, "SELECT doc_id, line_no, ids FROM stoks"))
+@register("encode_subword")
 def q_encode_subword(spark, sf_dir):
-    lines, _, merges, vocab = _bpe(spark, sf_dir)
+    lines, merges, vocab = _bpe(spark, sf_dir)
     return bpe.encode_subword(lines, merges, vocab, ["doc_id", "line_no"])
 
 
-_SUB_EVAL = f""",
-per AS (
-  SELECT len(s.ids) AS n_tokens, len({S.words('l.line')}) AS n_words,
-         array_to_string({S.words('l.line')}, ' ') <> {S.strip('l.line')} AS error, l.line = '' AS blank
-  FROM lines l JOIN stoks s ON l.doc_id = s.doc_id AND l.line_no = s.line_no),
-""" + _EVAL[_EVAL.index("rep AS ("):] + "\nSELECT * FROM report"
+@register("encode_subword_bytes")
+def q_encode_subword_bytes(spark, sf_dir):
+    """With the covered alphabet only; other characters become byte pieces."""
+    lines, merges, vocab = _bpe(spark, sf_dir, COVERAGE, byte_pieces=True)
+    return bpe.encode_subword(lines, merges, vocab, ["doc_id", "line_no"], byte_pieces=True)
 
 
-@register("tokenizer_eval_subword", _bpe_sql(BPE_MERGES, _SUB_EVAL))
-def q_tokenizer_eval_subword(spark, sf_dir):
-    lines, _, merges, vocab = _bpe(spark, sf_dir)
-    toks = bpe.encode_subword(lines, merges, vocab, ["doc_id", "line_no"])
+def _subword_report(lines, merges, vocab, byte_pieces=False):
+    toks = bpe.encode_subword(lines, merges, vocab, ["doc_id", "line_no"], byte_pieces=byte_pieces)
     dec = bpe.decode_subword(toks, vocab, ["doc_id", "line_no"], out="decoded")
     per = (lines.join(toks, ["doc_id", "line_no"]).join(dec, ["doc_id", "line_no"])
            .select(F.size("ids").alias("n_tokens"), T.word_count("line").alias("n_words"),
@@ -937,6 +918,16 @@ def q_tokenizer_eval_subword(spark, sf_dir):
     return tok.tokenizer_eval(per, "n_tokens", "n_words", "error", "blank")
 
 
+@register("tokenizer_eval_subword")
+def q_tokenizer_eval_subword(spark, sf_dir):
+    return _subword_report(*_bpe(spark, sf_dir))
+
+
+@register("tokenizer_eval_subword_bytes")
+def q_tokenizer_eval_subword_bytes(spark, sf_dir):
+    return _subword_report(*_bpe(spark, sf_dir, COVERAGE, byte_pieces=True), byte_pieces=True)
+
+
 def _generate_sql(max_len: int = 16) -> str:
     base = S.with_(*_WRAPPED_ALL, S.BIGRAMS, _CANDS) + """,
 tk AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY prompt_id ORDER BY logit DESC) AS r FROM cands) c

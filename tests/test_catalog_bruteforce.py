@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from corpusmill.plans import catalog as C, inputs as I
+from corpusmill.operators import vocab as V
+from corpusmill.plans import inputs as I
+from test_bpe import reference_bpe
 
 
 def test_normalize_nfkc_and_clean_lines(spark):
@@ -52,9 +54,16 @@ def test_subword_roundtrip_on_corpus(spark):
     words = E.queries()["tokenizer_eval"](spark, SF_SMALL).first()
     # both tokenizers lose exactly the lines whose whitespace is not single spaces
     assert r.n_errors == words.n_errors and r.n_lines == words.n_lines and r.n_words == words.n_words
-    assert r.avg_tokens_per_word > 1.0
+    assert r.avg_tokens_per_word >= 1.0
+    by_bytes = E.queries()["tokenizer_eval_subword_bytes"](spark, SF_SMALL).first()
+    assert by_bytes.n_errors == words.n_errors and by_bytes.avg_tokens_per_word >= 1.0
     merges = E.queries()["bpe_train"](spark, SF_SMALL).orderBy("rank").collect()
-    assert [m["rank"] for m in merges] == list(range(1, C.BPE_MERGES + 1))
+    assert [m["rank"] for m in merges] == list(range(1, len(merges) + 1)) and len(merges) >= 1000
+    counts = [m["count"] for m in merges]
+    assert counts == sorted(counts, reverse=True)
+    lines = I.corpus_lines(spark, SF_SMALL)
+    words = {r["word"]: r["count"] for r in V.word_table(lines, "line").collect()}
+    assert [(m["left"], m["right"], m["count"]) for m in merges[:25]] == reference_bpe(words, 25)
 
 
 def test_unigram_tokenizer_roundtrip(spark):

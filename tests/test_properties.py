@@ -71,3 +71,14 @@ def test_sentence_sample_is_exact_top_n(spark):
     keys = sorted((hashlib.md5(f"{i}:0:42".encode()).hexdigest(), i) for i in range(5000))
     assert got == sorted(i for _, i in keys[:700])
     assert sentence_sample(df, ["doc_id", "line_no"], 6000, 42).count() == 5000
+
+
+def test_dedup_with_null_and_repeated_ids(spark):
+    rows = [(None, "a"), (None, "a"), (5, "b"), (5, "b"), (7, "x"), (7, "y"), (6, "y"), (None, "b"), (3, None), (None, None), (9, " x ")]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "id long, text string").repartition(parts)
+        got = sorted(map(tuple, dedup.dedup_first(df, ["id"]).collect()), key=str)
+        assert got == sorted([(None, "a"), (5, "b"), (7, "x"), (6, "y"), (3, None)], key=str)
+    two = spark.createDataFrame([(None, 1, "a"), (None, 2, "a"), (1, None, "b"), (1, 0, "b")], "id long, no int, line string")
+    got = dedup.dedup_first(two, ["id", "no"], "line").collect()
+    assert sorted(r.line for r in got) == ["a", "b"] and (1, 0, "b") in [tuple(r) for r in got]
