@@ -92,7 +92,7 @@ def _count_batches(batches):
                 grown += len(uses) - before
             docs.update(own)
             # an upper bound of what the new terms take
-            held += grown * ENTRY_BYTES + (sum(map(len, own)) if grown else 0)
+            held += grown * ENTRY_BYTES + (min(sum(map(len, own)), grown * max(map(len, own))) if grown else 0)
             if held > TABLE_BYTES:
                 yield from flush()
                 held = 0
@@ -111,8 +111,11 @@ def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
 def _share(count: Column | str, total: Column | str, terms: Column | str) -> Column:
     """``1 + floor(SCALE * (count + 1) / (total + terms))``."""
     count, total, terms = (F.col(c) if isinstance(c, str) else c for c in (count, total, terms))
-    num = (count + 1).cast("decimal(19,0)") * F.lit(SCALE).cast("decimal(10,0)")
-    return F.call_function("div", num, (total + terms).cast("decimal(20,0)")) + F.lit(1).cast("long")
+    wide = (count + 1).cast("decimal(19,0)") * F.lit(SCALE).cast("decimal(10,0)")
+    # counts whose product fits 64 bits need no decimals
+    part = F.when(count < 2**32, F.call_function("div", (count + 1) * F.lit(SCALE).cast("long"), total + terms)).otherwise(
+        F.call_function("div", wide, (total + terms).cast("decimal(20,0)")))
+    return part + F.lit(1).cast("long")
 
 
 def _f(p: str, q: str) -> Column:
