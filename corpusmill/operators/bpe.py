@@ -2,7 +2,7 @@
 
 Training gives exactly the merges of sequential BPE (the most frequent adjacent pair first, ties by
 left and right symbol), many to a round.  The words, as arrays of symbol ids with their frequencies, stay
-distributed and are written once a round:
+distributed, in blocks, and are written once a round:
 
 1. Pairs are counted in Arrow batches and summed by Spark.  The pairs that occur at least ``floor``
    times are *live*; ``floor`` is the least value for which they and step 2 keep within bounds.
@@ -13,7 +13,7 @@ distributed and are written once a round:
    not.  So while the best pair counts ``floor`` or more, its choice and count are those of the
    whole corpus.  A merge may give a string that another merge has given; then the pairs of that symbol
    have several origins, some of them not in the chains; the round ends where they could matter.
-4. The merges of the round are applied to all words, in order.
+4. The driver's chains, before and after the merges, are the table by which all words are rewritten.
 
 A round has at least one merge, usually hundreds; the next round starts from new counts.
 
@@ -41,6 +41,8 @@ from .vocab import UNK_ID, WORD_START
 
 #: bounds of what a round brings to the driver: symbols in chains, live pairs
 MAX_SYMBOLS, MAX_PAIRS = 250_000, 100_000
+#: live pairs to try in the first round; a round tries four times as many as the last one could have
+FIRST_PAIRS = 128
 
 
 def _symbols(word: Column) -> Column:
@@ -194,46 +196,132 @@ class _Chains:
 
 # ------------------------------------------------------------------ distributed parts of a round
 
-def _flat(batch: pa.RecordBatch):
-    """Symbols of all rows in one array, lengths, weights."""
-    col = batch.column("sym")
-    return (col.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.diff(col.offsets.to_numpy()),
-            batch.column("count").to_numpy())
+#: words travel in blocks of about so many symbols, as three arrays in binary columns
+BLOCK = 65_536
+BLOCKS = "flat binary, lens binary, weights binary"
+#: entries that a task adds up before it passes them on
+HELD = 1_000_000
+
+
+def _block(flat: np.ndarray, lens: np.ndarray, weights: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x.astype(t).tobytes()], pa.binary()) for x, t in
+                                       ((flat, "<i4"), (lens, "<i4"), (weights, "<i8"))], names=["flat", "lens", "weights"])
+
+
+def _blocks(batches):
+    for batch in batches:
+        for row in zip(*(batch.column(i) for i in range(3))):
+            yield tuple(np.frombuffer(x.as_buffer(), dtype=t) for x, t in zip(row, ("<i4", "<i4", "<i8")))
 
 
 def _pair_keys(flat, lens):
-    """Keys of neighbours and whether the two are in one row."""
+    """Keys of neighbours and whether the two are in one word."""
     inner = np.ones(max(len(flat) - 1, 0), dtype=bool)
     inner[np.cumsum(lens)[:-1] - 1] = False
-    return flat[:-1] << 32 | flat[1:], inner
+    wide = flat.astype(np.int64)
+    return wide[:-1] << 32 | wide[1:], inner
+
+
+def _sum_by(keys, weights):
+    keys, inverse = np.unique(keys, return_inverse=True)
+    sums = np.zeros(len(keys), dtype=np.int64)
+    np.add.at(sums, inverse, weights)
+    return keys, sums
 
 
 def _count_pairs(batches):
-    for batch in (b for b in batches if b.num_rows):
-        flat, lens, weights = _flat(batch)
+    """``pair, n``, summed up in the task."""
+    held: list = []
+
+    def flush():
+        keys, sums = _sum_by(*(np.concatenate(x) for x in zip(*held)))
+        held.clear()
+        return keys, sums
+    for flat, lens, weights in _blocks(batches):
         keys, inner = _pair_keys(flat, lens)
-        keys, inverse = np.unique(keys[inner], return_inverse=True)
-        sums = np.zeros(len(keys), dtype=np.int64)
-        np.add.at(sums, inverse, np.repeat(weights, lens)[:-1][inner])
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], names=["pair", "n"])
+        held.append(_sum_by(keys[inner], np.repeat(weights, lens)[:-1][inner]))
+        if sum(len(k) for k, _ in held) > HELD:
+            held.append(flush())
+            if len(held[0][0]) > HELD // 2:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], names=["pair", "n"])
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in flush()], names=["pair", "n"])
+
+
+def _among(keys, table):
+    """Which keys are in the sorted ``table``, which is not empty."""
+    return table[np.minimum(np.searchsorted(table, keys), len(table) - 1)] == keys
+
+
+def _chains_of(keys, inner, live):
+    """Which symbols are in a chain (a maximal run of live pairs), which of those begin one, and which end one."""
+    on = np.concatenate([[False], inner & _among(keys, live), [False]])
+    member = on[1:] | on[:-1]
+    return member, member & ~on[:-1], member & ~on[1:]
 
 
 def _cut_chains(batches, live: np.ndarray):
-    """Maximal runs of live pairs, as rows of their own."""
-    for batch in (b for b in batches if b.num_rows):
-        flat, lens, weights = _flat(batch)
+    """``chain, n``: the chains (symbols as bytes) of all words, summed up in the task."""
+    held: dict = {}
+
+    def flush():
+        out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["chain", "n"])
+        held.clear()
+        return out
+    for flat, lens, weights in _blocks(batches):
+        member, start, _ = _chains_of(*_pair_keys(flat, lens), live)
+        data = memoryview(flat[member].tobytes())
+        at = np.flatnonzero(start[member]) * 4
+        for i, j, w in zip(at.tolist(), [*at[1:].tolist(), len(data)], np.repeat(weights, lens)[start].tolist()):
+            key = bytes(data[i:j])
+            held[key] = held.get(key, 0) + w
+        if len(held) > HELD // 2:
+            yield flush()
+    if held:
+        yield flush()
+
+
+def _apply(batches, live: np.ndarray, merged: np.ndarray, result: dict):
+    """The words with every changed chain replaced by its ``result``; ``merged`` are the pairs that make a chain change."""
+    for flat, lens, weights in _blocks(batches):
         keys, inner = _pair_keys(flat, lens)
-        if len(live):
-            inner &= live[np.minimum(np.searchsorted(live, keys), len(live) - 1)] == keys
-        else:
-            inner[:] = False
-        on = np.concatenate([[False], inner, [False]])
-        member = on[1:] | on[:-1]          # the symbol has a live pair on a side
-        start = member & ~on[:-1]
-        offsets = np.append(np.flatnonzero(start[member]), member.sum())
-        yield pa.RecordBatch.from_arrays([
-            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat[member], pa.int32())),
-            pa.array(np.repeat(weights, lens)[member][offsets[:-1]])], names=["sym", "count"])
+        _, start, end = _chains_of(keys, inner, live)
+        begins, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
+        hit = np.flatnonzero(inner & _among(keys, merged))
+        changed = np.unique(np.searchsorted(begins, hit, side="right") - 1)
+        flat = flat.copy()
+        for i, j in zip(begins[changed].tolist(), ends[changed].tolist()):
+            new = result[flat[i:j].tobytes()]
+            flat[i:i + len(new)] = new
+            flat[i + len(new):j] = -1
+        alive = flat >= 0
+        left = np.add.reduceat(alive, np.cumsum(lens) - lens, dtype=np.int64)
+        keep = left > 1
+        if keep.any():
+            yield _block(flat[alive & np.repeat(keep, lens)], left[keep], weights[keep])
+
+
+def _to_blocks(batches, ids: dict):
+    """Symbol ids of the words; characters without an id cut a word."""
+    flat, lens, weights = [], [], []
+    for batch in batches:
+        for word, c in zip(batch.column("word").to_pylist(), batch.column("count").to_pylist()):
+            row: list = []
+            for ch in [*(WORD_START + word), None]:
+                i = ids.get(ch)
+                if i is not None:
+                    row.append(i)
+                    continue
+                if len(row) > 1:
+                    flat += row
+                    lens.append(len(row))
+                    weights.append(c)
+                row = []
+            if len(flat) >= BLOCK:
+                yield _block(*map(np.array, (flat, lens, weights)))
+                flat, lens, weights = [], [], []
+    if lens:
+        yield _block(*map(np.array, (flat, lens, weights)))
 
 
 def merge_table(merges) -> dict:
@@ -272,68 +360,47 @@ def merge_in_order(sym: list, ranks: dict) -> list:
     return [s for s in sym if s is not None]
 
 
-def _apply(batches, ranks: dict):
-    for batch in batches:
-        rows = [merge_in_order(s, ranks) for s in batch.column("sym").to_pylist()]
-        kept = [i for i, s in enumerate(rows) if len(s) > 1]
-        yield pa.RecordBatch.from_arrays([pa.array([rows[i] for i in kept], pa.list_(pa.int32())),
-                                          batch.column("count").take(pa.array(kept, pa.int64()))], names=["sym", "count"])
-
-
-def _to_ids(batches, ids: dict):
-    """Symbol ids of the words; characters without an id cut a word."""
-    for batch in batches:
-        rows, weights = [], []
-        for word, c in zip(batch.column("word").to_pylist(), batch.column("count").to_pylist()):
-            row: list = []
-            for ch in [*(WORD_START + word), None]:
-                i = ids.get(ch)
-                if i is not None:
-                    row.append(i)
-                    continue
-                if len(row) > 1:
-                    rows.append(row)
-                    weights.append(c)
-                row = []
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(weights, pa.int64())], names=["sym", "count"])
-
-
-ROWS = "sym array<int>, count long"
-
-
-def _round(state: DataFrame, names: list[str], limit: int, pairs: int, max_symbols: int) -> tuple[list, int]:
-    """The merges of a round and the number of pairs that were live (``pairs`` at most to begin with)."""
+def _round(state: DataFrame, names: list[str], limit: int, pairs: int, max_symbols: int):
+    """The merges of a round, what :func:`_apply` needs for them, and the number of pairs that were live."""
     spark = state.sparkSession
     counts = materialize(state.mapInArrow(_count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "bpe-pairs")
     while True:
         top = counts.orderBy(F.col("n").desc()).limit(pairs + 1).toArrow()
         keys, n = top.column("pair").to_numpy(), top.column("n").to_numpy()
         if not len(keys):
-            return [], pairs
+            return [], None, pairs
         floor = 1 if len(keys) <= pairs else int(n[-1]) + 1
         live = np.sort(keys[n >= floor])
         if not len(live):  # more pairs share the highest count than may be live: the first of them alone
-            ties = counts.filter(F.col("n") == int(n[0])).select((F.shiftright("pair", 32)).alias("l"), F.col("pair").bitwiseAND(0xFFFFFFFF).alias("r"))
-            order = spark.createDataFrame(list(enumerate(names)), "i long, name string")
-            best = (ties.join(order.select(F.col("i").alias("l"), F.col("name").alias("left")), "l")
-                    .join(order.select(F.col("i").alias("r"), F.col("name").alias("right")), "r").orderBy("left", "right").first())
-            l, r = best["l"], best["r"]
-            name = names[l] + names[r]
-            if name not in names:
-                names.append(name)
-            return [(l, r, names.index(name), int(n[0]))], pairs
+            live, floor, limit = np.array([_first_by_name(counts.filter(F.col("n") == int(n[0])), names)]), int(n[0]), 1
         sent = spark.sparkContext.broadcast(live)
-        chains = state.mapInArrow(lambda b: _cut_chains(b, sent.value), ROWS).groupBy("sym").agg(F.sum("count").alias("count"))
+        chains = state.mapInArrow(lambda b: _cut_chains(b, sent.value), "chain binary, n long").groupBy("chain").agg(F.sum("n").alias("n"))
         chains = materialize(chains, "bpe-chains")
-        size = chains.agg(F.coalesce(F.sum(F.size("sym")), F.lit(0))).first()[0]
-        if size <= max_symbols or pairs == 1:
+        size = chains.agg(F.coalesce(F.sum(F.octet_length("chain")), F.lit(0))).first()[0] // 4
+        if size <= max_symbols or len(live) == 1:
             break
         pairs = max(1, min(pairs, len(live)) // 4)
-    table = chains.toArrow().combine_chunks()
-    col = table.column("sym").combine_chunks()
-    lens = np.diff(col.offsets.to_numpy())
-    chain = _Chains(col.flatten().to_numpy(), lens, table.column("count").to_numpy(), names, floor)
-    return chain.merges(limit), pairs
+    table = chains.toArrow()
+    texts = table.column("chain").to_pylist()
+    flat, lens = np.frombuffer(b"".join(texts), dtype="<i4"), np.array([len(t) // 4 for t in texts])
+    sim = _Chains(flat, lens, table.column("n").to_numpy(), names, floor)
+    merges = sim.merges(limit)
+    result = {}
+    for t, end, size in zip(texts, np.cumsum(lens).tolist(), lens.tolist()):
+        new = sim.sym[end - size:end]
+        new = new[new >= 0]
+        if len(new) < size:
+            result[t] = new.astype(np.int32)
+    merged = np.unique(np.array([l << 32 | r for l, r, *_ in merges], dtype=np.int64))
+    return merges, spark.sparkContext.broadcast((live, merged, result)), pairs
+
+
+def _first_by_name(pairs: DataFrame, names: list[str]) -> int:
+    """The pair whose left and right symbols come first."""
+    order = pairs.sparkSession.createDataFrame(list(enumerate(names)), "i long, name string")
+    left, right = (order.select(F.col("i").alias(i), F.col("name").alias(c)) for i, c in (("l", "left"), ("r", "right")))
+    ties = pairs.select("pair", F.shiftright("pair", 32).alias("l"), F.col("pair").bitwiseAND(0xFFFFFFFF).alias("r"))
+    return ties.join(left, "l").join(right, "r").orderBy("left", "right").first()["pair"]
 
 
 def train_bpe(words: DataFrame, num_merges: int, word_col: str = "word", count_col: str = "count",
@@ -348,17 +415,16 @@ def train_bpe(words: DataFrame, num_merges: int, word_col: str = "word", count_c
     w = words.select(F.col(word_col).alias("word"), F.col(count_col).cast("long").alias("count"))
     names = list(symbols or alphabet(w))
     ids = {s: i for i, s in enumerate(names)}
-    state = materialize(w.mapInArrow(lambda b: _to_ids(b, ids), ROWS), "bpe-words")
-    found, pairs = [], max_pairs
+    state = materialize(w.mapInArrow(lambda b: _to_blocks(b, ids), BLOCKS), "bpe-words")
+    found, pairs = [], min(max_pairs, FIRST_PAIRS)
     while len(found) < num_merges:
-        merges, pairs = _round(state, names, num_merges - len(found), pairs, max_symbols)
+        merges, change, pairs = _round(state, names, num_merges - len(found), pairs, max_symbols)
         if not merges:
             break
         found += [(names[l], names[r], names[m], c) for l, r, m, c in merges]
-        ranks = spark.sparkContext.broadcast(merge_table(m[:3] for m in merges))
         if len(found) < num_merges:
-            state = materialize(state.mapInArrow(lambda b, ranks=ranks: _apply(b, ranks.value), ROWS), "bpe-words")
-        pairs = min(max_pairs, 2 * pairs)
+            state = materialize(state.mapInArrow(lambda b, change=change: _apply(b, *change.value), BLOCKS), "bpe-words")
+        pairs = min(max_pairs, 4 * pairs)
     rows = [(k, *m) for k, m in enumerate(found, 1)]
     return spark.createDataFrame(rows, "rank int, left string, right string, piece string, count long")
 

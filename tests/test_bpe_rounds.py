@@ -4,58 +4,80 @@ import random
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from corpusmill.operators import bpe
 from test_bpe import reference_bpe
 
 
-def batch(words):
-    return pa.RecordBatch.from_arrays([pa.array([list(w) for w in words], pa.list_(pa.int32())),
-                                       pa.array(list(words.values()), pa.int64())], names=["sym", "count"])
+def blocks(words):
+    """The words in blocks of about 40 symbols."""
+    out, part = [], []
+    for w, c in words.items():
+        part.append((w, c))
+        if sum(len(x) for x, _ in part) > 40:
+            out.append(part)
+            part = []
+    out += [part] if part else []
+    return [bpe._block(np.array([s for w, _ in p for s in w]), np.array([len(w) for w, _ in p]), np.array([c for _, c in p])) for p in out]
+
+
+def words_of(batches):
+    out = Counter()
+    for flat, lens, weights in bpe._blocks(batches):
+        at = 0
+        for n, c in zip(lens.tolist(), weights.tolist()):
+            out[tuple(flat[at:at + n].tolist())] += c
+            at += n
+    return out
 
 
 def rows(batches):
     out = Counter()
     for b in batches:
-        for s, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            out[tuple(s)] += c
+        for k, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            out[k] += n
     return out
 
 
 def train_in_rounds(counts, num_merges, max_live):
-    """The rounds of the trainer over one batch, with at most ``max_live`` live pairs."""
+    """The rounds of the trainer over some blocks, with at most ``max_live`` live pairs."""
     names = sorted({ch for w in counts for ch in "▁" + w})
     ids = {s: i for i, s in enumerate(names)}
     words = Counter({tuple(ids[c] for c in "▁" + w): n for w, n in counts.items()})
     found, rounds = [], 0
     while len(found) < num_merges:
-        pairs = {k: n for b in bpe._count_pairs([batch(words)]) for k, n in zip(*(b.column(i).to_pylist() for i in (0, 1)))} if words else {}
+        pairs = rows(bpe._count_pairs(blocks(words)))
         if not pairs:
             break
         order = sorted(pairs.values(), reverse=True)
         floor = 1 if len(order) <= max_live else order[max_live] + 1
         live = np.array(sorted(k for k, n in pairs.items() if n >= floor), dtype=np.int64)
+        limit = num_merges - len(found)
         rounds += 1
         if not len(live):  # all tie
-            key = min((k for k in pairs if pairs[k] == order[0]), key=lambda k: (names[k >> 32], names[k & 0xFFFFFFFF]))
-            name = names[key >> 32] + names[key & 0xFFFFFFFF]
-            if name not in names:
-                names.append(name)
-            merges = [(key >> 32, key & 0xFFFFFFFF, names.index(name), order[0])]
-        else:
-            chains = rows(bpe._cut_chains([batch(words)], live))
-            flat = np.array([s for w in chains for s in w])
-            lens = np.array([len(w) for w in chains])
-            merges = bpe._Chains(flat, lens, np.array(list(chains.values())), names, floor).merges(num_merges - len(found))
+            live = np.array([min((k for k in pairs if pairs[k] == order[0]), key=lambda k: (names[k >> 32], names[k & 0xFFFFFFFF]))])
+            floor, limit = order[0], 1
+        chains = rows(bpe._cut_chains(blocks(words), live))
+        flat = np.frombuffer(b"".join(chains), dtype="<i4")
+        lens = np.array([len(t) // 4 for t in chains])
+        sim = bpe._Chains(flat, lens, np.array(list(chains.values())), names, floor)
+        merges = sim.merges(limit)
         assert merges
         found += [(names[l], names[r], c) for l, r, m, c in merges]
-        words = rows(bpe._apply([batch(words)], bpe.merge_table(m[:3] for m in merges)))
+        result = {t: (new := sim.sym[e - n:e])[new >= 0].astype(np.int32) for t, e, n in zip(chains, np.cumsum(lens), lens)}
+        before = words
+        merged = np.unique([l << 32 | r for l, r, *_ in merges])
+        words = words_of(bpe._apply(blocks(words), live, merged, result))
+        table = bpe.merge_table(m[:3] for m in merges)
+        want = Counter()
+        for w, c in before.items():
+            want[tuple(bpe.merge_in_order(w, table))] += c
+        assert words == Counter({w: c for w, c in want.items() if len(w) > 1})
     return found, rounds
 
 
-@pytest.mark.parametrize("seed", range(40))
+@pytest.mark.parametrize("seed", range(24))
 def test_rounds_equal_one_merge_at_a_time(seed):
     rng = random.Random(seed)
     letters = "ab" if seed % 4 == 0 else "abc" if seed % 4 == 1 else "abcdefgh"
@@ -64,7 +86,7 @@ def test_rounds_equal_one_merge_at_a_time(seed):
         w = "".join(rng.choice(letters) for _ in range(rng.randint(1, rng.choice([3, 9, 25]))))
         words[w] += rng.choice([1, 1, 2, 5, 40])
     want = reference_bpe(words, 150)
-    for max_live in (1, 2, 3, 7, 20, 10_000):
+    for max_live in (1, 3, 7, 10_000):
         got, rounds = train_in_rounds(words, 150, max_live)
         assert got == want, max_live
     assert rounds <= 2 or len(want) < 3 or any(n == 0 for *_, n in want) or rounds < len(want)
