@@ -365,14 +365,17 @@ def _round(state: DataFrame, names: list[str], limit: int, pairs: int, max_symbo
     spark = state.sparkSession
     counts = materialize(state.mapInArrow(_count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "bpe-pairs")
     while True:
-        top = counts.orderBy(F.col("n").desc()).limit(pairs + 1).toArrow()
-        keys, n = top.column("pair").to_numpy(), top.column("n").to_numpy()
-        if not len(keys):
+        # how many pairs have each of the highest counts: at most ``pairs`` rows matter, no pair is sorted
+        levels = counts.groupBy("n").agg(F.count("*").alias("k")).orderBy(F.col("n").desc()).limit(pairs + 1).collect()
+        if not levels:
             return [], None, pairs
-        floor = 1 if len(keys) <= pairs else int(n[-1]) + 1
-        live = np.sort(keys[n >= floor])
-        if not len(live):  # more pairs share the highest count than may be live: the first of them alone
-            live, floor, limit = np.array([_first_by_name(counts.filter(F.col("n") == int(n[0])), names)]), int(n[0]), 1
+        fit = np.searchsorted(np.cumsum([r["k"] for r in levels]), pairs, side="right")
+        floor = 1 if fit == len(levels) else int(levels[fit]["n"]) + 1
+        if fit:
+            live = np.sort(counts.filter(F.col("n") >= floor).select("pair").toArrow().column("pair").to_numpy())
+        else:  # more pairs share the highest count than may be live: the first of them alone
+            floor, limit = int(levels[0]["n"]), 1
+            live = np.array([_first_by_name(counts.filter(F.col("n") == floor), names)])
         sent = spark.sparkContext.broadcast(live)
         chains = state.mapInArrow(lambda b: _cut_chains(b, sent.value), "chain binary, n long").groupBy("chain").agg(F.sum("n").alias("n"))
         chains = materialize(chains, "bpe-chains")
