@@ -10,18 +10,26 @@ documents link when their distance is at most eps = 1 - threshold.
    node is replicated into just those regions (its window).  The order puts shingles that are frequent in
    a sample last, so crowded regions are rare; any order gives the same links.  Regions with one node end here (found by a
    map-side combined minimum and maximum, no region is ever gathered).
-3. Inner regions: small regions compare their nodes; a crowded region takes one node as pivot and measures all
-   others against it.  By the triangle inequality nodes within eps of the pivot cannot link with nodes farther than 2 eps, so
-   the rest is divided into an inner (<= 2 eps) and an outer (> eps) region; nodes between are
-   replicated into both.  Regions whose nodes are already connected end; the others recurse.
-   The size up to which all nodes are compared doubles with each round, so the recursion ends.
-4. Pairs must pass the size bound min/max >= threshold and a bound from the number of regions they
-   share; the others are verified on the whole sets; components are formed over the verified links.
+3. Regions of at most ``LEAF`` nodes compare them.  A crowded region takes its smallest node as pivot P; crowded regions with one pivot
+   are one Voronoi region, in which the distance of every node to P is measured on the whole sets.  For the pair (x, y)
+
+       |x & y| <= min(|x & U|, |y & U|) + |(x - U) & (y - U)|
+
+   where U joins the pivots on the way to the region.  As no node is smaller than P, x needs an overlap of
+   ``need = threshold / (1 + threshold) * (|x| + |P|)`` at least with any other.  Nodes nearer than that (``|x & U| >= need``) are inner; right
+   below the top they are those that link with P, hence connected.  A pair with a node that is not inner must share a shingle
+   outside U, so the residual sets ``x - U`` get windows of their own, ``|x - U| - max(1, need - |x & U|) + 1`` shingles in the global order, and
+   meet in new regions.  Further below, inner nodes that need not share one form a region without pivots.  A child region lacks the pivot, so
+   the recursion ends; regions of one component end at once.
+4. Pairs of small regions must pass the size bound min/max >= threshold and a bound from the number of regions they
+   share; the others are verified on the whole sets, which are read once and kept by node; components are formed over the verified
+   links by hooking and contraction, each round only over the labels that its new links connect.
 
 Nulls and edge cases: a null text or a text without words has the empty set and links with nothing (its component
 is its own id); a text of fewer words than five is one shingle; rows that repeat an id are rows of their own, with
 the component of their set; null ids never name a component unless all its ids are null; an empty table gives an empty result.
-Only id and text are read.  Shingles are 64-bit hashes of whole words.
+Only id and text are read.  Shingles are 64-bit hashes of whole words; a word's hash joins a polynomial modulo 2**64 with one
+modulo the prime 2**31 - 1, so that words built to agree in the first still differ.
 """
 
 from __future__ import annotations
@@ -34,7 +42,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.neardup import connected_components
 from ..sources.sinks import materialize
 
 N_WORDS, THRESHOLD = 5, (80, 100)
@@ -42,6 +49,8 @@ LEAF = 48
 MAX_FREQUENT = 200_000  # shingles put last in the order; bounds what goes to the tasks
 SAMPLE = 4  # one document in SAMPLE is looked at for them
 MAX_SMALL = 1_000_000  # ids sent to all tasks; more are joined by a shuffle
+MAX_SMALL_BYTES = 32 << 20  # the same for sets of pivots
+PIECE = 256  # rows of an output batch
 BATCH_BYTES = 700_000
 
 _BYTES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -62,18 +71,25 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_PRIME = np.uint64(2**31 - 1)
+_Q = 0x2545F491 % (2**31 - 1)
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64) for _ in range(4)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n-1 of the base and of its inverse modulo 2**64."""
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers 0..n-1 of a base and of its inverse modulo 2**64, and of another modulo the prime."""
     if len(_POWERS[0]) < n:
         size = max(n, 2 * len(_POWERS[0]))
         for k, base in enumerate((_P, _INV)):
             p = np.full(size, np.uint64(base))
             p[0] = 1
             _POWERS[k] = np.multiply.accumulate(p)
-    return _POWERS[0][:n], _POWERS[1][:n]
+        for k, base in ((2, _Q), (3, pow(_Q, -1, 2**31 - 1))):
+            p = np.ones(1, np.uint64)
+            while len(p) < size:  # base**len(p) times the powers so far
+                p = np.concatenate([p, p * np.uint64(pow(base, len(p), 2**31 - 1)) % _PRIME])
+            _POWERS[k] = p[:size]
+    return [p[:n] for p in _POWERS]
 
 
 def shingle_sets(texts: list[bytes], n_words: int = N_WORDS) -> list[np.ndarray]:
@@ -85,9 +101,12 @@ def shingle_sets(texts: list[bytes], n_words: int = N_WORDS) -> list[np.ndarray]
     space = _SPACE[data]
     edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    power, inverse = _powers(len(data) + 1)
+    power, inverse, power2, inverse2 = _powers(len(data) + 1)
     total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTES[data] * power[:-1])])
     word = _mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+    # each term is below 2**62 before and 2**31 after the division, so the sum of a batch fits
+    total = np.concatenate([[np.uint64(0)], np.cumsum((_BYTES[data] % _PRIME) * power2[:-1] % _PRIME)])
+    word ^= _mix((total[end] - total[start]) % _PRIME * inverse2[start] % _PRIME)
     ends = np.cumsum([len(t) + 1 for t in texts])
     cut = np.searchsorted(start, ends)
     out, at = [], 0
@@ -127,14 +146,22 @@ def node_of(s: np.ndarray) -> int:
 def prefix(s: np.ndarray, frequent: np.ndarray, threshold=THRESHOLD) -> np.ndarray:
     """The window of a set: its first shingles in the global order (frequent ones last)."""
     n = len(s)
-    k = n - -(-threshold[0] * n // threshold[1]) + 1
-    if not len(frequent):
-        return s[:k]
-    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-    last = frequent[at] == s
+    return first(s, n - -(-threshold[0] * n // threshold[1]) + 1, frequent)
+
+
+def first(s: np.ndarray, k: int, frequent: np.ndarray) -> np.ndarray:
+    """The first ``k`` shingles of a sorted set in the global order."""
+    if k <= 0 or not len(frequent):
+        return s[:max(k, 0)]
+    last = within(s, frequent)
     return np.concatenate([s[~last], s[last]])[:k]
 
 
+def within(s: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which members of a sorted set are in another that is not empty."""
+    return other[np.minimum(np.searchsorted(other, s), len(other) - 1)] == s
+
+
 def _points(rows: DataFrame, frequent: np.ndarray, n_words: int, threshold) -> DataFrame:
     """``id, node, n, tokens`` of each row."""
     id_type = rows.schema["id"].dataType
@@ -171,10 +198,9 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MAX_SMALL else df
 
 
-def verify(pairs: DataFrame, rows: DataFrame, points: DataFrame, n_words: int) -> DataFrame:
-    """``a, b, common, n_a, n_b`` of the pairs, from their whole sets."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    # one row of each node is read again; ids that other texts repeat are sorted out by the node
+def node_sets(nodes: DataFrame, rows: DataFrame, points: DataFrame, n_words: int) -> DataFrame:
+    """``node, set`` of the nodes, from the whole text of one row each."""
+    # ids that other texts repeat are sorted out by the node
     one = points.join(nodes, "node").groupBy("node").agg(F.min("id").alias("one"))
     one = materialize(one, "jaccard-nodes")
     ids = _small(one.select("one").distinct())
@@ -182,23 +208,111 @@ def verify(pairs: DataFrame, rows: DataFrame, points: DataFrame, n_words: int) -
     sets = _sets(texts, n_words)
     want = _small(one.select(F.col("node").alias("w"), F.col("one").alias("o")))
     sets = sets.join(want, (sets["node"] == want["w"]) & sets["one"].eqNullSafe(want["o"]), "left_semi")
-    sets = materialize(sets.select("node", "set"), "jaccard-sets")
+    # rows that repeat an id and a text give a node more than once
+    return materialize(sets.groupBy("node").agg(F.max("set").alias("set")), "jaccard-sets")
+
+
+def verify(pairs: DataFrame, sets: DataFrame, threshold) -> DataFrame:
+    """The pairs ``a, b`` that link, by their whole sets."""
+    num, den = threshold
     both = (pairs.join(sets.withColumnRenamed("node", "a").withColumnRenamed("set", "sa"), "a")
             .join(sets.withColumnRenamed("node", "b").withColumnRenamed("set", "sb"), "b"))
 
     def run(batches):
         for b in batches:
-            found = []
+            keep = []
             for x, y in zip(b.column("sa"), b.column("sb")):
                 p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                at = np.minimum(np.searchsorted(q, p), len(q) - 1)
-                found.append((int((q[at] == p).sum()), len(p), len(q)))
-            cols = list(zip(*found)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), *[pa.array(c, pa.int64()) for c in cols]],
-                                             ["a", "b", "common", "n_a", "n_b"])
+                keep.append(int(within(p, q).sum()) * (num + den) >= (len(p) + len(q)) * num)
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def pivot_sets(crowded: DataFrame, above: DataFrame | None, sets: DataFrame) -> DataFrame:
+    """``next, pset, uset``: of each crowded region the pivot's set, and its union with those of the pivots above."""
+    heads = crowded.filter("node = pivot").select("next", "path", "node").join(sets.withColumnRenamed("set", "pset"), "node")
+    if above is None:
+        return heads.select("next", "pset", F.col("pset").alias("uset"))
+    heads = heads.join(above.select(F.col("next").alias("path"), F.col("uset").alias("old")), "path", "left").select("next", "pset", "old")
+
+    def run(batches):
+        for b in batches:
+            new = [p.as_py() if not old.is_valid else
+                   np.union1d(np.frombuffer(p.as_py(), np.uint64), np.frombuffer(old.as_py(), np.uint64)).tobytes()
+                   for p, old in zip(b.column("pset"), b.column("old"))]
+            yield pa.RecordBatch.from_arrays([b.column("next"), b.column("pset"), pa.array(new, pa.binary())], ["next", "pset", "uset"])
+
+    return heads.mapInArrow(run, "next long, pset binary, uset binary")
 
-    # rows that repeat an id and a text give a pair more than once
-    return both.mapInArrow(run, "a long, b long, common long, n_a long, n_b long").dropDuplicates(["a", "b"])
+
+def residual_windows(members: DataFrame, frequent: np.ndarray, threshold) -> DataFrame:
+    """``next, pivot, node, n, linked, inner, tokens`` of the nodes (``set``) of crowded regions (``pset``, ``uset``)."""
+    num, den = threshold
+
+    def one(x: np.ndarray, p: np.ndarray, u: np.ndarray):
+        n, inside = len(x), within(x, u)
+        linked = int(within(x, p).sum()) * (num + den) >= (n + len(p)) * num
+        need = max(-(-num * n // den), -(-num * (n + len(p)) // (num + den)))
+        rest, known = x[~inside], int(inside.sum())
+        return linked, known >= need, first(rest, len(rest) - max(1, need - known) + 1, frequent).view(np.int64)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, PIECE):
+                b = batch.slice(at, PIECE)
+                got = [one(*(np.frombuffer(v.as_py(), np.uint64) for v in row))
+                       for row in zip(b.column("set"), b.column("pset"), b.column("uset"))]
+                linked, inner, tokens = zip(*got)
+                yield pa.RecordBatch.from_arrays(
+                    [*(b.column(c) for c in ("next", "pivot", "node", "n")), pa.array(linked, pa.bool_()), pa.array(inner, pa.bool_()),
+                     pa.array(tokens, pa.list_(pa.int64()))], ["next", "pivot", "node", "n", "linked", "inner", "tokens"])
+
+    return members.mapInArrow(run, "next long, pivot long, node long, n long, linked boolean, inner boolean, tokens array<long>")
+
+
+def components_of(edges: DataFrame) -> DataFrame:
+    """``node, label`` of every node of ``edges (a, b)``; the label is a node of the component.
+
+    Each node hooks to its smallest neighbour, if that is smaller; pointers are doubled down to the roots, and
+    the edges between different roots are the next round's.
+    """
+    edges = materialize(edges.filter("a <> b").distinct(), "links-edges")
+    labels = None
+    while edges.limit(1).count():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        up = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("b")), "links-up")
+        moved = True
+        while moved:
+            top = up.select(F.col("a").alias("b"), F.col("b").alias("top"))
+            up = materialize(up.join(top, "b").select("a", F.col("top").alias("b"), (F.col("b") != F.col("top")).alias("moved")), "links-up")
+            moved = up.filter("moved").limit(1).count() > 0
+        root = up.select(F.col("a").alias("label"), F.col("b").alias("root"))
+        if labels is None:
+            labels = root.select(F.col("label").alias("node"), F.col("root").alias("label"))
+        else:
+            labels = labels.join(root, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+        labels = materialize(labels, "links-labels")
+        edges = (edges.join(root.select(F.col("label").alias("a"), F.col("root").alias("x")), "a")
+                 .join(root.select(F.col("label").alias("b"), F.col("root").alias("y")), "b"))
+        edges = materialize(edges.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links-edges")
+    return labels
+
+
+def relabel(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """``labels`` after new links ``a, b``; nodes without links have none."""
+    if labels is None:
+        return components_of(links)
+    for end in "ab":
+        links = links.join(labels.select(F.col("node").alias(end), F.col("label").alias("l" + end)), end, "left")
+    links = materialize(links.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).filter("a <> b").distinct(), "jaccard-joined")
+    if not links.limit(1).count():
+        return labels
+    roots = components_of(links)
+    # a label is itself a node with that label, so other nodes are new
+    fresh = roots.select("node").join(labels.select("node"), "node", "left_anti").withColumn("label", F.col("node"))
+    moved = labels.unionByName(fresh).join(roots.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
+    return materialize(moved.select("node", F.coalesce("root", "label").alias("label")), "jaccard-labels")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS,
@@ -208,10 +322,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return out.select("id", "n_shingles", "component_id")
 
 
-def _components(docs: DataFrame, id_col: str, text_col: str, n_words: int = N_WORDS, threshold=THRESHOLD, leaf: int = LEAF) -> DataFrame:
-    """``id, node, n_shingles, label, component_id`` of each row; label is a node of the component, null as node without words."""
+def _components(docs: DataFrame, id_col: str, text_col: str, n_words: int = N_WORDS, threshold=THRESHOLD, leaf: int = LEAF,
+                trace: list | None = None) -> DataFrame:
+    """``id, node, n_shingles, label, component_id`` of each row; label is a node of the component, null as node without words.
+
+    ``trace`` gets for each round the rows of its regions, the pairs compared and the distances to pivots measured.
+    """
     num, den = threshold
-    eps = 1 - num / den
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sample = rows.filter(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(SAMPLE)) == 0)
     often = (_points(sample, np.zeros(0, np.uint64), n_words, threshold).dropDuplicates(["node"])
@@ -221,35 +338,22 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n_words: int = N_WO
     points = materialize(_points(rows, frequent, n_words, threshold), "jaccard-points")
     spread = points.filter("n > 0").select("node", "n", F.explode("tokens").alias("cell"))
     shared = spread.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
-    regions = materialize(spread.join(shared.select("cell"), "cell").groupBy("cell", "node").agg(F.max("n").alias("n")),
-                          "jaccard-regions")
+    regions = spread.join(shared.select("cell"), "cell").groupBy("cell", "node").agg(F.max("n").alias("n"))
+    regions = materialize(regions.withColumns({"path": F.lit(0).cast("long"), "label": F.col("node")}), "jaccard-regions")
     close = lambda x, y: F.least(x, y) * den >= F.greatest(x, y) * num  # noqa: E731  no pair of sizes further apart links
-    tested = links = labels = None
+    labels = above = sets = None
     while regions.limit(1).count():
-        if labels is not None:
-            at = F.coalesce("label", regions["node"])
-            members = regions.join(labels, "node", "left").withColumn("label", at)
-        else:
-            members = regions.withColumn("label", F.col("node"))
-        # regions whose nodes are connected end; the pivot is a node of the last component
-        heads = members.groupBy("cell").agg(F.count("*").alias("size"), F.min("label").alias("l0"), F.max("label").alias("l1"),
-                                            F.max_by("node", F.struct("label", "node")).alias("pivot")).filter("l0 <> l1")
-        live = materialize(members.join(heads.select("cell", "size", "pivot"), "cell"), "jaccard-members")
-        pairs = live.filter(F.col("size") > leaf)
-        heads = pairs.filter("node = pivot").select("cell", F.col("n").alias("pn"), F.col("label").alias("pl"))
-        star = pairs.join(heads, "cell").filter((F.col("node") != F.col("pivot")) & close(F.col("n"), F.col("pn")))
-        star = star.filter("label <> pl").select(F.col("pivot").alias("x"), F.col("pn").alias("xn"), F.col("node").alias("y"),
-                                                 F.col("n").alias("yn"), F.lit(0).alias("met"))
+        # regions whose nodes are connected end; the pivot is the smallest node
+        heads = regions.groupBy("cell").agg(F.count("*").alias("size"), F.min("label").alias("l0"), F.max("label").alias("l1"),
+                                            F.min(F.struct("n", "node")).alias("head")).filter("l0 <> l1")
+        live = materialize(regions.join(heads.select("cell", "size", F.col("head.node").alias("pivot")), "cell"), "jaccard-members")
         own = live.filter(F.col("size") <= leaf).select("cell", "node", "n", "label")
         other = own.select("cell", F.col("node").alias("y"), F.col("n").alias("m"), F.col("label").alias("yl"))
         each = own.join(other, (own["cell"] == other["cell"]) & (own["node"] < other["y"])
                         & close(own["n"], other["m"]) & (own["label"] != other["yl"]))
-        cand = star.unionByName(each.select(F.col("node").alias("x"), F.col("n").alias("xn"), "y", F.col("m").alias("yn"),
-                                            F.lit(1).alias("met")))
-        cand = cand.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("xn") + F.col("yn")).alias("both"),
-                           F.greatest("xn", "yn").alias("most"), "met")
-        cand = cand.groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("both").alias("both"), F.max("most").alias("most"))
-        if labels is None and tested is None:
+        cand = each.groupBy(F.col("node").alias("a"), F.col("y").alias("b")).agg(
+            F.count("*").alias("met"), F.max(F.col("n") + F.col("m")).alias("both"), F.max(F.greatest("n", "m")).alias("most"))
+        if sets is None:
             # first round: the small regions a pair shares, and the crowded ones it may share, are all
             # the shingles common to both windows; beyond the shorter-reaching window at most
             # ceil(threshold n) - 1 more can be common
@@ -259,32 +363,37 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n_words: int = N_WO
             may = F.least(F.coalesce("ka", F.lit(0)), F.coalesce("kb", F.lit(0)))
             reach = F.ceil(F.col("most") * num / den - 1e-9) - 1
             cand = cand.filter((F.col("met") + may + reach) * (num + den) >= F.col("both") * num)
-        cand = cand.select("a", "b")
-        if tested is not None:
-            cand = cand.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        cand = materialize(cand, "jaccard-pairs")
-        if cand.limit(1).count():
-            now = materialize(verify(cand, rows, points, n_words), "jaccard-distances")
-            tested = now if tested is None else tested.unionByName(now)
-            new = now.filter(F.col("common") * den >= (F.col("n_a") + F.col("n_b") - F.col("common")) * num).select("a", "b")
-            links = new if links is None else links.unionByName(new)
-            if new.limit(1).count():
-                labels = connected_components(links)
-        crowded = live.filter(F.col("size") > leaf)
-        # distances to the pivot: exact where measured, else the bound from the sizes
-        crowded = crowded.join(heads.select("cell", "pn"), "cell").filter("node <> pivot")
-        crowded = crowded.withColumns({"a": F.least("node", "pivot"), "b": F.greatest("node", "pivot")})
-        if tested is not None:
-            known = tested.select("a", "b", (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("d"))
-            crowded = crowded.join(known, ["a", "b"], "left")
+        cand = materialize(cand.select("a", "b"), "jaccard-pairs")
+        crowded = live.filter(F.col("size") > leaf).select(F.xxhash64("path", "pivot").alias("next"), "path", "pivot", "node", "n").distinct()
+        crowded = materialize(crowded, "jaccard-crowded")
+        if sets is None:
+            # later rounds meet no other nodes than those of crowded regions
+            need = cand.select(F.col("a").alias("node")).union(cand.select("b")).union(crowded.select("node")).distinct()
+            sets = node_sets(need, rows, points, n_words)
+        above = materialize(pivot_sets(crowded, above, sets), "jaccard-pivots")
+        size = above.agg(F.sum(F.length("pset") + F.length("uset"))).first()[0] or 0
+        members = crowded.filter("node <> pivot").join(sets, "node")
+        members = members.join(F.broadcast(above) if size <= MAX_SMALL_BYTES else above, "next")
+        found = materialize(residual_windows(members, frequent, threshold), "jaccard-windows")
+        links = verify(cand, sets, threshold).unionByName(found.filter("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+        links = materialize(links, "jaccard-links")
+        if trace is not None:
+            trace.append((live.count(), cand.count(), found.count()))
+        if links.limit(1).count():
+            labels = relabel(labels, links)
+        if labels is not None:
+            found = found.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         else:
-            crowded = crowded.withColumn("d", F.lit(None).cast("double"))
-        low = F.coalesce("d", 1 - F.least("n", "pn") / F.greatest("n", "pn"))
-        inner, outer = low <= 2 * eps + 1e-9, F.coalesce(F.col("d") > eps - 1e-9, F.lit(True))
-        sides = F.array_compact(F.array(F.when(inner, F.lit(0)), F.when(outer, F.lit(1))))
-        crowded = crowded.withColumn("side", F.explode(sides))
-        regions = materialize(crowded.select(F.xxhash64("cell", "side").alias("cell"), "node", "n"), "jaccard-regions")
-        leaf *= 2
+            found = found.withColumn("label", F.col("node"))
+        spread = found.select("next", "node", "n", "label", F.explode("tokens").alias("t"))
+        spread = spread.select(F.xxhash64("next", "t").alias("cell"), "node", "n", F.col("next").alias("path"), "label")
+        # right below the top inner nodes are linked with their pivot
+        inner = found.filter("inner and not linked").select("next").distinct()
+        inner = found.filter("inner").join(inner, "next", "left_semi")
+        spread = spread.unionByName(inner.select(F.xxhash64("next", F.lit("inner")).alias("cell"), "node", "n",
+                                                 F.lit(0).cast("long").alias("path"), "label"))
+        shared = spread.groupBy("cell").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 <> l1")
+        regions = materialize(spread.join(shared.select("cell"), "cell"), "jaccard-regions")
     nodes = points.filter("n > 0").groupBy("node").agg(F.min("id").alias("low"))
     if labels is not None:
         nodes = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
