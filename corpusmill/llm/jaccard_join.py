@@ -230,20 +230,26 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold) -> DataFrame:
 
 
 def pivot_sets(crowded: DataFrame, above: DataFrame | None, sets: DataFrame) -> DataFrame:
-    """``next, pset, uset``: of each crowded region the pivot's set, and its union with those of the pivots above."""
-    heads = crowded.filter("node = pivot").select("next", "path", "node").join(sets.withColumnRenamed("set", "pset"), "node")
+    """``next, pivot, pset, uset``: the set of each crowded region's pivot, and its union with those of the pivots above.
+
+    ``next`` names the pivots so far in any order; regions that come to the same ones by other ways are one.
+    """
+    heads = crowded.filter("node = pivot").select("next", "path", "pivot")
+    heads = heads.join(sets.select(F.col("node").alias("pivot"), F.col("set").alias("pset")), "pivot")
     if above is None:
-        return heads.select("next", "pset", F.col("pset").alias("uset"))
-    heads = heads.join(above.select(F.col("next").alias("path"), F.col("uset").alias("old")), "path", "left").select("next", "pset", "old")
+        return heads.select("next", "pivot", "pset", F.col("pset").alias("uset"))
+    old = above.dropDuplicates(["next"]).select(F.col("next").alias("path"), F.col("uset").alias("old"))
+    heads = heads.join(old, "path", "left").select("next", "pivot", "pset", "old")
 
     def run(batches):
         for b in batches:
             new = [p.as_py() if not old.is_valid else
                    np.union1d(np.frombuffer(p.as_py(), np.uint64), np.frombuffer(old.as_py(), np.uint64)).tobytes()
                    for p, old in zip(b.column("pset"), b.column("old"))]
-            yield pa.RecordBatch.from_arrays([b.column("next"), b.column("pset"), pa.array(new, pa.binary())], ["next", "pset", "uset"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("next", "pivot", "pset")), pa.array(new, pa.binary())],
+                                             ["next", "pivot", "pset", "uset"])
 
-    return heads.mapInArrow(run, "next long, pset binary, uset binary")
+    return heads.mapInArrow(run, "next long, pivot long, pset binary, uset binary")
 
 
 def residual_windows(members: DataFrame, frequent: np.ndarray, threshold) -> DataFrame:
@@ -364,7 +370,8 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n_words: int = N_WO
             reach = F.ceil(F.col("most") * num / den - 1e-9) - 1
             cand = cand.filter((F.col("met") + may + reach) * (num + den) >= F.col("both") * num)
         cand = materialize(cand.select("a", "b"), "jaccard-pairs")
-        crowded = live.filter(F.col("size") > leaf).select(F.xxhash64("path", "pivot").alias("next"), "path", "pivot", "node", "n").distinct()
+        crowded = live.filter(F.col("size") > leaf).select(
+            F.col("path").bitwiseXOR(F.xxhash64("pivot")).alias("next"), "path", "pivot", "node", "n").distinct()
         crowded = materialize(crowded, "jaccard-crowded")
         if sets is None:
             # later rounds meet no other nodes than those of crowded regions
@@ -373,7 +380,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n_words: int = N_WO
         above = materialize(pivot_sets(crowded, above, sets), "jaccard-pivots")
         size = above.agg(F.sum(F.length("pset") + F.length("uset"))).first()[0] or 0
         members = crowded.filter("node <> pivot").join(sets, "node")
-        members = members.join(F.broadcast(above) if size <= MAX_SMALL_BYTES else above, "next")
+        members = members.join(F.broadcast(above) if size <= MAX_SMALL_BYTES else above, ["next", "pivot"])
         found = materialize(residual_windows(members, frequent, threshold), "jaccard-windows")
         links = verify(cand, sets, threshold).unionByName(found.filter("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
         links = materialize(links, "jaccard-links")
@@ -393,7 +400,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n_words: int = N_WO
         spread = spread.unionByName(inner.select(F.xxhash64("next", F.lit("inner")).alias("cell"), "node", "n",
                                                  F.lit(0).cast("long").alias("path"), "label"))
         shared = spread.groupBy("cell").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 <> l1")
-        regions = materialize(spread.join(shared.select("cell"), "cell"), "jaccard-regions")
+        regions = materialize(spread.join(shared.select("cell"), "cell").distinct(), "jaccard-regions")
     nodes = points.filter("n > 0").groupBy("node").agg(F.min("id").alias("low"))
     if labels is not None:
         nodes = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
