@@ -39,7 +39,9 @@ MAX_TRAIN = 9_000
 MAX_TERMS = 3_000
 STEM = range(3, 9)
 WINDOW = 6
-REMEMBERED = 400_000
+LONGEST = 64
+REMEMBERED_BYTES = 24 << 20  # of words and their hits that a worker keeps
+PIECE_BYTES = 1 << 20  # of texts in an output batch
 WORDS = re.compile(r"\w+")
 #: fixed word lists of the context window
 ADDRESS = frozenset("you your yours u ur tu te toi ton vous votre du dich dir dein ihr euch eres usted ustedes".split())
@@ -76,6 +78,8 @@ class Lexicon:
                 if spelled[i] != spelled[i + 1]:
                     self.swapped.setdefault(spelled[:i] + spelled[i + 1] + spelled[i] + spelled[i + 2:] + star, []).append(t)
         self.known: dict[str, tuple] = {}
+        self.size = 0
+        self.longest = max((len(t) for t in terms), default=0)
 
     @staticmethod
     def edits(size: int) -> int:
@@ -103,6 +107,8 @@ class Lexicon:
                     moves = [0] if i == 0 else [extra] if i == k else [d for d in (-1, 0, 1) if abs(extra - d) <= 1]
                     out += [(a + d, b + d, roots, k) for d in moves if a + d >= 0 and b + d <= n]
         places = {(a, b, id(roots)): (a, b, roots, k) for a, b, roots, k in out}
+        if n > LONGEST:  # such sizes are many and seldom
+            return list(places.values())
         self.plans[n] = list(places.values())
         return self.plans[n]
 
@@ -112,6 +118,13 @@ class Lexicon:
         Bit ``i`` of the automaton's state ``r[d]`` says that the first ``i`` characters of the word are
         reached with ``d`` edits at most; without any bit the walk does not enter the subtree below.
         """
+        n = len(word)
+        if n > LONGEST:
+            # only stems can be like a beginning of it, and of that no more than a term and its edits
+            return {t: d for t, d in self.fuzzy(word[:LONGEST]).items() if t[-1] == "*"} if self.longest + 2 <= LONGEST else self._fuzzy(word)
+        return self._fuzzy(word)
+
+    def _fuzzy(self, word: str) -> dict[str, int]:
         n, found = len(word), {}
         full, end = (2 << n) - 1, 1 << n
         masks: dict[str, int] = {}
@@ -156,10 +169,15 @@ class Lexicon:
                 for t in self.swapped.get(form, ()):
                     near[t] = 1
             hits += sorted((x for x in near.items() if (x[0], 0) not in hits), key=lambda x: (x[1], x[0]))
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[word] = tuple(hits)
-        return self.known[word]
+        got = tuple(hits)
+        size = 160 + 4 * len(word) + 72 * len(got)  # the entry and its objects, roughly
+        if len(word) <= LONGEST:
+            if self.size + size > REMEMBERED_BYTES:
+                self.known.clear()
+                self.size = 0
+            self.known[word] = got
+            self.size += size
+        return got
 
     def features(self, text: str) -> list[float]:
         """The hits of a text, weighed by their context, as numbers for the classifier."""
@@ -350,14 +368,19 @@ def score(docs: DataFrame, model: dict, text_col: str = "text", out: str = "scor
         lexicon = lexicon_of(terms)
         for b in batches:
             texts = b.column(text_col)
-            values = []
+            values, size, first = [], 0, 0
             for k in range(b.num_rows):
+                text = texts[k].as_py() or ""
                 if w is None:
                     values.append(base)
                 else:
-                    z = float(np.dot(design(lexicon.features(texts[k].as_py() or "")), w))
+                    z = float(np.dot(design(lexicon.features(text)), w))
                     values.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(values, pa.float64())], [*names, out])
+                size += len(text)
+                if size >= PIECE_BYTES or k + 1 == b.num_rows:
+                    part = b.slice(first, len(values))
+                    yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(values, pa.float64())], [*names, out])
+                    values, size, first = [], 0, k + 1
 
     return docs.select(*dict.fromkeys([*names, text_col])).mapInArrow(run, T.StructType(kept + [T.StructField(out, T.DoubleType())]))
 
