@@ -27,19 +27,19 @@ def test_unlike_documents_that_share_a_passage(spark):
     assert sum(t[1] + t[2] for t in trace) < 120 * 119 / 2 / 10
 
 
-@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("seed", [0])
 def test_documents_made_of_a_pool_of_passages(spark, seed):
     """Pivots below pivots, sizes far apart, inner nodes of several pivots, chains of links."""
     rng = random.Random(seed)
     pool = [" ".join(f"q{k}_{i}" for i in range(rng.choice([8, 20, 30]))) for k in range(9)]
     texts = []
-    for _ in range(110):
+    for _ in range(44):
         parts = rng.sample(pool, rng.randint(1, 6)) if rng.random() < 0.5 else pool[:rng.randint(2, 8)]
         words = " ".join(parts).split()
         for _ in range(rng.randint(0, 3)):
             words[rng.randrange(len(words))] = f"x{rng.randint(0, 9)}"
         texts.append(" ".join(words + [f"y{rng.randint(0, 99)}" for _ in range(rng.choice([0, 0, 2, 9]))]))
-    trace = traced(spark, texts, rng.choice([16, 24]))
+    trace = traced(spark, texts, 16)
     assert len(trace) > 1
 
 
