@@ -11,7 +11,10 @@ sorted that still settles every window of ``length`` bytes exactly:
    where they occur); the others are the suffixes.
 3. Sampled splitters range-partition the suffixes by their leading bytes.  A lead with more than
    ``HOT`` suffixes is divided: windows are dealt into classes by their offset from the anchor, and a
-   class leads with all bytes its windows have in common (at least 183 of 200).
+   class leads with all bytes its windows have in common (at least 183 of 200).  A class that still has more
+   than ``HOT`` suffixes with one lead is divided into its single windows; sampled splitters range-partition them by
+   window and place, and each is compared with the one before it in the sorted stream, also across the boundaries of the
+   partitions, so memory does not depend on how many texts share a passage.
 4. Buckets are sorted by multikey quicksort, 8 bytes a key, to the right of the anchor and, reversed, to the left.
    Neighbours' common lengths cut either order into runs for each offset; two suffixes in the same run of both have an
    equal window there.  Rows of one lead are never parted, and a part of a bucket ends at a
@@ -41,7 +44,8 @@ LENGTH, GRAM = 200, 64
 HOT, CLASSES = 20_000, 8
 CHUNK = 5_000  # suffixes compared at once
 BATCH_BYTES = 700_000
-PIECE = 1 << 20  # bytes hashed at once; positions in a piece are packed into 23 bits
+PIECE = 1 << 17  # bytes hashed at once; positions in a piece are packed into 23 bits
+OUT = 2_000  # rows of an output batch
 MAX_SMALL, MAX_KEYS, MAX_BYTES = 200_000, 1_000_000, 8_000_000  # rows, keys and bytes sent to all tasks; more are joined by a shuffle
 
 # the bytes' values without the folding of letters
@@ -59,7 +63,7 @@ def anchors(raw: list[bytes], length: int = LENGTH, gram: int = GRAM) -> list[tu
     ends = np.cumsum(sizes)
     found = []
     step = PIECE
-    power, inverse = _powers(step + 2 * length + 1)
+    power, inverse = _powers(step + 2 * length + 1)[:2]
     for at in range(0, len(data), step):  # pieces overlap by a window, so a long text is one text
         part = data[at:at + step + length]
         if len(part) < length:
@@ -172,37 +176,143 @@ def repeated_windows(group, left: list[bytes], right: list[bytes], low, high, le
 
 
 _SUFFIX = "digest binary, pos long, lead binary, low int, high int, left binary, right binary"
+_TYPES = {"binary": pa.binary(), "long": pa.int64(), "int": pa.int32()}
 
 
-def _suffixes(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """The surviving suffixes of each text (digest, text, hits: positions with their heat)."""
-    wide = length - gram + 1
+def _emit(df: DataFrame, rows_of, schema: str) -> DataFrame:
+    """The tuples ``rows_of(digest, text, hits)`` yields for each row, in batches of bounded size."""
+    names, types = zip(*[c.split() for c in schema.split(", ")])
+
+    def batch(out):
+        return pa.RecordBatch.from_arrays([pa.array(c, _TYPES[t]) for c, t in zip(zip(*out), types)], list(names))
+
+    def run(batches):
+        out = []
+        for b in batches:
+            for d, t, hits in zip(b.column("digest"), b.column("text"), b.column("hits")):
+                for row in rows_of(d.as_py(), (t.as_py() or "").encode("utf-8", "surrogatepass"), hits.as_py()):
+                    out.append(row)
+                    if len(out) >= OUT:
+                        yield batch(out)
+                        out = []
+        if out:
+            yield batch(out)
+
+    return df.select("digest", "text", "hits").mapInArrow(run, schema)
+
+
+def _classes(size: int, p: int, wide: int, length: int):
+    """``class, low, high`` of the classes of offsets that have windows around an anchor at ``p`` of ``size`` bytes.
+
+    All windows of a class hold the bytes from ``p - low`` to ``p + length - high``.
+    """
     step = -(-wide // CLASSES)
+    for c in range(CLASSES):
+        lo, hi = c * step, min((c + 1) * step, wide) - 1
+        if lo <= hi and p >= lo and p + length - hi <= size:
+            yield c, lo, hi
+
+
+def _class_leads(search: DataFrame, length: int, gram: int) -> DataFrame:
+    """``digest, pos, class, key`` of the classes of hot anchors; ``key`` stands for the class and its lead."""
+    wide = length - gram + 1
+
+    def rows_of(d, t, hits):
+        for h in hits:
+            if h["hot"]:
+                p = h["pos"]
+                for c, lo, hi in _classes(len(t), p, wide, length):
+                    lead = bytes([c]) + t[p - lo:p + length - hi]
+                    yield d, p, c, int.from_bytes(hashlib.blake2b(lead, digest_size=8).digest(), "little", signed=True)
+
+    return _emit(search, rows_of, "digest binary, pos long, class int, key long")
+
+
+def _suffixes(search: DataFrame, length: int, gram: int) -> DataFrame:
+    """The suffixes at each text's ``hits`` (position, heat, bits of the classes left to `_windows`)."""
+    wide = length - gram + 1
 
+    def rows_of(d, t, hits):
+        for h in hits:
+            p = h["pos"]
+            left, right = t[max(0, p - wide + 1):p][::-1], t[p:p + length]
+            if not h["hot"]:
+                yield d, p, b"\xff" + right[:gram], 0, wide - 1, left, right
+                continue
+            for c, lo, hi in _classes(len(t), p, wide, length):
+                if not h["deep"] >> c & 1:
+                    yield d, p, bytes([c]) + t[p - lo:p + length - hi], lo, hi, left, right
+
+    return _emit(search, rows_of, _SUFFIX)
+
+
+def _windows(search: DataFrame, length: int, gram: int) -> DataFrame:
+    """``digest, start, window`` of every window of the classes marked in ``deep``."""
+    wide = length - gram + 1
+
+    def rows_of(d, t, hits):
+        for h in hits:
+            if h["deep"]:
+                p = h["pos"]
+                for c, lo, hi in _classes(len(t), p, wide, length):
+                    if h["deep"] >> c & 1:
+                        for o in range(lo, min(hi, p) + 1):
+                            if p - o + length <= len(t):
+                                yield d, p - o, t[p - o:p - o + length]
+
+    return _emit(search.filter(F.exists("hits", lambda h: h["deep"] > 0)), rows_of, "digest binary, start long, window binary")
+
+
+def _window_spans(windows: DataFrame, length: int) -> DataFrame:
+    """``digest, start, stop`` of the windows that stand at two places or more.
+
+    In the sorted stream equal windows are neighbours; rows of one place count once.  A partition gives the ends of
+    its first and last run of equal windows with the window, which are compared among the partitions.
+    """
     def run(batches):
+        out: list[tuple] = []
+        last = None  # window and place of the row before
+        alone = False  # whether that place is the only one of its run so far
+        opening = True  # whether the run is the partition's first
+
+        def give(place, window):
+            out.append((*place, place[1] + length, window))
+
+        def batch():
+            cols = list(zip(*out)) or [()] * 4
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.int64(), pa.int64(), pa.binary()))],
+                                              ["digest", "start", "stop", "edge"])
+
         for b in batches:
-            out = []
-            for k in range(b.num_rows):
-                d, t = b.column("digest")[k].as_py(), (b.column("text")[k].as_py() or "").encode("utf-8", "surrogatepass")
-                for p, hot in b.column("hits")[k].as_py() and [(x["pos"], x["hot"]) for x in b.column("hits")[k].as_py()]:
-                    if p + gram > len(t):
-                        continue
-                    left, right = t[max(0, p - wide + 1):p][::-1], t[p:p + length]
-                    if not hot:
-                        out.append((d, p, b"\xff" + right[:gram], 0, wide - 1, left, right))
+            for d, s, w in zip(b.column("digest"), b.column("start"), b.column("window")):
+                place, w = (d.as_py(), s.as_py()), w.as_py()
+                if last is not None and last[0] == w:
+                    if last[1] == place:
                         continue
-                    for c in range(CLASSES):
-                        lo, hi = c * step, min((c + 1) * step, wide) - 1
-                        if lo <= hi and p >= lo and p + length - hi <= len(t):
-                            out.append((d, p, bytes([c]) + t[p - lo:p + length - hi], lo, hi, left, right))
-                if len(out) > 2000 or k + 1 == b.num_rows:
-                    cols = list(zip(*out)) or [()] * 7
-                    types = [pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                                     ["digest", "pos", "lead", "low", "high", "left", "right"])
-                    out = []
-
-    return rows.select("digest", "text", "hits").mapInArrow(run, _SUFFIX)
+                    if alone:
+                        give(last[1], None)
+                    give(place, None)
+                    alone = False
+                else:
+                    if last is not None and opening:
+                        give(last[1], last[0])
+                        opening = False
+                    alone = True
+                last = (w, place)
+                if len(out) >= OUT:
+                    yield batch()
+        if last is not None:
+            give(last[1], last[0])
+        yield batch()
+
+    order = ("window", "digest", "start")
+    found = windows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, "digest binary, start long, stop long, edge binary")
+    found = materialize(found, "suffix-windows")
+    edges = found.filter("edge is not null")  # two rows of a partition at most
+    twice = edges.groupBy("edge").agg(F.min(F.struct("digest", "start")).alias("a"), F.max(F.struct("digest", "start")).alias("b")).filter("a <> b")
+    across = edges.join(twice.select("edge"), "edge", "left_semi")
+    return found.filter("edge is null").select("digest", "start", "stop").unionByName(across.select("digest", "start", "stop"))
 
 
 def _spans(suffixes: DataFrame, length: int) -> DataFrame:
@@ -220,15 +330,16 @@ def _spans(suffixes: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         rows: list[tuple] = []
-        for b in batches:
-            rows.extend(zip(*[c.to_pylist() for c in b.columns]))
-            if len(rows) >= CHUNK:
-                end = len(rows)  # the last lead may go on
-                while end and rows[end - 1][2] == rows[-1][2]:
-                    end -= 1
-                if end:
-                    yield settle(rows[:end])
-                    rows = rows[end:]
+        for whole in batches:
+            for at in range(0, whole.num_rows, OUT):
+                rows.extend(zip(*[c.to_pylist() for c in whole.slice(at, OUT).columns]))
+                if len(rows) >= CHUNK:
+                    end = len(rows)  # the last lead may go on
+                    while end and rows[end - 1][2] == rows[-1][2]:
+                        end -= 1
+                    if end:
+                        yield settle(rows[:end])
+                        rows = rows[end:]
         if rows:
             yield settle(rows)
 
@@ -266,34 +377,53 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``id, text, copies, spans`` of each row; ``spans`` (packed pairs start, stop in bytes) lists maximal repeated runs of
     texts that occur once, and ``copies`` is the number of rows of texts that occur more often (else null)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumns(
-        {"digest": F.unhex(F.md5("text")), "t": F.xxhash64("text")})
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("digest", F.unhex(F.md5("text")))
 
     def find(batches):
         for b in batches:
             for first, raw in _texts(b.column("text")):
                 found = anchors(raw, length, gram)
                 yield pa.RecordBatch.from_arrays([
-                    b.column("t").slice(first, len(raw)), pa.array([h for h, _ in found], pa.list_(pa.int64())),
-                    pa.array([p for _, p in found], pa.list_(pa.int64()))], ["t", "h", "p"])
+                    b.column("digest").slice(first, len(raw)), pa.array([h for h, _ in found], pa.list_(pa.int64())),
+                    pa.array([p for _, p in found], pa.list_(pa.int64()))], ["digest", "h", "p"])
 
-    found = materialize(rows.select("t", "text").mapInArrow(find, "t long, h array<long>, p array<long>")
+    found = materialize(rows.select("digest", "text").mapInArrow(find, "digest binary, h array<long>, p array<long>")
                         .filter(F.size("h") > 0), "suffix-anchors")
-    each = found.select("t", F.explode(F.arrays_zip("h", "p")).alias("a")).select("t", F.col("a.h").alias("h"), F.col("a.p").alias("pos"))
-    where = F.xxhash64("t", "pos")  # where an anchor occurs; the same in copies of a text
+    each = (found.select("digest", F.explode(F.arrays_zip("h", "p")).alias("a"))
+            .select("digest", F.col("a.h").alias("h"), F.col("a.p").alias("pos")))
+    where = F.xxhash64("digest", "pos")  # where an anchor occurs; the same in copies of a text
     shared = each.groupBy("h").agg(F.min(where).alias("lo"), F.max(where).alias("hi"), F.count("*").alias("k")).filter("lo <> hi")
-    hits = each.join(shared.select("h", (F.col("k") > hot).alias("hot")), "h").groupBy("t", "pos").agg(F.max("hot").alias("hot"))
-    hits = materialize(hits.groupBy("t").agg(F.collect_list(F.struct("pos", "hot")).alias("hits")), "suffix-hits")
+    hits = each.join(shared.select("h", (F.col("k") > hot).alias("hot")), "h").groupBy("digest", "pos").agg(F.max("hot").alias("hot"))
+    hits = materialize(hits.groupBy("digest").agg(F.collect_list(F.struct("pos", "hot", F.lit(0).alias("deep"))).alias("hits")), "suffix-hits")
     copies = materialize(rows.groupBy("digest").agg(F.count("*").alias("copies"), F.min("id").alias("one")).filter("copies > 1"),
                          "suffix-copies")
     known = rows.join(_small(copies), "digest", "left")
     # one row of each text; rows that repeat id and text are told apart below
-    single = known.filter(F.col("copies").isNull() | F.col("id").eqNullSafe(F.col("one")))
-    search = single.join(_small(hits.select("t"), MAX_KEYS), "t", "left_semi").join(hits, "t").select("digest", "text", "hits")
-    suffixes = _suffixes(search, length, gram)
+    single = known.filter(F.col("copies").isNull() | F.col("id").eqNullSafe(F.col("one"))).select("digest", "text")
+
+    def search(hits):
+        return single.join(_small(hits.select("digest"), MAX_KEYS), "digest", "left_semi").join(hits, "digest")
+
+    windows = None
+    warm = hits.filter(F.exists("hits", lambda h: h["hot"]))
+    if warm.limit(1).count():
+        leads = materialize(_class_leads(search(warm), length, gram), "suffix-leads")
+        many = leads.groupBy("key").agg(F.count("*").alias("k")).filter(F.col("k") > hot).select("key")
+        deep = leads.join(many, "key", "left_semi").distinct().groupBy("digest", "pos").agg(
+            F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("class"))).alias("deep"))
+        deep = materialize(deep.groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("pos", "deep"))).alias("bits")), "suffix-deep")
+        if deep.limit(1).count():
+            marked = F.transform("hits", lambda h: F.struct(
+                h["pos"].alias("pos"), h["hot"].alias("hot"), F.coalesce(F.try_element_at("bits", h["pos"]), F.lit(0)).alias("deep")))
+            hits = materialize(hits.join(deep, "digest", "left").select("digest", marked.alias("hits")), "suffix-hits")
+            windows = _windows(search(hits), length, gram)
+    suffixes = _suffixes(search(hits), length, gram)
     if copies.filter("one is null").limit(1).count() or _repeats(rows, copies):
         suffixes = suffixes.dropDuplicates(["digest", "pos", "low"])
-    spans = _spans(suffixes, length).groupBy("digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans = _spans(suffixes, length)
+    if windows is not None:
+        spans = spans.unionByName(_window_spans(windows, length))
+    spans = spans.groupBy("digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     spans = materialize(_merged(spans), "suffix-spans")
     return known.join(_small(spans), "digest", "left").select("id", "text", "copies", "spans")
 

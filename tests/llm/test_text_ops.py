@@ -133,6 +133,36 @@ def test_repeated_strings(spark, hot):
     assert sorted((str(r["id"]), *list(r)[1:]) for r in got) == sorted((str(i), *r) for i, r in zip(ids, removed(texts, 200)))
 
 
+def test_repeated_strings_of_one_passage(spark):
+    """Many different texts around one passage shorter than a window, some of which do share windows: the classes of its anchor
+    are divided into single windows, whose runs cross the boundaries of partitions."""
+    rng = random.Random(9)
+    core = "".join(rng.choice("uvwxyz") for _ in range(190))
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    texts = [word(rng.randint(0, 60)) + core + word(rng.randint(0, 60)) for _ in range(260)]
+    tails = ["Q" * 9 + word(2) for _ in range(4)]
+    texts += [word(rng.randint(1, 30)) + rng.choice("mn") + core + rng.choice(tails) + word(5) for _ in range(120)]
+    texts += [texts[3], core, core + core]
+    df = frame(spark, texts)
+    found = suffix_dedup.repeated_spans(df, hot=20)
+    got = suffix_dedup._cut(found, 200, {"k": "string"}, lambda b: (hashlib.sha256(b).hexdigest(),)).collect()
+    assert sorted(tuple(r) for r in got) == sorted((i, *r) for i, r in enumerate(removed(texts, 200)))
+
+
+def test_window_runs_cross_partitions(spark):
+    rng = random.Random(2)
+    rows = [(bytes([rng.randrange(60)]), rng.randrange(4), bytes([rng.choice([1, 1, 1, 2, 3, rng.randrange(4, 250)])])) for _ in range(300)]
+    rows = [(d, s, w) for (d, s), w in {(d, s): w for d, s, w in rows}.items()] * 2  # a place is given twice, but is one
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(rows, "digest binary, start long, window binary")
+        got = {(bytes(r["digest"]), r["start"], r["stop"]) for r in suffix_dedup._window_spans(df, 5).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    seen = collections.Counter(w for _, _, w in set(rows))
+    assert got == {(d, s, s + 5) for d, s, w in rows if seen[w] > 1}
+
+
 def test_repeated_strings_whole_table(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
     got = suffix_dedup.op7_suffix_dedup(spark, SF).collect()
