@@ -6,7 +6,8 @@ Sorting all suffixes would move ``length`` bytes per byte of text, so a sparse s
 sorted that still settles every window of ``length`` bytes exactly:
 
 1. Anchors: of each window the position whose ``GRAM`` bytes hash lowest (leftmost of ties).  Equal windows
-   choose the same anchor, so two equal windows contain two equal anchors at the same offset.
+   choose the same anchor, so two equal windows contain two equal anchors at the same offset; an anchor keeps the range of
+   offsets at which windows chose it, and answers for those alone (one each in a run of one character).
 2. Anchors whose GRAM bytes occur once are dropped (map-side combined minimum and maximum of
    where they occur); the others are the suffixes.
 3. Sampled splitters range-partition the suffixes by their leading bytes.  A lead with more than
@@ -54,7 +55,8 @@ _VALUES[65:91] = np.random.default_rng(12).integers(1, 2**63, 26, dtype=np.uint6
 
 
 def anchors(raw: list[bytes], length: int = LENGTH, gram: int = GRAM) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(hashes, positions) of the anchors of each text."""
+    """(hashes, places) of the anchors of each text; a place packs the position and the least and largest offset of the
+    anchor in the windows that chose it."""
     sizes = np.array([len(r) for r in raw])
     data = np.frombuffer(b"".join(raw), np.uint8)
     none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -82,17 +84,32 @@ def anchors(raw: list[bytes], length: int = LENGTH, gram: int = GRAM) -> list[tu
         start = np.arange(min(len(least), step)) + at
         inside = ends[np.searchsorted(ends, start, side="right")] - start >= length
         p = (least[:len(start)][inside] & np.uint64((1 << 23) - 1)).astype(np.int64)
-        if len(p):
-            p = np.unique(p[np.concatenate([[True], p[1:] != p[:-1]])])
-            found.append((value[p].view(np.int64), p + at))
+        if len(p):  # later windows choose later anchors
+            new = np.concatenate([[True], p[1:] != p[:-1]])
+            far = start[inside][new]
+            near = start[inside][np.concatenate([new[1:], [True]])]
+            p = p[new]
+            found.append((value[p].view(np.int64), p + at, p + at - near, p + at - far))
     if not found:
         return [none for _ in raw]
-    h, p = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-    p, first = np.unique(p, return_index=True)
-    h = h[first]
+    h, p, low, high = (np.concatenate(c) for c in zip(*found))
+    p, first, which = np.unique(p, return_index=True, return_inverse=True)
+    h, low, high = h[first], _by(np.minimum, low, which), _by(np.maximum, high, which)
     cut = np.searchsorted(p, ends)
     begin = np.concatenate([[0], cut[:-1]])
-    return [(h[a:b], p[a:b] - (e - s)) for a, b, e, s in zip(begin.tolist(), cut.tolist(), ends.tolist(), sizes.tolist())]
+    return [(h[a:b], (p[a:b] - (e - s) << 24) | (low[a:b] << 12) | high[a:b])
+            for a, b, e, s in zip(begin.tolist(), cut.tolist(), ends.tolist(), sizes.tolist())]
+
+
+def _by(least_or_most, values: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The least or largest value of each group; anchors on the border of two pieces are found in both."""
+    order = np.argsort(which, kind="stable")
+    return least_or_most.reduceat(values[order], np.searchsorted(which[order], np.arange(which.max() + 1)))
+
+
+def _place(packed: int) -> tuple[int, int, int]:
+    """Position, least and largest offset."""
+    return packed >> 24, packed >> 12 & 4095, packed & 4095
 
 
 def _texts(column):
@@ -201,16 +218,14 @@ def _emit(df: DataFrame, rows_of, schema: str) -> DataFrame:
     return df.select("digest", "text", "hits").mapInArrow(run, schema)
 
 
-def _classes(size: int, p: int, wide: int, length: int):
-    """``class, low, high`` of the classes of offsets that have windows around an anchor at ``p`` of ``size`` bytes.
+def _classes(low: int, high: int, wide: int):
+    """``class, least, largest`` of the classes of offsets that ``low .. high`` meets.
 
-    All windows of a class hold the bytes from ``p - low`` to ``p + length - high``.
+    All windows of a class around an anchor at ``p`` hold the bytes from ``p - least`` to ``p + length - largest``.
     """
     step = -(-wide // CLASSES)
-    for c in range(CLASSES):
-        lo, hi = c * step, min((c + 1) * step, wide) - 1
-        if lo <= hi and p >= lo and p + length - hi <= size:
-            yield c, lo, hi
+    for c in range(low // step, high // step + 1):
+        yield c, c * step, min((c + 1) * step, wide) - 1
 
 
 def _class_leads(search: DataFrame, length: int, gram: int) -> DataFrame:
@@ -220,28 +235,28 @@ def _class_leads(search: DataFrame, length: int, gram: int) -> DataFrame:
     def rows_of(d, t, hits):
         for h in hits:
             if h["hot"]:
-                p = h["pos"]
-                for c, lo, hi in _classes(len(t), p, wide, length):
+                p, low, high = _place(h["pos"])
+                for c, lo, hi in _classes(low, high, wide):
                     lead = bytes([c]) + t[p - lo:p + length - hi]
-                    yield d, p, c, int.from_bytes(hashlib.blake2b(lead, digest_size=8).digest(), "little", signed=True)
+                    yield d, h["pos"], c, int.from_bytes(hashlib.blake2b(lead, digest_size=8).digest(), "little", signed=True)
 
     return _emit(search, rows_of, "digest binary, pos long, class int, key long")
 
 
 def _suffixes(search: DataFrame, length: int, gram: int) -> DataFrame:
-    """The suffixes at each text's ``hits`` (position, heat, bits of the classes left to `_windows`)."""
+    """The suffixes at each text's ``hits`` (place, heat, bits of the classes left to `_windows`)."""
     wide = length - gram + 1
 
     def rows_of(d, t, hits):
         for h in hits:
-            p = h["pos"]
+            p, low, high = _place(h["pos"])
             left, right = t[max(0, p - wide + 1):p][::-1], t[p:p + length]
             if not h["hot"]:
-                yield d, p, b"\xff" + right[:gram], 0, wide - 1, left, right
+                yield d, p, b"\xff" + right[:gram], low, high, left, right
                 continue
-            for c, lo, hi in _classes(len(t), p, wide, length):
+            for c, lo, hi in _classes(low, high, wide):
                 if not h["deep"] >> c & 1:
-                    yield d, p, bytes([c]) + t[p - lo:p + length - hi], lo, hi, left, right
+                    yield d, p, bytes([c]) + t[p - lo:p + length - hi], max(lo, low), min(hi, high), left, right
 
     return _emit(search, rows_of, _SUFFIX)
 
@@ -252,13 +267,11 @@ def _windows(search: DataFrame, length: int, gram: int) -> DataFrame:
 
     def rows_of(d, t, hits):
         for h in hits:
-            if h["deep"]:
-                p = h["pos"]
-                for c, lo, hi in _classes(len(t), p, wide, length):
-                    if h["deep"] >> c & 1:
-                        for o in range(lo, min(hi, p) + 1):
-                            if p - o + length <= len(t):
-                                yield d, p - o, t[p - o:p - o + length]
+            p, low, high = _place(h["pos"])
+            for c, lo, hi in _classes(low, high, wide):
+                if h["deep"] >> c & 1:
+                    for o in range(max(lo, low), min(hi, high) + 1):
+                        yield d, p - o, t[p - o:p - o + length]
 
     return _emit(search.filter(F.exists("hits", lambda h: h["deep"] > 0)), rows_of, "digest binary, start long, window binary")
 
@@ -376,6 +389,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """``id, text, copies, spans`` of each row; ``spans`` (packed pairs start, stop in bytes) lists maximal repeated runs of
     texts that occur once, and ``copies`` is the number of rows of texts that occur more often (else null)."""
+    if not gram <= length < gram + 4096:  # offsets are packed into 12 bits
+        raise ValueError("length must be at least gram and less than gram + 4096")
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("digest", F.unhex(F.md5("text")))
 
