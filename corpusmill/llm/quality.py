@@ -8,8 +8,7 @@ of the passages' encodings is scored:
     h = tanh(W x),  a = softmax(w . (tanh(V h) * sigmoid(U h))),  p = sigmoid(c . sum(a h) + b)
 
 Training uses at most ``max_train`` labelled rows that are not held out (the bound on the
-classifier's sample) and, of a training row, passages evenly spread up to ``max_passages``;
-scoring reads every passage of every text.
+classifier's sample) and every passage of them; scoring reads every passage of every text.
 
 Nulls and edge cases: a null or empty text is a bag with one empty passage and is scored as such; rows with a null label
 are not learned from; without rows of both labels every score is the share of label 1 (0.5 without rows);
@@ -30,7 +29,7 @@ from pyspark.sql import types as T
 from .labelled import held_out, training_texts
 
 PASSAGE = 512
-MAX_TRAIN, MAX_PASSAGES = 6_000, 48
+MAX_TRAIN = 6_000
 HIDDEN, GATE = 16, 8
 BATCH_BYTES = 8_000_000
 
@@ -145,7 +144,7 @@ def train_bags(bags: list[np.ndarray], y: np.ndarray, epochs: int = 40, batch: i
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train: int = MAX_TRAIN,
-        max_passages: int = MAX_PASSAGES, id_col: str = "doc_id", text_col: str = "text") -> dict:
+        id_col: str = "doc_id", text_col: str = "text") -> dict:
     """The model, or the share of label 1 if the rows have one label only."""
     train = training_texts(docs, labels, label, max_train, id_col, text_col)
 
@@ -153,7 +152,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train: i
         for pdf in batches:
             x, n = describe(list(pdf["text"]))
             bags = np.split(x, np.cumsum(n)[:-1])
-            bags = [b[np.unique(np.linspace(0, len(b) - 1, max_passages).astype(int))] for b in bags]
             yield pd.DataFrame({"id": pdf["id"], "y": pdf["y"], "x": [b.astype(np.float32).tobytes() for b in bags]})
 
     id_type = dict(train.dtypes)["id"]
