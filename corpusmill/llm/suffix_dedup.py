@@ -156,7 +156,9 @@ def _matrix(values: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
 def _sorted_runs(group, values, width):
     """Order, and for each place in it the length shared with the place before (0 for the first of a group)."""
     m, size = _matrix(values, width)
-    order = multikey_order(group, m.view(">u8").astype(np.uint64))
+    # of values that are equal but for the padding the shorter comes first, so it never parts two longer ones
+    by = np.argsort(size, kind="stable")
+    order = by[multikey_order(group[by], m[by].view(">u8").astype(np.uint64))]
     a, b = order[:-1], order[1:]
     diff = m[a] != m[b]
     share = np.where(diff.any(axis=1), diff.argmax(axis=1), width)
@@ -250,13 +252,13 @@ def _suffixes(search: DataFrame, length: int, gram: int) -> DataFrame:
     def rows_of(d, t, hits):
         for h in hits:
             p, low, high = _place(h["pos"])
-            left, right = t[max(0, p - wide + 1):p][::-1], t[p:p + length]
             if not h["hot"]:
-                yield d, p, b"\xff" + right[:gram], low, high, left, right
+                yield d, p, b"\xff" + t[p:p + gram], low, high, t[p - high:p][::-1], t[p:p + length - low]
                 continue
             for c, lo, hi in _classes(low, high, wide):
                 if not h["deep"] >> c & 1:
-                    yield d, p, bytes([c]) + t[p - lo:p + length - hi], max(lo, low), min(hi, high), left, right
+                    lead, lo, hi = bytes([c]) + t[p - lo:p + length - hi], max(lo, low), min(hi, high)
+                    yield d, p, lead, lo, hi, t[p - hi:p][::-1], t[p:p + length - lo]
 
     return _emit(search, rows_of, _SUFFIX)
 
