@@ -687,10 +687,20 @@ EVENT_SCHEMA = ("event_id long, ts timestamp_ntz, user_id long, event_type strin
                 "props string")
 
 
+def _table_stream(spark, sf_dir, name, schema):
+    """A table as a stream: one parquet file, or a folder of them as large tables are."""
+    return spark.readStream.schema(schema).parquet(_table_path(sf_dir, name))
+
+
+def _table_path(sf_dir, name):
+    # as a glob, since the file stream takes a plain path for a folder
+    return f"{sf_dir}/{name}.parque[t]"
+
+
 @register("stream_redact", f"""
 SELECT conv_id, turn, {S.redact_phone(S.redact_email('text'))} AS text FROM conversations""")
 def q_stream_redact(spark, sf_dir):
-    events = streaming.request_stream(spark, sf_dir, CONV_SCHEMA, "conversations.parquet", body_col="text")
+    events = streaming.request_stream(spark, _table_path(sf_dir, "conversations"), CONV_SCHEMA, body_col="text")
     out = streaming.run_available_now(streaming.redact_stream(events).select("conv_id", "turn", "text"),
                                       "redact")
     return spark.read.parquet(out)
@@ -698,7 +708,7 @@ def q_stream_redact(spark, sf_dir):
 
 @register("stream_normalize", S.with_(S.DIRTY, S.NORM, S.CLEAN) + "SELECT doc_id, text FROM clean")
 def q_stream_normalize(spark, sf_dir):
-    docs = spark.readStream.schema(DOC_SCHEMA).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    docs = _table_stream(spark, sf_dir, "documents", DOC_SCHEMA)
     dirty = I._dirty(docs.select("doc_id", "text"))
     out = streaming.run_available_now(streaming.normalize_stream(dirty), "normalize")
     return spark.read.parquet(out)
@@ -706,7 +716,7 @@ def q_stream_normalize(spark, sf_dir):
 
 @register("stream_dedup", "SELECT DISTINCT props FROM events")
 def q_stream_dedup(spark, sf_dir):
-    ev = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    ev = _table_stream(spark, sf_dir, "events", EVENT_SCHEMA)
     ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
     dd = streaming.dedup_stream(ev, ["props"])  # exact: no watermark
     out = streaming.run_available_now(dd.select("props"), "dedup")
@@ -716,7 +726,7 @@ def q_stream_dedup(spark, sf_dir):
 @register("stream_dedup_lines", S.with_(*S.CORPUS) + f"""
 SELECT DISTINCT sha256({S.strip('line')}) AS content_hash FROM lines""")
 def q_stream_dedup_lines(spark, sf_dir):
-    docs = spark.readStream.schema(DOC_SCHEMA).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    docs = _table_stream(spark, sf_dir, "documents", DOC_SCHEMA)
     clean = streaming.normalize_stream(I._dirty(docs.select("doc_id", "text")))
     lines = text_ops.explode_lines(clean).select(T.content_hash("line").alias("content_hash"))
     out = streaming.run_available_now(streaming.dedup_stream(lines, ["content_hash"]), "dedup-lines")

@@ -1,10 +1,15 @@
 """Streaming results equal the batch results."""
 
+import glob
+import hashlib
 import os
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
+from corpusmill.plans import catalog
 from corpusmill.streaming import jobs
 
 
@@ -45,3 +50,25 @@ def test_stream_normalize_equals_batch(spark, tmpdir_fresh):
     out = jobs.run_available_now(jobs.normalize_stream(s), "t-norm", path=os.path.join(tmpdir_fresh, "sink"))
     assert [tuple(r) for r in spark.read.parquet(out).collect()] == [
         (1, "été long enough text for the filter here")]
+
+
+@pytest.mark.parametrize("folders", [False, True])
+def test_stream_queries_read_files_and_folders(spark, tmpdir_fresh, folders):
+    # large tables are folders of part files, small ones single files
+    tables = {"documents": [(1, "a line that is long enough to be kept\nand another one"),
+                            (2, "a line that is long enough to be kept"), (3, "short")],
+              "conversations": [(7, 0, "user", "mail me at a.b@ex.com"), (7, 1, "bot", None)]}
+    for name, rows in tables.items():
+        schema = "doc_id long, text string" if name == "documents" else catalog.CONV_SCHEMA
+        parts = os.path.join(tmpdir_fresh, f"{name}.parquet" if folders else name)
+        spark.createDataFrame(rows, schema).repartition(2 if folders else 1).write.parquet(parts)
+        if not folders:
+            part, = glob.glob(os.path.join(parts, "*.parquet"))
+            shutil.copy(part, os.path.join(tmpdir_fresh, f"{name}.parquet"))
+    got = catalog.QUERIES["stream_redact"](spark, tmpdir_fresh).collect()
+    assert sorted(map(tuple, got)) == [(7, 0, "mail me at [EMAIL_REDACTED]"), (7, 1, None)]
+    got = catalog.QUERIES["stream_normalize"](spark, tmpdir_fresh).collect()
+    assert sorted(map(tuple, got)) == [(i, text) for i, text in tables["documents"] if i != 3]
+    got = catalog.QUERIES["stream_dedup_lines"](spark, tmpdir_fresh).collect()
+    lines = {line for i, text in tables["documents"] if i != 3 for line in text.split("\n")}
+    assert sorted(r.content_hash for r in got) == sorted(hashlib.sha256(x.encode()).hexdigest() for x in lines)
