@@ -1,17 +1,19 @@
 """Token encode/decode and tokenizer evaluation.
 
-The word tokenizer encodes by joining word occurrences with the vocabulary.
-When the vocabulary is small enough to broadcast (its size is counted after a
-checkpoint, not guessed), lines are hash-partitioned by their key first, the
-words are exploded and looked up map-side, and the per-line regrouping needs no
-further shuffle.  Beyond the limit the lookup is a shuffle join on the word,
-whose hot keys AQE's skew-join handling splits.
+The word tokenizer encodes by joining words with the vocabulary.
+Lines are dealt to groups by a hash of their key; only the distinct words of a
+group are joined with the vocabulary (broadcast when small enough: its size is
+counted after a checkpoint, not guessed), and each group's lines then meet the
+part of the vocabulary that they use.  A word held by a third of the corpus is
+one row a group in that join, and the lines are shuffled once, as text.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,48 +63,102 @@ def vocab_fits_broadcast(vocab: DataFrame, max_bytes: int = MAX_BROADCAST_VOCAB_
     return size <= max_bytes
 
 
+# text (or 4-byte ids) of the rows that share one part of the vocabulary: both are in one task's memory
+GROUP_BYTES = 8 << 20
+# small inputs have smaller groups, as long as cores are idle
+MIN_GROUP_BYTES = 1 << 20
+
+
+def _group_count(src: DataFrame, col: str) -> int:
+    size = F.octet_length(col) if dict(src.dtypes)[col] == "string" else F.greatest(F.size(col), F.lit(0)) * 4
+    total = src.agg(F.coalesce(F.sum(size + 8), F.lit(0))).first()[0]
+    cores = src.sparkSession.sparkContext.defaultParallelism
+    return max(total // GROUP_BYTES, min(cores, total // MIN_GROUP_BYTES)) + 1
+
+
+def _interleave(parts: list[list[list]]) -> list[list]:
+    """The values at each place of several rows with one key, as if they were one row."""
+    places = range(max(map(len, parts)))
+    return [sorted((v for p in parts if k < len(p) for v in p[k]), key=lambda v: (v is not None, v)) for k in places]
+
+
+def _look_up(src: DataFrame, col: str, entries: Column, read, table: DataFrame, missing, write, out: str,
+             out_type: str, keys: list[str], broadcast: bool, groups: int | None) -> DataFrame:
+    """``(*keys, out)``: the rows of ``src`` with the entries of ``col`` replaced by their values in ``table``.
+
+    Rows are dealt to groups by a hash of their keys.  Only the distinct entries of a group are joined with
+    ``table (__entry, __value)``, so no occurrence is a row of a shuffle or a sort; then each group meets its part
+    of the table.  ``entries`` and ``read`` give a row's entries in Spark and in a task, ``write`` makes the column of
+    the values.  Rows with one key make one row, place by place.
+    """
+    groups = groups or _group_count(src, col)
+    names = [f"__k{i}" for i in range(len(keys))]
+    rows = src.select(F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int").alias("__group"),
+                      *[F.col(c).alias(n) for c, n in zip(keys, names)], F.col(col).alias("__row"))
+    # dealt before they are taken apart: the entries of a group are found where the group is
+    dealt = rows.select(F.col("__group").alias("__of"), "__row").repartition("__of")
+    wanted = dealt.select("__of", F.explode(entries).alias("__entry")).distinct()
+    part = wanted.join(F.broadcast(table) if broadcast else table, "__entry").select("__of", "__entry", "__value")
+    types = dict(src.dtypes)
+    schema = ", ".join([*(f"{n} {types[c]}" for c, n in zip(keys, names)), f"`{out}` {out_type}"])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        known: dict = {}
+        for k, v in zip(right.column("__entry").to_pylist(), right.column("__value").to_pylist()):
+            known.setdefault(k, []).append(v)
+        data = left.column("__row").to_pylist()
+        same: dict = {}
+        for i, k in enumerate(zip(*(left.column(n).to_pylist() for n in names))):
+            same.setdefault(k, []).append(i)
+        if len(same) == len(data) and all(len(v) == 1 for v in known.values()):
+            one = {k: v[0] for k, v in known.items()}
+            values = [[one.get(e, missing) for e in read(row)] for row in data]
+        else:
+            values = []
+            for at in same.values():
+                places = _interleave([[known.get(e, [missing]) for e in read(data[i])] for i in at])
+                values.append([v for place in places for v in place])
+            left = left.take([at[0] for at in same.values()])
+        return pa.table([*(left.column(n) for n in names), write(values)], names=[*names, out])
+
+    done = rows.groupBy("__group").cogroup(part.groupBy("__of")).applyInArrow(run, schema)
+    return done.select(*[F.col(n).alias(c) for c, n in zip(keys, names)], out)
+
+
+def _id_lists(rows: list[list[int]]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter((i for r in rows for i in r), np.int32, ends[-1])))
+
+
+def _joined_pieces(rows: list[list]) -> pa.Array:
+    return pa.array([" ".join([p for p in r if p is not None]) for r in rows], pa.string())
+
+
 def encode_words(lines: DataFrame, vocab: DataFrame, key_cols, text_col: str = "line",
-                 out: str = "ids", broadcast_vocab: bool | None = None) -> DataFrame:
+                 out: str = "ids", broadcast_vocab: bool | None = None, groups: int | None = None) -> DataFrame:
     """``(*key_cols, ids)``: ids of the whitespace words of each line, UNK for unknown words.
 
     Blank lines get an empty array.  ``vocab`` has ``(piece, id)``.
     """
-    keys = list(key_cols)
-    v = vocab.select(F.col("piece").alias("__word"), F.col("id").alias("__id"))
+    v = vocab.select(F.col("piece").alias("__entry"), F.coalesce("id", F.lit(UNK_ID)).cast("int").alias("__value"))
     if broadcast_vocab is None:
         broadcast_vocab = vocab_fits_broadcast(vocab)
-    src = lines.select(*keys, F.col(text_col).alias("__t"))
-    if broadcast_vocab:
-        src = src.repartition(*keys)
-        v = F.broadcast(v)
-    words = src.select(*keys, F.posexplode_outer(T.split_words("__t")).alias("__pos", "__word"))
-    joined = words.join(v, on="__word", how="left")
-    item = F.when(F.col("__word").isNotNull(),
-                  F.struct(F.col("__pos"), F.coalesce(F.col("__id"), F.lit(UNK_ID)).alias("id")))
-    grouped = joined.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    return grouped.select(*keys, F.transform("__items", lambda x: x["id"]).cast("array<int>").alias(out))
+    # str.split() splits as T.split_words does
+    return _look_up(lines, text_col, T.split_words("__row"), lambda t: (t or "").split(), v, UNK_ID, _id_lists, out,
+                    "array<int>", list(key_cols), broadcast_vocab, groups)
 
 
 def decode_words(tokens: DataFrame, vocab: DataFrame, key_cols, ids_col: str = "ids",
                  out: str = "text", specials: SpecialIds = SPECIALS,
-                 broadcast_vocab: bool | None = None) -> DataFrame:
+                 broadcast_vocab: bool | None = None, groups: int | None = None) -> DataFrame:
     """Inverse of ``encode_words``: PAD/BOS/EOS dropped, pieces joined by one space."""
-    keys = list(key_cols)
-    v = vocab.select(F.col("id").alias("__id"), F.col("piece").alias("__piece"))
+    v = vocab.select(F.col("id").alias("__entry"), F.col("piece").alias("__value"))
     if broadcast_vocab is None:
         broadcast_vocab = vocab_fits_broadcast(vocab)
-    src = tokens.select(*keys, ids_col)
-    if broadcast_vocab:
-        src = src.repartition(*keys)
-        v = F.broadcast(v)
     drop = [specials.pad, specials.bos, specials.eos]
-    kept = src.select(*keys, F.filter(ids_col, lambda i: ~i.isin(drop)).alias("__ids"))
-    ex = kept.select(*keys, F.posexplode_outer("__ids").alias("__pos", "__id"))
-    joined = ex.join(v, on="__id", how="left")
-    item = F.when(F.col("__id").isNotNull(), F.struct("__pos", F.col("__piece").alias("p")))
-    grouped = joined.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    return grouped.select(*keys, F.array_join(F.transform("__items", lambda x: x["p"]), " ")
-                          .alias(out))
+    kept = tokens.withColumn(ids_col, F.filter(ids_col, lambda i: ~i.isin(drop)))
+    return _look_up(kept, ids_col, F.col("__row"), lambda ids: ids or [], v, None, _joined_pieces, out,
+                    "string", list(key_cols), broadcast_vocab, groups)
 
 
 def offset_clamp(ids, vocab_size: int | None, offset: int = 3) -> Column:

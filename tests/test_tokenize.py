@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import tokenize as tok
 from corpusmill.operators.vocab import build_vocab, word_table
+from corpusmill.sources.sinks import materialize
 
 
 def test_special_ids_validation():
@@ -52,3 +53,31 @@ def test_wrap_and_clamp(spark):
     r = df.select(tok.wrap_special("ids").alias("w"), tok.offset_clamp("ids", 10).alias("c"),
                   tok.byte_pieces(F.lit("é")).alias("b")).first()
     assert r.w == [1, 5, 9, 2] and r.c == [8, 9] and r.b == "<0xC3><0xA9>"
+
+
+def test_occurrences_are_no_rows_of_a_shuffle(spark):
+    # 40 lines of the same 500 words: the words of a group meet the vocabulary once, not once an occurrence
+    line = " ".join(f"w{i}" for i in range(500))
+    lines = spark.createDataFrame([(i, i % 3, line) for i in range(40)], "doc_id long, line_no long, line string")
+    v = materialize(build_vocab(word_table(lines, "line")), "t-vocab")
+    ids = materialize(tok.encode_words(lines, v, ["doc_id", "line_no"], broadcast_vocab=False, groups=4), "t-ids")
+    assert {tuple(r.ids) for r in ids.collect()} == {tuple(
+        {r.piece: r.id for r in v.collect()}[w] for w in line.split())}
+    for made in (tok.encode_words(lines, v, ["doc_id", "line_no"], broadcast_vocab=False, groups=4),
+                 tok.decode_words(ids, v, ["doc_id", "line_no"], broadcast_vocab=False, groups=4)):
+        assert made.count() == 40
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_list" not in plan and "posexplode" not in plan and "FlatMapCoGroupsInArrow" in plan
+    assert {r.text for r in tok.decode_words(ids, v, ["doc_id", "line_no"], groups=4).collect()} == {line}
+
+
+@pytest.mark.parametrize("groups", [1, 5])
+def test_repeated_and_null_keys_make_one_row(spark, groups):
+    lines = spark.createDataFrame([(0, 0, "a b"), (0, 0, "c"), (None, 1, "b x"), (None, 1, None), (2, None, None)],
+                                  "doc_id long, line_no long, line string")
+    vocab = spark.createDataFrame([("a", 4), ("b", 5), ("c", 6), ("c", 7)], "piece string, id int")
+    got = tok.encode_words(lines, vocab, ["doc_id", "line_no"], groups=groups)
+    assert got.dtypes == [("doc_id", "bigint"), ("line_no", "bigint"), ("ids", "array<int>")]
+    assert {(r.doc_id, r.line_no): r.ids for r in got.collect()} == {(0, 0): [4, 6, 7, 5], (None, 1): [5, 3], (2, None): []}
+    back = tok.decode_words(got, vocab, ["doc_id", "line_no"], groups=groups).collect()
+    assert {(r.doc_id, r.line_no): r.text for r in back} == {(0, 0): "a c c b", (None, 1): "b", (2, None): ""}
