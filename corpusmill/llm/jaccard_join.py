@@ -7,8 +7,8 @@ documents link when their distance is at most eps = 1 - threshold.
 2. Outer regions: the pivots are the one-shingle sets.  A node's nearest pivots are its own
    shingles; with one global order of shingles for ties, a node that lies within eps of another can lack only
    so many of its shingles that their first ``n - ceil(threshold n) + 1`` nearest pivots have one in common.  The
-   node is replicated into just those regions (its window).  The order puts shingles that are frequent in
-   a sample last, so crowded regions are rare; any order gives the same links.  Regions with one node end here (found by a
+   node is replicated into just those regions (its window).  The order puts shingles that are frequent in the
+   whole sets of a sample last, the most frequent at the end, so crowded regions are rare; any order gives the same links.  Regions with one node end here (found by a
    map-side combined minimum and maximum, no region is ever gathered).
 3. Regions of at most ``LEAF`` nodes compare them.  A crowded region takes its smallest node as pivot P; crowded regions with one pivot
    are one Voronoi region, in which the distance of every node to P is measured on the whole sets.  For the pair (x, y)
@@ -35,6 +35,7 @@ modulo the prime 2**31 - 1, so that words built to agree in the first still diff
 from __future__ import annotations
 
 import hashlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +46,10 @@ from pyspark.sql import types as T
 from ..sources.sinks import materialize
 
 N_WORDS, THRESHOLD = 5, (80, 100)
-LEAF = 48
+LEAF = 256
 MAX_FREQUENT = 200_000  # shingles put last in the order; bounds what goes to the tasks
-SAMPLE = 4  # one document in SAMPLE is looked at for them
+SAMPLE = 8  # one document in SAMPLE is looked at for them
+HELD = 1_000_000  # shingles that a task counts before it passes them on
 MAX_SMALL = 1_000_000  # ids sent to all tasks; more are joined by a shuffle
 MAX_SMALL_BYTES = 32 << 20  # the same for sets of pivots
 PIECE = 256  # rows of an output batch
@@ -143,18 +145,36 @@ def node_of(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def prefix(s: np.ndarray, frequent: np.ndarray, threshold=THRESHOLD) -> np.ndarray:
+class Frequent(NamedTuple):
+    """The shingles that come last in the global order, sorted, and their places there."""
+    shingles: np.ndarray
+    places: np.ndarray
+
+
+def frequent_of(counts) -> Frequent:
+    """Of ``(shingle, its number of sets)``, the most frequent at the end."""
+    counts = sorted(counts, key=lambda r: (r[1], r[0]))
+    shingles = np.array([r[0] for r in counts], np.int64).view(np.uint64)
+    by_hash = np.argsort(shingles)
+    return Frequent(shingles[by_hash], by_hash.astype(np.int32))
+
+
+def prefix(s: np.ndarray, frequent: Frequent, threshold=THRESHOLD) -> np.ndarray:
     """The window of a set: its first shingles in the global order (frequent ones last)."""
     n = len(s)
     return first(s, n - -(-threshold[0] * n // threshold[1]) + 1, frequent)
 
 
-def first(s: np.ndarray, k: int, frequent: np.ndarray) -> np.ndarray:
+def first(s: np.ndarray, k: int, frequent: Frequent) -> np.ndarray:
     """The first ``k`` shingles of a sorted set in the global order."""
-    if k <= 0 or not len(frequent):
+    if k <= 0 or not len(frequent.shingles):
         return s[:max(k, 0)]
-    last = within(s, frequent)
-    return np.concatenate([s[~last], s[last]])[:k]
+    at = np.minimum(np.searchsorted(frequent.shingles, s), len(frequent.shingles) - 1)
+    last = frequent.shingles[at] == s
+    seldom = s[~last]
+    if len(seldom) >= k:
+        return seldom[:k]
+    return np.concatenate([seldom, s[last][np.argsort(frequent.places[at[last]])]])[:k]
 
 
 def within(s: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -162,7 +182,34 @@ def within(s: np.ndarray, other: np.ndarray) -> np.ndarray:
     return other[np.minimum(np.searchsorted(other, s), len(other) - 1)] == s
 
 
-def _points(rows: DataFrame, frequent: np.ndarray, n_words: int, threshold) -> DataFrame:
+def _frequent(rows: DataFrame, n_words: int) -> Frequent:
+    """Shingles that several sets of a sample of the documents have, counted in whole sets, equal sets once."""
+    sample = rows.filter(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(SAMPLE)) == 0)
+
+    def count(batches):
+        held, size = [], 0
+        for b in batches:
+            for v in b.column("set"):
+                held.append(np.frombuffer(v.as_py(), np.int64))
+                size += len(held[-1])
+                if size >= HELD:
+                    yield _counted(held)
+                    held, size = [], 0
+        if held:
+            yield _counted(held)
+
+    sets = _sets(sample, n_words).dropDuplicates(["node"])
+    often = (sets.select("set").mapInArrow(count, "t long, k long").groupBy("t").agg(F.sum("k").alias("k")).filter("k >= 2")
+             .orderBy(F.desc("k"), "t").limit(MAX_FREQUENT).collect())
+    return frequent_of([(r["t"], r["k"]) for r in often])
+
+
+def _counted(sets: list[np.ndarray]) -> pa.RecordBatch:
+    t, k = np.unique(np.concatenate(sets), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(t), pa.array(k)], ["t", "k"])
+
+
+def _points(rows: DataFrame, frequent: Frequent, n_words: int, threshold) -> DataFrame:
     """``id, node, n, tokens`` of each row."""
     id_type = rows.schema["id"].dataType
 
@@ -252,7 +299,7 @@ def pivot_sets(crowded: DataFrame, above: DataFrame | None, sets: DataFrame) ->
     return heads.mapInArrow(run, "next long, pivot long, pset binary, uset binary")
 
 
-def residual_windows(members: DataFrame, frequent: np.ndarray, threshold) -> DataFrame:
+def residual_windows(members: DataFrame, frequent: Frequent, threshold) -> DataFrame:
     """``next, pivot, node, n, linked, inner, tokens`` of the nodes (``set``) of crowded regions (``pset``, ``uset``)."""
     num, den = threshold
 
@@ -336,11 +383,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n_words: int = N_WO
     """
     num, den = threshold
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sample = rows.filter(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(SAMPLE)) == 0)
-    often = (_points(sample, np.zeros(0, np.uint64), n_words, threshold).dropDuplicates(["node"])
-             .select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("k")).filter("k >= 2")
-             .orderBy(F.desc("k"), "t").limit(MAX_FREQUENT).select("t").collect())
-    frequent = np.sort(np.array([r["t"] for r in often], np.int64).view(np.uint64))
+    frequent = _frequent(rows, n_words)
     points = materialize(_points(rows, frequent, n_words, threshold), "jaccard-points")
     spread = points.filter("n > 0").select("node", "n", F.explode("tokens").alias("cell"))
     shared = spread.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from corpusmill.llm import jaccard_join
@@ -55,3 +56,17 @@ def test_words_built_to_agree_modulo_a_power_of_two():
         a, b = a + b, b + a
     x, y = jaccard_join.shingle_sets([a.encode(), b.encode()])
     assert len(x) == len(y) == 1 and x[0] != y[0]
+
+
+def test_a_long_shared_passage_crowds_no_region(spark):
+    """Its shingles come last wherever they stand in a set, so documents with enough words of their own never meet."""
+    passage = " ".join(f"p{i}" for i in range(300))
+    texts = [passage + " " + " ".join(f"u{k}_{i}" for i in range(120)) for k in range(60)]
+    assert traced(spark, texts, 8) == []
+
+
+def test_the_most_frequent_shingles_come_last():
+    frequent = jaccard_join.frequent_of([(5, 2), (-3, 9), (7, 4)])
+    s = np.sort(np.array([5, 6, 7, -3], np.int64).view(np.uint64))
+    assert jaccard_join.first(s, 4, frequent).view(np.int64).tolist() == [6, 5, 7, -3]
+    assert jaccard_join.first(s, 2, frequent).view(np.int64).tolist() == [6, 5]
