@@ -196,8 +196,9 @@ class _Chains:
 
 # ------------------------------------------------------------------ distributed parts of a round
 
-#: words travel in blocks of about so many symbols, as three arrays in binary columns
-BLOCK = 65_536
+#: words travel in blocks of about so many symbols, as three arrays in binary columns; Spark hands a task up to
+#: 10,000 rows at once, so a block is small, and tasks work on several together
+BLOCK, TOGETHER = 2_048, 65_536
 BLOCKS = "flat binary, lens binary, weights binary"
 #: entries that a task adds up before it passes them on
 HELD = 1_000_000
@@ -209,9 +210,29 @@ def _block(flat: np.ndarray, lens: np.ndarray, weights: np.ndarray) -> pa.Record
 
 
 def _blocks(batches):
+    held, size = [], 0
     for batch in batches:
         for row in zip(*(batch.column(i) for i in range(3))):
-            yield tuple(np.frombuffer(x.as_buffer(), dtype=t) for x, t in zip(row, ("<i4", "<i4", "<i8")))
+            held.append([x.as_py() for x in row])
+            size += len(held[-1][0]) // 4
+            if size >= TOGETHER:
+                yield _together(held)
+                held, size = [], 0
+    if held:
+        yield _together(held)
+
+
+def _together(rows):
+    return tuple(np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*rows), ("<i4", "<i4", "<i8")))
+
+
+def _in_blocks(flat, lens, weights):
+    """Blocks of about :data:`BLOCK` symbols; a word is not cut."""
+    ends = np.cumsum(lens)
+    part = (ends - 1) // BLOCK
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(lens)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield _block(flat[ends[a] - lens[a]:ends[b - 1]], lens[a:b], weights[a:b])
 
 
 def _pair_keys(flat, lens):
@@ -298,7 +319,7 @@ def _apply(batches, live: np.ndarray, merged: np.ndarray, result: dict):
         left = np.add.reduceat(alive, np.cumsum(lens) - lens, dtype=np.int64)
         keep = left > 1
         if keep.any():
-            yield _block(flat[alive & np.repeat(keep, lens)], left[keep], weights[keep])
+            yield from _in_blocks(flat[alive & np.repeat(keep, lens)], left[keep], weights[keep])
 
 
 def _to_blocks(batches, ids: dict):

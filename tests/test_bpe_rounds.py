@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusmill.operators import bpe
@@ -156,3 +157,18 @@ def test_byte_pieces_round_trip(spark):
     broken = spark.createDataFrame([(0, [4 + 0xE6, 4 + 0x97, 4 + 0x41])], "k long, ids array<int>")
     assert bpe.decode_subword(broken, vocab, ["k"]).first().text == "A"
     assert word_table(lines).count()
+
+
+def test_rows_of_blocks_are_small_and_lose_no_word():
+    """A task gets up to 10,000 rows at once, so a row must be small whatever the number of words."""
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choices("abcdef", k=rng.randint(2, 12))) for _ in range(20_000)})
+    batch = pa.RecordBatch.from_pydict({"word": words, "count": [1 + len(w) for w in words]})
+    ids = {c: i for i, c in enumerate("▁abcdef")}
+    sent = list(bpe._to_blocks([batch], ids))
+    assert len(sent) > 10 and max(b.nbytes for b in sent) < 64_000
+    want = Counter({tuple(ids[c] for c in "▁" + w): 1 + len(w) for w in words})
+    assert words_of(sent) == want
+    whole = [np.concatenate(x) for x in zip(*bpe._blocks(sent))]
+    again = list(bpe._in_blocks(*whole))
+    assert max(b.nbytes for b in again) < 64_000 and words_of(again) == want
