@@ -184,36 +184,53 @@ class Lexicon:
         low = text.lower()
         words = WORDS.findall(low)
         known, lookup = self.known, self.lookup
-        hits = [(i, h) for i, w in enumerate(words) if (h := known[w] if w in known else lookup(w))]
-        if not hits:
+        got = list(map(known.get, words))
+        if None in got:
+            got = [h if h is not None else known[w] if w in known else lookup(w) for w, h in zip(words, got)]
+        at = [i for i, h in enumerate(got) if h]
+        if not at:
             return [0.0] * N_FEATURES
-        count = Counter(t for _, hs in hits for t, d in hs if not d)
-        # a term's weight by how often it occurs; that of misspelled ones is learned by itself
-        weight = {t: self.terms[t][min(n, 3) - 1] for t, n in count.items()}
-        edited = sum(all(d for _, d in hs) for _, hs in hits)
-        at = [i for i, _ in hits]
+        n = len(at)
+        # what depends on the words alone is counted once for each distinct word
+        often: dict[str, int] = {}
+        hits_of: dict[str, tuple] = {}
+        for i in at:
+            w = words[i]
+            often[w] = often.get(w, 0) + 1
+            hits_of[w] = got[i]
+        count: dict[str, int] = {}
+        edited = 0
+        for w, hs in hits_of.items():
+            exact = [t for t, d in hs if not d]
+            for t in exact:
+                count[t] = count.get(t, 0) + often[w]
+            if not exact:
+                edited += often[w]
         # only texts with quotation marks need the places of words
         spans = [m.span() for m in WORDS.finditer(low)] if QUOTE.search(low) else None
+        addressed, reported = _around(words, ADDRESS), _around(words, REPORT)
         quoted = near = address = 0
-        best: dict[str, float] = {}
-        bent: dict[str, float] = {}
-        for k, (i, hs) in enumerate(hits):
-            others = (k > 0 and i - at[k - 1] <= WINDOW) + (k + 1 < len(at) and at[k + 1] - i <= WINDOW)
-            window = words[max(0, i - WINDOW):i + WINDOW + 1]
-            you = not ADDRESS.isdisjoint(window)
-            quote = not REPORT.isdisjoint(window)
+        factors: set[tuple[str, float]] = set()
+        before = -1 - WINDOW
+        for i, after in zip(at, [*at[1:], len(words) + WINDOW + 1]):
+            near += i - before <= WINDOW or after - i <= WINDOW
+            before = i
+            you, quote = addressed[i], reported[i]
             if spans and not quote:
                 a, b = spans[i]
                 quote = bool(QUOTE.search(low, max(0, a - 60), a) and QUOTE.search(low, b, b + 60))
-            quoted, near, address = quoted + quote, near + (others > 0), address + you
-            factor = 0.5 if quote and not you else 1.0
-            for t, d in hs:
+            quoted, address = quoted + quote, address + you
+            factors.add((words[i], 0.5 if quote and not you else 1.0))
+        best: dict[str, float] = {}
+        bent: dict[str, float] = {}
+        for w, factor in factors:
+            for t, d in hits_of[w]:
+                # a term's weight by how often it occurs; that of misspelled ones is learned by itself
                 if not d:
-                    best[t] = max(best.get(t, -9.0), weight[t] * factor)
+                    best[t] = max(best.get(t, -9.0), self.terms[t][min(count[t], 3) - 1] * factor)
                 elif t not in count:
                     bent[t] = max(bent.get(t, -9.0), self.bent(t) * factor)
         tops = sorted(best.values(), reverse=True)[:5] or [0.0]
-        n = len(hits)
         bends = sorted((x for x in bent.values() if x > 0), reverse=True)[:3] or [0.0]
         return [tops[0], sum(tops[:3]), sum(max(x, 0.0) for x in tops), math.log1p(n), math.log1p(edited), quoted / n, near / n,
                 address / n, min(1.0, 20.0 * n / len(words)), 1.0, bends[0], sum(bends)]
@@ -224,6 +241,17 @@ class Lexicon:
         return w[3] if len(w) > 3 else 0.7 * w[0]
 
 
+def _around(words: list[str], wanted: frozenset) -> bytearray:
+    """1 for each place with one of the ``wanted`` within the window."""
+    near = bytearray(len(words))
+    if not wanted.isdisjoint(words):
+        for i, w in enumerate(words):
+            if w in wanted:
+                a, b = max(0, i - WINDOW), min(len(words), i + WINDOW + 1)
+                near[a:b] = b"\1" * (b - a)
+    return near
+
+
 N_FEATURES = 12
 _LAST: list[Lexicon] = []
 

@@ -138,3 +138,14 @@ def test_pipeline_stages(spark):
         want.append((r["doc_id"], len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()))
     as_rows = lambda rs: sorted((r["doc_id"], r["n_tokens"], r["ids_sha256"]) for r in rs)
     assert as_rows(rows[names[4]]) == sorted(want) == as_rows(corpus_pipeline.run(spark, SMALL).collect())
+
+
+def test_words_around_a_hit():
+    words = "a you b c d e f g h i j k l m n said o".split()
+    flags = list(toxicity._around(words, toxicity.ADDRESS))
+    assert flags == [not toxicity.ADDRESS.isdisjoint(words[max(0, i - toxicity.WINDOW):i + toxicity.WINDOW + 1]) for i in range(len(words))]
+    lexicon = toxicity.Lexicon({"nasty": (2.0, 2.5, 3.0, 1.0)})
+    # one plain hit, addressed; one quoted by a word of reporting far from it; two misspelled ones
+    got = lexicon.features("you nasty " + "x " * 20 + "said nasty " + "x " * 20 + "nasti nasti")
+    assert got[:3] == [2.5, 2.5, 2.5] and got[5:8] == [0.25, 0.5, 0.25] and got[10:] == [0.0, 0.0]
+    assert lexicon.features("nasti " * 2)[10:] == [1.0, 1.0]
