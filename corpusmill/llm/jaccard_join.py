@@ -11,7 +11,9 @@ documents link when their distance is at most eps = 1 - threshold.
    whole sets of a sample last, the most frequent at the end, so crowded regions are rare; any order gives the same links.  Regions with one node end here (found by a
    map-side combined minimum and maximum, no region is ever gathered).
 3. Regions of at most ``LEAF`` nodes compare them.  A crowded region takes its smallest node as pivot P; crowded regions with one pivot
-   are one Voronoi region, in which the distance of every node to P is measured on the whole sets.  For the pair (x, y)
+   are one Voronoi region.  One of at most ``WHOLE`` shingles is compared as a whole: its nodes are dealt to blocks, and a task counts
+   the overlaps of two blocks at once (tokens that many nodes share by a matrix product, the others by their lists of nodes) and
+   passes on a spanning forest of the links.  In a larger region the distance of every node to P is measured on the whole sets.  For the pair (x, y)
 
        |x & y| <= min(|x & U|, |y & U|) + |(x - U) & (y - U)|
 
@@ -35,11 +37,12 @@ modulo the prime 2**31 - 1, so that words built to agree in the first still diff
 from __future__ import annotations
 
 import hashlib
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +50,8 @@ from ..sources.sinks import materialize
 
 N_WORDS, THRESHOLD = 5, (80, 100)
 LEAF = 256
+BLOCK = 1 << 19  # shingles (a node counts as 256 at least) in a block, so at most 2,048 nodes
+WHOLE = 8 * BLOCK  # shingles of a crowded region that is compared block by block
 MAX_FREQUENT = 200_000  # shingles put last in the order; bounds what goes to the tasks
 SAMPLE = 8  # one document in SAMPLE is looked at for them
 HELD = 1_000_000  # shingles that a task counts before it passes them on
@@ -54,6 +59,8 @@ MAX_SMALL = 1_000_000  # ids sent to all tasks; more are joined by a shuffle
 MAX_SMALL_BYTES = 32 << 20  # the same for sets of pivots
 PIECE = 256  # rows of an output batch
 BATCH_BYTES = 700_000
+BATCH_ROWS = 1024  # sets, or pairs of them, that go to Python at a time
+LISTED = 1 << 20  # places that a block pair counts at once
 
 _BYTES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 for _a, _b in zip(range(65, 91), range(97, 123)):
@@ -276,6 +283,92 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``left`` with all of ``right``."""
+    rows, cols = len(left), len(right)
+    total = np.zeros(rows * cols, np.float32)
+    lt, rt = np.concatenate(left), np.concatenate(right)
+    li, ri = np.repeat(np.arange(rows), [len(s) for s in left]), np.repeat(np.arange(cols), [len(s) for s in right])
+    names = np.intersect1d(lt, rt)
+    if not len(names):
+        return total.reshape(rows, cols)
+    keep = within(lt, names)
+    lt, li = np.searchsorted(names, lt[keep]), li[keep]
+    keep = within(rt, names)
+    rt, ri = np.searchsorted(names, rt[keep]), ri[keep]
+    lk, rk = np.bincount(lt, minlength=len(names)), np.bincount(rt, minlength=len(names))
+    # a column of the product costs as much as some rows * cols / 200 places of lists
+    dense = lk * rk * 200 > rows * cols
+    place = np.cumsum(dense) - 1
+    step = 1024
+    for at in range(0, int(dense.sum()), step):
+        sides = []
+        for t, i, n in ((lt, li, rows), (rt, ri, cols)):
+            mine = dense[t] & (place[t] >= at) & (place[t] < at + step)
+            m = np.zeros((n, step), np.float32)
+            m[i[mine], place[t[mine]] - at] = 1
+            sides.append(m)
+        total += (sides[0] @ sides[1].T).ravel()
+    mine = ~dense[lt]
+    lt, li = lt[mine], li[mine]
+    order = np.argsort(rt, kind="stable")
+    ri, begin, often = ri[order], np.cumsum(rk) - rk, rk[lt]
+    ends = np.cumsum(often)
+    at = 0
+    while at < len(lt):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LISTED, "right")))
+        k = often[at:stop]
+        nth = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
+        total += np.bincount(np.repeat(li[at:stop], k) * cols + ri[np.repeat(begin[lt[at:stop]], k) + nth], minlength=rows * cols)
+        at = stop
+    return total.reshape(rows, cols)
+
+
+def spanning(link: np.ndarray) -> list[tuple[int, int]]:
+    """Of the links between rows and columns, as many as connect the same ones."""
+    out, rows_left, cols_left = [], link.any(axis=1), np.ones(link.shape[1], bool)
+    for start in np.flatnonzero(rows_left).tolist():
+        if not rows_left[start]:
+            continue
+        rows_left[start] = False
+        todo = [start]
+        while todo:
+            r = todo.pop()
+            for c in np.flatnonzero(link[r] & cols_left).tolist():
+                cols_left[c] = False
+                out.append((r, c))
+                for other in np.flatnonzero(link[:, c] & rows_left).tolist():
+                    rows_left[other] = False
+                    out.append((other, c))
+                    todo.append(other)
+    return out
+
+
+def block_links(regions: DataFrame, sets: DataFrame, threshold, block: int = BLOCK) -> DataFrame:
+    """Links ``a, b`` that connect whatever links inside each region of ``regions (next, node, n)``; a region is of bounded size."""
+    num, den = threshold
+    weight = F.greatest("n", F.lit(256))
+    order = Window.partitionBy("next").orderBy("n", "node").rowsBetween(Window.unboundedPreceding, 0)
+    dealt = regions.withColumn("block", F.floor((F.sum(weight).over(order) - 1) / block).cast("int"))
+    dealt = dealt.withColumn("last", F.max("block").over(Window.partitionBy("next")))
+    each = dealt.select("next", "node", "block", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"))
+    each = each.select("next", "node", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+    each = each.join(sets, "node")
+
+    def run(table: pa.Table) -> pa.Table:
+        blocks = table.column("block").to_numpy()
+        nodes = table.column("node").to_numpy()
+        data = [np.frombuffer(v.as_py(), np.uint64) for v in table.column("set")]
+        first, second = np.flatnonzero(blocks == blocks.min()), np.flatnonzero(blocks == blocks.max())
+        left, right = [data[i] for i in first], [data[i] for i in second]
+        sizes = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])[None, :]
+        link = overlaps(left, right) * (num + den) >= sizes * num
+        edges = [(nodes[first[i]], nodes[second[j]]) for i, j in spanning(link) if first[i] != second[j]]
+        return pa.table([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return each.groupBy("next", "p", "q").applyInArrow(run, "a long, b long")
+
+
 def pivot_sets(crowded: DataFrame, above: DataFrame | None, sets: DataFrame) -> DataFrame:
     """``next, pivot, pset, uset``: the set of each crowded region's pivot, and its union with those of the pivots above.
 
@@ -368,17 +461,31 @@ def relabel(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
     return materialize(moved.select("node", F.coalesce("root", "label").alias("label")), "jaccard-labels")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Batches of at most ``rows`` rows go to Python: one of sets, whose rows are of some KB, takes some MB instead of tens."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(old)) if int(old) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS,
-                       threshold=THRESHOLD, leaf: int = LEAF) -> DataFrame:
+                       threshold=THRESHOLD, leaf: int = LEAF, whole: int = WHOLE) -> DataFrame:
     """``id, n_shingles, component_id`` of each row; ``threshold`` is a fraction (numerator, denominator)."""
-    out = _components(docs, id_col, text_col, n_words, threshold, leaf)
+    with small_batches(docs.sparkSession):
+        out = _components(docs, id_col, text_col, n_words, threshold, leaf, whole=whole)
     return out.select("id", "n_shingles", "component_id")
 
 
 def _components(docs: DataFrame, id_col: str, text_col: str, n_words: int = N_WORDS, threshold=THRESHOLD, leaf: int = LEAF,
-                trace: list | None = None) -> DataFrame:
+                trace: list | None = None, whole: int = 0) -> DataFrame:
     """``id, node, n_shingles, label, component_id`` of each row; label is a node of the component, null as node without words.
 
+    ``whole`` bounds the shingles of a crowded region that is compared block by block.
     ``trace`` gets for each round the rows of its regions, the pairs compared and the distances to pivots measured.
     """
     num, den = threshold
@@ -420,12 +527,19 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n_words: int = N_WO
             # later rounds meet no other nodes than those of crowded regions
             need = cand.select(F.col("a").alias("node")).union(cand.select("b")).union(crowded.select("node")).distinct()
             sets = node_sets(need, rows, points, n_words)
+        # regions of bounded size end here, all their pairs compared; crowded keeps the others
+        weights = materialize(crowded.groupBy("next").agg(F.sum(F.greatest("n", F.lit(256))).alias("weight")), "jaccard-weights")
+        done = weights.filter(F.col("weight") <= whole).select("next")
+        ended = crowded.join(done, "next", "left_semi").select("next", "node", "n").distinct()
+        crowded = crowded.join(done, "next", "left_anti")
         above = materialize(pivot_sets(crowded, above, sets), "jaccard-pivots")
         size = above.agg(F.sum(F.length("pset") + F.length("uset"))).first()[0] or 0
         members = crowded.filter("node <> pivot").join(sets, "node")
         members = members.join(F.broadcast(above) if size <= MAX_SMALL_BYTES else above, ["next", "pivot"])
         found = materialize(residual_windows(members, frequent, threshold), "jaccard-windows")
         links = verify(cand, sets, threshold).unionByName(found.filter("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+        if whole:
+            links = links.unionByName(block_links(ended, sets, threshold))
         links = materialize(links, "jaccard-links")
         if trace is not None:
             trace.append((live.count(), cand.count(), found.count()))
@@ -468,14 +582,16 @@ def _with_node(docs: DataFrame, text_col: str, n_words: int) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS, **args) -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS, whole: int = WHOLE,
+                     **args) -> DataFrame:
     """One row of each component, and all rows without words.
 
     The row with the smallest id stays (a null id comes last; of texts with one id that with the smallest node; of rows that
     have both in common that with the smallest text).  Rows go by id and node, so an id that other texts
     repeat, or null, takes no other row along.
     """
-    comp = materialize(_components(docs, id_col, text_col, n_words, **args), "jaccard-components")
+    with small_batches(docs.sparkSession):
+        comp = materialize(_components(docs, id_col, text_col, n_words, whole=whole, **args), "jaccard-components")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "node")
     heads = comp.filter("n_shingles > 0").groupBy("label").agg(F.min(rank).alias("head"))
     heads = materialize(heads.select("label", F.col("head.id").alias("hid"), F.col("head.node").alias("hnode")), "jaccard-heads")
