@@ -7,6 +7,7 @@
   the tries of its own parts, as any misspelling must share an exact part with its term; so all lexicon words, and all
   stems as beginnings, within the distance are found.  Swaps of neighbours are looked up.  Their weight is learned apart
   from that of the term itself, so a term that common words resemble counts for little when misspelled.
+  The new words of about a megabyte of texts run their automata together, those of one length step by step in arrays.
 * Context: a window of words around each hit tells quotation (quote marks around it, words
   of reporting) from abuse (other hits, address in the second person) and scales the hit's weight.
 * Score: logistic regression on the hits' weights and context, fitted to the same rows.
@@ -27,7 +28,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +40,13 @@ MAX_TERMS = 3_000
 STEM = range(3, 9)
 WINDOW = 6
 LONGEST = 64
+WIDEST = 62  # characters of a word whose automaton's states fit into 64 bits
 REMEMBERED_BYTES = 24 << 20  # of words and their hits that a worker keeps
-PIECE_BYTES = 1 << 20  # of texts in an output batch
+PIECE_BYTES = 1 << 20  # of texts whose new words are looked up together, and in an output batch
+TOGETHER = 1 << 16  # automata, at most, that are run together
+COUNTED = 60_000  # terms that a task counts before it passes them on
+ROWS = 10_000  # of an Arrow batch
+FACTOR = 0x9E3779B97F4A7C15  # odd, of the hashes of parts
 WORDS = re.compile(r"\w+")
 #: fixed word lists of the context window
 ADDRESS = frozenset("you your yours u ur tu te toi ton vous votre du dich dir dein ihr euch eres usted ustedes".split())
@@ -59,7 +64,8 @@ class Lexicon:
         #: by size of the terms and whether they are stems: place and tries of each of the k + 1 parts
         self.parts: dict[tuple[int, bool], list[tuple[int, int, dict]]] = {}
         self.plans: dict[int, list[tuple]] = {}
-        self.swapped: dict[str, list[str]] = {}
+        self.swapped: dict[str, list[str]] = {}  # words, and beginnings of words for stems, with two neighbours swapped
+        self.swapped_stems: dict[str, list[str]] = {}
         for t in terms:
             spelled = t.rstrip("*")
             k = self.edits(len(spelled))
@@ -73,13 +79,55 @@ class Lexicon:
                 for c in spelled:
                     node = node.setdefault(c, {})
                 node[""] = t
-            star = t[len(spelled):]
+            swapped = self.swapped if t == spelled else self.swapped_stems
             for i in range(len(spelled) - 1):
                 if spelled[i] != spelled[i + 1]:
-                    self.swapped.setdefault(spelled[:i] + spelled[i + 1] + spelled[i] + spelled[i + 2:] + star, []).append(t)
+                    swapped.setdefault(spelled[:i] + spelled[i + 1] + spelled[i] + spelled[i + 2:], []).append(t)
+        self.beginnings = self.stems | self.swapped_stems.keys()
+        #: words with their hits, those met of late and those met before
         self.known: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
         self.size = 0
         self.longest = max((len(t) for t in terms), default=0)
+        self._number_nodes()
+        self.places: dict[int, list[tuple]] = {}
+
+    def _number_nodes(self) -> None:
+        """The tries as arrays: of each node its character, its children (which have numbers in a row), the term that ends there
+        (-1: none) and whether it takes two edits; of each root the number of terms below it."""
+        self.spelled = [t for t in self.terms if self.edits(len(t.rstrip("*")))]
+        self.near = [None, [(t, 1) for t in self.spelled], [(t, 2) for t in self.spelled]]
+        number = {t: i for i, t in enumerate(self.spelled)}
+        nodes, char, first, count, ends, two = [], [], [], [], [], []
+        self.root: dict[int, int] = {}
+        self.below: list[int] = []
+        for (size, _), parts in self.parts.items():
+            for _, _, roots in parts:
+                for trie in roots.values():
+                    self.root[id(trie)] = len(nodes)
+                    nodes.append(trie)
+                    char.append(0)
+                    two.append(self.edits(size) > 1)
+        n_roots, i = len(nodes), 0
+        self.below = [0] * n_roots
+        of = list(range(n_roots))
+        while i < len(nodes):
+            first.append(len(nodes))
+            end = nodes[i].get("")
+            ends.append(-1 if end is None else number[end])
+            self.below[of[i]] += end is not None
+            for c, child in nodes[i].items():
+                if c:
+                    nodes.append(child)
+                    char.append(ord(c))
+                    two.append(two[i])
+                    of.append(of[i])
+            count.append(len(nodes) - first[i])
+            i += 1
+        self.char, self.first, self.count = np.array(char, np.uint32), np.array(first, np.int64), np.array(count, np.int64)
+        self.ends, self.two = np.array(ends, np.int64), np.array(two, bool)
+        self.below = np.array(self.below, np.int64)
+        self.is_stem = np.array([t[-1] == "*" for t in self.spelled], bool)
 
     @staticmethod
     def edits(size: int) -> int:
@@ -155,38 +203,145 @@ class Lexicon:
                         todo.append((child, s0, s1, s2))
         return found
 
-    def lookup(self, word: str) -> tuple:
-        """Hits of a word: ``(term, edits)``; a word that is itself a term is no misspelling of others."""
+    def _places(self, n: int) -> list[tuple]:
+        """The plan for words of ``n`` characters as ``(from, to, hashes, roots)``: in order, the hashes of the parts and the roots of their tries."""
+        if n not in self.places:
+            at: dict[tuple, list] = {}
+            for a, b, roots, _ in self.plans.get(n) or self.plan(n):
+                at.setdefault((a, b), []).extend((_hash(part), self.root[id(trie)]) for part, trie in roots.items())
+            self.places[n] = []
+            for (a, b), rows in at.items():
+                rows.sort()
+                self.places[n].append((a, b, np.array([h for h, _ in rows], np.uint64), np.array([r for _, r in rows], np.int64)))
+        return self.places[n]
+
+    def _fuzzy_all(self, words: list[str]):
+        """``fuzzy`` for words of one length (of ``WIDEST`` at most): triples of a word's place in the list, a term's number and the edits."""
+        n = len(words[0])
+        chars = np.array(words, f"U{n}").view(np.uint32).reshape(len(words), n)
+        powers = np.array([pow(FACTOR, i, 1 << 64) for i in range(n)], np.uint64)
+        sums = np.zeros((n + 1, len(words)), np.uint64)  # a part's hash is a difference of two
+        np.cumsum((chars * powers).T, axis=0, out=sums[1:])
+        word, node = [], []
+        for a, b, hashes, roots in self._places(n):
+            h = (sums[b] - sums[a]) * np.uint64(pow(FACTOR, -a, 1 << 64))
+            low, high = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+            which = np.flatnonzero(high > low)
+            of, at = _spread(low[which], (high - low)[which])
+            word.append(which[of])
+            node.append(roots[at])
+        if not word:
+            return
+        word, node = np.concatenate(word), np.concatenate(node)
+        if self.below[node].sum() > TOGETHER and len(words) > 1:
+            half = len(words) // 2
+            yield from self._fuzzy_all(words[:half])
+            yield from ((w + half, t, d) for w, t, d in self._fuzzy_all(words[half:]))
+            return
+        # the states as in _fuzzy, of all words and tries at once, one character a step
+        one, full = np.uint64(1), np.uint64((2 << n) - 1)
+        r0 = np.full(len(word), 1, np.uint64)
+        r1, r2 = r0 * np.uint64(3), np.where(self.two[node], np.uint64(7) & full, np.uint64(0))
+        while len(word):
+            of, node = _spread(self.first[node], self.count[node])
+            word, r0, r1, r2 = word[of], r0[of], r1[of], r2[of]
+            bits = np.packbits(chars[word] == self.char[node][:, None], axis=1, bitorder="little")
+            m = np.zeros((len(word), 8), np.uint8)
+            m[:, :bits.shape[1]] = bits
+            m = m.view("<u8").ravel()
+            s0 = (r0 & m) << one
+            s1 = ((r1 & m) << one | r0 | r0 << one | s0 << one) & full
+            s2 = np.where(self.two[node], ((r2 & m) << one | r1 | r1 << one | s1 << one) & full, np.uint64(0))
+            end = np.flatnonzero(self.ends[node] >= 0)
+            if len(end):
+                term = self.ends[node[end]]
+                accept = np.where(self.is_stem[term], full, one << np.uint64(n))
+                by1, by2 = (s1[end] & accept) != 0, (s2[end] & accept) != 0
+                got = np.flatnonzero((by1 | by2) & ((s0[end] & accept) == 0))
+                yield from zip(word[end[got]].tolist(), term[got].tolist(), np.where(by1[got], 1, 2).tolist())
+            go = np.flatnonzero((s1 | s2) != 0)
+            word, node, r0, r1, r2 = word[go], node[go], s0[go], s1[go], s2[go]
+
+    def _hits(self, word: str, near) -> tuple:
+        """Hits of a word, given the terms it is like; a word that is itself a term is no misspelling of others."""
         hits = []
-        if word in self.terms:
+        is_term = word in self.terms
+        if is_term:
             hits.append((word, 0))
+        n, swapped = len(word), self.swapped.get(word, ())
         for k in STEM:
-            if k <= len(word) and word[:k] in self.stems:
-                hits.append((word[:k] + "*", 0))
-        if len(word) >= 4 and word not in self.terms:
-            near = self.fuzzy(word)
-            for form in (word, *[word[:k] + "*" for k in STEM if 5 <= k <= len(word)]):
-                for t in self.swapped.get(form, ()):
-                    near[t] = 1
-            hits += sorted((x for x in near.items() if (x[0], 0) not in hits), key=lambda x: (x[1], x[0]))
-        got = tuple(hits)
-        size = 160 + 4 * len(word) + 72 * len(got)  # the entry and its objects, roughly
-        if len(word) <= LONGEST:
-            if self.size + size > REMEMBERED_BYTES:
-                self.known.clear()
-                self.size = 0
-            self.known[word] = got
-            self.size += size
-        return got
+            if k > n:
+                break
+            start = word[:k]
+            if start in self.beginnings:
+                if start in self.stems:
+                    hits.append((start + "*", 0))
+                if k >= 5 and start in self.swapped_stems:
+                    swapped = [*swapped, *self.swapped_stems[start]]
+        if n >= 4 and not is_term and (near or swapped):
+            edits = dict(near)
+            for t in swapped:
+                edits[t] = 1
+            hits += sorted((x for x in edits.items() if (x[0], 0) not in hits), key=lambda x: (x[1], x[0]))
+        return tuple(hits)
+
+    def lookup(self, word: str) -> tuple:
+        """Hits of a word: ``(term, edits)``."""
+        return self._hits(word, self.fuzzy(word).items() if len(word) >= 4 and word not in self.terms else ())
+
+    def lookups(self, words: list[str]):
+        """Pairs of a word and its hits; words of one length are looked up together."""
+        lengths: dict[int, list[str]] = {}
+        for w in words:
+            if 4 <= len(w) <= WIDEST and w not in self.terms:
+                lengths.setdefault(len(w), []).append(w)
+            else:
+                yield w, self.lookup(w)
+        for some in lengths.values():
+            near: dict[int, list] = {}
+            for i, t, d in self._fuzzy_all(some):
+                near.setdefault(i, []).append(self.near[d][t])
+            for i, w in enumerate(some):
+                yield w, self._hits(w, near.get(i, ()))
+
+    def hits(self, words: set[str]) -> dict[str, tuple]:
+        """Those of the words that have hits, with them."""
+        out, new = {}, []
+        for w in words:
+            got = self.known.get(w)
+            if got is None:
+                got = self.older.get(w)
+                if got is None:
+                    new.append(w)
+                    continue
+                self._remember(w, got)
+            if got:
+                out[w] = got
+        for w, got in self.lookups(new):
+            if len(w) <= LONGEST:
+                self._remember(w, got)
+            if got:
+                out[w] = got
+        return out
+
+    def _remember(self, word: str, got: tuple) -> None:
+        self.size += 160 + 4 * len(word) + 72 * len(got)  # the entry and its objects, roughly
+        self.known[word] = got
+        if self.size > REMEMBERED_BYTES // 2:
+            self.known, self.older, self.size = {}, self.known, 0
 
     def features(self, text: str) -> list[float]:
-        """The hits of a text, weighed by their context, as numbers for the classifier."""
-        low = text.lower()
-        words = WORDS.findall(low)
-        known, lookup = self.known, self.lookup
-        got = list(map(known.get, words))
-        if None in got:
-            got = [h if h is not None else known[w] if w in known else lookup(w) for w, h in zip(words, got)]
+        return self.features_of([text])[0]
+
+    def features_of(self, texts: list[str]) -> list[list[float]]:
+        """The hits of each text, weighed by their context, as numbers for the classifier."""
+        lows = [t.lower() for t in texts]
+        words = [WORDS.findall(t) for t in lows]
+        hits = self.hits(set().union(*words))
+        return [self._features(low, ws, hits) for low, ws in zip(lows, words)]
+
+    def _features(self, low: str, words: list[str], hits: dict[str, tuple]) -> list[float]:
+        got = list(map(hits.get, words))
         at = [i for i, h in enumerate(got) if h]
         if not at:
             return [0.0] * N_FEATURES
@@ -252,6 +407,33 @@ def _around(words: list[str], wanted: frozenset) -> bytearray:
     return near
 
 
+def _hash(part: str) -> int:
+    return sum(ord(c) * pow(FACTOR, i, 1 << 64) for i, c in enumerate(part)) % (1 << 64)
+
+
+def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``count`` numbers from ``first`` on: for each number the place of its run, and the number."""
+    of = np.repeat(np.arange(len(first)), count)
+    return of, np.arange(len(of)) + (first - (np.cumsum(count) - count))[of]
+
+
+def pieces(texts):
+    """Lists of about ``PIECE_BYTES`` of consecutive texts."""
+    some, size = [], 0
+    for t in texts:
+        some.append(t)
+        size += len(t)
+        if size >= PIECE_BYTES:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+def _strings(column: pa.Array):
+    return (column[k].as_py() or "" for k in range(len(column)))
+
+
 N_FEATURES = 12
 _LAST: list[Lexicon] = []
 
@@ -263,35 +445,49 @@ def lexicon_of(terms: dict[str, tuple]) -> Lexicon:
     return _LAST[0]
 
 
-def terms_of(text: str):
+def terms_of(text: str) -> dict[str, int]:
     """Every term of a text with its number of occurrences."""
-    out = Counter()
+    out: dict[str, int] = {}
     for w, n in Counter(WORDS.findall(text.lower())).items():
         if len(w) >= 3:
-            out[w] += n
+            out[w] = out.get(w, 0) + n
             for k in STEM:
-                if k <= len(w):
-                    out[w[:k] + "*"] += n
+                if k > len(w):
+                    break
+                stem = w[:k] + "*"
+                out[stem] = out.get(stem, 0) + n
     return out
 
 
+def _counts(batches):
+    """For texts with labels ``(term, c0, ... c5)``: texts without and with the label that hold the term once, twice, three times
+    at least.  A task has ``COUNTED`` terms and those of one text in memory at most; a term may come in several rows."""
+    def rows():
+        for some in range(0, len(total), ROWS):
+            part = terms[some:some + ROWS]
+            sixes = [[total[t] >> 32 * i & 0xFFFFFFFF for t in part] for i in range(6)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *[pa.array(c, pa.int64()) for c in sixes]],
+                                             ["term", *[f"c{i}" for i in range(6)]])
+
+    # six counters of 32 bits in one number; a term that occurs often counts at all levels up to three
+    ones = [[sum(1 << 32 * (2 * level + y) for level in range(n)) for n in range(4)] for y in range(2)]
+    total: dict[str, int] = {}
+    for b in batches:
+        for text, y in zip(_strings(b.column("text")), b.column("y").to_pylist()):
+            one = ones[y]
+            for t, n in terms_of(text).items():
+                total[t] = total.get(t, 0) + one[n if n < 3 else 3]
+            if len(total) >= COUNTED:
+                terms = list(total)
+                yield from rows()
+                total = {}
+    terms = list(total)
+    yield from rows()
+
+
 def learn_lexicon(train: DataFrame, n_pos: int, n_neg: int, max_terms: int = MAX_TERMS, least: int = 4) -> dict[str, tuple]:
     """Terms with weights, from the numbers of texts of either label that hold them."""
-    def counts(batches):
-        total: dict[str, list] = {}
-        for pdf in batches:
-            for text, y in zip(pdf["text"], pdf["y"]):
-                for t, n in terms_of(text).items():
-                    row = total.setdefault(t, [0] * 6)
-                    for level in range(min(n, 3)):
-                        row[2 * level + y] += 1
-        # without the label no term can be chosen
-        rows = [(t, *r) for t, r in total.items() if r[1]]
-        yield pd.DataFrame(rows, columns=["term", *[f"c{i}" for i in range(6)]])
-        rest = [(t, *r) for t, r in total.items() if not r[1]]
-        yield pd.DataFrame(rest, columns=["term", *[f"c{i}" for i in range(6)]])
-
-    table = train.select("text", "y").mapInPandas(counts, "term string, " + ", ".join(f"c{i} long" for i in range(6)))
+    table = train.select("text", "y").mapInArrow(_counts, "term string, " + ", ".join(f"c{i} long" for i in range(6)))
     sums = table.groupBy("term").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(6)])
     odds = lambda a, b: F.log((F.col(b) + 0.5) / (n_pos + 1)) - F.log((F.col(a) + 0.5) / (n_neg + 1))
     for level in range(3):
@@ -330,13 +526,19 @@ def weigh_edits(train: DataFrame, terms: dict[str, tuple], n_pos: int, n_neg: in
     """Add to each term the weight of its misspellings: their log odds, drawn to 0.7 of the term's first weight."""
     def counts(batches):
         lexicon, total = lexicon_of(terms), Counter()
-        for pdf in batches:
-            for text, y in zip(pdf["text"], pdf["y"]):
-                hits = [h for w in set(WORDS.findall(text.lower())) for h in (lexicon.known[w] if w in lexicon.known else lexicon.lookup(w))]
-                total.update((t, y) for t in {t for t, d in hits if d} - {t for t, d in hits if not d})
-        yield pd.DataFrame([(t, y, n) for (t, y), n in total.items()], columns=["term", "y", "n"])
-
-    table = train.select("text", "y").mapInPandas(counts, "term string, y int, n long")
+        for b in batches:
+            labels = iter(b.column("y").to_pylist())
+            for some in pieces(_strings(b.column("text"))):
+                words = [set(WORDS.findall(text.lower())) for text in some]
+                hits_of = lexicon.hits(set().union(*words))
+                for ws, y in zip(words, labels):
+                    hits = [h for w in ws if w in hits_of for h in hits_of[w]]
+                    total.update((t, y) for t in {t for t, d in hits if d} - {t for t, d in hits if not d})
+        terms_, labels, numbers = zip(*[(t, y, n) for (t, y), n in total.items()]) if total else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(terms_, pa.string()), pa.array(labels, pa.int32()), pa.array(numbers, pa.int64())],
+                                         ["term", "y", "n"])
+
+    table = train.select("text", "y").mapInArrow(counts, "term string, y int, n long")
     seen = {(r["term"], r["y"]): r["n"] for r in table.groupBy("term", "y").agg(F.sum("n").alias("n")).collect()}
     out = {}
     for t, w in terms.items():
@@ -373,10 +575,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: int
 
     def rows(batches):
         lexicon = lexicon_of(terms)
-        for pdf in batches:
-            yield pd.DataFrame({"y": pdf["y"], "x": [lexicon.features(t) for t in pdf["text"]]})
+        for b in batches:
+            x = [f for some in pieces(_strings(b.column("text"))) for f in lexicon.features_of(some)]
+            yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(x, pa.list_(pa.float64()))], ["y", "x"])
 
-    got = train.select("text", "y").mapInPandas(rows, "y int, x array<double>").collect()
+    got = train.select("text", "y").mapInArrow(rows, "y int, x array<double>").collect()
     x = np.array([design(r["x"]) for r in got])
     return {"terms": terms, "w": fit_logistic(x, np.array([r["y"] for r in got], float)), "base": 0.0}
 
@@ -395,20 +598,16 @@ def score(docs: DataFrame, model: dict, text_col: str = "text", out: str = "scor
     def run(batches):
         lexicon = lexicon_of(terms)
         for b in batches:
-            texts = b.column(text_col)
-            values, size, first = [], 0, 0
-            for k in range(b.num_rows):
-                text = texts[k].as_py() or ""
+            first = 0
+            for some in pieces(_strings(b.column(text_col))):
                 if w is None:
-                    values.append(base)
+                    values = [base] * len(some)
                 else:
-                    z = float(np.dot(design(lexicon.features(text)), w))
-                    values.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
-                size += len(text)
-                if size >= PIECE_BYTES or k + 1 == b.num_rows:
-                    part = b.slice(first, len(values))
-                    yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(values, pa.float64())], [*names, out])
-                    values, size, first = [], 0, k + 1
+                    zs = [float(np.dot(design(f), w)) for f in lexicon.features_of(some)]
+                    values = [1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) for z in zs]
+                part = b.slice(first, len(values))
+                first += len(values)
+                yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(values, pa.float64())], [*names, out])
 
     return docs.select(*dict.fromkeys([*names, text_col])).mapInArrow(run, T.StructType(kept + [T.StructField(out, T.DoubleType())]))
 

@@ -7,6 +7,7 @@ import struct
 import zlib
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 
 from corpusmill.llm import piece_codec, quality, toxicity
@@ -149,3 +150,55 @@ def test_words_around_a_hit():
     got = lexicon.features("you nasty " + "x " * 20 + "said nasty " + "x " * 20 + "nasti nasti")
     assert got[:3] == [2.5, 2.5, 2.5] and got[5:8] == [0.25, 0.5, 0.25] and got[10:] == [0.0, 0.0]
     assert lexicon.features("nasti " * 2)[10:] == [1.0, 1.0]
+
+
+def test_words_looked_up_together():
+    rng = random.Random(7)
+    some = lambda a, b: "".join(rng.choice("abcé𝄞") for _ in range(rng.randint(a, b)))
+    terms = {t: (1.0, 1.0, 1.0) for t in [*(some(3, 14) for _ in range(60)), *(some(3, 8) + "*" for _ in range(20)), "a" * 61, "b" * 70]}
+    lexicon = toxicity.Lexicon(terms)
+    words = {"", "a" * 60, "a" * 62, "a" * 63, "b" * 69, "b" * 71, "harbour"}
+    for t in sorted(terms):
+        for _ in range(8):
+            word = list(t.rstrip("*"))
+            for _ in range(rng.randint(0, 2)):
+                i = rng.randint(0, len(word))
+                word[i:i + rng.randint(0, 1)] = some(0, 1)
+            words.add("".join(word) + some(0, 2))
+    want = {w: lexicon.lookup(w) for w in words}
+    assert sum(1 for hits in want.values() if any(d for _, d in hits)) > 200
+    assert dict(lexicon.lookups(sorted(words))) == want
+    # few automata at once, and few remembered words: the same hits, in bounded memory
+    together, remembered = toxicity.TOGETHER, toxicity.REMEMBERED_BYTES
+    toxicity.TOGETHER, toxicity.REMEMBERED_BYTES = 8, 4000
+    try:
+        for _ in range(2):
+            assert lexicon.hits(words) == {w: hits for w, hits in want.items() if hits}
+        assert len(lexicon.known) + len(lexicon.older) < len(words) / 2
+    finally:
+        toxicity.TOGETHER, toxicity.REMEMBERED_BYTES = together, remembered
+
+
+def test_terms_are_counted_in_bounded_memory(monkeypatch):
+    monkeypatch.setattr(toxicity, "COUNTED", 50)
+    monkeypatch.setattr(toxicity, "ROWS", 20)
+    texts = [f"word{i}x other{i % 3} " + "vile " * (i % 5) for i in range(40)]
+    read = []
+
+    def batches():
+        for i, text in enumerate(texts):
+            read.append(i)
+            yield pa.RecordBatch.from_pydict({"text": [text], "y": [i % 2]})
+
+    sums = collections.defaultdict(lambda: [0] * 6)
+    for n, b in enumerate(toxicity._counts(batches())):
+        assert b.num_rows <= 20 and (n or len(read) < len(texts) / 2)  # terms go on before all texts are read
+        for row in b.to_pylist():
+            t = row.pop("term")
+            sums[t] = [x + y for x, y in zip(sums[t], row.values())]
+    want = collections.defaultdict(lambda: [0] * 6)
+    for i, text in enumerate(texts):
+        for t, n in toxicity.terms_of(text).items():
+            for level in range(min(n, 3)):
+                want[t][2 * level + i % 2] += 1
+    assert sums == want and sums["vile"][4:] == [8, 8]
