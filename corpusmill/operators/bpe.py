@@ -17,8 +17,8 @@ distributed, in blocks, and are written once a round:
 
 A round has at least one merge, usually hundreds; the next round starts from new counts.
 
-Encoding applies the merges in order to each *distinct* word (a linked list and a heap, linear but for
-a logarithm in the word's length), then joins word occurrences with that table.
+Encoding applies the merges in order to the words of a task, which remembers them (short words pair by pair, long ones
+by a linked list and a heap, linear but for a logarithm in the word's length); no word is a row of a shuffle.
 
 With a coverage below 1 characters outside the covered alphabet are no symbols: training cuts
 words there, and encoding writes them as UTF-8 byte pieces, if the vocabulary has them, or UNK.
@@ -27,6 +27,7 @@ words there, and encoding writes them as UTF-8 byte pieces, if the vocabulary ha
 from __future__ import annotations
 
 import heapq
+import re
 from bisect import bisect_right
 
 import numpy as np
@@ -34,9 +35,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
-from ..functions import text as T
 from ..sources.sinks import materialize
+from .tokenize import _interleave, encode_by_word, map_rows, rows_by_key
 from .vocab import UNK_ID, WORD_START
 
 #: bounds of what a round brings to the driver: symbols in chains, live pairs
@@ -353,11 +355,46 @@ def merge_table(merges) -> dict:
     return table
 
 
+#: symbols of a word whose pairs are looked through at each merge
+SHORT = 24
+
+
+def _merge_short(sym: list, ranks: dict) -> list:
+    done = -1
+    while len(sym) > 1:
+        best = pair = merged = None
+        for p in zip(sym, sym[1:]):
+            hit = ranks.get(p)
+            if hit is not None:
+                r = hit[0][0]
+                if r <= done:
+                    if hit[0][-1] <= done:
+                        continue
+                    r = hit[0][bisect_right(hit[0], done)]
+                if best is None or r < best:
+                    best, pair, merged = r, p, hit[1]
+        if best is None:
+            break
+        done, (left, right) = best, pair
+        out, k, last = [], 0, len(sym) - 1
+        while k <= last:
+            if k < last and sym[k] == left and sym[k + 1] == right:
+                out.append(merged)
+                k += 2
+            else:
+                out.append(sym[k])
+                k += 1
+        sym = out
+    return sym
+
+
 def merge_in_order(sym: list, ranks: dict) -> list:
     """``sym`` after all merges, applied in order of rank, each once, from left to right.
 
     ``ranks[left, right]`` is ``(its ranks ascending, merged)``; a pair has several where it was learned again."""
     n = len(sym)
+    if n <= SHORT:
+        return _merge_short(list(sym), ranks)
     sym, nxt, prv = list(sym), list(range(1, n + 1)), list(range(-1, n - 1))
     heap = []
 
@@ -467,11 +504,15 @@ def bpe_vocab(words: DataFrame, merges: DataFrame, word_col: str = "word", count
     return spark.createDataFrame(pieces, "piece string, id int").unionByName(merged)
 
 
+def _sent_merges(merges: DataFrame):
+    """The table of the merges, bounded by the vocabulary, sent to the tasks."""
+    rows = sorted(merges.collect(), key=lambda r: r["rank"])
+    return merges.sparkSession.sparkContext.broadcast(merge_table((r["left"], r["right"], r["piece"]) for r in rows))
+
+
 def segment_words(words: DataFrame, merges: DataFrame, word_col: str = "word") -> DataFrame:
     """``(word, pieces array<string>)`` for each distinct word, merges applied by rank."""
-    # bounded by the vocabulary
-    rows = sorted(merges.collect(), key=lambda r: r["rank"])
-    bc = words.sparkSession.sparkContext.broadcast(merge_table((r["left"], r["right"], r["piece"]) for r in rows))
+    bc = _sent_merges(merges)
 
     def run(batches):
         for pdf in batches:
@@ -502,39 +543,49 @@ def encode_subword(lines: DataFrame, merges: DataFrame, vocab: DataFrame, key_co
     With ``byte_pieces`` (the vocabulary must have them) a character outside the vocabulary becomes the pieces of its UTF-8
     bytes; without, UNK.
     """
-    keys = list(key_cols)
-    occ = lines.select(*keys, F.posexplode_outer(T.split_words(text_col)).alias("__pos", "word"))
-    seg = segment_words(occ.filter(F.col("word").isNotNull()), merges)
+    ranks = _sent_merges(merges)
     of = _piece_ids(vocab, byte_pieces)
 
-    def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"word": pdf["word"], "__wids": [[i for p in ps for i in of(p)] for ps in pdf["pieces"]]})
-    ids = seg.mapInPandas(run, "word string, __wids array<int>")
-    j = occ.join(ids, "word", "left")
-    item = F.when(F.col("word").isNotNull(), F.struct("__pos", "__wids"))
-    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    return g.select(*keys, F.flatten(F.transform("__items", lambda x: x["__wids"])).cast("array<int>")
-                    .alias(out))
+    def word_ids():
+        return lambda word: [i for p in merge_in_order([WORD_START, *word], ranks.value) for i in of(p)]
+    return encode_by_word(lines, key_cols, text_col, out, word_ids)
 
 
 def decode_subword(tokens: DataFrame, vocab: DataFrame, key_cols, ids_col: str = "ids",
-                   out: str = "text") -> DataFrame:
+                   out: str = "text", keys_differ: bool = False) -> DataFrame:
     """Pieces concatenated as bytes, the word-start marker turned back into a space, stripped.
 
     Byte pieces (by spelling and id) give their byte; bytes that are no valid UTF-8 are left out, as the lenient decoder does.
+    The vocabulary goes to the tasks; rows with one key make one row, place by place, and are looked for unless ``keys_differ``.
     """
     keys = list(key_cols)
-    digits = F.substring("piece", 4, 2)
-    is_byte = F.col("piece").rlike("^<0x[0-9A-F]{2}>$") & (F.conv(digits, 16, 10).cast("int") + UNK_ID + 1 == F.col("id"))
-    raw = F.when(is_byte, digits).otherwise(F.hex(F.encode("piece", "UTF-8")))
-    pid = vocab.select(F.col("id").alias("__id"), raw.alias("__p"))
-    ex = tokens.select(*keys, F.posexplode_outer(F.filter(ids_col, lambda i: i > 2)).alias("__k", "__id"))
-    j = ex.join(pid, "__id", "left")
-    item = F.when(F.col("__id").isNotNull(), F.struct("__k", "__p"))
-    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__i"))
-    text = T.decode_lenient(F.unhex(F.array_join(F.transform("__i", lambda x: x["__p"]), "")))
-    return g.select(*keys, T.py_strip(F.replace(text, F.lit(WORD_START), F.lit(" "))).alias(out))
+    raw: dict = {}
+    for r in vocab.select("piece", "id").filter(F.col("id") > 2).collect():
+        raw.setdefault(r["id"], []).append(_raw_bytes(r["piece"], r["id"]))
+    sent = vocab.sparkSession.sparkContext.broadcast({i: sorted(p) for i, p in raw.items()})
+
+    def line_text():
+        pieces = sent.value
+        one = {i: b"".join(p) for i, p in pieces.items()}
+
+        def of(rows):
+            if len(rows) == 1:
+                data = b"".join([one.get(i, b"") for i in rows[0] or ()])
+            else:
+                parts = [[pieces.get(i, []) for i in ids if i is not None and i > 2] for ids in rows if ids]
+                data = b"".join([p for place in _interleave(parts) for p in place]) if parts else b""
+            return data.decode("utf-8", "ignore").replace(WORD_START, " ").strip()
+        return of
+    rows = tokens.select(*keys, F.array(ids_col).alias("__rows")) if keys_differ else rows_by_key(tokens, ids_col, keys)
+    return map_rows(rows, keys, out, ST.StringType(), line_text, lambda texts: pa.array(texts, pa.string()))
+
+
+def _raw_bytes(piece: str | None, i: int) -> bytes:
+    if piece is None:
+        return b""
+    if re.search(r"^<0x[0-9A-F]{2}>$", piece) and int(piece[3:5], 16) + UNK_ID + 1 == i:
+        return bytes([int(piece[3:5], 16)])
+    return piece.encode()
 
 
 __all__ = ["train_bpe", "bpe_vocab", "segment_words", "encode_subword", "decode_subword", "alphabet", "merge_in_order"]

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from ..functions import text as T
 from .vocab import BOS_ID, EOS_ID, PAD_ID, UNK_ID
@@ -134,6 +135,75 @@ def _joined_pieces(rows: list[list]) -> pa.Array:
     return pa.array([" ".join([p for p in r if p is not None]) for r in rows], pa.string())
 
 
+# symbols (characters and ids, 16 for the entry) of the words that a task remembers, in each of two generations
+REMEMBERED = 4_000_000
+# ids of a batch that a task hands back
+BATCH_IDS = 1 << 20
+
+
+class Remembered(dict):
+    """Values of words, found by ``of``; what was not asked for since the last generation is dropped."""
+
+    def __init__(self, of, most: int = REMEMBERED):
+        self.of, self.most, self.size, self.old = of, most, 0, {}
+
+    def __missing__(self, word: str) -> list[int]:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.of(word)
+        self.size += len(word) + len(ids) + 16
+        if self.size > self.most:
+            self.old, self.size = dict(self), len(word) + len(ids) + 16
+            self.clear()
+        self[word] = ids
+        return ids
+
+
+def rows_by_key(src: DataFrame, col: str, keys: list[str]) -> DataFrame:
+    """``(*keys, __rows)``: the values of ``col`` of all rows with one key."""
+    if src.groupBy(*keys).count().filter("count > 1").limit(1).count():
+        return src.groupBy(*keys).agg(F.collect_list(col).alias("__rows"))
+    return src.select(*keys, F.array(col).alias("__rows"))
+
+
+def map_rows(src: DataFrame, keys: list[str], out: str, out_type: ST.DataType, make, write, size=len) -> DataFrame:
+    """``(*keys, out)``: ``make()`` gives a task's function of ``__rows``; ``write`` makes a column of its values."""
+    schema = ST.StructType([*(src.schema[k] for k in keys), ST.StructField(out, out_type)])
+
+    def run(batches):
+        of = make()
+        for b in batches:
+            values, total, first = [], 0, 0
+            for k, rows in enumerate(b.column("__rows").to_pylist(), 1):
+                values.append(of(rows))
+                total += size(values[-1])
+                if total >= BATCH_IDS or k == b.num_rows:
+                    part = b.slice(first, k - first)
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keys), write(values)], names=[*keys, out])
+                    values, total, first = [], 0, k
+    return src.select(*keys, "__rows").mapInArrow(run, schema)
+
+
+def encode_by_word(lines: DataFrame, key_cols, text_col: str, out: str, make) -> DataFrame:
+    """``(*key_cols, out)``: ids of the words of each line, one after the other; blank lines give ``[]``.
+
+    ``make()`` gives a task's function from a word to its ids, which it remembers, so no word is a row of a shuffle.
+    Rows with one key make one row, place by place.
+    """
+    keys = list(key_cols)
+
+    def line_ids():
+        known = Remembered(make())
+
+        def of(rows):
+            if len(rows) == 1:
+                return [i for w in (rows[0] or "").split() for i in known[w]]
+            places = _interleave([[[known[w]] for w in (t or "").split()] for t in rows]) if rows else []
+            return [i for place in places for ids in place for i in ids]
+        return of
+    return map_rows(rows_by_key(lines, text_col, keys), keys, out, ST.ArrayType(ST.IntegerType()), line_ids, _id_lists)
+
+
 def encode_words(lines: DataFrame, vocab: DataFrame, key_cols, text_col: str = "line",
                  out: str = "ids", broadcast_vocab: bool | None = None, groups: int | None = None) -> DataFrame:
     """``(*key_cols, ids)``: ids of the whitespace words of each line, UNK for unknown words.

@@ -924,24 +924,27 @@ def q_encode_subword_bytes(spark, sf_dir):
     return bpe.encode_subword(lines, merges, vocab, ["doc_id", "line_no"], byte_pieces=True)
 
 
-def _subword_report(lines, merges, vocab, byte_pieces=False):
-    toks = bpe.encode_subword(lines, merges, vocab, ["doc_id", "line_no"], byte_pieces=byte_pieces)
-    dec = bpe.decode_subword(toks, vocab, ["doc_id", "line_no"], out="decoded")
-    per = (lines.join(toks, ["doc_id", "line_no"]).join(dec, ["doc_id", "line_no"])
-           .select(F.size("ids").alias("n_tokens"), T.word_count("line").alias("n_words"),
-                   (F.col("decoded") != T.py_strip("line")).alias("error"),
-                   (F.col("line") == "").alias("blank")))
+def _subword_report(lines, toks, vocab):
+    keys = ["doc_id", "line_no"]
+    # decoded as they are encoded; what is compared goes into the join as digests, never as whole lines
+    dec = bpe.decode_subword(toks.select(*keys, "ids", F.size("ids").alias("n_tokens")), vocab, [*keys, "n_tokens"], out="decoded",
+                             keys_differ=True).select(*keys, "n_tokens", F.sha2("decoded", 256).alias("__d"))
+    lines = lines.select(*keys, T.word_count("line").alias("n_words"), T.content_hash("line").alias("__h"),
+                         (F.col("line") == "").alias("blank"))
+    per = lines.join(dec, keys).select("n_tokens", "n_words", (F.col("__d") != F.col("__h")).alias("error"), "blank")
     return tok.tokenizer_eval(per, "n_tokens", "n_words", "error", "blank")
 
 
 @register("tokenizer_eval_subword")
 def q_tokenizer_eval_subword(spark, sf_dir):
-    return _subword_report(*_bpe(spark, sf_dir))
+    lines, merges, vocab = _bpe(spark, sf_dir)
+    return _subword_report(lines, bpe.encode_subword(lines, merges, vocab, ["doc_id", "line_no"]), vocab)
 
 
 @register("tokenizer_eval_subword_bytes")
 def q_tokenizer_eval_subword_bytes(spark, sf_dir):
-    return _subword_report(*_bpe(spark, sf_dir, COVERAGE, byte_pieces=True), byte_pieces=True)
+    lines, merges, vocab = _bpe(spark, sf_dir, COVERAGE, byte_pieces=True)
+    return _subword_report(lines, bpe.encode_subword(lines, merges, vocab, ["doc_id", "line_no"], byte_pieces=True), vocab)
 
 
 def _generate_sql(max_len: int = 16) -> str:
@@ -1018,9 +1021,4 @@ def q_encode_unigram(spark, sf_dir):
 def q_tokenizer_eval_unigram(spark, sf_dir):
     lines, pieces, vocab = _unigram(spark, sf_dir)
     toks = unigram.encode_unigram(lines, pieces, vocab, ["doc_id", "line_no"])
-    dec = bpe.decode_subword(toks, vocab, ["doc_id", "line_no"], out="decoded")
-    per = (lines.join(toks, ["doc_id", "line_no"]).join(dec, ["doc_id", "line_no"])
-           .select(F.size("ids").alias("n_tokens"), T.word_count("line").alias("n_words"),
-                   (F.col("decoded") != T.py_strip("line")).alias("error"),
-                   (F.col("line") == "").alias("blank")))
-    return tok.tokenizer_compare(tok.tokenizer_eval(per, "n_tokens", "n_words", "error", "blank"))
+    return tok.tokenizer_compare(_subword_report(lines, toks, vocab))
