@@ -7,7 +7,7 @@
 2. EM: the E-step runs forward-backward over each *distinct* word's piece
    lattice in ``mapInPandas`` (a small per-word helper; the piece table,
    bounded by ``seed_size``, is broadcast) and emits expected piece counts
-   times the word frequency; the M-step is ``groupBy(piece).sum`` and a
+   times the word frequency, summed up in the task; the M-step is ``groupBy(piece).sum`` and a
    normalisation.
 3. Pruning keeps the ``vocab_size`` pieces with the largest expected counts
    (single characters are always kept so every word stays segmentable), and
@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.sinks import materialize
-from .vocab import WORD_START
+from .tokenize import encode_by_word
+from .vocab import UNK_ID, WORD_START
 
 
 def _marked(word_col: str):
@@ -35,13 +36,13 @@ def seed_pieces(words: DataFrame, seed_size: int, max_piece_len: int = 8, word_c
     """``(piece, freq)`` seed set: all characters and the top longer substrings."""
     w = words.select(_marked(word_col).alias("w"), F.col(count_col).alias("c"))
     n = F.length("w")
-    subs = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
-        F.sequence(i, F.least(i + max_piece_len - 1, n)), lambda j: F.substring("w", i, j - i + 1))))
-    counts = (w.select(F.explode(subs).alias("piece"), "c").groupBy("piece")
-              .agg(F.sum("c").alias("freq")))
-    chars = counts.filter(F.length("piece") == 1)
-    longer = (counts.filter(F.length("piece") > 1)
-              .orderBy((F.col("freq") * F.length("piece")).desc(), "piece").limit(seed_size))
+    # single characters, bounded by the alphabet, apart from the many longer pieces
+    single = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring("w", i, F.lit(1)))
+    subs = F.flatten(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.transform(
+        F.sequence(i + 1, F.least(i + max_piece_len - 1, n)), lambda j: F.substring("w", i, j - i + 1))))
+    chars, longer = (rows.select(F.explode(pieces).alias("piece"), "c").groupBy("piece").agg(F.sum("c").alias("freq"))
+                     for rows, pieces in ((w, single), (w.filter((n > 1) & F.lit(max_piece_len > 1)), subs)))
+    longer = longer.orderBy((F.col("freq") * F.length("piece")).desc(), "piece").limit(seed_size)
     return chars.unionByName(longer)
 
 
@@ -49,15 +50,25 @@ def _forward_backward(word: str, logp: dict, max_len: int):
     """Expected piece counts of one word under the unigram model (log space)."""
     n = len(word)
     neg = -math.inf
+    get, log1p, exp = logp.get, math.log1p, math.exp
+    # the pieces of the word, looked up once: by their starts and by their ends
+    begin: list = [[] for _ in range(n + 1)]
+    finish: list = [[] for _ in range(n + 1)]
+    for start in range(n):
+        for end in range(start + 1, min(n, start + max_len) + 1):
+            p = word[start:end]
+            lp = get(p)
+            if lp is not None:
+                begin[start].append((end, lp, p))
+                finish[end].append((start, lp))
     alpha = [neg] * (n + 1)
     alpha[0] = 0.0
     for end in range(1, n + 1):
         acc = neg
-        for start in range(max(0, end - max_len), end):
-            lp = logp.get(word[start:end])
-            if lp is not None and alpha[start] > neg:
+        for start, lp in finish[end]:
+            if alpha[start] > neg:
                 v = alpha[start] + lp
-                acc = v if acc == neg else max(acc, v) + math.log1p(math.exp(-abs(acc - v)))
+                acc = v if acc == neg else max(acc, v) + log1p(exp(-abs(acc - v)))
         alpha[end] = acc
     if alpha[n] == neg:
         return {}, neg
@@ -65,23 +76,20 @@ def _forward_backward(word: str, logp: dict, max_len: int):
     beta[n] = 0.0
     for start in range(n - 1, -1, -1):
         acc = neg
-        for end in range(start + 1, min(n, start + max_len) + 1):
-            lp = logp.get(word[start:end])
-            if lp is not None and beta[end] > neg:
+        for end, lp, _ in begin[start]:
+            if beta[end] > neg:
                 v = beta[end] + lp
-                acc = v if acc == neg else max(acc, v) + math.log1p(math.exp(-abs(acc - v)))
+                acc = v if acc == neg else max(acc, v) + log1p(exp(-abs(acc - v)))
         beta[start] = acc
     z = alpha[n]
     out: dict = {}
     for start in range(n):
         if alpha[start] == neg:
             continue
-        for end in range(start + 1, min(n, start + max_len) + 1):
-            p = word[start:end]
-            lp = logp.get(p)
-            if lp is None or beta[end] == neg:
+        for end, lp, p in begin[start]:
+            if beta[end] == neg:
                 continue
-            post = math.exp(alpha[start] + lp + beta[end] - z)
+            post = exp(alpha[start] + lp + beta[end] - z)
             if post > 0:
                 out[p] = out.get(p, 0.0) + post
     return out, z
@@ -94,14 +102,12 @@ def _e_step(words: DataFrame, pieces: DataFrame, max_len: int) -> DataFrame:
 
     def run(batches):
         logp = bc.value
+        sums: dict = {}  # bounded by the piece table
         for pdf in batches:
-            ps, cs = [], []
             for w, c in zip(pdf["w"], pdf["c"]):
-                exp, _ = _forward_backward(w, logp, max_len)
-                for p, e in exp.items():
-                    ps.append(p)
-                    cs.append(e * c)
-            yield pd.DataFrame({"piece": ps, "expected": cs})
+                for p, e in _forward_backward(w, logp, max_len)[0].items():
+                    sums[p] = sums.get(p, 0.0) + e * c
+        yield pd.DataFrame({"piece": list(sums), "expected": list(sums.values())})
     return words.mapInPandas(run, "piece string, expected double")
 
 
@@ -163,48 +169,40 @@ def unigram_vocab(pieces: DataFrame) -> DataFrame:
 
 def encode_unigram(lines: DataFrame, pieces: DataFrame, vocab: DataFrame, key_cols, text_col: str = "line",
                    out: str = "ids", max_piece_len: int = 8) -> DataFrame:
-    """``(*key_cols, ids)``: Viterbi segmentation of each distinct word (a small
-    per-word helper in ``mapInPandas`` with the broadcast piece table), joined back
-    to the word occurrences and regrouped per line in order.  Characters outside
-    the piece table become UNK."""
-    from ..functions import text as T
-    keys = list(key_cols)
-    spark = lines.sparkSession
+    """``(*key_cols, ids)``: Viterbi segmentation of the words of a task, which remembers them, with the
+    broadcast piece table, one after the other for each line.  Characters outside the piece table become UNK."""
+    sc = lines.sparkSession.sparkContext
     table = {r["piece"]: r["logp"] for r in pieces.select("piece", "logp").collect()}
-    bc = spark.sparkContext.broadcast(table)
-
-    def run(batches):
-        logp = bc.value
-        for pdf in batches:
-            segs = []
-            for w in pdf["word"]:
-                marked = WORD_START + w
-                seg = viterbi(marked, logp, max_piece_len)
-                segs.append(seg if "".join(seg) == marked else
-                            _with_unknown(marked, logp, max_piece_len))
-            yield pd.DataFrame({"word": pdf["word"], "pieces": segs})
-
-    occ = lines.select(*keys, F.posexplode_outer(T.split_words(text_col)).alias("__pos", "word"))
-    seg = occ.filter(F.col("word").isNotNull()).select("word").distinct().mapInPandas(
-        run, "word string, pieces array<string>")
-    pid = vocab.select(F.col("piece").alias("__p"), F.col("id").alias("__id"))
-    ids = (seg.select("word", F.posexplode("pieces").alias("__k", "__p"))
-           .join(pid, "__p", "left")
-           .groupBy("word").agg(F.array_sort(F.collect_list(
-               F.struct("__k", F.coalesce("__id", F.lit(3)).alias("id")))).alias("__a"))
-           .select("word", F.transform("__a", lambda x: x["id"]).alias("__wids")))
-    j = occ.join(ids, "word", "left")
-    item = F.when(F.col("word").isNotNull(), F.struct("__pos", "__wids"))
-    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    return g.select(*keys, F.flatten(F.transform("__items", lambda x: x["__wids"])).cast("array<int>")
-                    .alias(out))
-
-
-def _with_unknown(word: str, logp: dict, max_len: int) -> list[str]:
+    # bounded by the vocabulary, as the pieces are; a piece that is spelled as a special has both ids
+    ids: dict = {}
+    for r in vocab.select("piece", F.coalesce("id", F.lit(UNK_ID)).alias("id")).collect():
+        ids.setdefault(r["piece"], []).append(r["id"])
+    bc = sc.broadcast((table, {p: sorted(i) for p, i in ids.items()}))
+
+    def word_ids():
+        logp, of = bc.value
+        unknown: list = []
+
+        def run(word):
+            marked = WORD_START + word
+            seg = viterbi(marked, logp, max_piece_len)
+            if "".join(seg) != marked:
+                if not unknown:
+                    unknown.extend(_unknown_table(logp))
+                seg = _with_unknown(marked, *unknown, max_piece_len)
+            return [i for p in seg for i in of.get(p, (UNK_ID,))]
+        return run
+    return encode_by_word(lines, key_cols, text_col, out, word_ids)
+
+
+def _unknown_table(logp: dict) -> tuple[dict, float]:
+    """A copy of the pieces and what an unknown character costs."""
+    return dict(logp), min(logp.values()) - 20.0 if logp else -20.0
+
+
+def _with_unknown(word: str, table: dict, floor: float, max_len: int) -> list[str]:
     """Segmentation where characters without a piece are kept as single
-    (unknown) symbols, so every word still has a segmentation."""
-    table = dict(logp)
-    floor = min(table.values()) - 20.0 if table else -20.0
+    (unknown) symbols, so every word still has a segmentation; ``table`` takes them up."""
     for ch in word:
         table.setdefault(ch, floor)
     return viterbi(word, table, max_len)
