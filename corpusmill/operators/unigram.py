@@ -46,18 +46,27 @@ def seed_pieces(words: DataFrame, seed_size: int, max_piece_len: int = 8, word_c
     return chars.unionByName(longer)
 
 
-def _forward_backward(word: str, logp: dict, max_len: int):
+def _starts(logp: dict) -> dict:
+    """Log-probabilities of the pieces, None for what is only the start of some: what is missing begins no piece."""
+    out = dict.fromkeys(p[:k] for p in logp for k in range(1, len(p)))
+    out.update(logp)
+    return out
+
+
+def _forward_backward(word: str, logp: dict, max_len: int, starts: dict | None = None):
     """Expected piece counts of one word under the unigram model (log space)."""
     n = len(word)
     neg = -math.inf
-    get, log1p, exp = logp.get, math.log1p, math.exp
+    get, log1p, exp = (starts or _starts(logp)).get, math.log1p, math.exp
     # the pieces of the word, looked up once: by their starts and by their ends
     begin: list = [[] for _ in range(n + 1)]
     finish: list = [[] for _ in range(n + 1)]
     for start in range(n):
         for end in range(start + 1, min(n, start + max_len) + 1):
             p = word[start:end]
-            lp = get(p)
+            lp = get(p, False)
+            if lp is False:
+                break
             if lp is not None:
                 begin[start].append((end, lp, p))
                 finish[end].append((start, lp))
@@ -102,10 +111,11 @@ def _e_step(words: DataFrame, pieces: DataFrame, max_len: int) -> DataFrame:
 
     def run(batches):
         logp = bc.value
+        starts = _starts(logp)
         sums: dict = {}  # bounded by the piece table
         for pdf in batches:
             for w, c in zip(pdf["w"], pdf["c"]):
-                for p, e in _forward_backward(w, logp, max_len)[0].items():
+                for p, e in _forward_backward(w, logp, max_len, starts)[0].items():
                     sums[p] = sums.get(p, 0.0) + e * c
         yield pd.DataFrame({"piece": list(sums), "expected": list(sums.values())})
     return words.mapInPandas(run, "piece string, expected double")
@@ -139,17 +149,23 @@ def train_unigram(words: DataFrame, vocab_size: int, seed_size: int | None = Non
     return pieces
 
 
-def viterbi(word: str, logp: dict, max_len: int = 8) -> list[str]:
+def viterbi(word: str, logp: dict, max_len: int = 8, starts: dict | None = None) -> list[str]:
     """Best segmentation of one (marked) word; used by tests and encoders."""
     n = len(word)
+    get = (starts or _starts(logp)).get
     best = [-math.inf] * (n + 1)
     back = [0] * (n + 1)
     best[0] = 0.0
-    for end in range(1, n + 1):
-        for start in range(max(0, end - max_len), end):
-            lp = logp.get(word[start:end])
-            if lp is not None and best[start] + lp > best[end]:
-                best[end], back[end] = best[start] + lp, start
+    for start in range(n):
+        so_far = best[start]
+        if so_far == -math.inf:
+            continue
+        for end in range(start + 1, min(n, start + max_len) + 1):
+            lp = get(word[start:end], False)
+            if lp is False:
+                break
+            if lp is not None and so_far + lp > best[end]:
+                best[end], back[end] = so_far + lp, start
     out, end = [], n
     while end > 0:
         out.append(word[back[end]:end])
@@ -181,11 +197,12 @@ def encode_unigram(lines: DataFrame, pieces: DataFrame, vocab: DataFrame, key_co
 
     def word_ids():
         logp, of = bc.value
+        starts = _starts(logp)
         unknown: list = []
 
         def run(word):
             marked = WORD_START + word
-            seg = viterbi(marked, logp, max_piece_len)
+            seg = viterbi(marked, logp, max_piece_len, starts)
             if "".join(seg) != marked:
                 if not unknown:
                     unknown.extend(_unknown_table(logp))
