@@ -136,7 +136,7 @@ def _joined_pieces(rows: list[list]) -> pa.Array:
 
 
 # symbols (characters and ids, 16 for the entry) of the words that a task remembers, in each of two generations
-REMEMBERED = 4_000_000
+REMEMBERED = 8_000_000
 # ids of a batch that a task hands back
 BATCH_IDS = 1 << 20
 

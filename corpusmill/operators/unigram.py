@@ -77,7 +77,12 @@ def _forward_backward(word: str, logp: dict, max_len: int, starts: dict | None =
         for start, lp in finish[end]:
             if alpha[start] > neg:
                 v = alpha[start] + lp
-                acc = v if acc == neg else max(acc, v) + log1p(exp(-abs(acc - v)))
+                if acc == neg:
+                    acc = v
+                elif acc >= v:
+                    acc += log1p(exp(v - acc))
+                else:
+                    acc = v + log1p(exp(acc - v))
         alpha[end] = acc
     if alpha[n] == neg:
         return {}, neg
@@ -88,7 +93,12 @@ def _forward_backward(word: str, logp: dict, max_len: int, starts: dict | None =
         for end, lp, _ in begin[start]:
             if beta[end] > neg:
                 v = beta[end] + lp
-                acc = v if acc == neg else max(acc, v) + log1p(exp(-abs(acc - v)))
+                if acc == neg:
+                    acc = v
+                elif acc >= v:
+                    acc += log1p(exp(v - acc))
+                else:
+                    acc = v + log1p(exp(acc - v))
         beta[start] = acc
     z = alpha[n]
     out: dict = {}
